@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronotally.llm import chat, language, licenses, lines, mixing, packing
+from chronotally.llm import chat, language, licenses, lines, mixing, ngram_join, packing, toxicity
 from chronotally.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,10 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents")).drop("node")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
