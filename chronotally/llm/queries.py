@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronotally.llm import chat, language, licenses, lines, mixing, ngram_join, packing, toxicity
+from chronotally.llm import chat, edit_fingerprint, language, licenses, lines, mixing, ngram_join, packing, toxicity
 from chronotally.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
