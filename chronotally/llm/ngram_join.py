@@ -179,7 +179,7 @@ def _compare(unit: pd.DataFrame, similarity: float) -> pd.DataFrame:
         linked = common >= similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-4
         np.fill_diagonal(linked, False)
         side = rows["side"].to_numpy()
-        if (side != side[0]).any():  # two blocks: pairs within one are another unit's
+        if rows["i"].iat[0] != rows["j"].iat[0]:  # two blocks: pairs within one are another unit's
             linked &= side[:, None] != side[None, :]
         links = linked @ rows["copies"].to_numpy(np.int64)
         some = links > 0
@@ -241,7 +241,7 @@ def link(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = TAR
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents without those that another one of their class represents; of repeated rows one stays.
 
-    Texts without words all stay."""
+    Texts without words stay too."""
     lost = link(docs, **options).where("node is not null").groupBy(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).agg(F.bool_or("kept").alias("_kept"), F.count("*").alias("_rows"))
     lost = lost.where("not _kept or _rows > 1")
     rows = docs.withColumn("_md5", F.md5("text")).join(lost, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_node")), "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronotally.llm import chat, edit_fingerprint, language, licenses, lines, mixing, ngram_join, packing, toxicity
+from chronotally.llm import chat, edit_fingerprint, language, lattice, licenses, lines, mixing, ngram_join, packing, toxicity
 from chronotally.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.link(table(spark, sf_dir, "embeddings"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
