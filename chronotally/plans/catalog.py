@@ -1,11 +1,13 @@
-"""Registered queries over the given tables and their SQL counterparts."""
+"""All registered queries over the given tables and their SQL counterparts."""
 
 from __future__ import annotations
 
+from chronotally.plans import registry, time_queries  # noqa: F401  importing registers
+
 
 def queries() -> dict:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)

@@ -1,0 +1,21 @@
+"""Session defaults for batch work."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+#: Adaptive execution re-plans joins, splits skewed partitions and sizes shuffles from measured bytes; times are UTC.
+DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def session(app: str = "chronotally", **more: str) -> SparkSession:
+    builder = SparkSession.builder.appName(app)
+    for key, value in (DEFAULTS | more).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
