@@ -35,7 +35,8 @@ def query(sql: str | None = None):
             body = sql.strip()
             used = [n for n in FACTS if n in body]
             with_ = ", ".join(f"{n} as ({FACTS[n]})" for n in used)
-            SQL[f.__name__] = f"with {with_}, {body[5:]}" if used and body.startswith("with ") else f"with {with_} {body}" if used else body
+            start = "with recursive " if body.startswith("with recursive ") else "with "
+            SQL[f.__name__] = f"{start}{with_}, {body[len(start):]}" if used and body.startswith(start) else f"with {with_} {body}" if used else body
         return f
 
     return register
