@@ -8,7 +8,9 @@ documents (SAMPLE_ROWS a class of the last category, by hash of doc_id) and appl
 
 from __future__ import annotations
 
+import functools
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 3000
 FEATURES = 3000
+#: Hash buckets of features.
+WIDTH = 1 << 20
 FOLDS = 4
 THRESHOLD = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -33,9 +37,11 @@ def categories() -> list[tuple[str, Column]]:
     return [("low_quality", F.col("quality") == 0), ("toxic", F.col("toxic") == 1)]
 
 
-def parts(word: str) -> list[str]:
-    """Features of a distinct word: itself and its beginnings of four and five letters."""
-    return [word, word[:4] + "*", word[:5] + "*"] if len(word) > 5 else [word, word[:4] + "*"] if len(word) > 4 else [word]
+@functools.lru_cache(maxsize=100_000)
+def parts(word: str) -> tuple[int, ...]:
+    """Features of a distinct word, hashed: itself and its beginnings of four and five letters."""
+    some = [word, word[:4] + "*", word[:5] + "*"][: 1 + (len(word) > 4) + (len(word) > 5)]
+    return tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) % WIDTH for x in some)
 
 
 def shape(text: str, n_words: int) -> list[float]:
@@ -63,10 +69,10 @@ def logistic(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, y: np.ndarra
 
 @dataclass
 class Chain:
-    """names: the categories; words: feature -> weight of each category; dense: their other weights."""
+    """names: the categories; words: hashed feature -> weight of each category; dense: their other weights."""
 
     names: list[str]
-    words: dict[str, np.ndarray]
+    words: dict[int, np.ndarray]
     dense: list[np.ndarray]
 
     def predict(self, texts: list[str | None]) -> np.ndarray:
@@ -96,23 +102,27 @@ class Chain:
 
 def fit_chain(texts: list[str], labels: np.ndarray, names: list[str], weight: np.ndarray, *, features: int = FEATURES, folds: int = FOLDS) -> Chain:
     """labels: a 0/1 column per category, rows as texts. weight: of each row."""
-    words = [_WORD.findall(t.lower()) for t in texts]
-    bags = [Counter(p for w in set(found) for p in parts(w)) for found in words]
-    df = Counter(p for bag in bags for p in bag)
-    counts, n = Counter(), len(texts)
-    chosen: dict[str, float] = {}
+    n, sizes, bags = len(texts), [], []
+    for text in texts:  # hashed features, each as often as distinct words have it; the words themselves are not kept
+        found = _WORD.findall(text.lower())
+        sizes.append(len(found))
+        bags.append(np.array([h for w in sorted(set(found)) for h in parts(w)], np.int32))
+    seen = [np.unique(bag) for bag in bags]
+    df = np.bincount(np.concatenate([*seen, np.empty(0, np.int32)]), minlength=WIDTH)
+    strength = np.zeros(WIDTH)
     for k in range(len(names)):
         rate = labels[:, k].mean() if n else 0.0
-        counts = Counter(p for bag, y in zip(bags, labels[:, k], strict=True) if y for p in bag)
-        for p, c in df.items():
-            if c >= 4 and 0 < rate < 1:
-                z = (counts[p] - c * rate) / np.sqrt(c * rate * (1 - rate))
-                if abs(z) >= 3.5:
-                    chosen[p] = max(chosen.get(p, 0), abs(z))
-    vocabulary = {p: i for i, p in enumerate(sorted(sorted(chosen, key=lambda p: (-chosen[p], p))[:features]))}
-    rows = np.array([i for i, bag in enumerate(bags) for p, c in bag.items() if p in vocabulary for _ in range(c)], np.int64)
-    cols = np.array([vocabulary[p] for bag in bags for p, c in bag.items() if p in vocabulary for _ in range(c)], np.int64)
-    dense = np.array([shape(t, len(w)) for t, w in zip(texts, words, strict=True)]).reshape(n, 6)
+        if 0 < rate < 1:
+            hits = np.bincount(np.concatenate([s for s, y in zip(seen, labels[:, k], strict=True) if y]), minlength=WIDTH)
+            z = np.abs(hits - df * rate) / np.sqrt(np.maximum(df, 1) * rate * (1 - rate))
+            strength = np.maximum(strength, np.where((df >= 4) & (z >= 3.5), z, 0))
+    vocabulary = np.sort(np.argsort(-strength, kind="stable")[: min(features, np.count_nonzero(strength))])
+    place = np.full(WIDTH, -1, np.int32)
+    place[vocabulary] = np.arange(len(vocabulary))
+    picked = [place[bag] for bag in bags]
+    rows = np.repeat(np.arange(n), [np.count_nonzero(x >= 0) for x in picked])
+    cols = np.concatenate([*[x[x >= 0] for x in picked], np.empty(0, np.int32)]).astype(np.int64)
+    dense = np.array([shape(t, c) for t, c in zip(texts, sizes, strict=True)]).reshape(n, 6)
     width, fold = len(vocabulary), np.arange(n) % folds
     weights, dense_weights = np.zeros((width, len(names))), []
     for k in range(len(names)):
@@ -130,7 +140,7 @@ def fit_chain(texts: list[str], labels: np.ndarray, names: list[str], weight: np
                 z = np.bincount(rows, w[cols], n) + full @ d
                 out_of_fold[test] = z[test]
             dense = np.column_stack([dense, np.clip(out_of_fold, -6, 6) / 3])
-    return Chain(names, {p: weights[i] for p, i in vocabulary.items()}, dense_weights)
+    return Chain(names, {int(h): weights[i] for i, h in enumerate(vocabulary)}, dense_weights)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Chain | None:
