@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotally.llm import e8
+from chronotally.llm import buckets, e8
 from chronotally.llm.common import checkpointed, connected_components
 
 COSINE = 0.93
@@ -87,22 +87,6 @@ def _counts_here(cell: np.ndarray, p: np.ndarray, q: np.ndarray, homes: np.ndarr
     return ~open_ & (where == cell[p])
 
 
-def _pairs(cell: np.ndarray, side: np.ndarray, apart: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs within each cell (rows are sorted by cell), many cells of one size at a time; if ``apart``, of different sides."""
-    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-    sizes = np.diff(np.r_[starts, len(cell)])
-    for n in np.unique(sizes[sizes > 1]).tolist():
-        i, j = np.triu_indices(n, 1)
-        some = starts[sizes == n]
-        step = max(1, 40_000 // len(i))
-        for k in range(0, len(some), step):
-            here = some[k : k + step, None]
-            for a in range(0, len(i), 40_000):  # a large cell's pairs come in slices
-                p, q = (here + i[a : a + 40_000]).ravel(), (here + j[a : a + 40_000]).ravel()
-                split = side[p] != side[q]
-                yield (p[split], q[split]) if apart else (p, q)
-
-
 def _compare(unit: pd.DataFrame, least: float) -> pd.DataFrame:
     unit = unit.drop_duplicates(["cell", "node"]).sort_values(["cell", "node"])
     n, cell, side = len(unit), unit["cell"].to_numpy(np.int64), unit["side"].to_numpy()
@@ -115,7 +99,7 @@ def _compare(unit: pd.DataFrame, least: float) -> pd.DataFrame:
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     links, root = np.zeros(n, np.int64), np.arange(n)
     found_p, found_q = [], []
-    for p, q in _pairs(cell, side, unit["i"].iat[0] != unit["j"].iat[0]):
+    for p, q in buckets.pairs(cell, side, unit["i"].iat[0] != unit["j"].iat[0]):
         cosine = np.einsum("ij,ij->i", vectors[p], vectors[q]) / (norms[p] * norms[q])
         near = (cosine >= least) & (dims[p] == dims[q])
         p, q = p[near], q[near]
@@ -127,14 +111,7 @@ def _compare(unit: pd.DataFrame, least: float) -> pd.DataFrame:
             found_q.append(q.astype(np.int32))
     if found_p:
         p, q = np.concatenate(found_p), np.concatenate(found_q)
-        while True:
-            new = root.copy()
-            np.minimum.at(new, p, root[q])
-            np.minimum.at(new, q, root[p])
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        root = buckets.forest(n, p, q)
     some = links > 0
     return pd.DataFrame({"node": nodes[some], "links": links[some], "root": nodes[root][some]})
 

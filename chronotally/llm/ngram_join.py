@@ -3,8 +3,10 @@
 1. Texts are classed by content, so that exact copies cost nothing further. A text's set is its hashed
    word 5-grams (all its words, if it has fewer); MinHash minima are cut into bands, with band and row
    counts chosen for the target recall at the similarity threshold.
-2. Classes are shuffled on band hashes. Each bucket links its members to its smallest one, which keeps
-   the work linear in the bucket; connected components of these links are the candidate groups.
+2. Classes are shuffled on band hashes. In each bucket, members whose bands agree in at least AGREEING
+   places are joined by a spanning forest; connected components of these joints are the candidate groups. A
+   passage that many texts share makes pairs agree in one band now and then, hardly ever in three, so that
+   such texts do not run together into one group.
 3. The texts of candidate groups alone are shingled again, and full sets are compared within each group,
    block by block: a large group is cut into blocks of bounded size, and each pair of blocks is a unit of
    work. A unit returns link counts and a spanning forest, never its pairs.
@@ -23,28 +25,34 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronotally.llm import buckets
 from chronotally.llm.common import checkpointed, connected_components
 
 N_WORDS = 5
 SIMILARITY = 0.8
 TARGET_RECALL = 0.995
+#: Bands in which a candidate pair must agree.
+AGREEING = 3
 #: MinHash minima that may be spent on a text.
 MINIMA = 256
 #: Most shingles and most texts in a block; a unit of work holds two blocks.
 BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 18, 1024
+#: Rows of a bucket that one unit of the candidate search may hold twice.
+BLOCK_ROWS = 2048
 _WORD = re.compile(r"\w+")
 _WORDS_KEPT = 300_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
-def banding(similarity: float = SIMILARITY, recall: float = TARGET_RECALL, minima: int = MINIMA) -> tuple[int, int]:
-    """(bands, rows): the most rows for which enough bands to reach the recall fit into ``minima``."""
-    best = (math.ceil(math.log(1 - recall) / math.log(1 - similarity)), 1)
-    for rows in range(1, minima + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log1p(-(similarity**rows)))
-        if bands * rows <= minima:
-            best = (bands, rows)
-    return best
+def banding(similarity: float = SIMILARITY, recall: float = TARGET_RECALL, minima: int = MINIMA, agreeing: int = AGREEING) -> tuple[int, int]:
+    """(bands, rows): the most rows a band may have so that a pair at the similarity agrees in ``agreeing`` of the
+    minima // rows bands with the wanted probability; one row if none reaches it."""
+    for rows in range(minima // agreeing, 0, -1):
+        bands, p = minima // rows, similarity**rows
+        missed = sum(math.comb(bands, k) * p**k * (1 - p) ** (bands - k) for k in range(agreeing))
+        if 1 - missed >= recall:
+            return bands, rows
+    return minima, 1
 
 
 class _WordHashes(dict):
@@ -107,15 +115,37 @@ def _classes(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
     signed = docs.select("doc_id", F.md5("text").alias("node"), sign("text").alias("s")).where("s.size > 0")
     least = [F.min(F.col("s.bands")[k]).alias(f"b{k}") for k in range(bands)]  # copies agree: their minimum is the value
     signed = signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("s.size").alias("size"), *least)
-    return signed.select("node", "rep", "copies", "size", F.array(*[f"b{k}" for k in range(bands)]).alias("bands"))
+    return signed.select("node", F.xxhash64("node").alias("key"), "rep", "copies", "size", F.array(*[f"b{k}" for k in range(bands)]).alias("bands"))
+
+
+def _agree(unit: pd.DataFrame) -> pd.DataFrame:
+    """Spanning forest of each bucket's members that agree in enough bands: (a, b)."""
+    unit = unit.drop_duplicates(["hash", "key"]).sort_values(["hash", "key"])
+    hashes, key, side = unit["hash"].to_numpy(np.int64), unit["key"].to_numpy(np.int64), unit["side"].to_numpy()
+    bands = np.stack(unit["bands"].to_numpy()).astype(np.int32)
+    some = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for p, q in buckets.pairs(hashes, side, unit["i"].iat[0] != unit["j"].iat[0]):
+        near = np.count_nonzero(bands[p] == bands[q], axis=1) >= AGREEING
+        some.append((p[near], q[near]))
+    p, q = (np.concatenate(x) for x in zip(*some, strict=True))
+    root = buckets.forest(len(unit), p, q)
+    joined = root != np.arange(len(unit))
+    return pd.DataFrame({"a": key[joined], "b": key[root[joined]]})
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """node, component of the classes that share a band with another one."""
-    banded = classes.select("node", F.posexplode("bands").alias("band", "hash"))
-    heads = banded.groupBy("band", "hash").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = banded.join(heads, ["band", "hash"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    return connected_components(edges)
+    """key, component of the classes that agree with another one in enough bands; key is a 64-bit hash of the node
+    (should two nodes share one, they are only compared in vain)."""
+    banded = classes.select("key", F.explode("bands").alias("hash"))
+    full = banded.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    rows = banded.join(full.select("hash", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "hash")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bundles = max(1, math.ceil(classes.count() / 256))
+    unit = F.when(F.col("blocks") == 1, F.pmod("hash", F.lit(bundles))).otherwise(F.col("hash"))
+    rows = rows.select("key", "hash", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    short = F.transform("bands", lambda x: F.shiftright(x, 32).cast("int"))
+    rows = rows.join(classes.select("key", short.alias("bands")), "key")
+    return connected_components(rows.groupBy("crowded", "unit", "i", "j").applyInPandas(_agree, "a long, b long"))
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -190,7 +220,7 @@ def _compare(unit: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, similarity: float, n: int) -> DataFrame:
     """node, links, root of each unit of work."""
-    members = classes.drop("bands").join(groups, "node")
+    members = classes.drop("bands").join(groups.select(F.col("node").alias("key"), F.col("component").cast("string").alias("component")), "key")
     sizes = members.groupBy("component").agg(F.sum("size").alias("total"), F.count("*").alias("texts"))
     blocks = F.greatest(F.ceil(F.col("total") / BLOCK_SHINGLES), F.ceil(F.col("texts") / BLOCK_TEXTS)).cast("int")
     sizes = checkpointed(sizes.select("component", "total", blocks.alias("blocks")))
