@@ -42,7 +42,7 @@ def wilson(k: Column, n: Column, z: float = Z95) -> tuple[Column, Column, Column
     base = 1 + z * z / n
     centre = (p + z * z / (2 * n)) / base
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / base
-    return p, F.greatest(F.lit(0.0), centre - half), F.least(F.lit(1.0), centre + half)
+    return p, F.when(n.isNotNull(), F.greatest(F.lit(0.0), centre - half)), F.when(n.isNotNull(), F.least(F.lit(1.0), centre + half))
 
 
 def labelled_ranges(x: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
