@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_rows(spark: SparkSession, rows: int) -> None:
+    """Rows that go to a Python worker at a time. Few keep the buffers of long texts small on both sides; operators that
+    step through all texts of a batch at once want many."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder the session names.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotally.llm.common import checkpointed, connected_components
+from chronotally.llm.common import arrow_rows, checkpointed, connected_components
 
 SAMPLES = 64
 FIRST_OCTAVE = 5  # steps 0..31 form the first block
@@ -190,6 +190,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     A null text counts as empty; a text without a character has the fingerprint ''. Equal texts have equal
     fingerprints. Rows with one doc_id follow each other by text. A table of one row is its own successor.
     Other columns are ignored; an empty table gives an empty result."""
+    arrow_rows(docs.sparkSession, 10_000)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(rows.withColumn("fingerprint", fingerprint("text")), ["text", "fingerprint"])
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited_text(F.col("text"), F.col("next_text")).alias("edited"))

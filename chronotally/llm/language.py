@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronotally.llm.common import arrow_rows
+
 SAMPLE_ROWS = 96
 TRAIN_LETTERS = 40_000
 #: Letters with a code of their own; rarer ones share a code that matches nothing.
@@ -75,7 +77,7 @@ class CrossParser:
     """Parses batches of texts against one automaton per language.
 
     A table entry is (next state * n_codes) * 2 + (1 if a new phrase starts there). Where a match cannot be
-    extended, the entry leads where the root leads by this letter; a letter that the root lacks leads to the root."""
+    extended, the entry leads where the root leads by this letter; a letter that the root lacks is a phrase of its own."""
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.languages = sorted(texts)
@@ -95,19 +97,21 @@ class CrossParser:
             if self.code[o] == len(letters) and not chr(o).isalpha():
                 self.code[o] = self.space
         tables, self.bits, base = [], [], 0
-        self.roots = np.zeros((len(self.languages), 1), np.int64)
+        self.starts = np.zeros((len(self.languages), 1), np.int64)
         for row, lang in enumerate(self.languages):
             codes = self.code[np.frombuffer(texts[lang].encode("utf-32-le"), np.uint32)]
             table = suffix_automaton(codes, self.n_codes).astype(np.int64)
-            root = np.where(table[0] >= 0, table[0], 0)
-            ends = table < 0
-            tables.append(((np.where(ends, root, table) + base) * self.n_codes * 2 + ends).ravel())
-            self.roots[row] = base * self.n_codes
+            between = len(table)  # the state before the text and behind a letter that the root lacks
+            table = np.vstack([table, np.full((1, self.n_codes), -1)])
+            root = np.where(table[0] >= 0, table[0], between)
+            starts = table < 0
+            tables.append(((np.where(starts, root, table) + base) * self.n_codes * 2 + starts).ravel())
+            self.starts[row] = (base + between) * self.n_codes
             base += len(table)
             self.bits.append(math.log2(max(2, len(codes))))
         self.table = np.concatenate(tables) if tables else np.empty(0, np.int64)
         if base * self.n_codes * 2 < 2**31:
-            self.table, self.roots = self.table.astype(np.int32), self.roots.astype(np.int32)
+            self.table, self.starts = self.table.astype(np.int32), self.starts.astype(np.int32)
 
     def encode(self, text: str) -> np.ndarray:
         """Codes of the normalised text; empty if it has no letter."""
@@ -132,8 +136,8 @@ class CrossParser:
         at = np.cumsum(sizes) - sizes
         active = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if n else 0), "left")
         position = at.copy()
-        state = np.repeat(self.roots, n, axis=1)
-        count = np.ones((len(self.languages), n), np.int64)
+        state = np.repeat(self.starts, n, axis=1)
+        count = np.zeros((len(self.languages), n), np.int64)
         for k in active.tolist():
             here = position[:k]
             entry = self.table.take(state[:, :k] + joined.take(here))
@@ -189,6 +193,7 @@ def identify(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, letters: int =
     score is 1 - best / second-best normalised phrase count (0: a tie). A null text, or one without a
     letter, is 'und' with score 0; so is every text if no row can be learned from. Repeated rows are
     predicted each; further columns are ignored; an empty table gives an empty result."""
+    arrow_rows(docs.sparkSession, 10_000)
     texts = tuple(sorted(training_texts(docs, sample_rows=sample_rows, letters=letters).items()))
 
     @F.pandas_udf("lang_pred string, score double")

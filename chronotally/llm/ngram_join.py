@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronotally.llm import buckets
-from chronotally.llm.common import checkpointed, connected_components
+from chronotally.llm.common import arrow_rows, checkpointed, connected_components
 
 N_WORDS = 5
 SIMILARITY = 0.8
@@ -40,7 +40,7 @@ BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 18, 1024
 #: Rows of a bucket that one unit of the candidate search may hold twice.
 BLOCK_ROWS = 2048
 _WORD = re.compile(r"\w+")
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 100_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -250,6 +250,7 @@ def link(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = TAR
     n_links (other rows linked directly, copies included), kept (this row represents its class). A text without
     words, or null, links with nothing, represents itself and has its doc_id as class_id. Repeated rows are
     copies of each other; a null doc_id sorts last. Other columns are ignored; an empty table gives an empty result."""
+    arrow_rows(docs.sparkSession, 1000)
     bands, rows = banding(similarity, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     classes = checkpointed(_classes(docs, bands, rows, n))

@@ -23,13 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotally.llm.common import checkpointed
+from chronotally.llm.common import arrow_rows, checkpointed
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Words between spaces whose ids a worker keeps.
-WORD_CACHE = 300_000
+WORD_CACHE = 120_000
 
 
 class _WordIds(dict):
@@ -88,6 +88,7 @@ PIECE_SCHEMA = "doc_key long, doc_id long, piece int, start long, length int, id
 
 def pieces(docs: DataFrame, *, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_key tells repeated doc_ids with different texts apart."""
+    arrow_rows(docs.sparkSession, 1000)
     path, ranks = tokenizer or vocabulary(TOKENIZER), ranks or vocabulary(RANKS)
     end = np.array([end_id], dtype="<u4").tobytes()
 
