@@ -114,9 +114,9 @@ def queue_chain(spark, d):
     return out.withColumn("chain", F.array_join(F.transform("chain", lambda x: x.cast("string")), ","))
 
 
-@query("with m as (select head, max(attempt) as m from runs group by head), w as (select head, unnest(range(1, m + 1))::int as attempt from m) select head, attempt from w where (head, attempt) not in (select (head, attempt) from runs)")
+@query("with m as (select pr, max(attempt) as m from runs group by pr), w as (select pr, unnest(range(1, m + 1))::int as attempt from m) select pr, attempt from w where (pr, attempt) not in (select (pr, attempt) from runs)")
 def missing_attempts(spark, d):
-    return N.missing_attempts(runs(spark, d), "head", "attempt")
+    return N.missing_attempts(runs(spark, d), "pr", "attempt")
 
 
 @query(f"select run, coalesce(min(case when kind = 'error' and (id % 2 = 0 or a >= {CLOCK} - {6 * HOUR}) then a end), max(b)) as complete_to from jobs group by run")
