@@ -151,7 +151,8 @@ def link(rows: DataFrame, *, least: float = COSINE) -> DataFrame:
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     joined = classes.join(components, "node", "left").join(counts, "node", "left")
     least_id = joined.where("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
-    joined = joined.join(least_id, "component", "left").select(F.col("node").alias("_node"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    out = rows.select("vec_id", "node").join(joined, F.col("node") == F.col("_node"), "left")
+    # rows without a component get a key of their own, lest they all meet in one task
+    joined = joined.withColumn("component", F.coalesce("component", "node")).join(least_id, "component", "left").select(F.col("node").alias("_node"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    out = rows.select("vec_id", "node").join(joined, F.coalesce("node", F.concat(F.lit("-"), "vec_id")) == F.col("_node"), "left")
     component = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -260,10 +260,11 @@ def link(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = TAR
     first = F.struct(F.coalesce("rep", F.lit(2**63 - 1)).alias("order"), "rep", "node")
     joined = classes.select("node", "rep", "copies", first.alias("first")).join(components, "node", "left").join(counts, "node", "left")
     heads = joined.where("component is not null").groupBy("component").agg(F.min("first").alias("head"))
-    joined = joined.join(heads, "component", "left").select("node", "rep", F.coalesce("head", "first").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    # rows without a component get a key of their own, lest they all meet in one task
+    joined = joined.withColumn("component", F.coalesce("component", "node")).join(heads, "component", "left").select("node", "rep", F.coalesce("head", "first").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     joined = joined.select(F.col("node").alias("_node"), F.col("head.rep").alias("class_id"), F.col("head.node").alias("_head"), "links")
     keys = docs.select("doc_id", F.md5("text").alias("node"))
-    out = keys.join(joined, F.col("node") == F.col("_node"), "left")
+    out = keys.join(joined, F.coalesce("node", F.concat(F.lit("-"), "doc_id")) == F.col("_node"), "left")
     kept = F.col("_node").isNull() | ((F.col("node") == F.col("_head")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     class_id = F.when(F.col("_node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return out.select("doc_id", "node", class_id.alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), kept.alias("kept"))
