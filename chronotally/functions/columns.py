@@ -87,40 +87,62 @@ def first_match(value: Column, rules: Sequence[tuple[str, str]], default: str |
     return out.otherwise(F.lit(default))
 
 
-# Step names to phases, telemetry phases to groups.
+# Ordered patterns of step names and their phases.
 STEP_PHASES = [
-    ("(?i)checkout|clone|fetch", "checkout"), ("(?i)cache|restore", "cache"), ("(?i)set ?up|install|toolchain", "setup"),
-    ("(?i)lint|audit|format", "lint"), ("(?i)build|compile|test", "build"),
-]
+    ("Report|Summarise CI telemetry|Upload CI telemetry|Post |Complete job", "reporting"),
+    ("Mathlib's compressed|Fetch Mathlib|Require a complete Mathlib", "Mathlib cache"),
+    ("Lake artifact cache|own oleans|Lake archive", "Lake cache"),
+    ("Build exact candidate", "build, audits, lints"),
+    ("watchdog toolchain|environment-lint|Dot-notation", "lint preparation"),
+]
+# Telemetry phases and their groups.
+TELEMETRY_GROUPS = {
+    "stage-cache": "build",
+    "build": "build",
+    "audit-duplicates": "audits",
+    "audit-axioms": "audits",
+    "audit-module-system": "audits",
+    "lint-env": "lints",
+    "lint-style": "lints",
+}
 
 
 def step_phase(name: Column) -> Column:
-    return first_match(name, STEP_PHASES, "other")
+    return first_match(name, STEP_PHASES, "setup and checks")
+
+
+def telemetry_group(phase: Column) -> Column:
+    """Group of a telemetry phase; null for one that is not known."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in TELEMETRY_GROUPS.items() for x in pair]), phase)
 
 
 def runner_kind(labels: Column) -> Column:
-    """Kind of runner from its labels, by ordered rules; an empty or null list is unknown."""
+    """Kind of runner from its labels, by ordered rules; other labels mean an own machine, no label is unknown."""
     has = lambda pattern: F.exists(labels, lambda x: x.rlike(pattern))
-    return F.when(F.coalesce(F.size(labels), F.lit(0)) <= 0, "unknown").when(has("^self-hosted$"), "self-hosted").when(has("^namespace"), "namespace").when(has("^(ubuntu|macos|windows)-"), "github").otherwise("unknown")
+    return F.when(has("^nscloud-"), "namespace").when(has("^self-hosted$"), "self-hosted").when(has("^(ubuntu|windows|macos)-"), "github").when(F.size(labels) > 0, "self-hosted").otherwise("unknown")
 
 
 def series_key(kind: Column, trigger: Column, is_build: Column) -> Column:
-    return F.when(~is_build, F.concat(F.lit("aux/"), kind)).when(trigger.isin("merge", "staging"), F.concat(F.lit("merge/"), kind)).otherwise(F.concat(F.lit("pr/"), kind))
+    """Chart series: hosted builds by who asked for them, named own machines by themselves, the rest by queue."""
+    hosted = F.when(~is_build, "gh-other").when(trigger.isin("pr", "workflow_dispatch"), "gh-build-pr").otherwise("gh-build-other")
+    rest = F.when(trigger.isin("merge_queue", "bors_staging"), "ns-mq").when(trigger == "pr", "ns-pr").otherwise("ns-other")
+    return F.when(kind == "github", hosted).when(kind.isin("namespace", "unknown"), rest).otherwise(kind)
 
 
-def job_class(name: Column, trigger: Column) -> Column:
-    """Class of a job from its name and trigger, by ordered rules."""
-    build = name.rlike("(?i)build|test")
-    return (
-        F.when(build & (trigger == "pull"), "pr_build").when(build & (trigger == "staging"), "staging_build").when(build, "other_build")
-        .when(name.rlike("(?i)bors|queue|merge"), "control").when(name.rlike("(?i)cron|nightly|clean"), "maintenance").otherwise("other")
-    )
+def job_class(is_build: Column, trigger: Column, control: Column, maintenance: Column) -> Column:
+    """Class of a job by ordered rules; what counts as build, control and maintenance is the caller's list of names."""
+    build = F.when(trigger == "pr", "pr_build").when(trigger.isin("bors_staging", "merge_queue"), "staging_build").otherwise("other_build")
+    return F.when(is_build, build).when(control, "control").when(maintenance, "maintenance").otherwise("other")
 
 
 def derive_trigger(event: Column, title: Column) -> Column:
-    """Trigger of a run; a dispatch counts as production only if its title names branch, batch, head and base."""
-    full = title.rlike(r"^bors branch=\S+ batch=\d+ head=[0-9a-f]{40} base=[0-9a-f]{40}$")
-    return F.when(event == "pull_request", "pull").when(event == "push", "push").when(event == "merge_group", "merge").when((event == "workflow_dispatch") & full, "staging").when(event == "workflow_dispatch", "unknown").otherwise("other")
+    """Trigger of a run. A dispatch whose title names branch, batch, head and base is staging if the branch is main;
+    any other dispatch is unknown; other events stand for themselves."""
+    branch = F.regexp_extract(title, r"^bors branch=(\S+) batch=(\d+) head=([0-9a-f]{40}) base=([0-9a-f]{40})$", 1)
+    return (
+        F.when(event.isin("pull_request", "pull_request_target"), "pr").when(event == "merge_group", "merge_queue")
+        .when(event == "repository_dispatch", F.when(branch == "main", "bors_staging").otherwise("bors_unknown")).otherwise(event)
+    )
 
 
 def change_cohort(paths: Column, truncated: Column, dependency_files: Sequence[str]) -> Column:
@@ -133,24 +155,44 @@ def all_null_safe_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs], F.lit(True))
 
 
-# Ordered failure rules over log lines and step names.
+# Steps that build, ordered rules over their log lines, lines that prove nothing, and rules over other steps' names.
+BUILD_STEP = "Build exact candidate|lake build|^Build$"
 LOG_RULES = [
-    ("(?i)exit code 137|out of memory|killed", "process-killed"), ("(?i)timed out|timeout", "timeout"),
-    ("(?i)error: build failed|does not compile|type mismatch", "build-error"), ("(?i)test .*fail|assertion", "test-failure"),
-]
-STEP_RULES = [("(?i)build|compile", "build-unknown"), ("(?i)lint|format", "lint"), ("(?i)checkout|clone", "checkout")]
-NOISE = r"^\+ |(?i)\b0 failed\b|\bsucceeded\b"
+    (r"(?:^|\s)Killed(?:\s+timeout\b|\s*$)|\bLean exited with code 137\b", "process-killed"),
+    (r"\btimed out\b|\bexceeded .* (?:deadline|wall-clock limit)\b", "timeout"),
+    (r"failed to download artifact|Transferred a partial file", "infra-cache"),
+    (r"LINT-ENV: FAIL", "lint-env"),
+    (r"[Aa]xiom", "audit-axioms"),
+    (r"[Dd]uplicate declaration", "audit-duplicates"),
+    (r"module system|isModule", "audit-module-system"),
+    (r"ERR_[A-Z]+|style lint|lint-style", "lint-style"),
+    (r"\.lean:\d+:\d+: error|^error: .*\.lean", "lean-error"),
+]
+NOISE = r"^(?:✔(?:\s|$)|\+\+?\s)"
+STEP_RULES = [
+    ("^Report|^Post ", "infra-report"),
+    ("guard|Scope|shim|Attest|Validate the Lake-pin|Normalise|bump|Reject option", "policy"),
+    ("Dot-notation", "dot-notation"),
+    ("Build the trusted environment-lint driver|watchdog toolchain", "toolchain-incompat"),
+    ("Mathlib|Lake cache|oleans|Lake artifact|cache", "infra-cache"),
+    ("Install|Raise vm|Checkout|Set up|Resolve PR head", "infra-setup"),
+]
 
 
 def failure_class(conclusion: Column, step: Column, lines: Column) -> Column:
-    """Class of a failed job: conclusion rules, then log rules over lines without noise, then step rules.
+    """Class of a failed job: by its conclusion, then for a building step by its log lines, else by the step's name.
 
-    No log (null) leaves the step rules; an empty log differs from none only in ending as no-evidence."""
+    A building step without any log (null) is build-unknown; with a log that tells nothing it is lean-error."""
     told = F.filter(lines, lambda x: ~x.rlike(NOISE))
-    by_log = reduce(lambda acc, rule: acc.when(_any(told, rule[0]), rule[1]), LOG_RULES[1:], F.when(_any(told, LOG_RULES[0][0]), LOG_RULES[0][1]))
-    by_step = first_match(step, STEP_RULES)
-    rest = F.when(lines.isNull(), F.coalesce(by_step, F.lit("unknown"))).otherwise(F.coalesce(by_step, F.lit("no-evidence")))
-    return F.when(conclusion.isin("success", "skipped"), None).when(conclusion == "cancelled", "cancelled").when(conclusion == "timed_out", "timeout").otherwise(F.coalesce(by_log.otherwise(None), rest))
+    by_log = F.lit(None).cast("string")
+    for pattern, label in reversed(LOG_RULES):
+        by_log = F.when(_any(told, pattern), label).otherwise(by_log)
+    built = F.coalesce(by_log, F.when(lines.isNull(), "build-unknown").otherwise("lean-error"))
+    nothing = conclusion.isNull() | conclusion.isin("", "success", "skipped", "neutral")
+    return (
+        F.when(nothing, None).when(conclusion == "cancelled", "cancelled").when(conclusion == "timed_out", "timeout")
+        .when(step.rlike(BUILD_STEP), built).otherwise(first_match(step, STEP_RULES, "other"))
+    )
 
 
 def _any(lines: Column, pattern: str) -> Column:

@@ -62,29 +62,29 @@ def normalize_jobs(spark, d):
 
 
 _TITLE = "case when id % 2 = 0 then 'bors branch=main batch=' || id || ' head=' || sha1(id::varchar) || ' base=' || sha1('b' || id) else 'manual ' || id end"
-_EVENT = "case kind when 'click' then 'pull_request' when 'view' then 'push' when 'purchase' then 'merge_group' when 'error' then 'workflow_dispatch' else 'schedule' end"
+_EVENT = "case kind when 'click' then 'pull_request' when 'view' then 'push' when 'purchase' then 'merge_group' when 'error' then 'repository_dispatch' else 'schedule' end"
 
 
 def titled(spark, d):
     title = F.when(F.col("id") % 2 == 0, F.concat(F.lit("bors branch=main batch="), "id", F.lit(" head="), F.sha1(F.col("id").cast("string").cast("binary")), F.lit(" base="), F.sha1(F.concat(F.lit("b"), "id").cast("binary")))).otherwise(F.concat(F.lit("manual "), "id"))
-    event = F.when(F.col("kind") == "click", "pull_request").when(F.col("kind") == "view", "push").when(F.col("kind") == "purchase", "merge_group").when(F.col("kind") == "error", "workflow_dispatch").otherwise("schedule")
+    event = F.when(F.col("kind") == "click", "pull_request").when(F.col("kind") == "view", "push").when(F.col("kind") == "purchase", "merge_group").when(F.col("kind") == "error", "repository_dispatch").otherwise("schedule")
     return jobs(spark, d).select("id", "kind", title.alias("title"), event.alias("event"))
 
 
-@query(f"select id, case {_EVENT} when 'pull_request' then 'pull' when 'push' then 'push' when 'merge_group' then 'merge' when 'workflow_dispatch' then case when id % 2 = 0 then 'staging' else 'unknown' end else 'other' end as trigger from jobs")
+@query(f"select id, case {_EVENT} when 'pull_request' then 'pr' when 'push' then 'push' when 'merge_group' then 'merge_queue' when 'repository_dispatch' then case when id % 2 = 0 then 'bors_staging' else 'bors_unknown' end else 'schedule' end as trigger from jobs")
 def derive_trigger(spark, d):
     return titled(spark, d).select("id", C.derive_trigger(F.col("event"), F.col("title")).alias("trigger"))
 
 
 @query(f"select id, case when kind = 'error' and id % 2 = 0 then sha1(id::varchar) end as head, case when kind = 'error' and id % 2 = 0 then id end as batch from jobs")
 def batch_identity(spark, d):
-    ok = (F.col("event") == "workflow_dispatch") & F.col("title").rlike("head=[0-9a-f]{40}( |$)")
+    ok = (F.col("event") == "repository_dispatch") & F.col("title").rlike("head=[0-9a-f]{40}( |$)")
     return titled(spark, d).select("id", F.when(ok, F.regexp_extract("title", "head=([0-9a-f]{40})", 1)).alias("head"), F.when(ok, F.regexp_extract("title", "batch=([0-9]+)", 1).cast("long")).alias("batch"))
 
 
-@query("select id, case id % 5 when 0 then 'unknown' when 1 then 'self-hosted' when 2 then 'namespace' when 3 then 'github' else 'unknown' end as kind from jobs")
+@query("select id, case id % 5 when 0 then 'unknown' when 1 then 'self-hosted' when 2 then 'namespace' when 3 then 'github' else 'self-hosted' end as kind from jobs")
 def runner_kind(spark, d):
-    labels = F.when(F.col("id") % 5 == 1, F.array(F.lit("linux"), F.lit("self-hosted"))).when(F.col("id") % 5 == 2, F.array(F.lit("namespace-16x32"))).when(F.col("id") % 5 == 3, F.array(F.lit("ubuntu-24.04"))).when(F.col("id") % 5 == 4, F.array(F.lit("custom")))
+    labels = F.when(F.col("id") % 5 == 1, F.array(F.lit("linux"), F.lit("self-hosted"))).when(F.col("id") % 5 == 2, F.array(F.lit("nscloud-16x32"))).when(F.col("id") % 5 == 3, F.array(F.lit("ubuntu-24.04"))).when(F.col("id") % 5 == 4, F.array(F.lit("custom")))
     return jobs(spark, d).select("id", C.runner_kind(labels).alias("kind"))
 
 
@@ -95,15 +95,11 @@ def host_alias(spark, d):
     return J.unique_lookup(rows, "id", "labels", dim, "label", "alias").select("id", "alias")
 
 
-_NAME = "case id % 4 when 0 then 'Build all' when 1 then 'bors queue' when 2 then 'nightly clean' else 'docs' end"
-_TRIG = "case run % 3 when 0 then 'pull' when 1 then 'staging' else 'push' end"
-
-
-@query(f"select id, case when id % 4 = 0 then case run % 3 when 0 then 'pr_build' when 1 then 'staging_build' else 'other_build' end when id % 4 = 1 then 'control' when id % 4 = 2 then 'maintenance' else 'other' end as class from jobs")
+@query("select id, case when id % 4 = 0 then case run % 3 when 0 then 'pr_build' when 1 then 'staging_build' else 'other_build' end when id % 4 = 1 then 'control' when id % 4 = 2 then 'maintenance' else 'other' end as class from jobs")
 def job_class(spark, d):
-    name = F.when(F.col("id") % 4 == 0, "Build all").when(F.col("id") % 4 == 1, "bors queue").when(F.col("id") % 4 == 2, "nightly clean").otherwise("docs")
-    trigger = F.when(F.col("run") % 3 == 0, "pull").when(F.col("run") % 3 == 1, "staging").otherwise("push")
-    return jobs(spark, d).select("id", C.job_class(name, trigger).alias("class"))
+    trigger = F.when(F.col("run") % 3 == 0, "pr").when(F.col("run") % 3 == 1, "bors_staging").otherwise("push")
+    k = F.col("id") % 4
+    return jobs(spark, d).select("id", C.job_class(k == 0, trigger, k == 1, k == 2).alias("class"))
 
 
 @query("select doc_id, left(regexp_replace(text, '[\\x00-\\x1f]', ' ', 'g'), 80) as title from documents")
@@ -111,35 +107,51 @@ def public_projection(spark, d):
     return read(spark, d, "documents").select("doc_id", F.left(F.regexp_replace("text", r"[\x00-\x1f]", " "), F.lit(80)).alias("title"))
 
 
-@query("select run, n, case n when 1 then 'checkout' when 2 then 'cache' when 3 then 'setup' when 4 then 'lint' when 5 then 'build' else 'other' end as phase from steps")
+@query("select run, n, case n when 1 then 'setup and checks' when 2 then 'Mathlib cache' when 3 then 'Lake cache' when 4 then 'lint preparation' when 5 then 'build, audits, lints' when 6 then 'reporting' else 'setup and checks' end as phase, case n when 1 then 'build' when 2 then 'audits' when 3 then 'lints' end as telemetry from steps")
 def step_phase(spark, d):
-    names = F.create_map(*[F.lit(x) for kv in {1: "Checkout code", 2: "Restore cache", 3: "Set up toolchain", 4: "Lint", 5: "cargo build"}.items() for x in kv])
-    return steps(spark, d).select("run", "n", C.step_phase(F.coalesce(F.element_at(names, F.col("n")), F.lit("upload"))).alias("phase"))
+    names = F.create_map(*[F.lit(x) for kv in {1: "Checkout", 2: "Fetch Mathlib", 3: "Restore Lake archive", 4: "Dot-notation lint", 5: "Build exact candidate", 6: "Post cache"}.items() for x in kv])
+    phases = F.create_map(*[F.lit(x) for kv in {1: "stage-cache", 2: "audit-axioms", 3: "lint-env", 4: "other"}.items() for x in kv])
+    return steps(spark, d).select("run", "n", C.step_phase(F.coalesce(F.try_element_at(names, F.col("n")), F.lit("Lint"))).alias("phase"), C.telemetry_group(F.try_element_at(phases, F.col("n"))).alias("telemetry"))
 
 
-@query(f"select id, case when id % 4 <> 0 then 'aux/' || kind when run % 3 = 1 then 'merge/' || kind else 'pr/' || kind end as series from jobs")
+@query("""select id, case when id % 5 = 1 then case when id % 4 <> 0 then 'gh-other' when run % 3 = 0 then 'gh-build-pr' else 'gh-build-other' end when id % 5 = 2 then 'self-hosted' when id % 5 = 3 then 'rack-' || run % 2
+    when run % 3 = 1 then 'ns-mq' when run % 3 = 0 then 'ns-pr' else 'ns-other' end as series from jobs""")
 def series_key(spark, d):
-    trigger = F.when(F.col("run") % 3 == 1, "staging").otherwise("pull")
-    return jobs(spark, d).select("id", C.series_key(F.col("kind"), trigger, F.col("id") % 4 == 0).alias("series"))
+    trigger = F.when(F.col("run") % 3 == 0, "pr").when(F.col("run") % 3 == 1, "bors_staging").otherwise("push")
+    k = F.col("id") % 5
+    kind = F.when(k == 1, "github").when(k == 2, "self-hosted").when(k == 3, F.concat(F.lit("rack-"), F.col("run") % 2)).when(k == 4, "namespace").otherwise("unknown")
+    return jobs(spark, d).select("id", C.series_key(kind, trigger, F.col("id") % 4 == 0).alias("series"))
+
+
+_TAILS = {0: " error: Lean exited with code 137", 1: " operation timed out", 2: " LINT-ENV: FAIL", 3: " uses Axiom x", 4: " ERR_LIN"}
+_STEPS = {0: "Build exact candidate", 1: "Build", 2: "Report", 3: "Checkout", 4: "Restore cache", 5: "Reject option overrides"}
+_ENDS = {0: "success", 1: "cancelled", 2: "timed_out", 3: "neutral"}
+
+
+def _case(of, labels, rest):
+    out = F.lit(rest)
+    for k, label in labels.items():
+        out = F.when(of == k, label).otherwise(out)
+    return out
 
 
-_LINES = "list_transform(string_split(text, chr(10)), lambda x: x || case doc_id % 6 when 0 then ' exit code 137' when 1 then ' Timed out' when 2 then ' error: build failed' when 3 then ' test a fail' else '' end)"
+def _sql_case(of: str, labels: dict, rest: str) -> str:
+    return f"case {of} " + " ".join(f"when {k} then '{v}'" for k, v in labels.items()) + f" else '{rest}' end"
 
 
 def logs(spark, d):
-    tail = F.when(F.col("doc_id") % 6 == 0, " exit code 137").when(F.col("doc_id") % 6 == 1, " Timed out").when(F.col("doc_id") % 6 == 2, " error: build failed").when(F.col("doc_id") % 6 == 3, " test a fail").otherwise("")
-    lines = F.when(F.col("doc_id") % 7 != 0, F.transform(F.split("text", "\n"), lambda x: F.concat(x, tail)))
-    step = F.when(F.col("doc_id") % 5 == 0, "Build").when(F.col("doc_id") % 5 == 1, "Lint").otherwise("Upload")
-    conclusion = F.when(F.col("doc_id") % 11 == 0, "success").when(F.col("doc_id") % 11 == 1, "cancelled").when(F.col("doc_id") % 11 == 2, "timed_out").otherwise("failure")
-    return read(spark, d, "documents").select("doc_id", lines.alias("lines"), step.alias("step"), conclusion.alias("conclusion"))
-
-
-_FAILURE = f"""f as (select doc_id, case when doc_id % 7 <> 0 then list_filter({_LINES}, lambda x: not regexp_matches(x, '^\\+ |(?i)\\b0 failed\\b|\\bsucceeded\\b')) end as told, doc_id % 7 = 0 as bare, case doc_id % 5 when 0 then 'build-unknown' when 1 then 'lint' end as by_step,
-    case doc_id % 11 when 0 then 'success' when 1 then 'cancelled' when 2 then 'timed_out' else 'failure' end as conclusion from documents),
-    c as (select doc_id, case when conclusion = 'success' then null when conclusion = 'cancelled' then 'cancelled' when conclusion = 'timed_out' then 'timeout'
-      when len(list_filter(told, lambda x: regexp_matches(x, '(?i)exit code 137|out of memory|killed'))) > 0 then 'process-killed' when len(list_filter(told, lambda x: regexp_matches(x, '(?i)timed out|timeout'))) > 0 then 'timeout'
-      when len(list_filter(told, lambda x: regexp_matches(x, '(?i)error: build failed|does not compile|type mismatch'))) > 0 then 'build-error' when len(list_filter(told, lambda x: regexp_matches(x, '(?i)test .*fail|assertion'))) > 0 then 'test-failure'
-      else coalesce(by_step, case when bare then 'unknown' else 'no-evidence' end) end as class from f)"""
+    """Documents as logs: each line gets a telling end, every seventh log is missing, every ninth only has noise."""
+    i = F.col("doc_id")
+    body = F.transform(F.split("text", "\n"), lambda x: F.concat(F.when(i % 9 == 0, "+ ").otherwise("> "), x, _case(i % 6, _TAILS, "")))
+    return read(spark, d, "documents").select("doc_id", F.when(i % 7 != 0, body).alias("lines"), _case(i % 8, _STEPS, "Lint").alias("step"), _case(i % 11, _ENDS, "failure").alias("conclusion"))
+
+
+_FAILURE = f"""f as (select doc_id, case when doc_id % 7 <> 0 then list_filter(list_transform(string_split(text, chr(10)), lambda x: case when doc_id % 9 = 0 then '+ ' else '> ' end || x || {_sql_case('doc_id % 6', _TAILS, '')}), lambda x: not regexp_matches(x, '^(?:✔(?:\\s|$)|\\+\\+?\\s)')) end as told,
+      {_sql_case('doc_id % 8', _STEPS, 'Lint')} as step, {_sql_case('doc_id % 11', _ENDS, 'failure')} as conclusion from documents),
+    c as (select doc_id, case when conclusion in ('success', 'neutral') then null when conclusion = 'cancelled' then 'cancelled' when conclusion = 'timed_out' then 'timeout'
+      when step in ('Build exact candidate', 'Build') then case when doc_id % 7 = 0 then 'build-unknown'
+        {" ".join(f"when len(list_filter(told, lambda x: regexp_matches(x, '{p}'))) > 0 then '{label}'" for p, label in C.LOG_RULES)} else 'lean-error' end
+      when step = 'Report' then 'infra-report' when step = 'Checkout' then 'infra-setup' when step = 'Restore cache' then 'infra-cache' when step = 'Reject option overrides' then 'policy' else 'other' end as class from f)"""
 
 
 @query(f"with {_FAILURE} select doc_id, class from c")
