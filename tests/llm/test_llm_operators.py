@@ -121,6 +121,17 @@ def test_boilerplate_counts_copies_of_a_page_once(spark):
     assert lines.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_boilerplate_on_a_few_per_cent_of_a_site_goes(spark):
+    """Of 400 pages: a menu on all, section lines on 5, 4 and 2.5 %, and lines on 1.5 % (6 pages) and 1 page, which stay."""
+    planted = {"menu": 400, "section a": 20, "section b": 16, "section c": 10, "said by a few": 6}
+    rows = [(i, "\n".join([*(x for x, n in planted.items() if i < n), f"body {i}"]), "site") for i in range(400)]
+    rows += [(1000 + i, f"section a\nother {i}" if i < 4 else f"other {i}", "small") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.drop_boilerplate(df).collect()}
+    want = {i: (f"said by a few\nbody {i}" if i < 6 else f"body {i}", sum(i < n for x, n in planted.items() if x != "said by a few")) for i in range(400)}
+    assert got == want | {i: (text, 0) for i, text, _ in rows[400:]}
+
+
 def test_salted_lookup_gives_the_same(spark, docs, monkeypatch):
     from chronotally.llm import common
 
