@@ -43,13 +43,14 @@ def pit_feature_join(left: DataFrame, features: DataFrame, keys: Sequence[str],
     return found.unionByName(missing, allowMissingColumns=True)
 
 
-def interval_overlap_join(intervals: DataFrame, windows: DataFrame, start: str, end: str, lo: str, hi: str, slot: int) -> DataFrame:
-    """Pairs of intervals and windows that overlap, with ``overlap``. Both sides are cut into slots of time and joined on
-    the slot, so the join is an equi-join; a pair counts in the first slot that both touch."""
+def interval_overlap_join(intervals: DataFrame, windows: DataFrame, start: str, end: str, lo: str, hi: str, slot: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Pairs of intervals and windows that overlap, with ``overlap``; with ``keys``, columns of both sides, pairs of one key
+    only. Both sides are cut into slots of time and joined on the keys and the slot, so the join is an equi-join; a pair
+    counts in the first slot that both touch. A null key has no pairs."""
     slots = lambda x, y: F.explode(F.sequence(F.floor(F.col(x) / slot), F.floor((F.col(y) - 1) / slot)))
     a = intervals.where(F.col(end) > F.col(start)).withColumn("_slot", slots(start, end))
     b = windows.where(F.col(hi) > F.col(lo)).withColumn("_slot", slots(lo, hi))
-    pairs = a.join(b, "_slot").where((F.col(start) < F.col(hi)) & (F.col(end) > F.col(lo)))
+    pairs = a.join(b, [*keys, "_slot"]).where((F.col(start) < F.col(hi)) & (F.col(end) > F.col(lo)))
     pairs = pairs.where(F.col("_slot") == F.floor(F.greatest(F.col(start), F.col(lo)) / slot)).drop("_slot")
     return pairs.withColumn("overlap", F.least(F.col(end), F.col(hi)) - F.greatest(F.col(start), F.col(lo)))
 

@@ -49,14 +49,23 @@ def capture_coverage(spark, d):
 _SEG = f"""s as (select run, kind, a, id, lag(kind) over w as p from jobs window w as (partition by run order by a, id)), seg as (select run, kind, a as lo, coalesce(lead(a) over (partition by run order by a, id), {CLOCK}) as hi from s where p is null or p <> kind)"""
 
 
-@query(f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo where seg.run < 40 group by all""")
-def settings_windows(spark, d):
-    rows = jobs(spark, d).where("run < 40")
+def _settings_windows(rows):
     seg = S.change_segments(rows, ["run"], ["a", "id"], ["kind"], "a").select("run", "kind", F.col("seg_start").alias("lo"), F.coalesce("seg_end", F.lit(CLOCK)).alias("hi"))
-    pairs = J.interval_overlap_join(rows.select(F.col("run").alias("r"), "id", "a", "b"), seg, "a", "b", "lo", "hi", 6 * HOUR).where("r = run")
+    pairs = J.interval_overlap_join(rows.select("run", "id", "a", "b"), seg, "a", "b", "lo", "hi", 6 * HOUR, ["run"])
     return pairs.groupBy("run", "kind", "lo", "hi").agg(F.count("id").alias("n"), F.sum("overlap").alias("busy"))
 
 
+@query(f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo where seg.run < 40 group by all""")
+def settings_windows(spark, d):
+    """A sample: runs under 40. settings_windows_all has every run."""
+    return _settings_windows(jobs(spark, d).where("run < 40"))
+
+
+@query(f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo and hi > lo group by all""")
+def settings_windows_all(spark, d):
+    return _settings_windows(jobs(spark, d))
+
+
 @query(f"""with p as (select min(a) as t0 from jobs), x as (select t0, unnest([0, 1, 2, 3]) as k from p), w as (select k, t0 + k * {DAY} as lo, t0 + k * {DAY} + (k + 1) * {6 * HOUR} as hi from x),
     j as (select k, value, a, row_number() over (partition by k order by value) as r, count(*) over (partition by k) as n from w join jobs on a >= lo and a < hi)
     select k as phase, count(*) as arrivals, cast(max(a) - min(a) as bigint) as spread, max(case when r = least(n, cast(floor(0.5::double * n) as bigint) + 1) then value end) as median, max(case when r = least(n, cast(floor(0.95::double * n) as bigint) + 1) then value end) as p95 from j group by k""")
