@@ -75,13 +75,21 @@ def dense_grid(df: DataFrame, bucket: str, step: int, n: int, clock: int, values
     return grid.join(df.select(bucket, *values), bucket, "left")
 
 
-def uncovered_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, lo: int, hi: int) -> DataFrame:
-    """Parts of [lo, hi) that no interval of the key covers."""
+def uncovered_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, lo: int, hi: int, slice_: int = 3_600_000_000) -> DataFrame:
+    """Parts of [lo, hi) that no interval of the key covers. Keys are cut into time slices of ``slice_``, each of which
+    starts from the largest end of the slices before it, so that a hot key is spread over many tasks."""
     inside = df.where((F.col(end) > lo) & (F.col(start) < hi) & (F.col(end) > F.col(start)))
     inside = inside.select(*keys, F.greatest(F.col(start), F.lit(lo)).alias("a"), F.least(F.col(end), F.lit(hi)).alias("b"))
     edge = df.select(*keys).distinct().withColumns({"a": F.lit(hi), "b": F.lit(hi)})
-    before = F.max("b").over(Window.partitionBy(*keys).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1))
-    rows = inside.unionByName(edge).withColumn("gap_start", F.coalesce(before, F.lit(lo)))
+    rows = inside.unionByName(edge).withColumn("_s", F.floor((F.col("a") - F.lit(lo)) / slice_))
+    before = F.max("b").over(Window.partitionBy(*keys, "_s").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1))
+    slices = rows.groupBy(*keys, "_s").agg(F.max("b").alias("_tail"))  # one row per key and slice
+    carry = F.max("_tail").over(Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
+    slices = slices.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_s").alias("_k"), carry.alias("_carry"))
+    same = F.col("_s") == F.col("_k")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = rows.withColumn("_before", before).join(slices, same).withColumn("gap_start", F.greatest("_before", "_carry", F.lit(lo)))
     return rows.where("a > gap_start").select(*keys, "gap_start", F.col("a").alias("gap_end"))
 
 

@@ -106,10 +106,20 @@ def main_landings(spark, d):
     return N.ancestor_landings(r.select("scope", "sha"), parents, pushes, "scope")
 
 
+def _post_merge_attribution(rows):
+    one = F.when(F.count_distinct("workflow") == 1, F.min("workflow"))
+    return rows.groupBy("head").agg(one.alias("engine"), F.count("*").alias("n"))
+
+
 @query("select head, case when count(distinct workflow) = 1 then min(workflow) end as engine, count(*) as n from runs where run % 4 = 0 group by head")
 def post_merge_attribution(spark, d):
-    one = F.when(F.count_distinct("workflow") == 1, F.min("workflow"))
-    return runs(spark, d).where("run % 4 = 0").groupBy("head").agg(one.alias("engine"), F.count("*").alias("n"))
+    """A sample: every fourth run. post_merge_attribution_all has all."""
+    return _post_merge_attribution(runs(spark, d).where("run % 4 = 0"))
+
+
+@query("select head, case when count(distinct workflow) = 1 then min(workflow) end as engine, count(*) as n from runs group by head")
+def post_merge_attribution_all(spark, d):
+    return _post_merge_attribution(runs(spark, d))
 
 
 @query("""with recursive n as (select conv_id as scope, turn, conv_id * 1000 + turn as id, turn % 5 = 3 as failed from (select distinct conv_id, turn from conversations)),
@@ -178,9 +188,16 @@ def clock_inversions(spark, d):
 @query(f"""with c as (select run, a, value from jobs where run < 20), g as (select distinct run, unnest(range({LO}, {LO + 3 * DAY} + 1, {10 * MINUTE})) as tick from c)
     select run, tick, (select max_by(value, (a, value)) from c where c.run = g.run and c.a <= tick) as value from g""")
 def minute_samples(spark, d):
+    """A sample: runs under 20 and three days. minute_samples_all has all."""
     return N.minute_samples(jobs(spark, d).where("run < 20"), ["run"], "a", "value", LO, LO + 3 * DAY, 10 * MINUTE)
 
 
+@query(f"""with c as (select run, a, max(value) as value from jobs where value is not null group by all), g as (select distinct run, unnest(range({LO}, {LO + 30 * DAY} + 1, {10 * MINUTE})) as tick from jobs)
+    select g.run, g.tick, c.value from g asof left join c on c.run = g.run and c.a <= g.tick""")
+def minute_samples_all(spark, d):
+    return N.minute_samples(jobs(spark, d), ["run"], "a", "value", LO, LO + 30 * DAY, 10 * MINUTE)
+
+
 @query("""with g as (select run, min(n) as lo, max(n) as hi, count(*) as c, count(distinct n) as dn from steps group by run)
     select run, 'start' as violation from g where lo <> 1 union all select run, 'hole' from g where hi - lo + 1 <> dn union all select run, 'duplicate' from g where c <> dn""")
 def journal_checks(spark, d):

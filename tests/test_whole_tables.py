@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from chronotally.operators import intervals as I
 from chronotally.operators import joins as J
 from chronotally.plans import catalog
 from test_queries import rows_of
@@ -50,3 +51,39 @@ def test_overlap_join_pairs_within_keys(spark):
     w = spark.createDataFrame([*right, (None, 99, 0, 300)], "k string, j long, lo long, hi long")
     got = sorted((r["k"], r["i"], r["j"], r["overlap"]) for r in J.interval_overlap_join(a, w, "a", "b", "lo", "hi", 25, ["k"]).collect())
     assert got == sorted((k, i, j, min(b, hi) - max(x, lo)) for k, i, x, b in left for m, j, lo, hi in right if k == m and min(b, hi) > max(x, lo))
+
+
+def test_minute_samples_of_all_runs_and_days(spark, events):
+    rows = same_as_sql(spark, events, "minute_samples_all")
+    assert len(rows) == 80 * (30 * 144 + 1)
+    assert {r["run"] for r in rows if r["value"] is not None and r["tick"] > LO + 3 * DAY} == set(range(80))
+    changes = [tuple(r) for r in spark.read.parquet(f"{events[0]}/events.parquet").where("user_id = 50").select(F.unix_micros("ts"), "value").collect()]
+    want = {t: max(((a, v) for a, v in changes if a <= t), default=(0, None))[1] for t in range(LO, LO + 30 * DAY + 1, 600_000_000)}
+    assert {r["tick"]: r["value"] for r in rows if r["run"] == 50} == want
+
+
+def test_uncovered_intervals_of_all_runs(spark, events):
+    assert same_as_sql(spark, events, "uncovered_intervals_all")
+
+
+def test_uncovered_intervals_over_slices(spark):
+    """Gaps against brute force, with intervals over several slices, nested ones, empty ones, a null key and a key without any."""
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", None]), a, a + rng.choice([0, 1, 3, 3, 40])) for a in (rng.randrange(-20, 420) for _ in range(90))] + [("none", 5, 5), ("ends", 390, 900), ("ends", -9, 10)]
+    df = spark.createDataFrame(rows, "k string, a long, b long")
+    want = set()
+    for k in {k for k, _, _ in rows}:
+        free = [t for t in range(400) if not any(m == k and a <= t < b for m, a, b in rows)]
+        want |= {(k, t, next(u for u in range(t, 401) if u not in free)) for t in free if t - 1 not in free}
+    for width in (1, 30, 1000):
+        found = I.uncovered_intervals(df, ["k"], "a", "b", 0, 400, width)
+        assert sorted(map(str, found.collect())) == sorted(map(str, found.sparkSession.createDataFrame(list(want), found.schema).collect()))
+
+
+def test_post_merge_attribution_of_all_runs(spark, tmp_path):
+    """Two runs of a head, the second of which every fourth run leaves out."""
+    rows = [(4, 1, "F", 1.0, "1-URGENT"), (1001, 2, "O", 1.0, "2-HIGH"), (5, 1, "F", 1.0, "5-LOW"), (7, 1, "F", 1.0, "5-LOW")]
+    df = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    df.withColumn("o_orderdate", F.to_timestamp(F.lit("2024-01-01"))).write.parquet(f"{tmp_path}/orders.parquet")
+    got = catalog.queries()["post_merge_attribution_all"](spark, str(tmp_path)).collect()
+    assert sorted((r["head"], r["engine"], r["n"]) for r in got) == [(4, None, 2), (5, "5-LOW", 1), (7, "5-LOW", 1)]
