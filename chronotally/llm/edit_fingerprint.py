@@ -11,6 +11,7 @@ verification compares whole fingerprints.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronotally.llm import buckets
 from chronotally.llm.common import arrow_rows, checkpointed, connected_components
 
 SAMPLES = 64
@@ -30,6 +32,9 @@ CLASSES = 256  # characters are hashed to classes
 STEPS = 3
 BANDS, BAND_PLACES = 16, 10
 LIKENESS = 0.8
+LADDER = np.array([1, *range(2, 32, 2), *range(32, 64 * 32, 16)])  # numbers of sampled steps that bands are drawn for
+BLOCK_ROWS = 2000  # fingerprints of a bucket that are compared with as many in one task
+PAIRS = 8000  # compared at a time
 
 
 class Walk:
@@ -88,26 +93,43 @@ class Walk:
         share = float((both * agree).sum()) / max(na, nb)
         return min(1.0, max(0.0, (share - 1 / 16) / (15 / 16)))
 
-    def bands(self, fingerprint: str) -> list[bytes]:
-        """Bit-sampled bands: the digits at BAND_PLACES shared random places among those that the walk reaches.
-
-        Places are drawn per number of sampled steps in multiples of 16, and a band is keyed by that number; each
-        text also has the bands of the next smaller number, so that lengths a little apart still meet."""
+    def likenesses(self, digits: np.ndarray, sizes: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """likeness() of the pairs (p, q) of rows of a matrix of digits, of which each row has sizes[row], at least one."""
+        least, columns = np.minimum(sizes[p], sizes[q]), np.arange(digits.shape[1])
+        octaves = int(np.searchsorted(self.starts, digits.shape[1]))
+        starts, ends, lows = self.starts[:octaves], np.minimum(self.starts[1 : octaves + 1], digits.shape[1]), self.lows[:octaves]
+        same = (digits[p] == digits[q]) & (columns < least[:, None])
+        counted = np.clip(np.minimum(ends, least[:, None]) - starts, 1, None)
+        agree = np.add.reduceat(same, starts, axis=1, dtype=np.float64) / counted
+        na, nb = self.sampled[sizes[p] - 1] + 1, self.sampled[sizes[q] - 1] + 1
+        both = np.clip(np.minimum(na, nb)[:, None] - lows, 0, self.widths[:octaves])
+        share = (both * agree).sum(axis=1) / np.maximum(na, nb)
+        return np.clip((share - 1 / 16) / (15 / 16), 0.0, 1.0)
+
+    @functools.cache  # noqa: B019  one walk a process
+    def levels(self, size: int, least: float) -> list[int]:
+        """Steps of LADDER that a fingerprint of ``size`` digits has bands for: from that of the shortest fingerprint which can
+        be ``least`` like it to its own. Of two that can, the longer one so has the bands of the shorter one's own step."""
+        if not size:
+            return []
+        shortest = 1 + int(np.searchsorted(self.sampled + 1, (least * 15 / 16 + 1 / 16) * (self.sampled[size - 1] + 1) - 1e-6))
+        low, high = np.searchsorted(LADDER, [shortest, size], "right") - 1
+        return LADDER[low : high + 1].tolist()
+
+    @functools.cache  # noqa: B019
+    def places(self, n: int) -> np.ndarray:
+        """BANDS x BAND_PLACES shared random places of the first n, each drawn by the steps it stands for, as likeness weighs them."""
+        counts = np.diff(self.starts)
+        weight = np.repeat(self.widths / counts, counts)[:n]
+        return np.random.Generator(np.random.PCG64([11, n])).choice(n, (BANDS, BAND_PLACES), p=weight / weight.sum())
+
+    def bands(self, fingerprint: str, least: float = LIKENESS) -> list[bytes]:
+        """Bit-sampled bands: the digits at BAND_PLACES shared random places among the first n, for each n of levels()."""
         digits = np.frombuffer(fingerprint.encode(), np.uint8)
-        size = len(digits) // 16 * 16
-        out = []
-        for n in {size, size - 16}:
-            if n > 0:
-                rows = digits[_places(n)]
-                out += [b"%d:%d:%s" % (n, k, row.tobytes()) for k, row in enumerate(rows)]
+        out = [b"%d:%d:%s" % (n, k, row.tobytes()) for n in self.levels(len(digits), least) for k, row in enumerate(digits[self.places(n)])]
         return out or [b"0:0:" + digits.tobytes()]
 
 
-@functools.cache
-def _places(n: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64([11, n])).integers(0, n, (BANDS, BAND_PLACES))
-
-
 _walk: list[Walk] = []
 
 
@@ -135,10 +157,13 @@ def shared_bands(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(set(w.bands(x)) & set(w.bands(y))) for x, y in zip(a, b, strict=True)], dtype="int64")
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def band_keys(a: pd.Series) -> pd.Series:
-    w = walk()
-    return pd.Series([[xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(f)] for f in a], dtype=object)
+def band_keys(f: Column, least: float) -> Column:
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(a: pd.Series) -> pd.Series:
+        w = walk()
+        return pd.Series([[xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(f, least)] for f in a], dtype=object)
+
+    return keys(f)
 
 
 def with_next(rows: DataFrame, columns: list[str], *, rows_in_part: int = 4000, most_parts: int = 20_000) -> DataFrame:
@@ -202,16 +227,40 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
+def _like(unit: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Spanning forest of each bucket's members that are alike: (a, b)."""
+    unit = unit.drop_duplicates(["band", "rep"]).sort_values(["band", "rep"])
+    band, rep, side = unit["band"].to_numpy(np.int64), unit["rep"].to_numpy(np.int64), unit["side"].to_numpy()
+    sizes = unit["f"].str.len().to_numpy(np.int64)
+    digits = np.frombuffer("".join(unit["f"].str.ljust(int(sizes.max()))).encode(), np.uint8).reshape(len(unit), -1)
+    some = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for p, q in buckets.pairs(band, side, unit["i"].iat[0] != unit["j"].iat[0], PAIRS):
+        if len(p):
+            near = walk().likenesses(digits, sizes, p, q) >= least
+            some.append((p[near], q[near]))
+    p, q = (np.concatenate(x) for x in zip(*some, strict=True))
+    root = buckets.forest(len(unit), p, q)
+    joined = root != np.arange(len(unit))
+    return pd.DataFrame({"a": rep[joined], "b": rep[root[joined]]})
+
+
 def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     """Groups of texts with like fingerprints: doc_id, group_id (smallest doc_id of the group), for groups of two or more.
 
-    Bands of sampled digits gather candidates; each bucket's members are verified against its smallest doc_id, whose
-    fingerprint alone is kept per bucket, so a bucket of any size is compared in linear work. Texts of fewer than
-    16 sampled steps meet only if equal."""
-    found = checkpointed(docs.where("doc_id is not null").select("doc_id", fingerprint(F.coalesce("text", F.lit(""))).alias("f")))
-    banded = found.select("doc_id", "f", F.explode(F.array_distinct(band_keys("f"))).alias("band"))
-    heads = banded.groupBy("band").agg(F.min(F.struct("doc_id", "f")).alias("h"), F.count("*").alias("n")).where("n > 1")
-    pairs = banded.join(heads.select("band", "h"), "band").where("doc_id <> h.doc_id").select("doc_id", "f", F.col("h.doc_id").alias("head"), F.col("h.f").alias("hf")).distinct()
-    edges = pairs.where(likeness("f", "hf") >= least).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    groups = connected_components(edges)
+    Equal fingerprints are one class. Bands of sampled digits gather candidate classes, and all pairs of a bucket are
+    verified, a large bucket in blocks of BLOCK_ROWS that are spread over tasks: work is quadratic in a group of
+    different near copies, and only spanning forests leave a task."""
+    found = checkpointed(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.coalesce("text", F.lit(""))).alias("f")))
+    classes = checkpointed(found.groupBy("f").agg(F.min("doc_id").alias("rep")))
+    same = found.join(classes, "f").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    banded = classes.where("f <> ''").select("rep", F.explode(F.array_distinct(band_keys(F.col("f"), least))).alias("band"))
+    full = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    rows = banded.join(full.select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "band")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bundles = max(1, math.ceil(classes.count() / 256))
+    unit = F.when(F.col("blocks") == 1, F.pmod("band", F.lit(bundles))).otherwise(F.col("band"))
+    rows = rows.select("rep", "band", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    rows = rows.join(classes, "rep")
+    alike = rows.groupBy("crowded", "unit", "i", "j").applyInPandas(lambda unit: _like(unit, least), "a long, b long")
+    groups = connected_components(alike.unionByName(same))
     return groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))

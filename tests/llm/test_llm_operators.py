@@ -247,6 +247,42 @@ def test_fingerprint_groups(spark):
     assert groups == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5}
 
 
+def test_fingerprint_groups_match_brute_force(spark, monkeypatch):
+    """Texts of one template at a likeness of about 0.7 with near copies of some, and copies cut to 0.83 to 0.87 of the length."""
+    rng, walk = random.Random(4), edit_fingerprint.walk()
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    template, texts = [word() for _ in range(80)], []
+    for _ in range(120):
+        words = [word() if rng.random() < 0.12 else w for w in template]
+        texts += [" ".join(words), " ".join([*words[:-3], word(), *words[-2:]])]
+    for n in range(30, 2400, 37):
+        text = "".join(rng.choice("abcdefgh ") for _ in range(n))
+        texts += [text, text[: int(n * rng.uniform(0.83, 0.87))]]
+    rng.shuffle(texts)
+    prints = walk.fingerprints(texts)
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if walk.likeness(prints[i], prints[j]) >= edit_fingerprint.LIKENESS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (edit_fingerprint.BLOCK_ROWS, 20):
+        monkeypatch.setattr(edit_fingerprint, "BLOCK_ROWS", block)
+        group = {r["doc_id"]: r["group_id"] for r in edit_fingerprint.near_duplicates(df).collect()}
+        assert sum(group.get(i, -1) == group.get(j, -2) for i, j in near) >= 0.98 * len(near) > 150
+    root = list(range(len(texts)))
+    for _ in range(20):
+        for i, j in near:
+            root[i] = root[j] = min(root[i], root[j])
+    assert all(root[i] == root[g] for i, g in group.items())
+
+
+def test_likenesses_of_many_pairs():
+    rng, walk = random.Random(6), edit_fingerprint.walk()
+    base = "".join(rng.choice("abcdef ") for _ in range(900))
+    prints = walk.fingerprints([base[: rng.randrange(1, 900)] + "x" * rng.randrange(40) for _ in range(40)])
+    sizes = np.array([len(x) for x in prints])
+    digits = np.frombuffer("".join(x.ljust(sizes.max()) for x in prints).encode(), np.uint8).reshape(40, -1)
+    p, q = np.triu_indices(40, 1)
+    assert np.allclose(walk.likenesses(digits, sizes, p, q), [walk.likeness(prints[i], prints[j]) for i, j in zip(p, q, strict=True)])
+
+
 # 7 embeddings
 
 
