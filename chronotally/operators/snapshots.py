@@ -74,22 +74,24 @@ def reachable_set(roots: DataFrame, links: DataFrame, node: str, parent: str, ch
         seen = checkpointed(seen.unionByName(frontier))
 
 
-def queue_chain(df: DataFrame, scope: str, id_: str, base: str, head: str, item: str, failed: str, max_depth: int = 64) -> DataFrame:
+def queue_chain(df: DataFrame, scope: str, id_: str, base: str, head: str, item: str, failed: str) -> DataFrame:
     """Items ahead of each row, following base -> head inside the scope: chain (items from the front, own last), position,
-    ahead_failed. A node with several builds continues from the smallest id; a cycle ends the chain."""
+    ahead_failed. A node with several builds continues from the smallest id; a cycle ends the chain. Chains may be of any
+    length; each round follows one link of all open rows."""
     one = df.groupBy(F.col(scope).alias("_s"), F.col(head).alias("_h")).agg(F.min(F.struct(F.col(id_).alias("i"), F.col(base).alias("b"), F.col(item).alias("m"), F.col(failed).alias("f"))).alias("_n"))
     one = checkpointed(one)
     rows = df.select(scope, id_, F.array(item).alias("chain"), F.array(id_).alias("_path"), F.col(base).alias("_base"), F.lit(False).alias("ahead_failed"))
-    done = None
-    for _ in range(max_depth):
+    done, rounds = None, 0
+    while True:
         joined = rows.join(one, (F.col(scope) == F.col("_s")) & (F.col("_base") == F.col("_h")) & ~F.array_contains("_path", F.col("_n.i")), "left")
         ended = joined.where("_n is null").select(scope, id_, "chain", "ahead_failed")
         done = ended if done is None else done.unionByName(ended)
         rows = checkpointed(joined.where("_n is not null").select(scope, id_, F.concat(F.array("_n.m"), "chain").alias("chain"), F.concat("_path", F.array("_n.i")).alias("_path"), F.col("_n.b").alias("_base"), (F.col("ahead_failed") | F.col("_n.f")).alias("ahead_failed")))
         if rows.isEmpty():
             break
-    else:
-        done = done.unionByName(rows.select(scope, id_, "chain", "ahead_failed"))
+        rounds += 1
+        if rounds % 16 == 0:  # else a long chain's plan holds every round
+            done = checkpointed(done)
     return done.withColumn("position", F.size("chain"))
 
 

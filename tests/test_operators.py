@@ -99,6 +99,13 @@ def test_queue_chain_stops_at_a_cycle_and_keeps_scopes_apart(spark):
     assert got == {1: ([41], False), 2: ([41, 42], False), 3: ([43], False), 4: ([45, 44], False), 5: ([44, 45], True)}
 
 
+def test_queue_chain_of_any_length(spark):
+    n = 70
+    df = spark.createDataFrame([("r", i, i - 1, i, i, i == 2) for i in range(1, n + 1)], "repo string, id long, base long, head long, item long, failed boolean").coalesce(1)
+    got = {r["id"]: (r["chain"], r["position"], r["ahead_failed"]) for r in N.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
+    assert got == {i: (list(range(1, i + 1)), i, i > 2) for i in range(1, n + 1)}
+
+
 def test_landings_pass_through_ancestors_and_cycles(spark):
     tested = spark.createDataFrame([("r", "B"), ("r", "C"), ("q", "B")], "repo string, sha string")
     parents = spark.createDataFrame([("r", "C", "B"), ("r", "B", "C")], "repo string, sha string, parent string")
