@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +18,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_rows(spark: SparkSession, rows: int) -> None:
-    """Rows that go to a Python worker at a time. Few keep the buffers of long texts small on both sides; operators that
-    step through all texts of a batch at once want many."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. One is only made up in a local session, as in tests;
+    a cluster's session without one is an error, since its executors share no local folder."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-checkpoints-")
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the session names.
-
-    A folder is only made up where the session has none, as in tests on one machine."""
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate results, wherever the shared folder lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def fresh_name(columns: Sequence[str], name: str) -> str:
+    """``name`` with as many leading underscores as it takes to differ from all columns (Spark ignores case)."""
+    known = {c.lower() for c in columns}
+    while name.lower() in known:
+        name = "_" + name
+    return name
+
+
+def with_columns(columns: Sequence[str], added: dict[str, Column]) -> list[Column]:
+    """Columns to select: the given ones but those that an added one replaces, then the added ones."""
+    names = {c.lower() for c in added}
+    return [F.col(f"`{c}`") for c in columns if c.lower() not in names] + [column.alias(c) for c, column in added.items()]
+
+
+def by_length(lengths: np.ndarray, chars: int = 4_000_000, rows: int = 4096) -> Iterator[np.ndarray]:
+    """Indexes of a batch's texts, the longest first, in slices of bounded characters and rows, so that what a Python
+    worker holds for a slice is bounded by bytes and not by a number of texts. A text longer than ``chars`` is a slice."""
+    order = np.argsort(-lengths, kind="stable")
+    start = 0
+    while start < len(order):
+        within = np.cumsum(lengths[order[start : start + rows]]) <= chars
+        end = start + max(1, int(np.count_nonzero(within)))
+        yield order[start:end]
+        start = end
+
+
 def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, row_id: Column, n_entries: int) -> DataFrame:
     """Left-join ``lookup`` (one row per non-null ``key``) to ``rows``.
 
@@ -39,23 +77,33 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, row_id: Column, n_
     each of its rows is repeated for every salt and the rows of a hot key are dealt over the salts."""
     if n_entries <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), key, "left")
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
-    return rows.join(salted, [key, "_salt"], "left").drop("_salt")
+    salt = fresh_name([*rows.columns, *lookup.columns], "_salt")
+    salted = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn(salt, F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
+    return rows.join(salted, [key, salt], "left").drop(salt)
+
+
+def with_least_neighbour(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with m, the least v of their u. Edges of one u are dealt over SALTS parts: least per part, then of the
+    at most SALTS parts of a u, then back to the parts, so that a node with very many edges is not one task's work."""
+    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.collect_set("s").alias("all"), F.min("m").alias("m"))  # SALTS entries at most
+    least = least.select("u", F.explode("all").alias("s"), "m")
+    return salted.join(least, ["u", "s"]).select("u", "v", "m")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Component of every node of an undirected edge table: (node, component = smallest node reachable).
 
-    Alternates the large-star and small-star steps until the edges no longer change. Each step is a
-    map-side combined minimum and a join that Spark can split on hot nodes; every round is checkpointed."""
+    Alternates the large-star and small-star steps until the edges no longer change; a node with very many
+    edges is dealt over tasks, and every round is checkpointed."""
     stars = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     stars, seen = checkpointed(stars), None
     for _ in range(max_rounds):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        large = with_least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        small = with_least_neighbour(large.distinct())
         pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         stars = small.select(F.explode(pairs).alias("p")).select("p.u", "p.v").where("u <> v").distinct()
         stars = checkpointed(stars)

@@ -2,16 +2,23 @@
 
 A shared random walk reads the text: at step j the walk stands on a character, emits it, and moves on if the
 shared bit r(j, character) is 1. Walks of texts that differ by few edits fall back into step, so that the
-Hamming distance of the emitted strings follows the edit distance. A walk over n characters ends after about
-2 n steps, and after 3 n at most; it is kept at SAMPLES shared random steps in each octave [2**k, 2**(k+1)) of steps, as four hash bits each, so that
-short and very long texts get fingerprints of fitting size. Bands of sampled places select candidates, and
-verification compares whole fingerprints.
+Hamming distance of the emitted strings follows the edit distance. Every walk goes on to the end of its own text,
+after about 2 n steps for n characters; it is kept at SAMPLES shared random steps in each octave [2**k, 2**(k+1)) of
+steps, as four hash bits each, so that short and very long texts get fingerprints of fitting size. Bands of sampled
+places select candidates among all documents, and verification compares whole fingerprints.
+
+The randomness is a table of PERIOD steps by CLASSES character classes. Its rows are read in another order in every
+period, so that walks that are a multiple of PERIOD apart see different bits. Characters of one class (1 in 255) look
+alike to the walk: an edit that changes one into the other is not seen, which raises a likeness by that share of the
+edits. Neither touches the rule that equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,21 +29,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.llm import buckets
-from chronotally.llm.common import arrow_rows, checkpointed, connected_components
+from chronotally.llm.common import by_length, checkpointed, connected_components, remove_folder, shared_folder, with_least_neighbour
 
 SAMPLES = 64
 FIRST_OCTAVE = 5  # steps 0..31 form the first block
 OCTAVES = 31
-PERIOD = 8192  # the shared bits repeat after so many steps
+PERIOD = 8192  # rows of the table of shared bits
 CLASSES = 256  # characters are hashed to classes
-STEPS = 3
-BANDS, BAND_PLACES = 16, 10
 LIKENESS = 0.8
+#: Share of the pairs at LIKENESS that the bands of one level shall find; most pairs share two levels.
+TARGET_RECALL = 0.9
+#: Chance that two unrelated texts agree in a sampled place: 1 in 16, and more as letters have different frequencies.
+BY_CHANCE = 0.15
 LADDER = np.array([1, *range(2, 32, 2), *range(32, 64 * 32, 16)])  # numbers of sampled steps that bands are drawn for
 BLOCK_ROWS = 2000  # fingerprints of a bucket that are compared with as many in one task
 PAIRS = 8000  # compared at a time
 
 
+def banding(n_classes: int, least: float = LIKENESS, recall: float = TARGET_RECALL) -> tuple[int, int]:
+    """(bands, places): so many places that unrelated texts share a band less than once a document, and so many bands
+    that a pair at the likeness shares one with the wanted probability."""
+    places = max(8, math.ceil(math.log(max(2, n_classes)) / -math.log(BY_CHANCE)) + 1)
+    agree = least * 15 / 16 + 1 / 16
+    return max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree**places))), places
+
+
 class Walk:
     """The shared randomness: bits by (step, class), sampled steps in order, and the hash digit of a sampled class."""
 
@@ -51,30 +68,47 @@ class Walk:
         self.sampled = np.concatenate(places)
         self.starts = np.cumsum([0] + [len(p) for p in places])
         self.widths, self.lows = np.diff(edges), np.array(edges[:-1])
+        self.orders = np.r_[0, rng.integers(1, PERIOD, 1023)]
 
     def classes(self, text: str) -> np.ndarray:
         code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         return (code * np.uint32(2654435761) >> np.uint32(12)) % np.uint32(CLASSES - 1) + np.uint32(1)
 
+    def row(self, step: int) -> int:
+        """Row of the tables that a step reads: in every period another order of the rows."""
+        period, within = divmod(step, PERIOD)
+        return within ^ int(self.orders[period % len(self.orders)])
+
     def fingerprints(self, texts: list[str]) -> list[str]:
-        """All walks of a batch advance together; those that have come to their text's end are set aside now and then."""
+        """Walks of a slice of texts of like length advance together, each to its own text's end."""
+        out: list[str] = [""] * len(texts)
+        for some in by_length(np.array([len(t) for t in texts], np.int64)):
+            for i, found in zip(some.tolist(), self._walked([texts[i] for i in some]), strict=True):
+                out[i] = found
+        return out
+
+    def _walked(self, texts: list[str]) -> list[str]:
         codes = [x for t in texts for x in (self.classes(t).astype(np.uint8), np.zeros(1, np.uint8))]
         sizes = np.array([len(c) for c in codes[::2]], np.int64) + 1
         joined = np.concatenate(codes) if codes else np.empty(0, np.uint8)
+        del codes
         position, rows = np.cumsum(sizes) - sizes, np.arange(len(texts))
-        taken = np.zeros((len(texts), len(self.sampled)), np.uint8)  # 0: at the end, else 1 + digit
-        wanted, column = [*self.sampled.tolist(), -1], 0
-        for j in range(STEPS * int(sizes.max(initial=0))):
-            seen, row = joined.take(position), j % PERIOD
-            if wanted[column] == j:
-                taken[rows, column] = self.digits[row].take(seen)
-                column += 1
-            if not j % 1024:
+        columns: list[np.ndarray] = []  # digits at a sampled step: 0 at the end, else 1 + digit
+        wanted, step = iter([*self.sampled.tolist(), -1]), 0
+        next_wanted = next(wanted)
+        while len(rows):
+            seen, row = joined.take(position), self.row(step)
+            if next_wanted == step:
+                column = np.zeros(len(texts), np.uint8)
+                column[rows] = self.digits[row].take(seen)
+                columns.append(column)
+                next_wanted = next(wanted)
+            if not step % 256:  # those at their end are set aside now and then
                 going = seen > 0
                 position, rows, seen = position[going], rows[going], seen[going]
-                if not len(rows):
-                    break
             position += self.bits[row].take(seen)
+            step += 1
+        taken = np.stack(columns, axis=1) if columns else np.zeros((len(texts), 0), np.uint8)
         alphabet = np.frombuffer(b"0123456789abcdef", np.uint8)
         return [alphabet[x[: np.count_nonzero(x)] - 1].tobytes().decode() for x in taken]
 
@@ -117,16 +151,16 @@ class Walk:
         return LADDER[low : high + 1].tolist()
 
     @functools.cache  # noqa: B019
-    def places(self, n: int) -> np.ndarray:
-        """BANDS x BAND_PLACES shared random places of the first n, each drawn by the steps it stands for, as likeness weighs them."""
+    def places(self, n: int, bands: int, places: int) -> np.ndarray:
+        """bands x places shared random places of the first n, each drawn by the steps it stands for, as likeness weighs them."""
         counts = np.diff(self.starts)
         weight = np.repeat(self.widths / counts, counts)[:n]
-        return np.random.Generator(np.random.PCG64([11, n])).choice(n, (BANDS, BAND_PLACES), p=weight / weight.sum())
+        return np.random.Generator(np.random.PCG64([11, n])).choice(n, (bands, places), p=weight / weight.sum())
 
-    def bands(self, fingerprint: str, least: float = LIKENESS) -> list[bytes]:
-        """Bit-sampled bands: the digits at BAND_PLACES shared random places among the first n, for each n of levels()."""
+    def bands(self, fingerprint: str, bands: int, places: int, least: float = LIKENESS) -> list[bytes]:
+        """Bit-sampled bands: the digits (four hash bits each) at shared random places among the first n, for each n of levels()."""
         digits = np.frombuffer(fingerprint.encode(), np.uint8)
-        out = [b"%d:%d:%s" % (n, k, row.tobytes()) for n in self.levels(len(digits), least) for k, row in enumerate(digits[self.places(n)])]
+        out = [b"%d:%d:%s" % (n, k, row.tobytes()) for n in self.levels(len(digits), least) for k, row in enumerate(digits[self.places(n, bands, places)])]
         return out or [b"0:0:" + digits.tobytes()]
 
 
@@ -139,39 +173,71 @@ def walk() -> Walk:
     return _walk[0]
 
 
-@F.pandas_udf(T.StringType())
-def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def packed(fingerprint: str) -> bytes:
+    """Two digits a byte behind a byte that tells whether the last one is half used."""
+    return bytes([len(fingerprint) % 2]) + bytes.fromhex(fingerprint + "0" * (len(fingerprint) % 2))
+
+
+def unpacked(raw: bytes) -> str:
+    return raw[1:].hex()[: 2 * (len(raw) - 1) - raw[0]]
+
+
+def digits_of(prints: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(digits, sizes): a matrix of the digits of packed fingerprints and how many each of them has."""
+    sizes = np.array([2 * (len(x) - 1) - x[0] for x in prints], np.int64)
+    width = max((len(x) - 1 for x in prints), default=0)
+    raw = np.frombuffer(b"".join(x[1:].ljust(width, b"\0") for x in prints), np.uint8).reshape(len(prints), width)
+    return np.stack([raw >> 4, raw & 15], axis=2).reshape(len(prints), 2 * width), sizes
+
+
+@F.pandas_udf(T.BinaryType())
+def packed_fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
-        yield pd.Series(walk().fingerprints([t if isinstance(t, str) else "" for t in batch]), dtype=object)
+        yield pd.Series([packed(f) for f in walk().fingerprints([t if isinstance(t, str) else "" for t in batch])], dtype=object)
 
 
-@F.pandas_udf(T.DoubleType())
-def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    w = walk()
-    return pd.Series([w.likeness(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+_COMPARED = T.StructType([T.StructField(c, T.StringType()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")] + [T.StructField(c, T.DoubleType()) for c in ("near_edited", "near_next")])
 
 
-@F.pandas_udf(T.LongType())
-def shared_bands(a: pd.Series, b: pd.Series) -> pd.Series:
+@F.pandas_udf(_COMPARED)
+def compared(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """Fingerprints of texts and of their edited texts, and their likenesses; every distinct text of a batch is walked once."""
     w = walk()
-    return pd.Series([len(set(w.bands(x)) & set(w.bands(y))) for x, y in zip(a, b, strict=True)], dtype="int64")
+    for texts, following in batches:
+        texts, following = texts.tolist(), following.tolist()
+        edited = [edited_text(a, b) for a, b in zip(texts, following, strict=True)]
+        distinct = list(dict.fromkeys([*texts, *following, *edited]))
+        found = dict(zip(distinct, w.fingerprints(distinct), strict=True))
+        prints, after, next_ = ([found[t] for t in some] for some in (texts, edited, following))
+        yield pd.DataFrame({
+            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited], "fingerprint": prints, "edited_fingerprint": after,
+            "near_edited": [w.likeness(a, b) for a, b in zip(prints, after, strict=True)], "near_next": [w.likeness(a, b) for a, b in zip(prints, next_, strict=True)],
+        })
+
+
+def edited_text(text: str, following: str) -> str:
+    """The last floor(n / 2) code points replaced by the first as many, or all, of the following text."""
+    half = len(text) // 2
+    return text[: len(text) - half] + following[:half]
 
 
-def band_keys(f: Column, least: float) -> Column:
+def band_keys(f: Column, bands: int, places: int, least: float) -> Column:
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys(a: pd.Series) -> pd.Series:
+    def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = walk()
-        return pd.Series([[xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(f, least)] for f in a], dtype=object)
+        for batch in batches:
+            yield pd.Series([[xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(unpacked(f), bands, places, least)] for f in batch], dtype=object)
 
     return keys(f)
 
 
-def with_next(rows: DataFrame, columns: list[str], *, rows_in_part: int = 4000, most_parts: int = 20_000) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], *, marks: DataFrame | None = None, rows_in_part: int = 4000, most_parts: int = 20_000) -> DataFrame:
     """Add next_<column> of the next row by descending doc_id (after the last: of the first). Ties go by text, nulls come last.
 
     doc_ids are cut into ranges at approximate quantiles. The first row of every range is also sent, as a guest, to
     the range before it, so that each range finds its rows' successors by itself: one shuffle, no global window.
-    The driver holds the cuts and one doc_id per range."""
+    ``marks`` (doc_id, mark) are dealt to the same ranges and give each row the mark of its doc_id, so that a narrow
+    table costs no second shuffle of the rows. The driver holds the cuts and one doc_id per range."""
     order = F.coalesce("doc_id", F.lit(-(2**63)))
     parts = min(most_parts, -(-rows.count() // rows_in_part))
     cuts = np.empty(0, np.int64)
@@ -195,44 +261,37 @@ def with_next(rows: DataFrame, columns: list[str], *, rows_in_part: int = 4000,
         return pd.Series(np.where(head_of[k] == at, before[k], -1).astype(np.int32))
 
     own, guest = F.struct(F.col("_part").alias("p"), F.lit(0).alias("g")), F.struct(guest_of("_order").alias("p"), F.lit(1).alias("g"))
-    dealt = parted.withColumn("_e", F.explode(F.filter(F.array(own, guest), lambda x: x["p"] >= 0)))
+    dealt = parted.withColumn("_e", F.explode(F.filter(F.array(own, guest), lambda x: x["p"] >= 0))).drop("_part")
+    if marks is not None:
+        noted = marks.withColumn("_order", order).withColumn("_e", F.struct(part_of("_order").alias("p"), F.lit(-1).alias("g")))
+        dealt = dealt.unionByName(noted, allowMissingColumns=True)
     dealt = dealt.repartition(max(12, len(ranges)), "_e.p")
+    if marks is not None:
+        dealt = dealt.withColumn("mark", F.max("mark").over(Window.partitionBy("_e.p", "_order"))).where("_e.g >= 0")
     window = Window.partitionBy("_e.p").orderBy("_e.g", F.col("_order").desc(), "text")
     dealt = dealt.select("*", *[F.lead(c).over(window).alias(f"next_{c}") for c in columns])
-    return dealt.where("_e.g = 0").drop("_e", "_part", "_order")
+    return dealt.where("_e.g = 0").drop("_e", "_order")
 
 
-def edited_text(text: Column, following: Column) -> Column:
-    """The last floor(n / 2) code points replaced by the first as many, or all, of the following text."""
-    half = F.floor(F.length(text) / 2).cast("int")
-    return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
-
-
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     """Fingerprint every whole text and its edited text: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next, bands_edited, bands_next (bands shared with either).
+    edited_fingerprint, near_edited, near_next, and group_id: the smallest doc_id of the group that near_duplicates()
+    finds for this document, its own if it is alone.
 
     A null text counts as empty; a text without a character has the fingerprint ''. Equal texts have equal
-    fingerprints. Rows with one doc_id follow each other by text. A table of one row is its own successor.
-    Other columns are ignored; an empty table gives an empty result."""
-    arrow_rows(docs.sparkSession, 10_000)
+    fingerprints. Rows with one doc_id follow each other by text and share a group; a null doc_id has no group. A table
+    of one row is its own successor. Other columns are ignored; an empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("fingerprint", fingerprint("text")), ["text", "fingerprint"])
-    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "fingerprint", "next_fingerprint", edited_text(F.col("text"), F.col("next_text")).alias("edited"))
-    rows = rows.withColumn("edited_fingerprint", fingerprint("edited"))
-    return rows.select(
-        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "next_fingerprint").alias("near_next"),
-        shared_bands("fingerprint", "edited_fingerprint").alias("bands_edited"), shared_bands("fingerprint", "next_fingerprint").alias("bands_next"),
-    )
+    groups = near_duplicates(rows, least=least).withColumnRenamed("group_id", "mark")
+    rows = with_next(rows, ["text"], marks=groups).withColumn("c", compared("text", "next_text"))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "c.*", F.coalesce("mark", "doc_id").alias("group_id"))
 
 
 def _like(unit: pd.DataFrame, least: float) -> pd.DataFrame:
     """Spanning forest of each bucket's members that are alike: (a, b)."""
-    unit = unit.drop_duplicates(["band", "rep"]).sort_values(["band", "rep"])
-    band, rep, side = unit["band"].to_numpy(np.int64), unit["rep"].to_numpy(np.int64), unit["side"].to_numpy()
-    sizes = unit["f"].str.len().to_numpy(np.int64)
-    digits = np.frombuffer("".join(unit["f"].str.ljust(int(sizes.max()))).encode(), np.uint8).reshape(len(unit), -1)
+    unit = unit.drop_duplicates(["band", "node"]).sort_values(["band", "node"])
+    band, node, side = unit["band"].to_numpy(np.int64), unit["node"].to_numpy(np.int64), unit["side"].to_numpy()
+    digits, sizes = digits_of(unit["f"].tolist())
     some = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for p, q in buckets.pairs(band, side, unit["i"].iat[0] != unit["j"].iat[0], PAIRS):
         if len(p):
@@ -241,26 +300,64 @@ def _like(unit: pd.DataFrame, least: float) -> pd.DataFrame:
     p, q = (np.concatenate(x) for x in zip(*some, strict=True))
     root = buckets.forest(len(unit), p, q)
     joined = root != np.arange(len(unit))
-    return pd.DataFrame({"a": rep[joined], "b": rep[root[joined]]})
+    return pd.DataFrame({"a": node[joined], "b": node[root[joined]]})
+
+
+def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first row of every node of a partition, so that many copies of a text leave a task once."""
+    seen: set[int] = set()
+    for batch in batches:
+        batch = batch.drop_duplicates("node")
+        new = ~batch["node"].isin(seen)
+        seen.update(batch["node"][new].tolist())
+        yield batch[new]
 
 
 def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     """Groups of texts with like fingerprints: doc_id, group_id (smallest doc_id of the group), for groups of two or more.
 
-    Equal fingerprints are one class. Bands of sampled digits gather candidate classes, and all pairs of a bucket are
-    verified, a large bucket in blocks of BLOCK_ROWS that are spread over tasks: work is quadratic in a group of
-    different near copies, and only spanning forests leave a task."""
-    found = checkpointed(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.coalesce("text", F.lit(""))).alias("f")))
-    classes = checkpointed(found.groupBy("f").agg(F.min("doc_id").alias("rep")))
-    same = found.join(classes, "f").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    banded = classes.where("f <> ''").select("rep", F.explode(F.array_distinct(band_keys(F.col("f"), least))).alias("band"))
-    full = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    rows = banded.join(full.select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "band")
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    bundles = max(1, math.ceil(classes.count() / 256))
-    unit = F.when(F.col("blocks") == 1, F.pmod("band", F.lit(bundles))).otherwise(F.col("band"))
-    rows = rows.select("rep", "band", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    rows = rows.join(classes, "rep")
-    alike = rows.groupBy("crowded", "unit", "i", "j").applyInPandas(lambda unit: _like(unit, least), "a long, b long")
-    groups = connected_components(alike.unionByName(same))
+    Equal fingerprints are one class, named by 64 hash bits. Bands of sampled digits gather candidate classes: singles
+    are dropped where a bucket's rows meet, bands that a sample of one class in 64 shows to be crowded are counted
+    beforehand and cut. All pairs of a bucket are verified, a large bucket in blocks of BLOCK_ROWS that are spread over
+    tasks: work is quadratic in a group of different near copies, and only spanning forests leave a task. A row with a
+    null doc_id is in no group; a null text counts as empty."""
+    spark = docs.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/prints-{uuid.uuid4().hex}"
+    found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), packed_fingerprint(F.coalesce("text", F.lit(""))).alias("f"))
+    found.withColumn("node", F.xxhash64("f")).write.parquet(path)
+    found = spark.read.schema("doc_id long, f binary, node long").parquet(path)
+    copies = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    same = with_least_neighbour(found.select(F.col("node").alias("u"), F.col("doc_id").alias("v")).join(copies.withColumnRenamed("node", "u"), "u", "left_semi"))
+    same = same.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    alike = checkpointed(_alike(found, least))
+    names = found.join(alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    links = alike.join(names.select(F.col("node").alias("a"), F.col("rep").alias("_a")), "a").join(names.select(F.col("node").alias("b"), F.col("rep").alias("_b")), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    groups = connected_components(links.unionByName(same))
+    remove_folder(spark, path)
     return groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
+
+
+def _alike(found: DataFrame, least: float) -> DataFrame:
+    """(a, b) of a spanning forest of classes that are alike; found holds doc_id, node and f."""
+    n_classes = found.select(F.approx_count_distinct("node")).first()[0]
+    bands, places = banding(n_classes, least)
+    once = found.select("node", "f").mapInPandas(_once, "node long, f binary")
+    banded = once.where(F.length("f") > 1).select("node", F.explode(F.array_distinct(band_keys(F.col("f"), bands, places, least))).alias("band"))
+    sample = banded.where(F.pmod("node", F.lit(64)) == 0).distinct().groupBy("band").count().where(F.col("count") >= BLOCK_ROWS // 128)
+    crowded = checkpointed(sample.select("band"))
+    bundles = max(1, math.ceil(n_classes / 4096))
+
+    def shared(unit: pd.DataFrame) -> pd.DataFrame:
+        unit = unit.drop_duplicates()
+        return unit[unit.duplicated("band", keep=False)]
+
+    marked = banded.join(crowded.withColumn("many", F.lit(True)), "band", "left")
+    few = marked.where("many is null").groupBy(F.pmod("band", F.lit(bundles))).applyInPandas(lambda unit: shared(unit[["node", "band"]]), "node long, band long")
+    rows = checkpointed(few.unionByName(marked.where("many").select("node", "band").distinct()))
+    full = rows.groupBy("band").agg(F.count("*").alias("n")).select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows = rows.join(full, "band")
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = F.when(F.col("blocks") == 1, F.pmod("band", F.lit(bundles))).otherwise(F.col("band"))
+    rows = rows.select("node", "band", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    prints = once.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("f").alias("f"))  # equal nodes have equal f
+    return rows.join(prints, "node").groupBy("crowded", "unit", "i", "j").applyInPandas(lambda unit: _like(unit, least), "a long, b long")

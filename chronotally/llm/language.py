@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotally.llm.common import arrow_rows
+
 
 SAMPLE_ROWS = 96
 TRAIN_LETTERS = 40_000
@@ -193,7 +193,6 @@ def identify(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, letters: int =
     score is 1 - best / second-best normalised phrase count (0: a tie). A null text, or one without a
     letter, is 'und' with score 0; so is every text if no row can be learned from. Repeated rows are
     predicted each; further columns are ignored; an empty table gives an empty result."""
-    arrow_rows(docs.sparkSession, 10_000)
     texts = tuple(sorted(training_texts(docs, sample_rows=sample_rows, letters=letters).items()))
 
     @F.pandas_udf("lang_pred string, score double")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotally.llm.common import arrow_rows
+
 
 SAMPLE_ROWS = 3000
 FEATURES = 3000
@@ -173,7 +173,6 @@ def score(docs: DataFrame, chain: Chain | None, *, threshold: float = THRESHOLD)
 
     A null or empty text is never toxic; without a chain nothing is. Repeated rows are scored each, other
     columns pass through, and an empty table gives an empty result."""
-    arrow_rows(docs.sparkSession, 1000)
     names = chain.names if chain else [n for n, _ in categories()]
 
     @F.pandas_udf(", ".join(f"p_{n} double" for n in names))

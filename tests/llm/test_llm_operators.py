@@ -199,6 +199,42 @@ def test_toxicity_edges(spark, odd, empty):
 # 6 fingerprints
 
 
+def scalar_walk(text):
+    """The walk of one text, a character and a step at a time."""
+    w = edit_fingerprint.walk()
+    classes = [((ord(c) * 2654435761 % 2**32) >> 12) % (edit_fingerprint.CLASSES - 1) + 1 for c in text]
+    wanted, at, step, out = set(w.sampled[: 64 * 20].tolist()), 0, 0, []
+    while at < len(classes):
+        period, within = divmod(step, edit_fingerprint.PERIOD)
+        row = within ^ int(w.orders[period % len(w.orders)])
+        if step in wanted:
+            out.append(f"{w.digits[row, classes[at]] - 1:x}")
+        at += int(w.bits[row, classes[at]])
+        step += 1
+    return "".join(out)
+
+
+def test_walks_match_a_scalar_walk():
+    rng = random.Random(12)
+    texts = ["", "-", "a", "aa", "\U0001f600é", "x" * 30_000] + ["".join(rng.choice("abc \né") for _ in range(rng.randrange(1, 3000))) for _ in range(60)]
+    assert edit_fingerprint.walk().fingerprints(texts) == [scalar_walk(t) for t in texts]
+
+
+def test_a_text_has_one_fingerprint_wherever_it_stands(spark):
+    """Alone, beside a long text, and over several partitions."""
+    walk, short = edit_fingerprint.walk(), ["-", "ab", "tiny text", "q" * 9]
+    alone = [walk.fingerprints([t])[0] for t in short]
+    assert walk.fingerprints([*short, "long " * 20_000])[: len(short)] == alone
+    rows = [(i, short[i % 4] if i % 7 else "long " * 3000) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = edit_fingerprint.fingerprints(df).collect()
+    for r in got:
+        text = rows[r["doc_id"]][1]
+        assert r["fingerprint"] == (alone[short.index(text)] if text in short else walk.fingerprints([text])[0])
+        assert r["near_edited"] == 1 or r["edited_sha256"] != hashlib.sha256(text.encode()).hexdigest()
+    assert len({(r["fingerprint"], r["group_id"]) for r in got}) == 5
+
+
 def test_edited_texts_follow_the_contract(spark, docs):
     rows = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), reverse=True)
     got = {r["doc_id"]: r for r in Q.op6_edit_fingerprints(spark, SF).collect()}
@@ -206,8 +242,7 @@ def test_edited_texts_follow_the_contract(spark, docs):
         half = len(text) // 2
         edited = text[: len(text) - half] + rows[(k + 1) % len(rows)][1][:half]
         assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and got[i]["n_chars"] == len(text)
-        assert got[i]["fingerprint"] == edit_fingerprint.walk().fingerprints([text])[0]
-        assert got[i]["edited_fingerprint"] == edit_fingerprint.walk().fingerprints([edited])[0]
+        assert got[i]["fingerprint"] == scalar_walk(text) and got[i]["edited_fingerprint"] == scalar_walk(edited)
     assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.97
 
 
@@ -228,14 +263,16 @@ def test_likeness_falls_with_edits():
 def test_next_row_over_many_ranges(spark):
     ids = [i * 3 % 1009 for i in range(1, 500)]
     df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
-    got = {r["doc_id"]: r["next_text"] for r in edit_fingerprint.with_next(df, ["text"], rows_in_part=40).collect()}
+    marks = spark.createDataFrame([(i, i // 2) for i in ids if i % 5 == 0], "doc_id long, mark long")
+    got = {r["doc_id"]: (r["next_text"], r["mark"]) for r in edit_fingerprint.with_next(df, ["text"], marks=marks, rows_in_part=40).collect()}
     order = sorted(ids, reverse=True)
-    assert got == {i: str(order[(k + 1) % len(order)]) for k, i in enumerate(order)}
+    assert got == {i: (str(order[(k + 1) % len(order)]), i // 2 if i % 5 == 0 else None) for k, i in enumerate(order)}
 
 
 def test_fingerprint_edges(odd, empty):
-    got = edit_fingerprint.fingerprints(odd).collect()
+    got = edit_fingerprint.fingerprints(odd.withColumnRenamed("rank", "mark")).collect()
     assert len(got) == odd.count() and all(0 <= r["near_next"] <= 1 for r in got)
+    assert {r["group_id"] for r in got if r["doc_id"] == 1} == {1} and {r["group_id"] for r in got if r["doc_id"] is None} == {None}
     assert edit_fingerprint.fingerprints(empty).count() == 0
     assert edit_fingerprint.fingerprints(odd.where("doc_id = 5")).first()["near_next"] == 1
 
@@ -247,9 +284,18 @@ def test_fingerprint_groups(spark):
     assert groups == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5}
 
 
+def like_pairs(texts):
+    walk = edit_fingerprint.walk()
+    prints = walk.fingerprints(texts)
+    digits, sizes = edit_fingerprint.digits_of([edit_fingerprint.packed(f) for f in prints])
+    p, q = np.triu_indices(len(texts), 1)
+    some = walk.likenesses(digits, np.maximum(sizes, 1), p, q) >= edit_fingerprint.LIKENESS
+    return [(int(i), int(j)) for i, j in zip(p[some], q[some], strict=True)]
+
+
 def test_fingerprint_groups_match_brute_force(spark, monkeypatch):
     """Texts of one template at a likeness of about 0.7 with near copies of some, and copies cut to 0.83 to 0.87 of the length."""
-    rng, walk = random.Random(4), edit_fingerprint.walk()
+    rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
     template, texts = [word() for _ in range(80)], []
     for _ in range(120):
@@ -259,26 +305,42 @@ def test_fingerprint_groups_match_brute_force(spark, monkeypatch):
         text = "".join(rng.choice("abcdefgh ") for _ in range(n))
         texts += [text, text[: int(n * rng.uniform(0.83, 0.87))]]
     rng.shuffle(texts)
-    prints = walk.fingerprints(texts)
-    near = [(i, j) for i in range(len(texts)) for j in range(i) if walk.likeness(prints[i], prints[j]) >= edit_fingerprint.LIKENESS]
+    near = like_pairs(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block in (edit_fingerprint.BLOCK_ROWS, 20):
-        monkeypatch.setattr(edit_fingerprint, "BLOCK_ROWS", block)
-        group = {r["doc_id"]: r["group_id"] for r in edit_fingerprint.near_duplicates(df).collect()}
-        assert sum(group.get(i, -1) == group.get(j, -2) for i, j in near) >= 0.98 * len(near) > 150
     root = list(range(len(texts)))
     for _ in range(20):
         for i, j in near:
             root[i] = root[j] = min(root[i], root[j])
-    assert all(root[i] == root[g] for i, g in group.items())
+    for block in (edit_fingerprint.BLOCK_ROWS, 20):  # the second one also makes bands crowded
+        monkeypatch.setattr(edit_fingerprint, "BLOCK_ROWS", block)
+        group = {r["doc_id"]: r["group_id"] for r in edit_fingerprint.near_duplicates(df).collect()}
+        assert sum(group.get(i, -1) == group.get(j, -2) for i, j in near) >= 0.95 * len(near) > 150
+        assert all(root[i] == root[g] for i, g in group.items())
+
+
+def test_recall_of_the_bands_at_the_threshold():
+    """Pairs whose likeness is 0.8 to 0.85: at least nine of ten share a band."""
+    rng, walk = random.Random(21), edit_fingerprint.walk()
+    bands, places = edit_fingerprint.banding(250_000)
+    hit = n = 0
+    while n < 300:
+        text = list("".join(rng.choice("etaoinshrdlu ") for _ in range(rng.randrange(200, 3000))))
+        other = list(text)
+        for _ in range(max(1, int(len(text) * rng.uniform(0.002, 0.03)))):
+            other[rng.randrange(len(other))] = "z"
+        f, g = walk.fingerprints(["".join(text), "".join(other)])
+        if 0.8 <= walk.likeness(f, g) < 0.85:
+            n += 1
+            hit += bool(set(walk.bands(f, bands, places)) & set(walk.bands(g, bands, places)))
+    assert hit >= 0.9 * n
 
 
 def test_likenesses_of_many_pairs():
     rng, walk = random.Random(6), edit_fingerprint.walk()
     base = "".join(rng.choice("abcdef ") for _ in range(900))
     prints = walk.fingerprints([base[: rng.randrange(1, 900)] + "x" * rng.randrange(40) for _ in range(40)])
-    sizes = np.array([len(x) for x in prints])
-    digits = np.frombuffer("".join(x.ljust(sizes.max()) for x in prints).encode(), np.uint8).reshape(40, -1)
+    digits, sizes = edit_fingerprint.digits_of([edit_fingerprint.packed(f) for f in prints])
+    assert sizes.tolist() == [len(f) for f in prints] and all("".join(f"{d:x}" for d in row[:n]) == f for row, n, f in zip(digits, sizes, prints, strict=True))
     p, q = np.triu_indices(40, 1)
     assert np.allclose(walk.likenesses(digits, sizes, p, q), [walk.likeness(prints[i], prints[j]) for i, j in zip(p, q, strict=True)])
 
