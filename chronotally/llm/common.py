@@ -52,10 +52,15 @@ def fresh_name(columns: Sequence[str], name: str) -> str:
     return name
 
 
-def with_columns(columns: Sequence[str], added: dict[str, Column]) -> list[Column]:
-    """Columns to select: the given ones but those that an added one replaces, then the added ones."""
-    names = {c.lower() for c in added}
-    return [F.col(f"`{c}`") for c in columns if c.lower() not in names] + [column.alias(c) for c, column in added.items()]
+def with_columns(columns: Sequence[str], added: dict[str, Column], inside: str = "") -> list[Column]:
+    """Columns to select: the given ones (of the struct ``inside``) but those that an added one replaces, then the added."""
+    names, prefix = {c.lower() for c in added}, f"{inside}." if inside else ""
+    return [F.col(f"{prefix}`{c}`") for c in columns if c.lower() not in names] + [column.alias(c) for c, column in added.items()]
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns as one struct, ``row``, so that names made up inside an operator cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
 def by_length(lengths: np.ndarray, chars: int = 4_000_000, rows: int = 4096) -> Iterator[np.ndarray]:
@@ -77,10 +82,15 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, row_id: Column, n_
     each of its rows is repeated for every salt and the rows of a hot key are dealt over the salts."""
     if n_entries <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), key, "left")
+    return join_few(rows, lookup, key, row_id)
+
+
+def join_few(rows: DataFrame, lookup: DataFrame, key: str, row_id: Column) -> DataFrame:
+    """Left-join ``lookup`` (one row per non-null ``key``, far fewer than rows) to ``rows``, of which one key may hold very
+    many and any number none: rows are dealt over SALTS parts of their key, for each of which a lookup row is repeated."""
     salt = fresh_name([*rows.columns, *lookup.columns], "_salt")
     salted = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn(salt, F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int"))
-    return rows.join(salted, [key, salt], "left").drop(salt)
+    return rows.withColumn(salt, F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).join(salted, [key, salt], "left").drop(salt)
 
 
 def with_least_neighbour(edges: DataFrame) -> DataFrame:

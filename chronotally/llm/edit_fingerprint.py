@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.llm import buckets
-from chronotally.llm.common import by_length, checkpointed, connected_components, remove_folder, shared_folder, with_least_neighbour
+from chronotally.llm.common import by_length, checkpointed, connected_components, join_few, remove_folder, shared_folder
 
 SAMPLES = 64
 FIRST_OCTAVE = 5  # steps 0..31 form the first block
@@ -44,6 +44,7 @@ BY_CHANCE = 0.15
 LADDER = np.array([1, *range(2, 32, 2), *range(32, 64 * 32, 16)])  # numbers of sampled steps that bands are drawn for
 BLOCK_ROWS = 2000  # fingerprints of a bucket that are compared with as many in one task
 PAIRS = 8000  # compared at a time
+CROWD = 64  # classes of a bucket beyond which they are compared with the smallest one first
 
 
 def banding(n_classes: int, least: float = LIKENESS, recall: float = TARGET_RECALL) -> tuple[int, int]:
@@ -287,13 +288,27 @@ def fingerprints(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "c.*", F.coalesce("mark", "doc_id").alias("group_id"))
 
 
+@F.pandas_udf(T.BooleanType())
+def _alike_pair(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    w = walk()
+    for a, b, least in batches:
+        out = np.zeros(len(a), bool)
+        for at in range(0, len(a), PAIRS):
+            digits, sizes = digits_of([*a[at : at + PAIRS], *b[at : at + PAIRS]])
+            n = len(sizes) // 2
+            out[at : at + n] = w.likenesses(digits, sizes, np.arange(n), np.arange(n, 2 * n)) >= least.iloc[at : at + n].to_numpy()
+        yield pd.Series(out)
+
+
 def _like(unit: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Spanning forest of each bucket's members that are alike: (a, b)."""
+    """Spanning forest of each bucket's members that are alike: (a, b). Members that are known to be joined are not compared."""
     unit = unit.drop_duplicates(["band", "node"]).sort_values(["band", "node"])
-    band, node, side = unit["band"].to_numpy(np.int64), unit["node"].to_numpy(np.int64), unit["side"].to_numpy()
+    band, node, side, part = (unit[c].to_numpy(np.int64) for c in ("band", "node", "side", "part"))
     digits, sizes = digits_of(unit["f"].tolist())
     some = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for p, q in buckets.pairs(band, side, unit["i"].iat[0] != unit["j"].iat[0], PAIRS):
+        apart = part[p] != part[q]
+        p, q = p[apart], q[apart]
         if len(p):
             near = walk().likenesses(digits, sizes, p, q) >= least
             some.append((p[near], q[near]))
@@ -316,48 +331,62 @@ def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     """Groups of texts with like fingerprints: doc_id, group_id (smallest doc_id of the group), for groups of two or more.
 
-    Equal fingerprints are one class, named by 64 hash bits. Bands of sampled digits gather candidate classes: singles
-    are dropped where a bucket's rows meet, bands that a sample of one class in 64 shows to be crowded are counted
-    beforehand and cut. All pairs of a bucket are verified, a large bucket in blocks of BLOCK_ROWS that are spread over
-    tasks: work is quadratic in a group of different near copies, and only spanning forests leave a task. A row with a
-    null doc_id is in no group; a null text counts as empty."""
+    Equal fingerprints are one class, named by 64 hash bits. Bands of sampled digits gather candidate classes, and pairs
+    of a bucket are verified. A row with a null doc_id is in no group; a null text counts as empty; a doc_id with several
+    texts takes the smallest of their groups."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/prints-{uuid.uuid4().hex}"
     found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), packed_fingerprint(F.coalesce("text", F.lit(""))).alias("f"))
     found.withColumn("node", F.xxhash64("f")).write.parquet(path)
     found = spark.read.schema("doc_id long, f binary, node long").parquet(path)
-    copies = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    same = with_least_neighbour(found.select(F.col("node").alias("u"), F.col("doc_id").alias("v")).join(copies.withColumnRenamed("node", "u"), "u", "left_semi"))
-    same = same.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    alike = checkpointed(_alike(found, least))
-    names = found.join(alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    links = alike.join(names.select(F.col("node").alias("a"), F.col("rep").alias("_a")), "a").join(names.select(F.col("node").alias("b"), F.col("rep").alias("_b")), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    groups = connected_components(links.unionByName(same))
+    near = connected_components(_alike(found, least)).withColumnRenamed("component", "root")
+    rows = join_few(found.select("doc_id", "node"), near, "node", F.col("doc_id")).select("doc_id", F.coalesce("root", "node").alias("root"))
+    heads = rows.groupBy("root").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    groups = join_few(rows, checkpointed(heads), "root", F.col("doc_id")).where("group_id is not null")
+    groups = checkpointed(groups.groupBy("doc_id").agg(F.min("group_id").alias("group_id")))
     remove_folder(spark, path)
-    return groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group_id"))
+    return groups
 
 
 def _alike(found: DataFrame, least: float) -> DataFrame:
-    """(a, b) of a spanning forest of classes that are alike; found holds doc_id, node and f."""
+    """(a, b) that connect classes which are alike; found holds doc_id, node and f.
+
+    1. Rows (class, band) meet by bands in bundles, where bands of a single class are dropped; bands that a sample of one
+       class in 64 shows to be very full are counted beforehand instead.
+    2. In buckets of over CROWD classes all are verified against the smallest one. A bucket that these links connect is done.
+    3. In all others every pair of classes that are not connected yet is verified, a large bucket in blocks of BLOCK_ROWS
+       that are spread over tasks: quadratic work, and only spanning forests leave a task."""
     n_classes = found.select(F.approx_count_distinct("node")).first()[0]
     bands, places = banding(n_classes, least)
     once = found.select("node", "f").mapInPandas(_once, "node long, f binary")
     banded = once.where(F.length("f") > 1).select("node", F.explode(F.array_distinct(band_keys(F.col("f"), bands, places, least))).alias("band"))
     sample = banded.where(F.pmod("node", F.lit(64)) == 0).distinct().groupBy("band").count().where(F.col("count") >= BLOCK_ROWS // 128)
-    crowded = checkpointed(sample.select("band"))
+    full = checkpointed(sample.select("band", F.lit(True).alias("full")))
     bundles = max(1, math.ceil(n_classes / 4096))
 
     def shared(unit: pd.DataFrame) -> pd.DataFrame:
-        unit = unit.drop_duplicates()
-        return unit[unit.duplicated("band", keep=False)]
-
-    marked = banded.join(crowded.withColumn("many", F.lit(True)), "band", "left")
-    few = marked.where("many is null").groupBy(F.pmod("band", F.lit(bundles))).applyInPandas(lambda unit: shared(unit[["node", "band"]]), "node long, band long")
-    rows = checkpointed(few.unionByName(marked.where("many").select("node", "band").distinct()))
-    full = rows.groupBy("band").agg(F.count("*").alias("n")).select("band", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    rows = rows.join(full, "band")
+        unit = unit[["node", "band"]].drop_duplicates()
+        by = unit.groupby("band")["node"]
+        unit = unit.assign(n=by.transform("size"), head=by.transform("min"))
+        return unit[unit["n"] > 1]
+
+    marked = banded.join(full, "band", "left")
+    few = marked.where("full is null").groupBy(F.pmod("band", F.lit(bundles))).applyInPandas(shared, "node long, band long, n long, head long")
+    many = checkpointed(marked.where("full").select("node", "band").distinct())
+    counted = many.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("head"))
+    rows = checkpointed(few.unionByName(join_few(many, counted, "band", F.col("node"))))
+    prints = once.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("f").alias("f"))  # equal nodes have equal f
+    stars = rows.where((F.col("n") > CROWD) & (F.col("node") != F.col("head"))).select("node", "head").distinct().join(prints, "node")
+    heads = prints.join(stars.select(F.col("head").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("head"), F.col("f").alias("g"))
+    stars = join_few(stars, heads, "head", F.col("node")).where(_alike_pair("f", "g", F.lit(float(least))))
+    links = checkpointed(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    joined = connected_components(links).withColumnRenamed("component", "part")
+    rows = rows.join(joined, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    open_ = rows.where(F.col("n") > CROWD).groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band", F.lit(True).alias("open"))
+    rows = rows.where(F.col("n") <= CROWD).unionByName(join_few(rows.where(F.col("n") > CROWD), open_, "band", F.col("node")).where("open").drop("open"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     unit = F.when(F.col("blocks") == 1, F.pmod("band", F.lit(bundles))).otherwise(F.col("band"))
-    rows = rows.select("node", "band", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    prints = once.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("f").alias("f"))  # equal nodes have equal f
-    return rows.join(prints, "node").groupBy("crowded", "unit", "i", "j").applyInPandas(lambda unit: _like(unit, least), "a long, b long")
+    rows = rows.select("node", "band", "part", "side", (F.col("blocks") > 1).alias("crowded"), unit.alias("unit"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    rest = rows.join(prints, "node").groupBy("crowded", "unit", "i", "j").applyInPandas(lambda unit: _like(unit, least), "a long, b long")
+    return checkpointed(links.unionByName(rest))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronotally.llm import buckets, e8
-from chronotally.llm.common import checkpointed, connected_components
+from chronotally.llm.common import checkpointed, connected_components, join_few
 
 COSINE = 0.93
 TABLES, PROBES = 6, 5
@@ -58,6 +58,12 @@ def cells(vectors: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.stack(homes, axis=1), np.stack(visits, axis=1)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to 0.5 .. 1, which is exact and changes no cosine:
+    squares of huge and of tiny components then stay within a double's range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def _signed(rows: DataFrame) -> DataFrame:
     """node, homes, visits, vector (doubles as bytes) of each valid row."""
 
@@ -65,11 +71,11 @@ def _signed(rows: DataFrame) -> DataFrame:
         for batch in batches:
             dims = batch["embedding"].map(len)
             for d, part in batch.groupby(dims.to_numpy()):
-                x = np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]])
+                x = scaled(np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]]))
                 homes, visits = cells(x / np.linalg.norm(x, axis=1)[:, None], part["label"].to_numpy(np.int64))
                 yield pd.DataFrame({"node": part["node"].to_numpy(), "homes": list(homes), "visits": list(visits), "vector": [v.tobytes() for v in x]})
 
-    return rows.select("node", F.col("label").cast("long").alias("label"), "embedding").mapInPandas(sign, "node string, homes array<long>, visits array<long>, vector binary")
+    return rows.select("node", F.xxhash64("label").alias("label"), "embedding").mapInPandas(sign, "node string, homes array<long>, visits array<long>, vector binary")
 
 
 def _counts_here(cell: np.ndarray, p: np.ndarray, q: np.ndarray, homes: np.ndarray, visits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -121,8 +127,8 @@ def link(rows: DataFrame, *, least: float = COSINE) -> DataFrame:
 
     One row per row: vec_id, n_links (other vectors linked directly), component_id (smallest vec_id reachable by
     links, itself included), kept (vec_id = component_id). A vector that is null, empty or zero, or holds a null or
-    a non-finite component, and one without a label, links with nothing. Vectors of different lengths never link;
-    repeated rows are copies that link with each other. Other columns are ignored; an empty table gives an empty result."""
+    a non-finite component, and one without a label, links with nothing. Vectors of different lengths never link, labels
+    may be of any type that Spark can hash; repeated rows are copies that link with each other. Other columns are ignored; an empty table gives an empty result."""
     number = F.col("embedding").cast("array<double>")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "label", number.alias("embedding"))
@@ -152,7 +158,7 @@ def link(rows: DataFrame, *, least: float = COSINE) -> DataFrame:
     joined = classes.join(components, "node", "left").join(counts, "node", "left")
     least_id = joined.where("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
     # rows without a component get a key of their own, lest they all meet in one task
-    joined = joined.withColumn("component", F.coalesce("component", "node")).join(least_id, "component", "left").select(F.col("node").alias("_node"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    joined = join_few(joined.withColumn("component", F.coalesce("component", "node")), least_id, "component", F.col("node")).select(F.col("node").alias("_node"), F.coalesce("component_id", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = rows.select("vec_id", "node").join(joined, F.coalesce("node", F.concat(F.lit("-"), "vec_id")) == F.col("_node"), "left")
     component = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronotally.llm import buckets
-from chronotally.llm.common import checkpointed, connected_components
+from chronotally.llm.common import as_row, checkpointed, connected_components, join_few
 
 N_WORDS = 5
 SIMILARITY = 0.8
@@ -109,8 +109,12 @@ def _classes(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
     @F.pandas_udf("size int, bands array<long>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t if isinstance(t, str) else None, n) for t in batch]
-            yield pd.DataFrame({"size": [len(s) for s in sets], "bands": [band_hashes(s, bands, rows) if len(s) else np.zeros(bands, np.int64) for s in sets]})
+            sizes, signed = [], []
+            for text in batch:  # one text's shingles at a time
+                found = shingles(text if isinstance(text, str) else None, n)
+                sizes.append(len(found))
+                signed.append(band_hashes(found, bands, rows) if len(found) else np.zeros(bands, np.int64))
+            yield pd.DataFrame({"size": sizes, "bands": signed})
 
     signed = docs.select("doc_id", F.md5("text").alias("node"), sign("text").alias("s")).where("s.size > 0")
     least = [F.min(F.col("s.bands")[k]).alias(f"b{k}") for k in range(bands)]  # copies agree: their minimum is the value
@@ -226,7 +230,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, similarity
     sizes = checkpointed(sizes.select("component", "total", blocks.alias("blocks")))
     small = sizes.where("blocks = 1").agg(F.sum("total")).first()[0] or 0
     bundles = max(1, math.ceil(small / BLOCK_SHINGLES))
-    members = members.join(sizes.drop("total"), "component").select(F.col("node").alias("_node"), F.col("rep").alias("_rep"), "copies", "component", "blocks")
+    members = join_few(members, sizes.drop("total"), "component", F.col("key")).select(F.col("node").alias("_node"), F.col("rep").alias("_rep"), "copies", "component", "blocks")
     texts = docs.select(F.md5("text").alias("node"), "doc_id", "text")
     texts = texts.join(members, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_rep")))
 
@@ -260,7 +264,7 @@ def link(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = TAR
     joined = classes.select("node", "rep", "copies", first.alias("first")).join(components, "node", "left").join(counts, "node", "left")
     heads = joined.where("component is not null").groupBy("component").agg(F.min("first").alias("head"))
     # rows without a component get a key of their own, lest they all meet in one task
-    joined = joined.withColumn("component", F.coalesce("component", "node")).join(heads, "component", "left").select("node", "rep", F.coalesce("head", "first").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    joined = join_few(joined.withColumn("component", F.coalesce("component", "node")), heads, "component", F.col("node")).select("node", "rep", F.coalesce("head", "first").alias("head"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     joined = joined.select(F.col("node").alias("_node"), F.col("head.rep").alias("class_id"), F.col("head.node").alias("_head"), "links")
     keys = docs.select("doc_id", F.md5("text").alias("node"))
     out = keys.join(joined, F.coalesce("node", F.concat(F.lit("-"), "doc_id")) == F.col("_node"), "left")
@@ -272,9 +276,13 @@ def link(docs: DataFrame, *, similarity: float = SIMILARITY, recall: float = TAR
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents without those that another one of their class represents; of repeated rows one stays.
 
-    Texts without words stay too."""
-    lost = link(docs, **options).where("node is not null").groupBy(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).agg(F.bool_or("kept").alias("_kept"), F.count("*").alias("_rows"))
-    lost = lost.where("not _kept or _rows > 1")
-    rows = docs.withColumn("_md5", F.md5("text")).join(lost, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_node")), "left")
-    once = rows.where("_kept and _rows > 1").dropDuplicates(["doc_id", "_md5"])
-    return rows.where("_node is null").unionByName(once).select(*docs.columns)
+    Texts without words stay too. All columns of docs stay as they are, whatever their names."""
+    lost = link(docs, **options).where("node is not null").groupBy(F.col("doc_id").alias("id"), "node").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    lost = checkpointed(lost.where("not kept or n > 1"))
+    rows = docs.select(as_row(docs), F.md5("text").alias("md5"))
+    match = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("md5") == F.col("node"))
+    out = rows.join(lost, match, "left_anti")
+    again = lost.where("kept and n > 1")
+    if not again.isEmpty():
+        out = out.unionByName(rows.join(again, match, "left_semi").withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "md5"]).drop("id"))
+    return out.select("row.*")

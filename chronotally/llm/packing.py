@@ -86,9 +86,9 @@ def vocabulary(name: str) -> str:
 PIECE_SCHEMA = "doc_key long, doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, *, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_key tells repeated doc_ids with different texts apart."""
-    path, ranks = tokenizer or vocabulary(TOKENIZER), ranks or vocabulary(RANKS)
+    path, ranks = vocabulary(TOKENIZER), vocabulary(RANKS)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,13 +224,13 @@ def ranked(parts: DataFrame, rows_in_chunk: int = 50_000) -> DataFrame:
     return parts.join(sizes, ["length", "chunk"]).withColumn("rank", F.col("base") + F.col("_within")).drop("chunk", "base", "_within")
 
 
-def pack(docs: DataFrame, *, tokenizer: str | None = None, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pack whole documents (doc_id, text) into sequences of at most ``capacity`` tokens.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset, one row per piece. A null or
     empty text is the end id alone. Repeated rows are packed as often as they stand; a null doc_id stays
     null. An empty table gives an empty result; other columns are ignored."""
-    parts = checkpointed(pieces(docs, tokenizer=tokenizer, ranks=ranks, capacity=capacity, end_id=end_id))
+    parts = checkpointed(pieces(docs, capacity=capacity, end_id=end_id))
     histogram = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}  # at most `capacity` rows
     lines = plan_lines(plan(histogram, capacity))
     keys = lines["length"].to_numpy(np.int64) << 44 | lines["rank"].to_numpy(np.int64)

@@ -42,7 +42,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,8 +104,43 @@ def test_language_accuracy_on_held_out_rows(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1
 
 
+def test_predictions_match_brute_force():
+    rng = random.Random(13)
+    train = {lang: language.normalise("".join(rng.choice(letters + "  ") for _ in range(400))) for lang, letters in (("a", "abcd"), ("b", "bcde"), ("c", "xyzé"))}
+    texts = ["".join(rng.choice("abcdexyzÉ- ") for _ in range(rng.randrange(0, 80))) for _ in range(80)] + [None, "", "12 - 3", "日本"]
+    names, scores = language.CrossParser(train, dense=3).predict(texts)
+    assert (names, scores.tolist()) == (lambda n, s: (n, s.tolist()))(*language.CrossParser(train).predict(texts))
+    for text, name, score in zip(texts, names, scores, strict=True):
+        plain = language.normalise(text or "")
+        if not plain:
+            assert (name, score) == ("und", 0)
+            continue
+        entropy = {lang: brute_phrases(plain, t) * math.log2(len(t)) for lang, t in train.items()}
+        best, second = sorted(entropy.values())[:2]
+        assert name == min(entropy, key=lambda lang: (entropy[lang], lang)) and math.isclose(score, 1 - best / second, abs_tol=1e-12)
+
+
+def test_scripts_of_three_thousand_letters_are_told_apart(spark):
+    """Two languages over the same 3,000 letters, each with word pairs of its own."""
+    rng = random.Random(31)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    words = {lang: ["".join(rng.choice(letters) for _ in range(2)) for _ in range(1500)] for lang in ("p", "q")}
+    rows = [(i, "".join(rng.choice(words["pq"[i % 2]]) for _ in range(120)), "pq"[i % 2]) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(df).where("held_out").collect()
+    assert len(got) > 50 and sum(r["lang_pred"] == "pq"[r["doc_id"] % 2] for r in got) >= 0.97 * len(got)
+
+
+def test_training_text_is_whole_rows(spark):
+    rows = [(i, f"{'abcdefgh'[i % 8] * 30} {i}", "x") for i in range(60)] + [(900 + i, "long " * 500, "y") for i in range(9)] + [(i % 60, "zz", "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.training_texts(df, sample_rows=8, letters=200)
+    assert set(found) == {"x", "y"} and set(found["y"].split()) == {"long"} and len(found["y"].split()) == 500
+    assert len(found["x"]) <= 200 and all(len(w) == 30 or w == "zz" for w in found["x"].split())
+
+
 def test_language_edges(odd, empty):
-    got = {(r["doc_id"], r["lang_pred"]) for r in language.identify(odd).collect()}
+    got = {(r["doc_id"], r["lang_pred"]) for r in language.identify(odd.withColumnRenamed("rank", "lang_pred")).collect()}
     assert (2, "und") in got and (3, "und") in got and (5, "und") in got
     assert language.identify(empty).count() == 0
 
@@ -125,11 +160,23 @@ def test_boilerplate_on_a_few_per_cent_of_a_site_goes(spark):
     """Of 400 pages: a menu on all, section lines on 5, 4 and 2.5 %, and lines on 1.5 % (6 pages) and 1 page, which stay."""
     planted = {"menu": 400, "section a": 20, "section b": 16, "section c": 10, "said by a few": 6}
     rows = [(i, "\n".join([*(x for x, n in planted.items() if i < n), f"body {i}"]), "site") for i in range(400)]
-    rows += [(1000 + i, f"section a\nother {i}" if i < 4 else f"other {i}", "small") for i in range(40)]
+    rows += [(1000 + i, f"section a\nother {i}" if i < 1 else f"other {i}", "small") for i in range(40)] + [(2000 + i, f"both\nown {i}", "tiny") for i in range(2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in lines.drop_boilerplate(df).collect()}
     want = {i: (f"said by a few\nbody {i}" if i < 6 else f"body {i}", sum(i < n for x, n in planted.items() if x != "said by a few")) for i in range(400)}
-    assert got == want | {i: (text, 0) for i, text, _ in rows[400:]}
+    assert got == want | {i: (text, 0) for i, text, _ in rows[400:440]} | {2000: ("own 0", 1), 2001: ("own 1", 1)}
+
+
+def test_boilerplate_with_clashing_columns(spark):
+    rows = [(i, f"menu\nbody {i}", "h", 100 + i, "a", "b", 7, i) for i in range(8)]
+    names = "doc_id long, text string, source string, n_chars int, _host string, _bad string, n_lines int, here int"
+    df = spark.createDataFrame(rows, names)
+    got = lines.drop_boilerplate(df)
+    assert got.columns == ["doc_id", "text", "source", "n_chars", "_host", "_bad", "here", "n_lines", "n_dropped"]
+    assert {tuple(r) for r in got.collect()} == {(i, f"body {i}", "h", 100 + i, "a", "b", i, 2, 1) for i in range(8)}
+    kept = lines.cleaned(df)
+    assert kept.columns == df.columns and {tuple(r) for r in kept.collect()} == {(i, f"body {i}", "h", len(f"body {i}"), "a", "b", 7, i) for i in range(8)}
+    assert lines.cleaned(df.limit(0)).count() == 0
 
 
 def test_salted_lookup_gives_the_same(spark, docs, monkeypatch):
@@ -140,39 +187,61 @@ def test_salted_lookup_gives_the_same(spark, docs, monkeypatch):
     assert sorted(map(str, lines.drop_boilerplate(docs).collect())) == want
 
 
-def test_host_of(spark):
-    urls = ["https://A.example.com:80/x", "http://u@b.org#t", "nothing", None]
-    df = spark.createDataFrame([(u,) for u in urls], "u string").select(lines.host_of(F.col("u")).alias("h"))
-    assert [r["h"] for r in df.collect()] == ["a.example.com", "b.org", None, None]
+# 4 licences
 
 
-# 4 licences
+def brute_scan(text):
+    lower = {c: c + 32 for c in range(65, 91)}
+    words = re.findall(licenses.WORD, (text or "").translate(lower))
+    base, every = [], []
+    for phrase, label in licenses.BASE.items():
+        p = phrase.split()
+        base += [(label, i, 1.0) for i in range(len(words)) if words[i : i + len(p)] == p]
+    for label, notice, key in licenses.NOTICES:
+        w, k = notice.split(), key.split()
+        at = next(i for i in range(len(w)) if w[i : i + len(k)] == k)
+        for s in range(-at, len(words)):
+            if s + at >= 0 and words[s + at : s + at + len(k)] == k:
+                share = sum(0 <= s + j < len(words) and words[s + j] == x for j, x in enumerate(w)) / len(w)
+                every += [(label, s, share)] if share >= licenses.COVERAGE else []
+    starts, names = [i for _, i, _ in base], lambda some: ",".join(sorted({x for x, _, _ in some}))
+    every += base
+    return (len(words), len(starts), min(starts, default=None), max(starts, default=None), names(base), names(every), max((x for _, _, x in every), default=0.0), len(every))
 
 
-def test_license_places_match_brute_force(spark):
+@pytest.fixture(scope="module")
+def licensed():
     rng = random.Random(5)
     pool = "cc by nc 4 0 general public license version 3 all rights reserved licensed under the apache 2 gnu work is this mit released é".split()
-    texts = [rng.choice([" ", ", ", "\n"]).join(rng.choice(pool).upper() if rng.random() < 0.2 else rng.choice(pool) for _ in range(rng.randrange(0, 80))) for _ in range(150)] + [None, "", "CC-BY cc by"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    lower = {c: c + 32 for c in range(65, 91)}
+    texts = [rng.choice([" ", ", ", "\n"]).join(rng.choice(pool).upper() if rng.random() < 0.2 else rng.choice(pool) for _ in range(rng.randrange(0, 80))) for _ in range(150)]
+    for _, notice, _ in licenses.NOTICES * 6:  # notices with some words changed, left out at an end, or whole
+        words = [rng.choice(pool) if rng.random() < rng.choice([0, 0.1, 0.25]) else w for w in notice.split()]
+        texts.append(" ".join([rng.choice(pool) for _ in range(rng.randrange(4))] + words[rng.randrange(3) :] + ["end"] * rng.randrange(2)))
+    return [*texts, None, "", "CC-BY cc by", " ".join(["the license all rights reserved"] * 4000)]
+
+
+def test_license_places_match_brute_force(spark, licensed):
+    df = spark.createDataFrame(list(enumerate(licensed)), "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("found", F.lit(2))
     for r in licenses.scan(df).collect():
-        words = re.findall(licenses.WORD, (texts[r["doc_id"]] or "").translate(lower))
-        starts, labels = [], set()
-        for phrase, label in licenses.BASE.items():
-            p = phrase.split()
-            here = [i for i in range(len(words)) if words[i : i + len(p)] == p]
-            starts += here
-            labels |= {label} if here else set()
-        every = set(labels)
-        for label, (notice, key) in licenses.NOTICES.items():
-            w, k = notice.split(), key.split()
-            at = next(i for i in range(len(w)) if w[i : i + len(k)] == k)
-            for s in range(-at, len(words)):
-                whole = words[max(0, s + at) : s + at + len(k)] == k and s + at >= 0
-                share = sum(0 <= s + j < len(words) and words[s + j] == x for j, x in enumerate(w)) / len(w)
-                every |= {label} if whole and share >= licenses.COVERAGE else set()
-        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(words), len(starts), min(starts, default=None), max(starts, default=None))
-        assert (r["base_labels"], r["labels"]) == (",".join(sorted(labels)), ",".join(sorted(every)))
+        assert tuple(r)[1:] == pytest.approx(brute_scan(licensed[r["doc_id"]])), licensed[r["doc_id"]]
+
+
+def test_idf_decides_the_lookups_and_no_result(spark, licensed):
+    df = spark.createDataFrame(list(enumerate(licensed)), "doc_id long, text string")
+    one = licenses.document_frequencies(df)
+    assert one["license"] == sum("license" in re.findall(licenses.WORD, (t or "").lower()) for t in licensed)
+    other = {w: 10_000 - n for w, n in one.items()}
+    looked = lambda f: df.select("doc_id", F.array_intersect(licenses.words_of(F.col("text")), F.array(*[F.lit(w) for w in one])).alias("has")).select(F.transform(licenses.candidates(F.col("has"), f), lambda t: F.struct(t["label"], F.transform(t["looked"], lambda j: F.get(t["words"], j)))).alias("x"))
+    sought = [[(t[0], tuple(t[1])) for r in looked(f).collect() for t in (r["x"] or [])] for f in (one, other)]
+    assert sought[0] != sought[1] and sum(one[w] for _, ws in sought[0] for w in ws) < sum(one[w] for _, ws in sought[1] for w in ws)
+    assert sorted(map(str, licenses.scan(df, one).collect())) == sorted(map(str, licenses.scan(df, other).collect()))
+
+
+def test_license_edges(odd, empty):
+    got = licenses.scan(odd.withColumnRenamed("rank", "has")).collect()
+    assert len(got) == odd.count() and all(r["labels"] == "" and r["n_base"] == 0 and r["first_word"] is None for r in got)
+    assert [r["n_words"] for r in got if r["doc_id"] == 1] == [9, 9] and {r["n_words"] for r in got if r["doc_id"] in (2, 3)} == {0}
+    assert licenses.scan(empty).count() == 0
 
 
 # 5 toxicity
@@ -187,6 +256,55 @@ def test_toxicity_on_rows_held_out_of_the_fit(spark):
     assert n.get((0, True), 0) <= 1 and n[1, True] >= 3 * n.get((1, False), 0)
 
 
+def brute_features(text):
+    words = set(re.findall(r"[^\W\d_]+|[^\w\s]+|_", (text or "").lower()))
+    return words | {w[:n] + "*" for n in (3, 4, 5) for w in words if len(w) > n}
+
+
+def brute_logistic(x, earlier, y, weight=None):
+    """A function from (x, earlier) to probabilities: features by their deviation, then Newton's method on the mean logistic
+    loss plus RIDGE / 2 times the squared weights; the intercept comes last."""
+    rate, df, hits = y.mean(), x.sum(axis=0), y @ x
+    kept = (df >= 2) & (np.abs(hits - df * rate) >= toxicity.DEVIATIONS * np.sqrt(np.maximum(df, 1) * rate * (1 - rate)))
+    design = lambda x, earlier: np.column_stack([x[:, kept], earlier, np.ones(len(x))])
+    z, sigmoid = design(x, earlier), lambda v: 1 / (1 + np.exp(-v))
+    share = (weight if weight is not None else np.ones(len(y))) / (weight.sum() if weight is not None else len(y))
+    w, ridge = np.zeros(z.shape[1]), np.r_[np.full(z.shape[1] - 1, toxicity.RIDGE), 0.0]
+    for _ in range(100):
+        p = sigmoid(z @ w)
+        hessian = (z * (share * p * (1 - p))[:, None]).T @ z + np.diag(ridge)
+        w -= np.linalg.lstsq(hessian, z.T @ (share * (p - y)) + ridge * w, rcond=None)[0]
+    return lambda x, earlier: sigmoid(design(x, earlier) @ w), w
+
+
+def test_chain_matches_brute_force(spark):
+    """Every probability of the chain, from features as sets of strings, folds, Newton fits and out-of-fold columns."""
+    rng = random.Random(17)
+    words = "red green blue stone paper water nasty awful garbage kind gentle morning evening".split()
+    rows, labels = [], []
+    for i in range(160):
+        low, bad = rng.random() < 0.4, rng.random() < 0.4
+        some = [rng.choice(words) for _ in range(8)] + (["###"] if low and rng.random() < 0.8 else []) + (["vile"] if bad and rng.random() < 0.7 else []) + (["junk"] if bad and low else [])
+        rows.append((i, " ".join(some)))
+        labels.append((i, int(not low), int(bad)))
+    docs, truth = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: (r["p_low_quality"], r["p_toxic"]) for r in toxicity.classify(docs, truth).collect()}
+    fold = {r[0]: r[1] for r in truth.select("doc_id", F.pmod(F.xxhash64(F.xxhash64("doc_id")), F.lit(toxicity.FOLDS))).collect()}
+    names = sorted(set().union(*[brute_features(t) for _, t in rows]))
+    x = np.array([[f in brute_features(t) for f in names] for _, t in rows], float)
+    low, bad = (np.array(v, float) for v in ([1 - q for _, q, _ in labels], [t for _, _, t in labels]))
+    folds, none = np.array([fold[i] for i, _ in rows]), np.zeros((len(rows), 0))
+    weight = np.where(bad > 0, toxicity.EMPHASIS, 1.0)
+    first, apart = brute_logistic(x, none, low, weight)[0](x, none), np.zeros(len(rows))
+    for f in range(toxicity.FOLDS):
+        out = folds == f
+        apart[out] = brute_logistic(x[~out], none[~out], low[~out], weight[~out])[0](x[out], none[out])
+    model, w = brute_logistic(x, apart[:, None], bad, weight)
+    second = model(x, first[:, None])
+    assert np.allclose([got[i] for i, _ in rows], np.stack([first, second], axis=1), atol=0.005)
+    assert np.abs(apart - first).max() > 0.02 and abs(w[-2]) > 0.1  # the folds and the chain make a difference
+
+
 def test_toxicity_edges(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = spark.createDataFrame([(1, 0, 1), (1, 1, 1), (4, 1, 0), (5, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
@@ -196,6 +314,16 @@ def test_toxicity_edges(spark, odd, empty):
     assert toxicity.classify(empty, some).count() == 0
 
 
+def test_toxicity_with_clashing_columns(spark):
+    rows = [(i, "vile text" if i % 2 else "kind text", "a", i, 9, 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, is_toxic string, p_toxic int, x int, fold int")
+    labels = df.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = toxicity.classify(df, labels)
+    assert got.columns == ["doc_id", "text", "x", "fold", "p_low_quality", "p_toxic", "is_toxic"] and all(r["is_toxic"] == bool(r["doc_id"] % 2) and r["x"] == 9 for r in got.collect())
+    kept = toxicity.accepted(df, labels)
+    assert kept.columns == df.columns and {tuple(r) for r in kept.collect()} == {r for r in rows if not r[0] % 2}
+
+
 # 6 fingerprints
 
 
@@ -397,6 +525,32 @@ def test_crowded_cells_are_cut_into_blocks(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in lattice.link(df).collect()} == brute_links(rows)
 
 
+def test_lattice_recall_at_the_threshold(spark):
+    """Pairs at a cosine of 0.93 to 0.935, which must be found in at least nine of ten cases, and of 0.925 to 0.93, which never link."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for k in range(600):
+        x, y = rng.standard_normal(64), rng.standard_normal(64)
+        x /= np.linalg.norm(x)
+        y -= (y @ x) * x
+        y /= np.linalg.norm(y)
+        c = 0.93 + (0.001 + 0.004 * rng.random()) * (1 if k % 2 else -1)
+        rows += [(2 * k, x.tolist(), k % 3), (2 * k + 1, (c * x + math.sqrt(1 - c * c) * y).tolist(), k % 3)]
+        want[2 * k] = k % 2
+    got = {r["vec_id"]: r["n_links"] for r in lattice.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert all(got[i] == 0 for i, near in want.items() if not near)
+    assert sum(got[i] for i, near in want.items() if near) >= 0.9 * sum(want.values())
+
+
+def test_lattice_of_huge_tiny_and_repeated_vectors(spark):
+    base = np.random.default_rng(3).standard_normal(64)
+    other = base + 0.01
+    rows = [(1, (base * 1e200).tolist(), "a"), (2, (other * 1e200).tolist(), "a"), (3, (base * 1e-200).tolist(), "a"), (4, (base * 1e300).tolist(), "b"), (5, base.tolist(), "b"), (5, base.tolist(), "b"), (6, [1e-310] * 64, "c"), (7, [2e-310] * 64, "c")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").withColumn("node", F.lit(1))
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in lattice.link(df).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 2, 4, True), (5, 2, 4, False), (5, 2, 4, False), (6, 1, 6, True), (7, 1, 6, False)]
+
+
 def test_e8_points_are_nearest():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((300, 8)) * 2
@@ -480,11 +634,11 @@ def test_counts_follow_poisson(spark):
     rows = [(i, "big" if i % 10 else "small") for i in range(20_000)]
     df = spark.createDataFrame(rows, "doc_id long, source string").withColumn("rate", F.lit("x"))
     weights = spark.createDataFrame([("big", 1.0), ("small", 3.0)], "source string, weight double")
-    got = mixing.copies(df.drop("rate"), weights).groupBy("source").agg(F.count("*").alias("n"), F.max("rate").alias("rate")).collect()
+    got = mixing.copies(df, weights).groupBy("source").agg(F.count("*").alias("n"), F.max("rate").alias("rate")).collect()
     for r in got:
         want = 5000 if r["source"] == "big" else 15_000
         assert abs(r["n"] - want) < 5 * math.sqrt(want)
-    counts = mixing.copies(df.drop("rate"), weights).where("source = 'small'").groupBy("doc_id").count()
+    counts = mixing.copies(df, weights).where("source = 'small'").groupBy("doc_id").count()
     n = {r["count"]: r["docs"] for r in counts.groupBy("count").agg(F.count("*").alias("docs")).collect()}
     rate = 7.5
     for k in range(4, 12):
@@ -501,6 +655,10 @@ def test_large_rates_are_sums_of_draws(spark):
 def test_mixing_edges(odd, empty):
     got = mixing.copies(odd).collect()
     assert {r["source"] for r in got} <= {None, "s", "t"} and mixing.mix(empty).count() == 0
+    clash = odd.withColumnRenamed("rank", "rate").withColumn("copy", F.lit("c")).withColumn("cdf", F.lit(0)).withColumn("_source", F.lit("u"))
+    assert mixing.mix(clash).columns == [*odd.columns[:-1], "cdf", "_source", "rate", "copy"]
+    same = mixing.mix(clash, counted=False)
+    assert same.columns == clash.columns and sorted(r["rate"] for r in same.collect()) == sorted(r["rank"] for r in got)
 
 
 # 10 join
@@ -571,6 +729,9 @@ def test_banding_reaches_its_recall():
 def test_join_edges(odd, empty):
     got = ngram_join.link(odd).collect()
     assert len(got) == odd.count() and sorted(r["n_links"] for r in got if r["doc_id"] == 1) == [1, 1]
+    clash = odd.withColumn("_kept", F.lit("x")).withColumn("_md5", F.lit("y")).withColumn("id", F.lit(1)).withColumn("node", F.lit("z"))
+    assert sorted(map(str, ngram_join.keep_one(clash).drop("_kept", "_md5", "id", "node").collect())) == sorted(map(str, ngram_join.keep_one(odd).collect()))
+    assert {(r["_kept"], r["_md5"], r["id"], r["node"]) for r in ngram_join.keep_one(clash).collect()} == {("x", "y", 1, "z")}
     kept = ngram_join.keep_one(odd)
     assert kept.count() == odd.count() - 1 and kept.columns == odd.columns
     assert ngram_join.link(empty).count() == 0 and ngram_join.keep_one(empty).count() == 0
