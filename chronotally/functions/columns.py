@@ -135,13 +135,15 @@ def job_class(is_build: Column, trigger: Column, control: Column, maintenance: C
     return F.when(is_build, build).when(control, "control").when(maintenance, "maintenance").otherwise("other")
 
 
-def derive_trigger(event: Column, title: Column) -> Column:
-    """Trigger of a run. A dispatch whose title names branch, batch, head and base is staging if the branch is main;
-    any other dispatch is unknown; other events stand for themselves."""
-    branch = F.regexp_extract(title, r"^bors branch=(\S+) batch=(\d+) head=([0-9a-f]{40}) base=([0-9a-f]{40})$", 1)
+def derive_trigger(event: Column, title: Column, workflow: Column, given: Column, staging: str) -> Column:
+    """Trigger of a run: a given one stands. A repository dispatch of the ``staging`` workflow is staging if its title names
+    branch, batch, head and base and the branch is main, else it is an unknown one; other events stand for themselves,
+    dispatches of other workflows too."""
+    branch = F.regexp_extract(F.coalesce(title, F.lit("")), r"^bors branch=(\S+) batch=(\d+) head=([0-9a-f]{40}) base=([0-9a-f]{40})$", 1)
+    event = F.coalesce(event, F.lit(""))
     return (
-        F.when(event.isin("pull_request", "pull_request_target"), "pr").when(event == "merge_group", "merge_queue")
-        .when(event == "repository_dispatch", F.when(branch == "main", "bors_staging").otherwise("bors_unknown")).otherwise(event)
+        F.when(F.coalesce(given, F.lit("")) != "", given).when((event == "repository_dispatch") & F.coalesce(workflow == staging, F.lit(False)), F.when(branch == "main", "bors_staging").otherwise("bors_unknown"))
+        .when(event.isin("pull_request", "pull_request_target"), "pr").when(event == "merge_group", "merge_queue").otherwise(event)
     )
 
 
@@ -151,10 +153,6 @@ def change_cohort(paths: Column, truncated: Column, dependency_files: Sequence[s
     return F.when(~known, "unknown").when(F.arrays_overlap(paths, F.array(*[F.lit(f) for f in dependency_files])), "dependency-bump").otherwise("ordinary")
 
 
-def all_null_safe_equal(pairs: Sequence[tuple[Column, Column]]) -> Column:
-    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs], F.lit(True))
-
-
 # Steps that build, ordered rules over their log lines, lines that prove nothing, and rules over other steps' names.
 BUILD_STEP = "Build exact candidate|lake build|^Build$"
 LOG_RULES = [

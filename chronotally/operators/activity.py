@@ -31,12 +31,45 @@ def pool_activity(df: DataFrame, pool: str, state: str, created: str, started: s
     )
 
 
-def backlog_state(status: Column, created: Column, running: Column, queued: Column, known: Column, clock: int, stuck: int) -> Column:
-    """State of a workflow from its jobs, by ordered rules."""
+#: A workflow that nothing touched for so long is settled.
+SETTLED = 5_400_000_000
+
+
+def backlog_state(status: Column, verified: Column, touched: Column, active: Column, actual: Column, running: Column, clock: int) -> Column:
+    """State of a workflow that is not completed, by ordered rules, from its run's status and the counts of its attempt's
+    jobs: active ones, of them actual (not estimated) ones, of them running ones. A settled one (enumerated, without active
+    jobs, not held back, and not touched for long) is stuck."""
+    held = status.isin("pending", "waiting", "requested")
+    settled = ~held & verified & (active == 0) & (clock - touched >= SETTLED)
     return (
-        F.when(status == "completed", None).when(~known, "unconfirmed").when(running > 0, "in_progress")
-        .when(stale_waiting(created, clock), "stale").when((queued > 0) & (created < clock - stuck), "stuck").when(queued > 0, "queued").otherwise("pending")
+        F.when(settled, "stuck").when(running > 0, "in_progress").when(held | ((status == "in_progress") & (actual > 0)), "pending")
+        .when(status == "queued", "queued").when(status == "in_progress", "pending").otherwise("unconfirmed")
+    )
+
+
+def workflow_backlog(runs: DataFrame, jobs: DataFrame, category: str, clock: int) -> DataFrame:
+    """Open workflows with their state; superseded attempts are left out, whatever their jobs.
+
+    runs: run, attempt, status, verified, created, updated, started and the category; jobs: run, attempt, active, estimated,
+    in_progress, created (0 or null: unknown). ``since`` is set where a workflow waits for a runner that may never come: queued
+    without jobs, or with nothing but waiting jobs of known creation; it is stale once that hour lies a day back."""
+    fields = [c for c in runs.columns if c not in ("run", "attempt")]
+    newest = runs.groupBy("run").agg(F.max_by(F.struct("attempt", *fields), "attempt").alias("r")).select("run", "r.*").where("status <> 'completed'")
+    on, actual = F.coalesce(F.col("active"), F.lit(False)), F.col("active") & ~F.coalesce(F.col("estimated"), F.lit(False))
+    running = actual & F.coalesce(F.col("in_progress"), F.lit(False))
+    counts = jobs.groupBy("run", "attempt").agg(
+        F.count_if(on).alias("active_jobs"), F.count_if(actual).alias("actual_jobs"), F.count_if(running).alias("running_jobs"),
+        F.count_if(actual & ~running & (F.col("created") > 0)).alias("dated"), F.max(F.when(actual & ~running, F.col("created"))).alias("latest"),
     )
+    rows = newest.join(counts, ["run", "attempt"], "left").fillna(0, ["active_jobs", "actual_jobs", "running_jobs", "dated"])
+    known = lambda c: F.coalesce(F.col(c), F.lit(0))
+    touched = F.greatest(known("created"), known("updated"), known("started"))
+    rows = rows.withColumn("state", backlog_state(F.col("status"), F.coalesce("verified", F.lit(False)), touched, F.col("active_jobs"), F.col("actual_jobs"), F.col("running_jobs"), clock))
+    queued_since = F.nullif(F.greatest(known("created"), known("started")), F.lit(0))
+    waits = F.col("status").isin("queued", "in_progress") & (F.col("running_jobs") == 0) & (F.col("actual_jobs") > 0) & (F.col("dated") == F.col("actual_jobs"))
+    since = F.when((F.col("status") == "queued") & (F.col("actual_jobs") == 0), queued_since).when(waits, F.col("latest"))
+    stale = F.coalesce(stale_waiting(since, clock), F.lit(False))
+    return rows.select("run", "attempt", category, "created", "actual_jobs", "running_jobs", since.alias("since"), F.when(stale, "stale").otherwise(F.col("state")).alias("state"))
 
 
 def recent_cohorts(df: DataFrame, active: Column, klass: str, order: Sequence[Column], limits: dict[str, int], most_active: int) -> DataFrame:

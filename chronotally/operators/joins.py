@@ -33,14 +33,14 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at:
     return rows.where("_l is not null").select("_l.*", F.col("_found").alias(f"asof_{value}"))
 
 
-def pit_feature_join(left: DataFrame, features: DataFrame, keys: Sequence[str], known_at: str, available_at: str, tie: Sequence[str]) -> DataFrame:
-    """Latest feature of exactly this key that was available when the left row was known; null if none. Ties by ``tie``."""
+def pit_feature_join(left: DataFrame, features: DataFrame, keys: Sequence[str], known_at: str, available_at: str, tie: Sequence[str], *, slice_: int | None = None) -> DataFrame:
+    """Latest feature of exactly this key that was available when the left row was known; null if none. Ties by ``tie``.
+
+    An as-of union: every left row, repeated or with nulls, comes back once. A null key or time has no feature."""
     cols = [c for c in features.columns if c not in keys]
-    best = F.max(F.struct(F.col(available_at).alias("_at"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)], F.struct(*cols).alias("_f")))
-    pairs = left.join(features, list(keys)).where(F.col(available_at) <= F.col(known_at))
-    found = pairs.groupBy(*left.columns).agg(best.alias("_b")).select(*left.columns, "_b._f.*")
-    missing = left.join(found.select(*left.columns).distinct(), left.columns, "left_anti")
-    return found.unionByName(missing, allowMissingColumns=True)
+    usable = features.dropna(subset=[*keys, available_at]).select(*keys, F.col(available_at).alias("_at"), F.struct(F.struct(*tie).alias("tie"), F.struct(*cols).alias("f")).alias("_f"))
+    found = asof_latest(left, usable, keys, known_at, "_at", "_f", slice_=slice_)
+    return found.select(*left.columns, "asof__f.f.*")
 
 
 def interval_overlap_join(intervals: DataFrame, windows: DataFrame, start: str, end: str, lo: str, hi: str, slot: int, keys: Sequence[str] = ()) -> DataFrame:

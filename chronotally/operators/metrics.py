@@ -56,9 +56,11 @@ def diff_contributions(before: DataFrame, after: DataFrame) -> DataFrame:
     return summed(after.select(*KEY, "amount").unionByName(before.select(*KEY, (-F.col("amount")).alias("amount"))))
 
 
-def apply_deltas(state: DataFrame, deltas: DataFrame, receipt: str) -> DataFrame:
-    """State after deltas, each receipt's rows counted once however often it came."""
-    once = deltas.groupBy(receipt, *KEY).agg(F.first("amount").alias("amount"))
+def apply_deltas(state: DataFrame, deltas: DataFrame, receipt: str, delivery: str) -> DataFrame:
+    """State after deltas. A receipt that was delivered several times counts once: all rows of its smallest ``delivery``
+    are added, also several of one key, and no row of a later one."""
+    first = deltas.groupBy(receipt).agg(F.min(delivery).alias("_first"))
+    once = deltas.join(first, receipt).where(F.col(delivery) == F.col("_first"))
     return summed(state.select(*KEY, "amount").unionByName(once.select(*KEY, "amount")))
 
 

@@ -39,15 +39,14 @@ def sample_weights(df: DataFrame, keys: Sequence[str], fetched: Column, skipped:
 def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, *, fallback: tuple[float, float] = (1.0, 0.0)) -> DataFrame:
     """Least squares y = intercept + slope x per key, slope at least 0 and intercept at least 1, 9 digits.
 
-    The intercept is taken from the means after the slope is clamped. Fewer than 3 rows or one distinct x give the fallback."""
-    sums = df.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.count_distinct(x).alias("xs"), F.avg(F.col(x).cast("double")).alias("mx"), F.avg(F.col(y).cast("double")).alias("my"), F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("b")
-    )
-    ok = (F.col("n") >= 3) & (F.col("xs") > 1)
-    slope = F.greatest(F.col("b"), F.lit(0.0))
-    return sums.select(
-        *keys, "n", F.when(ok, F.round(F.greatest(F.col("my") - slope * F.col("mx"), F.lit(1.0)), 6)).otherwise(fallback[0]).alias("intercept"), F.when(ok, F.round(slope, 9)).otherwise(fallback[1]).alias("slope")
-    )
+    The intercept is taken from the means after the slope is clamped. Fewer than 3 rows or one distinct x give the fallback.
+    Rows with a null x or y do not count. Plain sums add up the same in any order as long as x and y are whole numbers."""
+    u, v = F.col(x).cast("double"), F.col(y).cast("double")
+    sums = df.where(u.isNotNull() & v.isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), F.min(u).alias("lo"), F.max(u).alias("hi"), F.sum(u).alias("sx"), F.sum(v).alias("sy"), F.sum(u * u).alias("sxx"), F.sum(u * v).alias("sxy"))
+    ok = (F.col("n") >= 3) & (F.col("lo") < F.col("hi"))
+    slope = F.greatest(F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")), F.lit(0.0))
+    intercept = F.greatest((F.col("sy") - slope * F.col("sx")) / F.col("n"), F.lit(1.0))
+    return sums.select(*keys, "n", F.when(ok, F.round(intercept, 9)).otherwise(fallback[0]).alias("intercept"), F.when(ok, F.round(slope, 9)).otherwise(fallback[1]).alias("slope"))
 
 
 def group_medians(df: DataFrame, keys: Sequence[str], value: str, ok: Column) -> DataFrame:
@@ -71,12 +70,23 @@ def drift_invalidate(df: DataFrame, keys: Sequence[str], identity: str, ok: Colu
     return df.withColumn("comparable", (kinds == 1) & (unknown == 0))
 
 
-def group_overlap_cost(df: DataFrame, group: str, member: str, modules: str, weight: str) -> DataFrame:
-    """Cost of a group: each member's weight, discounted by the share of its modules that earlier members had."""
-    rows = df.select(group, member, weight, F.explode(F.array_distinct(modules)).alias("_m"))
-    first = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_m").orderBy(member)))
-    own = first.groupBy(group, member, weight).agg(F.count("*").alias("n"), F.count_if(F.col("_r") == 1).alias("new"))
-    return own.groupBy(group).agg(F.count("*").alias("members"), F.round(F.sum(F.col(weight) * F.col("new") / F.col("n")), 6).alias("cost"))
+def group_overlap_cost(
+    df: DataFrame, group: str, member: str, modules: str, weight: str, *, overlap: float = 0.5, behind: str | None = None, dependency: str | None = None,
+    fixed: float = 0.0, per_work: float = 1.0, scale: float = 1.0, multiplier: float = 1.0,
+) -> DataFrame:
+    """members, work and cost per group. A member's weight is discounted by ``overlap`` times the share of its modules that
+    members before it (by ``member``) had, and grows by how far it is ``behind``, 500 at most, in units of 500. The cost is
+    fixed + per_work * work * scale, times the multiplier if any member has the ``dependency`` flag. A member without
+    modules counts in full."""
+    extra = [F.coalesce(F.col(behind), F.lit(0)).alias("_behind") if behind else F.lit(0).alias("_behind"), F.coalesce(F.col(dependency), F.lit(False)).alias("_dep") if dependency else F.lit(False).alias("_dep")]
+    rows = df.select(group, member, weight, *extra, F.explode_outer(F.array_distinct(modules)).alias("_m"))
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_m").orderBy(member)))
+    own = rows.groupBy(group, member).agg(F.max(weight).alias("w"), F.max("_behind").alias("b"), F.bool_or("_dep").alias("d"), F.count("_m").alias("n"), F.count_if((F.col("_r") > 1) & F.col("_m").isNotNull()).alias("shared"))
+    share = F.coalesce(F.try_divide(F.col("shared"), F.col("n")), F.lit(0.0))
+    work = F.col("w") * (1 - F.lit(float(overlap)) * share) * (1 + F.least(F.col("b"), F.lit(500)) / F.lit(500.0))
+    out = own.groupBy(group).agg(F.count("*").alias("members"), F.sum(work).alias("work"), F.bool_or("d").alias("_d"))
+    cost = (F.lit(float(fixed)) + F.lit(float(per_work)) * F.col("work") * F.lit(float(scale))) * F.when(F.col("_d"), F.lit(float(multiplier))).otherwise(1.0)
+    return out.select(group, "members", F.round("work", 6).alias("work"), F.round(cost, 6).alias("cost"))
 
 
 def daily_median(df: DataFrame, day: Column, least: int, q: float = 0.5) -> DataFrame:

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that the session names; loops below cut their lineage with it."""
+    """Reliable checkpoint in the folder that the session names; loops below cut their lineage with it. A folder is only
+    made up in a local session, as in tests: executors of a cluster share no local one."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            import tempfile
+
+            folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

@@ -51,8 +51,9 @@ def diff_contributions(spark, d):
 @query(f"with {_WORK}, {_METRICS} select day, bucket, metric, value, {_ROUND} from rows where id % 2 = 0 or id % 10 = 1 group by all having abs(sum(amount)) >= 1e-9")
 def apply_deltas(spark, d):
     rows = M.contributions(work(spark, d), step=STEP, keep=["id"])
-    deltas = rows.where("id % 10 = 1").groupBy("id", *M.KEY).agg(F.sum("amount").alias("amount")).withColumnRenamed("id", "receipt")
-    return _rounded(M.apply_deltas(M.summed(rows.where("id % 2 = 0")), deltas.unionByName(deltas), "receipt"))
+    deltas = rows.where("id % 10 = 1").withColumn("receipt", F.floor(F.col("id") / 100))  # several rows of one key in a receipt
+    twice = deltas.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+    return _rounded(M.apply_deltas(M.summed(rows.where("id % 2 = 0")), twice, "receipt", "delivery"))
 
 
 _FIX = "select id, day, bucket, split_part(metric, '/', 1) || '/' as p, metric, value, amount from rows where id % 20 = 0 and metric not like '%/click'"

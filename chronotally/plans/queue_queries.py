@@ -55,15 +55,17 @@ def _settings_windows(rows):
     return pairs.groupBy("run", "kind", "lo", "hi").agg(F.count("id").alias("n"), F.sum("overlap").alias("busy"))
 
 
-@query(f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo where seg.run < 40 group by all""")
+_SETTINGS = f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo and hi > lo group by all"""
+
+
+@query(_SETTINGS)
 def settings_windows(spark, d):
-    """A sample: runs under 40. settings_windows_all has every run."""
-    return _settings_windows(jobs(spark, d).where("run < 40"))
+    return _settings_windows(jobs(spark, d))
 
 
-@query(f"""with {_SEG} select seg.run, seg.kind, seg.lo, seg.hi, count(j.id) as n, cast(coalesce(sum(least(j.b, hi) - greatest(j.a, lo)), 0) as bigint) as busy from seg join (select * from jobs where b > a) j on j.run = seg.run and j.a < hi and j.b > lo and hi > lo group by all""")
+@query(_SETTINGS)
 def settings_windows_all(spark, d):
-    return _settings_windows(jobs(spark, d))
+    return settings_windows(spark, d)
 
 
 @query(f"""with p as (select min(a) as t0 from jobs), x as (select t0, unnest([0, 1, 2, 3]) as k from p), w as (select k, t0 + k * {DAY} as lo, t0 + k * {DAY} + (k + 1) * {6 * HOUR} as hi from x),
@@ -111,15 +113,17 @@ def _post_merge_attribution(rows):
     return rows.groupBy("head").agg(one.alias("engine"), F.count("*").alias("n"))
 
 
-@query("select head, case when count(distinct workflow) = 1 then min(workflow) end as engine, count(*) as n from runs where run % 4 = 0 group by head")
+_ENGINES = "select head, case when count(distinct workflow) = 1 then min(workflow) end as engine, count(*) as n from runs group by head"
+
+
+@query(_ENGINES)
 def post_merge_attribution(spark, d):
-    """A sample: every fourth run. post_merge_attribution_all has all."""
-    return _post_merge_attribution(runs(spark, d).where("run % 4 = 0"))
+    return _post_merge_attribution(runs(spark, d))
 
 
-@query("select head, case when count(distinct workflow) = 1 then min(workflow) end as engine, count(*) as n from runs group by head")
+@query(_ENGINES)
 def post_merge_attribution_all(spark, d):
-    return _post_merge_attribution(runs(spark, d))
+    return post_merge_attribution(spark, d)
 
 
 @query("""with recursive n as (select conv_id as scope, turn, conv_id * 1000 + turn as id, turn % 5 = 3 as failed from (select distinct conv_id, turn from conversations)),
@@ -185,17 +189,18 @@ def clock_inversions(spark, d):
     return N.clock_inversions(jobs(spark, d).select("run", "id", "a"), ["run"], "id", "a").select("run", "id", "monotone", "uncertain")
 
 
-@query(f"""with c as (select run, a, value from jobs where run < 20), g as (select distinct run, unnest(range({LO}, {LO + 3 * DAY} + 1, {10 * MINUTE})) as tick from c)
-    select run, tick, (select max_by(value, (a, value)) from c where c.run = g.run and c.a <= tick) as value from g""")
+_SAMPLES = f"""with c as (select run, a, max(value) as value from jobs where value is not null group by all), g as (select distinct run, unnest(range({LO}, {LO + 30 * DAY} + 1, {10 * MINUTE})) as tick from jobs)
+    select g.run, g.tick, c.value from g asof left join c on c.run = g.run and c.a <= g.tick"""
+
+
+@query(_SAMPLES)
 def minute_samples(spark, d):
-    """A sample: runs under 20 and three days. minute_samples_all has all."""
-    return N.minute_samples(jobs(spark, d).where("run < 20"), ["run"], "a", "value", LO, LO + 3 * DAY, 10 * MINUTE)
+    return N.minute_samples(jobs(spark, d), ["run"], "a", "value", LO, LO + 30 * DAY, 10 * MINUTE)
 
 
-@query(f"""with c as (select run, a, max(value) as value from jobs where value is not null group by all), g as (select distinct run, unnest(range({LO}, {LO + 30 * DAY} + 1, {10 * MINUTE})) as tick from jobs)
-    select g.run, g.tick, c.value from g asof left join c on c.run = g.run and c.a <= g.tick""")
+@query(_SAMPLES)
 def minute_samples_all(spark, d):
-    return N.minute_samples(jobs(spark, d), ["run"], "a", "value", LO, LO + 30 * DAY, 10 * MINUTE)
+    return minute_samples(spark, d)
 
 
 @query("""with g as (select run, min(n) as lo, max(n) as hi, count(*) as c, count(distinct n) as dn from steps group by run)
@@ -241,14 +246,29 @@ def oldest_reference(spark, d):
     return live(spark, d).groupBy("pool", "state").agg(A.oldest_reference("id", "created", F.lit(True)).alias("oldest"))
 
 
-@query(f"""with g as (select run, min(case when id % 17 <> 0 then a end) as created, count(*) filter (where kind = 'click') as running, count(*) filter (where kind = 'view') as queued, bool_and(id % 23 <> 0) as known, count(*) as jobs, run % 3 as category from jobs where a > {CLOCK} - {2 * DAY} and a <= {CLOCK} group by run),
-    s as (select *, case when not known then 'unconfirmed' when running > 0 then 'in_progress' when coalesce(created // {HOUR} * {HOUR} + {HOUR} <= {CLOCK - DAY}, false) then 'stale' when queued > 0 and created < {CLOCK} - {6 * HOUR} then 'stuck' when queued > 0 then 'queued' else 'pending' end as state from g)
-    select category, state, count(*) as n, min(created) as oldest, cast(sum(jobs) as bigint) as jobs from s group by all""")
+_STATUSES = ["queued", "in_progress", "pending", "waiting", "requested", "completed", "odd"]
+
+
+@query(f"""with t as (select run, 1 + id % 2 as attempt, kind <> 'purchase' as active, id % 29 = 0 as estimated, kind = 'click' and id % 13 <> 0 as in_progress, case when id % 17 <> 0 then a end as created, a from jobs where run % 50 <> 0 or kind = 'purchase'),
+    r as (select run, attempt, {_STATUSES!r}[run % 7 + 1] as status, run % 5 <> 0 as verified, run % 3 as category, min(a) as created, max(a) as touched from t group by all),
+    n as (select * from r where status <> 'completed' and attempt = (select max(attempt) from r o where o.run = r.run)),
+    c as (select run, attempt, count(*) filter (where active) as active_jobs, count(*) filter (where active and not estimated) as actual, count(*) filter (where active and not estimated and in_progress) as running,
+        count(*) filter (where active and not estimated and not in_progress and created > 0) as dated, max(created) filter (where active and not estimated and not in_progress) as latest from t group by all),
+    s as (select n.*, actual, running, case when status not in ('pending', 'waiting', 'requested') and verified and active_jobs = 0 and {CLOCK} - touched >= 5400000000 then 'stuck' when running > 0 then 'in_progress'
+        when status in ('pending', 'waiting', 'requested') or status = 'in_progress' and actual > 0 then 'pending' when status = 'queued' then 'queued' when status = 'in_progress' then 'pending' else 'unconfirmed' end as state,
+        case when status = 'queued' and actual = 0 then n.created when status in ('queued', 'in_progress') and running = 0 and actual > 0 and dated = actual then latest end as since from n join c using (run, attempt)),
+    x as (select *, case when coalesce(since // {HOUR} * {HOUR} + {HOUR} <= {CLOCK - DAY}, false) then 'stale' else state end as final from s)
+    select category, final as state, count(*) as n, min(created) as oldest, cast(sum(actual) as bigint) as jobs, cast(sum(running) as bigint) as running from x group by all""")
 def workflow_backlog(spark, d):
-    rows = jobs(spark, d).where(f"a > {CLOCK - 2 * DAY} and a <= {CLOCK}")
-    g = rows.groupBy("run").agg(F.min(F.when(F.col("id") % 17 != 0, F.col("a"))).alias("created"), F.count_if(F.col("kind") == "click").alias("running"), F.count_if(F.col("kind") == "view").alias("queued"), F.bool_and(F.col("id") % 23 != 0).alias("known"), F.count("*").alias("jobs"))
-    state = A.backlog_state(F.lit("open"), F.col("created"), F.col("running"), F.col("queued"), F.col("known"), CLOCK, 6 * HOUR)
-    return g.groupBy((F.col("run") % 3).alias("category"), state.alias("state")).agg(F.count("*").alias("n"), F.min("created").alias("oldest"), F.sum("jobs").alias("jobs"))
+    """Every run with its newest attempt, whatever its age."""
+    t = jobs(spark, d).where("run % 50 <> 0 or kind = 'purchase'").select(
+        "run", (1 + F.col("id") % 2).alias("attempt"), (F.col("kind") != "purchase").alias("active"), (F.col("id") % 29 == 0).alias("estimated"),
+        ((F.col("kind") == "click") & (F.col("id") % 13 != 0)).alias("in_progress"), F.when(F.col("id") % 17 != 0, F.col("a")).alias("created"), "a",
+    )
+    status = F.get(F.array(*[F.lit(x) for x in _STATUSES]), (F.col("run") % 7).cast("int"))
+    r = t.groupBy("run", "attempt").agg(F.min("a").alias("created"), F.max("a").alias("updated")).select("run", "attempt", status.alias("status"), (F.col("run") % 5 != 0).alias("verified"), "created", "updated", F.col("created").alias("started"), (F.col("run") % 3).alias("category"))
+    out = A.workflow_backlog(r, t, "category", CLOCK)
+    return out.groupBy("category", "state").agg(F.count("*").alias("n"), F.min("created").alias("oldest"), F.sum("actual_jobs").alias("jobs"), F.sum("running_jobs").alias("running"))
 
 
 @query("with p as (select repo, head % 8 as part, count(*) as n, sum(attempt) as attempts, case when repo = 'repo1' and head % 8 = 3 then null else repo <> 'repo2' or head % 8 <> 5 end as complete from runs group by all) select repo, cast(sum(n) as bigint) as n, cast(sum(attempts) as bigint) as attempts, case when bool_and(coalesce(complete, false)) then 'complete' else 'partial' end as coverage from p group by repo")

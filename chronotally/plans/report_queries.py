@@ -280,12 +280,14 @@ def drift_invalidate(spark, d):
     return R.drift_invalidate(rows, ["run"], "identity", F.col("conclusion") != "failure").select("run", "n", "comparable")
 
 
-@query("""with s as (select n, kind, wait_s::double as x, run_s::double as y from steps where conclusion <> 'failure'), f as (select n, kind, count(*) as c, count(distinct x) as xs, avg(x) as mx, avg(y) as my, greatest(regr_slope(y, x), 0) as b from s group by all)
-    select n, kind, c as rows, case when c >= 3 and xs > 1 then round(greatest(my - b * mx, 1), 6) else 1 end as intercept, case when c >= 3 and xs > 1 then round(b, 6) else 0 end as slope from f""")
+@query("""with s as (select n, kind, wait_s::double as x, run_s::double as y from steps where conclusion <> 'failure'),
+    f as (select n, kind, count(*) as c, min(x) as lo, max(x) as hi, sum(x) as sx, sum(y) as sy, sum(x * x) as sxx, sum(x * y) as sxy from s group by all),
+    b as (select *, case when c >= 3 and lo < hi then greatest((c * sxy - sx * sy) / (c * sxx - sx * sx), 0) end as b from f)
+    select n, kind, c as rows, case when b is not null then round(greatest((sy - b * sx) / c, 1), 9) else 1 end as intercept, case when b is not null then round(b, 9) else 0 end as slope from b""")
 def linear_fit(spark, d):
     rows = steps(spark, d).where("conclusion <> 'failure'").withColumnRenamed("n", "k")
     out = R.linear_fit(rows, ["k", "kind"], "wait_s", "run_s")
-    return out.select(F.col("k").alias("n"), "kind", F.col("n").alias("rows"), "intercept", F.round("slope", 6).alias("slope"))
+    return out.select(F.col("k").alias("n"), "kind", F.col("n").alias("rows"), "intercept", "slope")
 
 
 @query(f"select count(*) as runs, count(*) filter (where c is null) as missing, cast(sum(s) as bigint) as seconds, count(distinct case when conclusion = 'success' then pr end) as accepted, min(created) <= 788918400000000 as covered from runs left join (select run, count(*) as c, sum(run_s) as s from steps group by run) using (run)")
@@ -295,12 +297,16 @@ def observed_baseline(spark, d):
     return rows.agg(F.count("*").alias("runs"), F.count_if(F.col("c").isNull()).alias("missing"), F.sum("s").alias("seconds"), F.count_distinct(F.when(F.col("conclusion") == "success", F.col("pr"))).alias("accepted"), (F.min("created") <= 788_918_400_000_000).alias("covered"))
 
 
-@query("""with m as (select distinct pr, s.run, s.module % 50 as m from steps s join runs r using (run)), f as (select pr, run, m, row_number() over (partition by pr, m order by run) as k from m),
-    o as (select pr, run, count(*) as n, count(*) filter (where k = 1) as new from f group by all), w as (select run, sum(wait_s) as w from steps group by run)
-    select pr, count(*) as members, round(sum(w * new / n::double), 6) as cost from o join w using (run) group by pr""")
+@query("""with m as (select distinct pr, r.run, s.module % 50 as m from runs r left join steps s on s.run = r.run and s.module % 7 <> 0), f as (select pr, run, m, row_number() over (partition by pr, m order by run) as k from m),
+    o as (select pr, run, count(m) as n, count(*) filter (where k > 1 and m is not null) as shared from f group by all),
+    w as (select r.run, coalesce(sum(wait_s), 0) as w, any_value(head) as behind, bool_or(coalesce(s.kind, '') = 'R' and s.module % 40 = 0) as dep from runs r left join steps s on s.run = r.run group by r.run),
+    x as (select pr, run, w * (1 - 0.5::double * coalesce(shared / nullif(n, 0)::double, 0)) * (1 + least(behind, 500) / 500.0::double) as work, dep from o join w using (run))
+    select pr, count(*) as members, round(sum(work), 6) as work, round((600 + 2 * sum(work)) * case when bool_or(dep) then 3 else 1 end, 6) as cost from x group by pr""")
 def group_overlap_cost(spark, d):
-    rows = steps(spark, d).groupBy("run").agg(F.collect_set(F.col("module") % 50).alias("modules"), F.sum("wait_s").alias("w")).join(runs(spark, d).select("run", "pr"), "run")
-    return R.group_overlap_cost(rows, "pr", "run", "modules", "w")
+    """Members without modules are among them: every run of a group counts."""
+    own = steps(spark, d).groupBy("run").agg(F.collect_set(F.when(F.col("module") % 7 != 0, F.col("module") % 50)).alias("modules"), F.sum("wait_s").alias("w"), F.bool_or((F.col("kind") == "R") & (F.col("module") % 40 == 0)).alias("dep"))
+    rows = runs(spark, d).select("run", "pr", F.col("head").alias("behind")).join(own, "run", "left").withColumn("w", F.coalesce("w", F.lit(0)))
+    return R.group_overlap_cost(rows, "pr", "run", "modules", "w", behind="behind", dependency="dep", fixed=600, per_work=2, multiplier=3)
 
 
 @query("select coalesce(case when pr % 3 = 0 then pr end, -run) as unit, max(created) as bound, bool_and(conclusion = 'success') as ready, count(*) as members from runs group by 1")

@@ -69,21 +69,20 @@ def dense_grid(spark, d):
     return I.dense_grid(counts, "bucket", STEP, 50, CLOCK, ["n"])
 
 
-@query(f"""with i as (select kind, greatest(a, {LO}) as a, least(b, {LO + 10 * DAY}) as b from jobs where run % 7 = 0 and b > {LO} and a < {LO + 10 * DAY} and b > a),
-    u as (select * from i union all select distinct kind, {LO + 10 * DAY}, {LO + 10 * DAY} from jobs where run % 7 = 0),
+_UNCOVERED = f"""with i as (select kind, greatest(a, {LO}) as a, least(b, {LO + 10 * DAY}) as b from jobs where b > {LO} and a < {LO + 10 * DAY} and b > a),
+    u as (select * from i union all select distinct kind, {LO + 10 * DAY}, {LO + 10 * DAY} from jobs),
     g as (select kind, a, coalesce(max(b) over (partition by kind order by a, b rows between unbounded preceding and 1 preceding), {LO}) as gap_start from u)
-    select kind, gap_start, a as gap_end from g where a > gap_start""")
+    select kind, gap_start, a as gap_end from g where a > gap_start"""
+
+
+@query(_UNCOVERED)
 def uncovered_intervals(spark, d):
-    """A sample: every seventh run. uncovered_intervals_all has all."""
-    return I.uncovered_intervals(jobs(spark, d).where("run % 7 = 0"), ["kind"], "a", "b", LO, LO + 10 * DAY)
+    return I.uncovered_intervals(jobs(spark, d), ["kind"], "a", "b", LO, LO + 10 * DAY)
 
 
-@query(f"""with i as (select kind, greatest(a, {LO}) as a, least(b, {LO + 10 * DAY}) as b from jobs where b > {LO} and a < {LO + 10 * DAY} and b > a),
-    u as (select * from i union all select distinct kind, {LO + 10 * DAY}, {LO + 10 * DAY} from jobs),
-    g as (select kind, a, coalesce(max(b) over (partition by kind order by a, b rows between unbounded preceding and 1 preceding), {LO}) as gap_start from u)
-    select kind, gap_start, a as gap_end from g where a > gap_start""")
+@query(_UNCOVERED)
 def uncovered_intervals_all(spark, d):
-    return I.uncovered_intervals(jobs(spark, d), ["kind"], "a", "b", LO, LO + 10 * DAY)
+    return uncovered_intervals(spark, d)
 
 
 _THROUGH = CLOCK - CLOCK % MINUTE

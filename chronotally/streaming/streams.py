@@ -77,33 +77,46 @@ def _millis(text: str) -> int:
 
 
 def stream_frames(df: DataFrame, ts: str, expiry: str = "1 hour") -> DataFrame:
-    """Frames (source, snapshot, part, parts, payload) held until a snapshot is whole, then emitted part by part; partial
-    snapshots are dropped when the watermark passes their last frame by ``expiry``."""
+    """Frames (source, snapshot, part, parts, payload, and epoch if there is such a column) held until a snapshot is whole,
+    then emitted part by part; partial snapshots are dropped when the watermark passes their last frame by ``expiry``.
+
+    Whole means that exactly the parts 0 .. parts - 1 are there. A part outside that range, another number of parts, or
+    another payload for a part that came already makes the snapshot void: it is never emitted. A frame of a newer epoch
+    voids what older ones brought and starts anew; frames of older epochs are ignored."""
+    epoch = F.coalesce(F.col("epoch").cast("long"), F.lit(0)) if "epoch" in df.columns else F.lit(0).cast("long")
 
     def hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        seen = dict(zip(*state.get[:2], strict=True)) if state.exists else {}
-        done = bool(state.get[2]) if state.exists else False
         rows = pd.concat(list(batches))
-        for p, x in zip(rows["part"], rows["payload"], strict=True):
-            seen.setdefault(int(p), x)
-        parts = int(rows["parts"].iloc[0])
-        if not done and len(seen) == parts:
+        seen, total, newest, void, done = {}, 0, -(2**62), False, False
+        if state.exists:
+            numbers, payloads, total, newest, void, done = state.get
+            seen = dict(zip(numbers, payloads, strict=True))
+        for at, part, parts, payload in zip(rows["_epoch"], rows["part"], rows["parts"], rows["payload"], strict=True):
+            if at < newest:
+                continue
+            if at > newest:
+                seen, total, newest, void, done = {}, int(parts), int(at), False, False
+            right = parts == total and 0 <= part < total and (done or seen.get(int(part), payload) == payload)
+            void = void or not right
+            if right and not done:
+                seen[int(part)] = payload
+        if not done and not void and len(seen) == total:
             done = True
             yield pd.DataFrame([[*key, p, seen[p]] for p in sorted(seen)], columns=["source", "snapshot", "part", "payload"])
             seen = {}
-        state.update((list(seen), list(seen.values()), done))
+        state.update((list(seen), list(seen.values()), total, newest, void, done))
         state.setTimeoutTimestamp(int(rows[ts].max().timestamp() * 1000) + _millis(expiry))
 
-    out = "source string, snapshot string, part int, payload string"
-    return df.withWatermark(ts, "10 minutes").groupBy("source", "snapshot").applyInPandasWithState(hold, out, "parts array<int>, payloads array<string>, done boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    out, kept = "source string, snapshot string, part int, payload string", "parts array<int>, payloads array<string>, total int, epoch long, void boolean, done boolean"
+    return df.withColumn("_epoch", epoch).withWatermark(ts, "10 minutes").groupBy("source", "snapshot").applyInPandasWithState(hold, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def foreach_batch_once(apply: Callable[[DataFrame, int], None], receipts: str) -> Callable[[DataFrame, int], None]:
-    """Exactly-once deltas: a batch whose id has a receipt is skipped; the receipt is written after the work, so ``apply``
-    must itself be idempotent for a batch that failed half-way (an overwrite of the batch's own partition is)."""
+    """A batch whose id has a receipt is skipped; the receipt is written after the work, so ``apply`` must itself be
+    idempotent for a batch that failed half-way (an overwrite of the batch's own partition is)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -117,6 +130,24 @@ def foreach_batch_once(apply: Callable[[DataFrame, int], None], receipts: str) -
     return run
 
 
+def foreach_batch_deltas(derive: Callable[[DataFrame], DataFrame], folder: str) -> Callable[[DataFrame, int], None]:
+    """Exactly-once deltas: a batch's rows are their own receipt. They are written aside and renamed to batch=<id>, which is
+    one step on file systems with an atomic rename; a batch that is there already is skipped, and what a failed try left
+    aside is written over. Readers of ``folder`` see whole batches, each once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        files = at("x").getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(at(f"batch={batch_id}")):
+            return
+        derive(batch).write.mode("overwrite").parquet(f"{folder}/_aside-{batch_id}")
+        if not files.rename(at(f"_aside-{batch_id}"), at(f"batch={batch_id}")):
+            raise OSError(f"batch {batch_id} could not be put in place")
+
+    return run
+
+
 def refresh_active(open_rows: DataFrame, clock: int, start: str = "started") -> DataFrame:
     """Open intervals extended to the clock: called each trigger from a foreachBatch on the stored open rows."""
     return open_rows.withColumn("ended", F.greatest(F.col(start), F.lit(clock)))

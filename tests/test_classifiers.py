@@ -6,19 +6,20 @@ from chronotally.functions import columns as C
 
 BUILD = "Build exact candidate"
 CASES = [
-    ("failure", "Reject option overrides and heartbeat instrumentation", None, "policy"),
-    ("failure", BUILD, ["✔ [11519/11633] Built Axiom (2.8s)", "LINT-ENV: FAIL - 1 new violation"], "lint-env"),
-    ("failure", BUILD, ["+ tee --output-error=warn lake-build.log", "error: operation timed out"], "timeout"),
-    ("failure", BUILD, ["error: Lean exited with code 137", "error: exceeded the 3000s wall-clock limit"], "process-killed"),
-    ("failure", BUILD, ["/tmp/watchdog/bin/lean: cannot execute"], "lean-error"),
+    ("failure", "Reject option files of outsiders", None, "policy"),
+    ("failure", BUILD, ["✔ [7/9] Built Axiom (1.1s)", "LINT-ENV: FAIL - see above"], "lint-env"),
+    ("failure", BUILD, ["+ tee --timed out", "error: the request timed out"], "timeout"),
+    ("failure", BUILD, ["step 4 timed out", "sh: Killed"], "process-killed"),
+    ("failure", BUILD, ["lake: no such file"], "lean-error"),
+    ("failure", BUILD, ["Basic.lean:3:4: error: unknown id", "found a Duplicate declaration"], "audit-duplicates"),
     ("timed_out", BUILD, [], "timeout"),
-    ("cancelled", BUILD, ["LINT-ENV: FAIL"], "cancelled"),
+    ("cancelled", BUILD, ["ERR_COP"], "cancelled"),
     ("failure", BUILD, None, "build-unknown"),
     ("failure", BUILD, [], "lean-error"),
     ("success", BUILD, [], None),
     (None, BUILD, [], None),
-    ("failure", "Post cache", [], "infra-report"),
-    ("failure", "something", ["Axiom"], "other"),
+    ("failure", "Post setup", [], "infra-report"),
+    ("failure", "a step of no kind", ["Axiom"], "other"),
 ]
 
 

@@ -5,9 +5,12 @@ import random
 from pyspark.sql import functions as F
 
 from chronotally.functions import columns as C
+from chronotally.operators import activity as A
 from chronotally.operators import intervals as I
+from chronotally.operators import joins as J
 from chronotally.operators import metrics as M
 from chronotally.operators import quality as V
+from chronotally.operators import reports as R
 from chronotally.operators import snapshots as N
 from chronotally.operators import state as S
 
@@ -69,10 +72,58 @@ def test_incremental_metrics_equal_recomputing(spark):
 
 
 def test_deltas_count_once_per_receipt(spark):
+    """A receipt that came twice counts once, and both of its rows of one key do."""
     d = "day date, bucket long, metric string, value double, amount double"
-    state = spark.createDataFrame([], d)
-    delta = spark.createDataFrame([("r1", None, 1, "m", 0.0, 2.0), ("r1", None, 1, "m", 0.0, 2.0), ("r2", None, 1, "m", 0.0, 3.0)], "receipt string, " + d)
-    assert values(M.apply_deltas(state, delta, "receipt"), "amount") == [(5.0,)]
+    state = spark.createDataFrame([("r0", 1, None, 1, "m", 0.0, 1.0)], "receipt string, delivery int, " + d)
+    rows = [("r1", n, None, 1, "m", 0.0, x) for n in (1, 2) for x in (2.0, 3.0)] + [("r2", 7, None, 1, "m", 0.0, 3.0), ("r2", 7, None, 1, "m", 0.0, 3.0)]
+    delta = spark.createDataFrame(rows, "receipt string, delivery int, " + d)
+    assert values(M.apply_deltas(state, delta, "receipt", "delivery"), "amount") == [(12.0,)]
+
+
+def test_features_of_null_and_repeated_rows(spark):
+    left = spark.createDataFrame([(1, "a", 10, None), (1, "a", 10, None), (2, "a", 4, "x"), (3, None, 10, "y"), (4, "a", None, "z"), (5, "b", 10, "w")], "id long, k string, known long, note string")
+    features = spark.createDataFrame([("a", 5, 1, 0.5), ("a", 9, 1, 0.9), ("a", 9, 2, None), ("a", 11, 3, 1.1), (None, 1, 4, 0.1), ("b", None, 5, 0.2)], "k string, available long, fid long, feature double")
+    got = J.pit_feature_join(left, features, ["k"], "known", "available", ["fid"])
+    assert got.columns == ["id", "k", "known", "note", "available", "fid", "feature"]
+    assert sorted((r["id"], r["fid"] or 0) for r in got.collect()) == [(1, 2), (1, 2), (2, 0), (3, 0), (4, 0), (5, 0)]
+
+
+def test_group_cost_follows_overlap_age_and_dependency(spark):
+    rows = [("g", 1, ["a", "b"], 10, 0, False), ("g", 2, ["b", "c", "b"], 20, 250, False), ("g", 3, [], 5, 900, None), ("g", 4, None, 5, None, True), ("h", 1, ["a"], 10, 0, False)]
+    df = spark.createDataFrame(rows, "g string, m int, modules array<string>, w int, behind int, dep boolean")
+    got = values(R.group_overlap_cost(df, "g", "m", "modules", "w", behind="behind", dependency="dep", fixed=100, per_work=2, multiplier=3), "g", "members", "work", "cost")
+    work = 10 + 20 * (1 - 0.5 * 0.5) * 1.5 + 5 * 2 + 5
+    assert got == [("g", 4, work, (100 + 2 * work) * 3), ("h", 1, 10.0, 120.0)]
+    assert values(R.group_overlap_cost(df, "g", "m", "modules", "w", overlap=1), "work")[-1] == (10 + 20 * 0.5 + 5 + 5,)
+
+
+def test_linear_fits(spark):
+    rows = [("a", x, 2 * x + 7) for x in (1, 2, 3, 10)] + [("b", x, 100 - x) for x in range(5)] + [("c", 1, 5), ("c", 1, 6), ("c", 1, 7), ("d", 1, 2), ("d", 2, 3), ("e", 1, 1), ("e", 2, 1), ("e", 4, 3), ("e", None, 9)]
+    df = spark.createDataFrame(rows, "k string, x int, y int")
+    assert values(R.linear_fit(df, ["k"], "x", "y"), "k", "n", "intercept", "slope") == [("a", 4, 7.0, 2.0), ("b", 5, 98.0, 0.0), ("c", 3, 1.0, 0.0), ("d", 2, 1.0, 0.0), ("e", 3, 1.0, round(5 / 7, 9))]
+
+
+def test_triggers_of_dispatches(spark):
+    title = f"bors branch=main batch=7 head={'a' * 40} base={'b' * 40}"
+    rows = [("repository_dispatch", title, "staging.yml", None, "bors_staging"), ("repository_dispatch", title.replace("main", "dev"), "staging.yml", None, "bors_unknown"), ("repository_dispatch", None, "staging.yml", "", "bors_unknown"), ("repository_dispatch", title, "other.yml", None, "repository_dispatch"), ("repository_dispatch", title, None, None, "repository_dispatch"), ("repository_dispatch", title, "staging.yml", "given", "given"), ("pull_request_target", None, None, None, "pr"), (None, None, None, None, "")]
+    df = spark.createDataFrame(rows, "event string, title string, workflow string, given string, want string")
+    got = df.withColumn("got", C.derive_trigger(*[F.col(c) for c in ("event", "title", "workflow", "given")], "staging.yml")).collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_backlog_states(spark):
+    """Held ones keep their place, settled ones are stuck, zombies go stale after a day, superseded attempts do not count."""
+    hour, day = A.HOUR, A.DAY
+    clock = 100 * day
+    runs = [  # run, attempt, status, verified, created
+        (1, 1, "queued", True, clock - 2 * hour), (2, 1, "in_progress", True, clock - 2 * hour), (3, 1, "pending", True, clock - 9 * day), (4, 1, "queued", True, clock - hour), (5, 1, "queued", True, clock - 3 * day),
+        (6, 1, "in_progress", True, clock - 3 * day), (6, 2, "completed", True, clock), (7, 1, "in_progress", False, clock - 3 * day), (8, 1, "odd", None, clock - hour), (9, 1, "in_progress", True, clock - 3 * day), (10, 1, "queued", False, clock - 3 * day),
+    ]
+    jobs = [(2, True, False, True, clock - hour), (5, True, False, False, clock - 2 * day), (5, True, False, False, clock - 3 * day), (7, True, False, False, None), (9, True, False, False, clock - hour), (1, False, False, False, clock - hour)]
+    r = spark.createDataFrame([(*x, x[4], None, "c") for x in runs], "run long, attempt int, status string, verified boolean, created long, updated long, started long, category string")
+    j = spark.createDataFrame([(x[0], 1, *x[1:]) for x in jobs], "run long, attempt int, active boolean, estimated boolean, in_progress boolean, created long")
+    got = dict(values(A.workflow_backlog(r, j, "category", clock), "run", "state"))
+    assert got == {1: "stuck", 2: "in_progress", 3: "pending", 4: "queued", 5: "stale", 7: "pending", 8: "unconfirmed", 9: "pending", 10: "stale"}
 
 
 def test_a_queued_job_never_runs(spark):
@@ -100,7 +151,7 @@ def test_queue_chain_stops_at_a_cycle_and_keeps_scopes_apart(spark):
 
 
 def test_queue_chain_of_any_length(spark):
-    n = 70
+    n = 200
     df = spark.createDataFrame([("r", i, i - 1, i, i, i == 2) for i in range(1, n + 1)], "repo string, id long, base long, head long, item long, failed boolean").coalesce(1)
     got = {r["id"]: (r["chain"], r["position"], r["ahead_failed"]) for r in N.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
     assert got == {i: (list(range(1, i + 1)), i, i > 2) for i in range(1, n + 1)}
