@@ -63,7 +63,7 @@ def as_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
-def by_length(lengths: np.ndarray, chars: int = 4_000_000, rows: int = 4096) -> Iterator[np.ndarray]:
+def by_length(lengths: np.ndarray, chars: int = 2_000_000, rows: int = 4096) -> Iterator[np.ndarray]:
     """Indexes of a batch's texts, the longest first, in slices of bounded characters and rows, so that what a Python
     worker holds for a slice is bounded by bytes and not by a number of texts. A text longer than ``chars`` is a slice."""
     order = np.argsort(-lengths, kind="stable")

@@ -222,16 +222,6 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def band_keys(f: Column, bands: int, places: int, least: float) -> Column:
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        w = walk()
-        for batch in batches:
-            yield pd.Series([[xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(unpacked(f), bands, places, least)] for f in batch], dtype=object)
-
-    return keys(f)
-
-
 def with_next(rows: DataFrame, columns: list[str], *, marks: DataFrame | None = None, rows_in_part: int = 4000, most_parts: int = 20_000) -> DataFrame:
     """Add next_<column> of the next row by descending doc_id (after the last: of the first). Ties go by text, nulls come last.
 
@@ -328,6 +318,20 @@ def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[new]
 
 
+def _banded(bands: int, places: int, least: float):
+    """Function for mapInPandas: (node, band) of every node of a partition, once; fingerprints without digits have none."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = walk()
+        for batch in _once(batches):
+            for at in range(0, len(batch), BLOCK_ROWS):
+                part = batch.iloc[at : at + BLOCK_ROWS]
+                keys = [sorted({xxhash.xxh64_intdigest(x) - 2**63 for x in w.bands(unpacked(f), bands, places, least)}) if len(f) > 1 else [] for f in part["f"]]
+                yield pd.DataFrame({"node": np.repeat(part["node"].to_numpy(np.int64), [len(k) for k in keys]), "band": np.array([x for k in keys for x in k], np.int64)})
+
+    return rows
+
+
 def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     """Groups of texts with like fingerprints: doc_id, group_id (smallest doc_id of the group), for groups of two or more.
 
@@ -359,10 +363,10 @@ def _alike(found: DataFrame, least: float) -> DataFrame:
     n_classes = found.select(F.approx_count_distinct("node")).first()[0]
     bands, places = banding(n_classes, least)
     once = found.select("node", "f").mapInPandas(_once, "node long, f binary")
-    banded = once.where(F.length("f") > 1).select("node", F.explode(F.array_distinct(band_keys(F.col("f"), bands, places, least))).alias("band"))
+    banded = found.select("node", "f").mapInPandas(_banded(bands, places, least), "node long, band long")
     sample = banded.where(F.pmod("node", F.lit(64)) == 0).distinct().groupBy("band").count().where(F.col("count") >= BLOCK_ROWS // 128)
     full = checkpointed(sample.select("band", F.lit(True).alias("full")))
-    bundles = max(1, math.ceil(n_classes / 4096))
+    bundles = max(1, math.ceil(n_classes / 1024))
 
     def shared(unit: pd.DataFrame) -> pd.DataFrame:
         unit = unit[["node", "band"]].drop_duplicates()
