@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chronotally.plans import metric_queries, queue_queries, registry, report_queries, state_queries, time_queries, value_queries  # noqa: F401  importing registers
+from chronotally.plans import live_queries, metric_queries, queue_queries, registry, report_queries, state_queries, time_queries, value_queries  # noqa: F401  importing registers
 
 
 def queries() -> dict:
