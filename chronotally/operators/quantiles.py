@@ -17,6 +17,15 @@ def weighted_quantile(df: DataFrame, keys: Sequence[str], value: str, weight: Co
     return run.where(F.col("run") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(q)))).groupBy(*keys).agg(F.min("value").alias("quantile"))
 
 
+def weighted_quantiles(df: DataFrame, keys: Sequence[str], value: str, weight: Column, ranks: dict[str, float]) -> DataFrame:
+    """total weight and several of weighted_quantile()'s quantiles by name, from one pass."""
+    sums = df.groupBy(*keys, F.col(value).alias("value")).agg(F.sum(weight).alias("w"))
+    window = Window.partitionBy(*keys)
+    run = sums.withColumns({"run": F.sum("w").over(window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("w").over(window)})
+    first = lambda q: F.min(F.when(F.col("run") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(q))), F.col("value")))
+    return run.groupBy(*keys).agg(F.max("total").alias("total"), *[first(q).alias(name) for name, q in ranks.items()])
+
+
 def _nth(df: DataFrame, keys: Sequence[str], value: str, rank: Column) -> DataFrame:
     """Value at 1-based ``rank`` (an expression over n) of the sorted values, from counts of distinct values."""
     sums = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("c"))
@@ -30,6 +39,15 @@ def report_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float) ->
     return _nth(df, keys, value, F.least(F.col("n"), F.floor(F.lit(q) * F.col("n")) + 1))
 
 
+def report_quantiles(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, float]) -> DataFrame:
+    """Several of report_quantile()'s quantiles by name, from one pass."""
+    sums = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("c"))
+    window = Window.partitionBy(*keys)
+    run = sums.withColumns({"run": F.sum("c").over(window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum("c").over(window)})
+    first = lambda q: F.min(F.when(F.col("run") >= F.least(F.col("n"), F.floor(F.lit(q) * F.col("n")) + 1), F.col("value")))
+    return run.groupBy(*keys).agg(*[first(q).alias(name) for name, q in ranks.items()])
+
+
 def replay_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float) -> DataFrame:
     """sorted[int((n - 1) * q)]."""
     return _nth(df, keys, value, F.floor((F.col("n") - 1) * F.lit(q)) + 1)

@@ -79,9 +79,7 @@ def experiment_phases(spark, d):
     points = rows.select("value", "a", (F.col("a") + 1).alias("a1"))
     inside = J.interval_overlap_join(points, phases, "a", "a1", "lo", "hi", 6 * HOUR)
     out = inside.groupBy("phase").agg(F.count("*").alias("arrivals"), (F.max("a") - F.min("a")).alias("spread"))
-    for name, q in (("median", 0.5), ("p95", 0.95)):
-        out = out.join(Q.report_quantile(inside, ["phase"], "value", q).withColumnRenamed("quantile", name), "phase")
-    return out
+    return out.join(Q.report_quantiles(inside, ["phase"], "value", {"median": 0.5, "p95": 0.95}), "phase")
 
 
 @query("""with l as (select pr, min(created) as landed from runs where conclusion = 'success' group by pr), r as (select pr, created as ready from runs where conclusion <> 'success'),
