@@ -60,7 +60,8 @@ def chatml(role: Column, text: Column) -> Column:
 def format_chats(conversations: DataFrame, template=chatml) -> DataFrame:
     """Render maximal conversations: conv_id, n_turns, n_copies, rendered.
 
-    Turns go by turn number, then role, then text; an exact repeat of a turn counts once. A null turn number
+    Turns go by turn number, then role, then text; an exact repeat of a turn counts once. Prefixes end behind all rows of a
+    turn number: a snapshot that has only some of the rows which share a number is no prefix of the longer conversation. A null turn number
     stands as -1, a null role or text as ''; rows with a null conv_id form one conversation. Further columns
     are ignored; an empty table gives an empty result."""
     kept = maximal_conversations(conversations).withColumnRenamed("conv_id", "_c")

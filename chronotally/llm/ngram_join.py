@@ -16,12 +16,10 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +37,6 @@ MINIMA = 256
 BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 18, 1024
 #: Rows of a bucket that one unit of the candidate search may hold twice.
 BLOCK_ROWS = 2048
-_WORD = re.compile(r"\w+")
-_WORDS_KEPT = 100_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -55,28 +51,42 @@ def banding(similarity: float = SIMILARITY, recall: float = TARGET_RECALL, minim
     return minima, 1
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _WORDS_KEPT:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return found
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MIX[0]
+    return (h ^ (h >> np.uint64(29))) * _MIX[1]
 
 
-_hashes = _WordHashes()
+@functools.cache
+def _word_characters() -> np.ndarray:
+    """Whether a code point belongs to words, as in the regular expression \\w."""
+    return np.fromiter((chr(o).isalnum() or o == 95 for o in range(0x110000)), bool, 0x110000)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX[0]
-    return (h ^ (h >> np.uint64(29))) * _MIX[1]
+@functools.cache
+def _powers(size: int) -> np.ndarray:
+    return np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, _MIX[3])])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash of every run of word characters of the text: a polynomial of its mixed code points."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _word_characters()[code]
+    first = inside & ~np.r_[False, inside[:-1]]
+    code = code[inside].astype(np.uint64)
+    if not len(code):
+        return code
+    starts = np.flatnonzero(first[inside])
+    sizes = np.diff(np.r_[starts, len(code)])
+    place = np.arange(len(code)) - np.repeat(starts, sizes)
+    powers = _powers(1 << max(5, int(sizes.max() - 1).bit_length()))
+    return _mixed(np.add.reduceat(_mixed(code + np.uint64(1)) * powers[place], starts) + sizes.astype(np.uint64))
 
 
 def shingles(text: str | None, n: int = N_WORDS) -> np.ndarray:
     """Sorted distinct hashes of the text's word n-grams; of all words together if it has fewer; empty without words."""
-    words = _WORD.findall(text.lower()) if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(text.lower()) if text else np.empty(0, np.uint64)
+    if not len(h):
+        return h
     n = min(n, len(h))
     total = np.full(len(h) - n + 1, n, np.uint64)
     for k in range(n):

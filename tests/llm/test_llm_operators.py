@@ -66,6 +66,14 @@ def test_chat_collapse_keeps_maximal_and_smallest(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_with_long_texts_shared_numbers_and_clashing_columns(spark):
+    long = "x y " * 100_000
+    rows = [(1, 0, "user", long), (2, 0, "user", long), (2, 1, "assistant", "yo"), (3, 0, "user", "a"), (4, 0, "user", "a"), (4, 0, "tool", "b"), (4, 1, "assistant", "c"), (5, 0, "user", "a"), (5, 0, "tool", "b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("n_turns", F.lit("z")).withColumn("rendered", F.lit(1)).withColumn("s1", F.lit(2))
+    got = {r["conv_id"]: (r["n_turns"], r["rendered"]) for r in chat.format_chats(df).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {2: 2, 3: 1, 4: 3} and got[2][1].count("x y ") == 100_000 and got[4][1].startswith("<|im_start|>tool\nb")
+
+
 def test_chat_prefixes_run_over_blocks(spark):
     turns = [(c, t, "user", str(t)) for c, n in ((1, 2500), (2, 1500), (3, 2500)) for t in range(n)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
@@ -735,3 +743,16 @@ def test_join_edges(odd, empty):
     kept = ngram_join.keep_one(odd)
     assert kept.count() == odd.count() - 1 and kept.columns == odd.columns
     assert ngram_join.link(empty).count() == 0 and ngram_join.keep_one(empty).count() == 0
+
+
+def test_word_hashes_stand_for_words():
+    rng = random.Random(40)
+    texts = ["".join(rng.choice("aab_é1 ,\n-ßİ٣") for _ in range(rng.randrange(0, 60))).lower() for _ in range(300)] + ["x" * 5000, "", "--", "\ud800a"]
+    by_word = collections.defaultdict(set)
+    for text in texts:
+        words = re.findall(r"\w+", text)
+        found = ngram_join.word_hashes(text).tolist()
+        assert len(found) == len(words)
+        for w, h in zip(words, found, strict=True):
+            by_word[w].add(h)
+    assert all(len(h) == 1 for h in by_word.values()) and len(set().union(*by_word.values())) == len(by_word) > 500
