@@ -34,11 +34,16 @@ def change_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], co
 
 
 def first_in_segment(segments: DataFrame, rows: DataFrame, keys: Sequence[str], at: str, when: Column) -> DataFrame:
-    """Segments with ``first_at``: the first row of the key in [seg_start, seg_end) that meets the condition."""
-    some = rows.where(when).select(*keys, F.col(at).alias("_at"))
-    inside = (F.col("_at") >= F.col("seg_start")) & (F.col("seg_end").isNull() | (F.col("_at") < F.col("seg_end")))
-    hits = segments.join(some, list(keys)).where(inside).groupBy(*segments.columns).agg(F.min("_at").alias("first_at"))
-    return segments.join(hits.select(*keys, "seg_start", "first_at"), [*keys, "seg_start"], "left").select(*segments.columns, "first_at")
+    """Segments with ``first_at``: the first row of the key in [seg_start, seg_end) that meets the condition.
+
+    Both sides are unioned and read backwards in time, where the last row passed is the next one: one window, no product."""
+    hits = rows.where(when).dropna(subset=[*keys, at])
+    a = segments.select(*keys, F.col("seg_start").alias("_t"), F.lit(0).alias("_o"), F.struct(*segments.columns).alias("_s"), F.lit(None).cast(hits.schema[at].dataType).alias("_at"))
+    b = hits.select(*keys, F.col(at).alias("_t"), F.lit(1).alias("_o"), F.lit(None).cast(a.schema["_s"].dataType).alias("_s"), F.col(at).alias("_at"))
+    window = Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_o").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = a.unionByName(b).withColumn("_next", F.last("_at", ignorenulls=True).over(window)).where("_s is not null")
+    inside = F.col("_s.seg_start").isNotNull() & (F.col("_s.seg_end").isNull() | (F.col("_next") < F.col("_s.seg_end")))
+    return found.select("_s.*", F.when(inside, F.col("_next")).alias("first_at"))
 
 
 def observation_gaps(df: DataFrame, keys: Sequence[str], at: str, lo: int, hi: int, most: int) -> DataFrame:

@@ -220,10 +220,10 @@ def canonical_fingerprint(spark, d):
     return jobs(spark, d).select("id", F.sha2(F.to_json(F.struct("a", "id", "kind")), 256).alias("fingerprint"))
 
 
-@query("with h as (select sha256(id || ':' || kind) as h, run % 16 as p from jobs), q as (select p, sha256(string_agg(h, '' order by h)) as g, count(*) as n from h group by p) select sha256(string_agg(g, '' order by p)) as fingerprint, cast(sum(n) as bigint) as n from q")
+@query("""with h as (select sha256(id || ':' || kind) as h from jobs), s as (select sum(('0x' || substr(h, 1, 15))::bigint) as a, sum(('0x' || substr(h, 16, 15))::bigint) as b, sum(('0x' || substr(h, 31, 15))::bigint) as c, sum(('0x' || substr(h, 46, 15))::bigint) as d, count(*) as n from h)
+    select sha256(concat_ws(':', a, b, c, d, n)) as fingerprint, n from s""")
 def table_fingerprint(spark, d):
-    rows = jobs(spark, d).select(F.sha2(F.concat_ws(":", "id", "kind"), 256).alias("h"), (F.col("run") % 16).alias("p"))
-    return records.table_fingerprint(rows, "h", "p")
+    return records.table_fingerprint(jobs(spark, d).select(F.sha2(F.concat_ws(":", "id", "kind"), 256).alias("h")), "h")
 
 
 @query("select id, strftime(make_timestamp(a - a % 1000000), '%Y-%m-%dT%H:%M:%SZ') as iso, make_date(1970, 1, 1) + cast(a // 86400000000 as integer) as day, case when id % 4 = 0 then 0 else a - a % 1000000 end as back from jobs")
