@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,7 +222,7 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def with_next(rows: DataFrame, columns: list[str], *, marks: DataFrame | None = None, rows_in_part: int = 4000, most_parts: int = 20_000) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], *, marks: DataFrame | None = None, rows_in_part: int = 2000, most_parts: int = 20_000) -> DataFrame:
     """Add next_<column> of the next row by descending doc_id (after the last: of the first). Ties go by text, nulls come last.
 
     doc_ids are cut into ranges at approximate quantiles. The first row of every range is also sent, as a guest, to
@@ -239,20 +239,22 @@ def with_next(rows: DataFrame, columns: list[str], *, marks: DataFrame | None =
     def part_of(at: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(cuts, at.to_numpy(np.int64), "right").astype(np.int32))
 
-    parted = rows.withColumn("_order", order).withColumn("_part", part_of("_order"))
+    parted = rows.select(order.alias("_order")).withColumn("_part", part_of("_order"))
     heads = {r["_part"]: r["head"] for r in parted.groupBy("_part").agg(F.max("_order").alias("head")).collect()}
     ranges = sorted(heads, reverse=True)
     head_of = np.array([heads[p] for p in ranges][::-1], np.int64)  # ascending
     before = np.array([ranges[k - 1] for k in range(len(ranges))][::-1], np.int32)  # the first range's head goes to the last range
 
-    @F.pandas_udf("int")
-    def guest_of(at: pd.Series) -> pd.Series:
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("p", T.IntegerType()), T.StructField("g", T.IntegerType())])))
+    def places_of(at: pd.Series) -> pd.Series:
+        """A row's own range, and as a guest (g = 1) the range before it if the row is its range's head."""
         at = at.to_numpy(np.int64)
+        part = np.searchsorted(cuts, at, "right").tolist()
         k = np.minimum(np.searchsorted(head_of, at), len(head_of) - 1)
-        return pd.Series(np.where(head_of[k] == at, before[k], -1).astype(np.int32))
+        guest = np.where(head_of[k] == at, before[k], -1).tolist()
+        return pd.Series([[(p, 0), (g, 1)] if g >= 0 else [(p, 0)] for p, g in zip(part, guest, strict=True)], dtype=object)
 
-    own, guest = F.struct(F.col("_part").alias("p"), F.lit(0).alias("g")), F.struct(guest_of("_order").alias("p"), F.lit(1).alias("g"))
-    dealt = parted.withColumn("_e", F.explode(F.filter(F.array(own, guest), lambda x: x["p"] >= 0))).drop("_part")
+    dealt = rows.withColumn("_order", order).withColumn("_e", F.explode(places_of("_order")))
     if marks is not None:
         noted = marks.withColumn("_order", order).withColumn("_e", F.struct(part_of("_order").alias("p"), F.lit(-1).alias("g")))
         dealt = dealt.unionByName(noted, allowMissingColumns=True)
