@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator, Sequence
 
@@ -44,6 +45,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect garbage, upon which Spark removes the files of shuffles and checkpoints that no plan refers to
+    any more. Worth it between two large parts of an operator, of which the second need not find the first one's files."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh_name(columns: Sequence[str], name: str) -> str:
     """``name`` with as many leading underscores as it takes to differ from all columns (Spark ignores case)."""
     known = {c.lower() for c in columns}

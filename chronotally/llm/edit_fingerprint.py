@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.llm import buckets
-from chronotally.llm.common import by_length, checkpointed, connected_components, join_few, remove_folder, shared_folder
+from chronotally.llm.common import by_length, checkpointed, connected_components, join_few, release_shuffles, remove_folder, shared_folder
 
 SAMPLES = 64
 FIRST_OCTAVE = 5  # steps 0..31 form the first block
@@ -276,6 +276,7 @@ def fingerprints(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     of one row is its own successor. Other columns are ignored; an empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     groups = near_duplicates(rows, least=least).withColumnRenamed("group_id", "mark")
+    release_shuffles(docs.sparkSession)
     rows = with_next(rows, ["text"], marks=groups).withColumn("c", compared("text", "next_text"))
     return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "c.*", F.coalesce("mark", "doc_id").alias("group_id"))
 
@@ -345,7 +346,9 @@ def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), packed_fingerprint(F.coalesce("text", F.lit(""))).alias("f"))
     found.withColumn("node", F.xxhash64("f")).write.parquet(path)
     found = spark.read.schema("doc_id long, f binary, node long").parquet(path)
-    near = connected_components(_alike(found, least)).withColumnRenamed("component", "root")
+    alike = _alike(found, least)
+    release_shuffles(spark)
+    near = connected_components(alike).withColumnRenamed("component", "root")
     rows = join_few(found.select("doc_id", "node"), near, "node", F.col("doc_id")).select("doc_id", F.coalesce("root", "node").alias("root"))
     heads = rows.groupBy("root").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     groups = join_few(rows, checkpointed(heads), "root", F.col("doc_id")).where("group_id is not null")
