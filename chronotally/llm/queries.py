@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronotally.llm import chat, edit_fingerprint, language, lattice, licenses, lines, mixing, ngram_join, packing, toxicity
+from chronotally.llm import chat, edit_fingerprint, language, lattice, licenses, lines, merkle, mixing, ngram_join, packing, periodic, toxicity, warc
 from chronotally.llm.common import table
 
 
@@ -49,9 +49,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": chat.SQL, "op3_line_dedup": lines.SQL, "op4_license_scan": licenses.SQL, "op9_mix_sources": mixing.SQL}
+    return {"op1_chat_formatting": chat.SQL, "op3_line_dedup": lines.SQL, "op4_license_scan": licenses.SQL, "op9_mix_sources": mixing.SQL, "op12_warc": warc.SQL, "op13_merkle_manifest": merkle.SQL}

@@ -39,7 +39,7 @@ def empty(spark):
 
 def duck_rows(name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     found = con.execute(Q.oracle_sql()[name])
     columns = [c[0] for c in found.description]
