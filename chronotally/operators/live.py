@@ -5,13 +5,14 @@ shuffle. Rows have the key of ``metrics`` (day, bucket, metric, value) and can b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronotally.functions import columns as C
+from chronotally.operators import folds
 
 DAY = 86_400
 KEPT_DAYS = 30
@@ -64,13 +65,36 @@ def normalize_runs(raw: DataFrame, staging: str = Names.workflow) -> DataFrame:
     )
 
 
-def normalize_jobs(raw: DataFrame, prefix: str = "pr-build / ") -> DataFrame:
+@dataclass(frozen=True)
+class Hosts:
+    """Reported names of machines: by their identifier (at least 12 characters) and by a name in a label."""
+
+    machines: Mapping[str, str] = field(default_factory=dict)
+    names: Mapping[str, str] = field(default_factory=dict)
+
+
+def host_of(labels: Column, runner_name: Column, hosts: Hosts) -> Column:
+    """The one machine that a job's labels (fleet-<identifier>, fleet-host-<name>) and runner name (fleet-<12 characters of
+    the identifier>-<16 hex digits>) name; null if they name none or several."""
+    if not hosts.machines and not hosts.names:
+        return F.lit(None).cast("string")
+    lookup = lambda known, key: F.try_element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), key) if known else F.lit(None).cast("string")
+    after = lambda x, head: F.when(x.startswith(head), F.substring(x, F.lit(len(head) + 1), F.length(x)))
+    of_label = lambda x: F.coalesce(lookup(hosts.machines, after(x, "fleet-")), lookup(hosts.names, after(x, "fleet-host-")))
+    short = {ident[:12]: alias for ident, alias in hosts.machines.items()}
+    of_name = lookup(short, F.regexp_extract(F.coalesce(runner_name, F.lit("")), "^fleet-(.{12})-[a-f0-9]{16}$", 1))
+    named = F.array_distinct(F.array_compact(F.concat(F.transform(F.coalesce(labels, F.array().cast("array<string>")), of_label), F.array(of_name))))
+    return F.when(F.size(named) == 1, F.get(named, F.lit(0)))
+
+
+def normalize_jobs(raw: DataFrame, prefix: str = "pr-build / ", hosts: Hosts = Hosts()) -> DataFrame:  # noqa: B008
     """Jobs from deliveries: id, run_id, run_attempt, name, status, conclusion, created_at, started_at, completed_at,
     runner_kind, labels, runner_name, runner_id, assigned, steps (name, started_at, completed_at, conclusion), failure_class,
     failure_excerpt (lines), weight and estimated.
 
     A job is assigned if anything proves it: a runner's id or name, its status, the flag, or a step that started. The name
-    loses the calling workflow's prefix. A failure without a class is classed by its excerpt, if there is one."""
+    loses the calling workflow's prefix. A failure without a class is classed by its excerpt, if there is one. A job on an own
+    machine that is known is of that machine's kind. ``check_run`` comes from check_run_url, if there is such a column."""
     at = lambda c: F.nullif(seconds_of(c), F.lit(0.0))
     steps = F.coalesce(F.transform("steps", lambda s: F.struct(s["name"].alias("name"), at(s["started_at"]).alias("started"), at(s["completed_at"]).alias("completed"), _some(s["conclusion"]).alias("conclusion"))), F.array())
     rows = raw.withColumn("_steps", steps)
@@ -78,15 +102,18 @@ def normalize_jobs(raw: DataFrame, prefix: str = "pr-build / ") -> DataFrame:
     proofs = [_some(F.col("runner_id").cast("string")).isNotNull(), _some(F.col("runner_name")).isNotNull(), F.col("status") == "in_progress", F.col("assigned"), F.exists("_steps", lambda s: s["started"].isNotNull())]
     assigned = F.greatest(*[F.coalesce(p.cast("int"), F.lit(0)) for p in proofs]) > 0
     latest = F.coalesce(at(F.col("completed_at")), at(F.col("started_at")), at(F.col("created_at")), F.lit(0.0))
+    host, kind = host_of(F.col("labels"), F.col("runner_name"), hosts), F.coalesce(_some(F.col("runner_kind")), C.runner_kind(F.col("labels")))
+    check = _some(F.regexp_extract(F.coalesce("check_run_url", F.lit("")), r"/check-runs/(\d+)$", 1)) if "check_run_url" in raw.columns else F.lit(None).cast("string")
     return rows.select(
         F.col("id").cast("string").alias("id"), F.col("run_id").cast("string").alias("run"), F.coalesce(F.nullif(F.col("run_attempt").cast("int"), F.lit(0)), F.lit(1)).alias("attempt"),
         F.when(F.col("name").startswith(prefix), F.substring("name", F.lit(len(prefix) + 1), F.length("name"))).otherwise(F.coalesce("name", F.lit(""))).alias("name"),
         F.coalesce(_some(F.col("status")), F.when(_some(F.col("conclusion")).isNotNull(), "completed").otherwise("queued")).alias("status"), _some(F.col("conclusion")).alias("conclusion"),
         F.coalesce(seconds_of(F.col("created_at")), F.lit(0.0)).alias("created"), at(F.col("started_at")).alias("started"), at(F.col("completed_at")).alias("completed"),
-        F.coalesce(_some(F.col("runner_kind")), C.runner_kind(F.col("labels"))).alias("kind"), F.coalesce("labels", F.array().cast("array<string>")).alias("labels"), F.coalesce("runner_name", F.lit("")).alias("runner_name"),
+        F.when((kind == "self-hosted") & host.isNotNull(), host).otherwise(kind).alias("kind"), F.coalesce("labels", F.array().cast("array<string>")).alias("labels"), F.coalesce("runner_name", F.lit("")).alias("runner_name"),
         assigned.alias("assigned"), F.col("_steps").alias("steps"),
         F.coalesce(_some(F.col("failure_class")), F.when(F.col("failure_excerpt").isNotNull(), C.failure_class(F.col("conclusion"), failed, F.col("failure_excerpt")))).alias("failure"),
         F.coalesce(F.col("weight").cast("double"), F.lit(1.0)).alias("weight"), F.coalesce("estimated", F.lit(False)).alias("estimated"), latest.alias("updated"),
+        host.alias("host"), _some(F.col("runner_id").cast("string")).alias("runner_id"), check.alias("check_run"),
     )
 
 
@@ -184,6 +211,23 @@ def job_contributions(work: DataFrame, until: float, *, reported: Column | None
     return out.where((F.col("amount") != 0) & finite(F.col("amount")) & finite(F.col("value")))
 
 
+#: How a job's record follows its predecessor.
+JOB_MERGE = folds.Merge(
+    fill={"failure": None, "steps": None, "kind": "unknown", "runner_name": None, "runner_id": None, "check_run": None, "labels": None}, learn=("host", "kind", ("unknown", "self-hosted"), ("labels", "runner_name"))
+)
+
+
+def signed_contributions(changes: DataFrame, until: float, *, reported: Column | None = None, names: Names = Names(), keep: Sequence[str] = ()) -> DataFrame:  # noqa: B008
+    """What changes of jobs' records (``folds.state_changes``, with the columns of their runs) do to the metrics: the rows that
+    each new record contributes less those of the one before, summed by ``keep`` and the metrics' key, zero ones left out. Summed
+    over all changes they are the contributions of the final records."""
+    signed = folds.signed_records(changes)
+    run = [c for c in signed.columns if c not in ("record", "sign") and c not in signed.schema["record"].dataType.names]
+    rows = job_contributions(signed.select(*run, "record.*", "sign"), until, reported=reported, names=names, keep=[*keep, "sign"])
+    rows = rows.groupBy(*keep, "day", "bucket", "metric", "value").agg(F.sum(F.col("amount") * F.col("sign")).alias("amount"))
+    return rows.where(F.abs("amount") >= 1e-9)
+
+
 def _phase_rows(created: Column, timed: Column, sampled: Column) -> Column:
     """phase/<name> rows in minutes of the steps that have both ends, and sample-phase/<name> ones of a sampled run. The
     building step is split by its run's telemetry, scaled down to fit; what is left of it is unattributed."""

@@ -21,23 +21,6 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.groupBy(*keys).agg(best.alias("_m")).select(*keys, "_m._r.*")
 
 
-# Ranks of statuses; a lower rank does not replace a higher one.
-STATUS_RANK = {"pending": 0, "waiting": 0, "queued": 1, "in_progress": 2, "completed": 3}
-
-
-def latest_state(df: DataFrame, keys: Sequence[str], seq: str, status: str) -> DataFrame:
-    """Status after folding a key's observations in order. A later one wins unless its rank is lower, but a running
-    job may go back to pending or waiting."""
-    rank = F.create_map(*[x for s, r in STATUS_RANK.items() for x in (F.lit(s), F.lit(r))])
-    steps = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("q"), F.col(status).alias("s"))))
-
-    def fold(acc: Column, x: Column) -> Column:
-        back = (acc == "in_progress") & x["s"].isin("pending", "waiting")
-        return F.when(acc.isNull() | back | (F.element_at(rank, x["s"]) >= F.element_at(rank, acc)), x["s"]).otherwise(acc)
-
-    return df.where(F.col(status).isin(*STATUS_RANK)).groupBy(*keys).agg(F.aggregate(steps, F.lit(None).cast("string"), fold).alias(status))
-
-
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Columns replaced by their last non-null value up to each row."""
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -98,21 +81,6 @@ def budget_eviction(df: DataFrame, keys: Sequence[str], order: Sequence[str], si
     return rows.withColumn("evicted", F.col("_total") - (F.col("_run") - F.col(size)) > budget).drop("_run", "_total")
 
 
-def sequence_guard(df: DataFrame, keys: Sequence[str], arrival: str, epoch: str, sequence: str) -> DataFrame:
-    """Rows with ``accepted``: strictly newer (epoch, sequence) than every earlier arrival of the key."""
-    here = F.struct(epoch, sequence)
-    before = F.max(here).over(Window.partitionBy(*keys).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("_b", before).withColumn("accepted", F.col("_b").isNull() | (here > F.col("_b"))).drop("_b")
-
-
-def sticky_mapping(df: DataFrame, key: str, at: str, fixed: Sequence[str], latest: Sequence[str], clock: int, ttl: int) -> DataFrame:
-    """First binding of ``fixed`` wins, ``latest`` follow the last sight; keys not seen for ttl expire."""
-    out = df.groupBy(key).agg(
-        *[F.min_by(c, F.struct(at, *fixed)).alias(c) for c in fixed], *[F.max_by(c, F.struct(at, *latest)).alias(c) for c in latest], F.max(at).alias("seen")
-    )
-    return out.where(F.col("seen") >= clock - ttl)
-
-
 def merge_cursors(a: DataFrame, b: DataFrame, key: str, at: str) -> DataFrame:
     """Union of two watermark tables with the earlier instant per key."""
     return a.select(key, at).unionByName(b.select(key, at)).groupBy(key).agg(F.min(at).alias(at))

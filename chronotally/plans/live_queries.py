@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronotally.operators import folds
 from chronotally.operators import live as L
 from chronotally.plans.registry import jobs, query, runs
 
@@ -71,6 +72,32 @@ def live_contributions(spark, d):
     return rows.where(F.abs("amount") >= 1e-9).withColumn("amount", F.round("amount", 6))
 
 
+JOB = ["status", "updated", "name", "kind", "conclusion", "created", "started", "completed", "assigned", "estimated", "weight", "failure", "steps", "host"]
+
+
+def observations(spark, d):
+    """Every job of ``live_work`` as five observations: queued, running, done, and two late ones that change nothing in the end. They
+    arrive in one of four orders, so that a record is replaced, refused or taken back at every point."""
+    work, none = live_work(spark, d), lambda c: F.lit(None).cast(work.schema[c].dataType).alias(c)
+    last = [c for c in JOB if c in work.columns]
+    stage = lambda k, status, after, *blank: F.struct(F.lit(k).alias("k"), F.lit(status).alias("status"), (F.col("created") + after).alias("updated"), *[none(c) if c in blank else F.col(c) for c in last])
+    stages = F.array(
+        stage(0, "queued", 0, "started", "completed", "conclusion", "failure", "steps"), stage(1, "in_progress", 1, "completed", "conclusion", "failure", "steps"), stage(2, "completed", 2),
+        stage(3, "in_progress", 1, "completed", "conclusion", "failure"), stage(4, "completed", 1, "failure", "started"),
+    )
+    run = [c for c in work.columns if c not in last]
+    rows = work.select(*run, F.explode(stages).alias("o")).select(*run, "o.*", F.lit(None).cast("string").alias("host"))
+    return rows.withColumn("arrival", F.col("k") * (1 + F.col("id") % 4) % 5)
+
+
+@query(f"with {_LIVE} {_SUMMED}")
+def live_retractions(spark, d):
+    """Contributions of jobs as they change: taken back and added with every observation, the sums are those of the last records."""
+    changes = folds.state_changes(observations(spark, d), ["id"], ["arrival"], JOB, L.JOB_MERGE)
+    rows = L.signed_contributions(changes, UNTIL, reported=F.col("id") % 5 != 1).groupBy("day", "bucket", "metric", F.round("value", 6).alias("value")).agg(F.sum("amount").alias("amount"))
+    return rows.where(F.abs("amount") >= 1e-9).withColumn("amount", F.round("amount", 6))
+
+
 @query(f"with {_LIVE}, q as (select bucket, metric, value, sum(amount) as change from r where metric like 'fleet/%/queued/%' group by all), l as (select bucket, metric, sum(change) over (partition by bucket, metric order by value) as level from q) select bucket::bigint as bucket, metric, greatest(max(level), 0.0) as peak from l group by all")
 def live_queue_peaks(spark, d):
     return L.queue_peaks(_rows(spark, d))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronotally.operators import folds
 from chronotally.operators import joins as J
 from chronotally.operators import state as S
 from chronotally.plans.registry import jobs, query, read, runs, steps
@@ -133,8 +134,17 @@ def slot_grid(spark, d):
     return grid.join(results, ["workload", "repetition", "shape"], "left")
 
 
-@query("select id, min((value, 0))[1] as value from (select id, value from jobs union all select id, value + 1 from jobs where id % 10 = 0) group by id")
+@query(f"""with recursive o as (select run, kind, id, a, row_number() over (partition by run, kind order by a, id) as k from jobs),
+    f as (select run, kind, k, id, a as last, true as accepted from o where k = 1 union all
+      select o.run, o.kind, o.k, o.id, case when o.a - f.last > {14 * DAY} then o.a else f.last end, o.a - f.last > {14 * DAY} from f join o on o.run = f.run and o.kind = f.kind and o.k = f.k + 1)
+    select id, accepted from f""")
 def dedupe_deliveries(spark, d):
+    """Deliveries of one id (run and kind here) are taken again two weeks after the last that was."""
+    return folds.dedupe_deliveries(jobs(spark, d).select("run", "kind", "id", "a"), ["run", "kind"], "a", ["a", "id"], window=14 * DAY).select("id", "accepted")
+
+
+@query("select id, min((value, 0))[1] as value from (select id, value from jobs union all select id, value + 1 from jobs where id % 10 = 0) group by id")
+def first_delivery(spark, d):
     rows = jobs(spark, d).select("id", "value")
     both = rows.unionByName(rows.where("id % 10 = 0").withColumn("value", F.col("value") + 1))
     return S.dedupe_first(both, ["id"], ["value"])
@@ -151,15 +161,22 @@ def content_dedupe(spark, d):
 _STATUS = "case kind when 'signup' then 'pending' when 'error' then 'waiting' when 'click' then 'queued' when 'view' then 'in_progress' else 'completed' end"
 
 
-@query(f"""with recursive o as (select run, {_STATUS} as s, row_number() over (partition by run order by a, id) as k from jobs),
-    f as (select run, k, s from o where k = 1 union all
-      select o.run, o.k, case when (f.s = 'in_progress' and o.s in ('pending', 'waiting')) or list_position(['pending', 'queued', 'in_progress', 'completed'], replace(o.s, 'waiting', 'pending')) >= list_position(['pending', 'queued', 'in_progress', 'completed'], replace(f.s, 'waiting', 'pending')) then o.s else f.s end
-      from f join o on o.run = f.run and o.k = f.k + 1)
-    select run, arg_max(s, k) as status from f group by run""")
+_RANKED = lambda s: f"case {s} when 'completed' then 3 when 'in_progress' then 2 else 1 end"
+
+
+@query(f"""with recursive o as (select run, {_STATUS} as s, a // 1000000 - (id % 4) * 200000 as u, case when id % 3 = 0 then 'unknown' else kind end as kd, case when id % 2 = 0 then 'm' || id % 10 end as rn,
+      row_number() over (partition by run order by a, id) as k from jobs),
+    f as (select run, k, s, u, kd, rn, 1 as n from o where k = 1 union all
+      select run, k + 1, case when ok then s2 else s end, case when ok then u2 else u end, case when ok and kd2 <> 'unknown' then kd2 else kd end, case when ok then coalesce(rn2, rn) else rn end, n + ok::int
+      from (select f.*, o.s as s2, o.u as u2, o.kd as kd2, o.rn as rn2, o.u >= f.u and ((f.s = 'in_progress' and o.s in ('pending', 'waiting')) or {_RANKED("o.s")} >= {_RANKED("f.s")}) as ok
+            from f join o on o.run = f.run and o.k = f.k + 1))
+    select run, arg_max(s, k) as status, arg_max(u, k) as updated, arg_max(kd, k) as kind, arg_max(rn, k) as runner, max(n)::bigint as n_accepted from f group by run""")
 def latest_state(spark, d):
+    """Records of a run, merged column by column in order of arrival."""
     status = F.when(F.col("kind") == "signup", "pending").when(F.col("kind") == "error", "waiting").when(F.col("kind") == "click", "queued").when(F.col("kind") == "view", "in_progress").otherwise("completed")
-    rows = jobs(spark, d).select("run", F.struct("a", "id").alias("seq"), status.alias("status"))
-    return S.latest_state(rows, ["run"], "seq", "status")
+    i = F.col("id")
+    rows = jobs(spark, d).select("run", "a", "id", status.alias("status"), (F.floor(F.col("a") / 1_000_000) - i % 4 * 200_000).alias("updated"), F.when(i % 3 == 0, "unknown").otherwise(F.col("kind")).alias("kind"), F.when(i % 2 == 0, F.concat(F.lit("m"), (i % 10).cast("string"))).alias("runner"))
+    return folds.latest_state(rows, ["run"], ["a", "id"], ["status", "updated", "kind", "runner"], folds.Merge(fill={"kind": "unknown", "runner": None}))
 
 
 @query("""select run, id, last_value(case when kind = 'click' then value end ignore nulls) over w as value from jobs window w as (partition by run order by a, id rows between unbounded preceding and current row)""")
@@ -248,16 +265,31 @@ def budget_eviction(spark, d):
     return S.budget_eviction(rows, ["run"], ["kind", "a", "id"], "size", 300_000).select("run", "id", "evicted")
 
 
-@query("""with x as (select run, id, max((id % 3, id % 101)) over (partition by run order by a, id rows between unbounded preceding and 1 preceding) as b, (id % 3, id % 101) as h from jobs)
-    select run, id, b is null or h > b as accepted from x""")
+@query("""with recursive o as (select run, id, a // 3600000000 as tm, run % 3 + (id % 20 = 0)::int as session, a // 3600000000 // 12 + id % 7 as q, row_number() over (partition by run order by a // 3600000000, id) as k from jobs),
+    f as (select run, k, id, tm, session, q, cast(null as varchar) as refusal from o where k = 1 union all
+      select run, k + 1, id2, case when no is null then tm2 else tm end, case when no is null then session2 else session end, case when no is null then q2 else q end, no
+      from (select f.*, o.id as id2, o.tm as tm2, o.session as session2, o.q as q2, case when o.tm - f.tm > 200 then null when o.tm - f.tm < 10 then 'interval' when o.session <> f.session or o.q <= f.q then 'superseded' end as no
+            from f join o on o.run = f.run and o.k = f.k + 1))
+    select id, refusal is null as accepted, refusal from f""")
 def sequence_guard(spark, d):
-    rows = jobs(spark, d).select("run", "id", F.struct("a", "id").alias("arrival"), (F.col("id") % 3).alias("epoch"), (F.col("id") % 101).alias("sequence"))
-    return S.sequence_guard(rows, ["run"], "arrival", "epoch", "sequence").select("run", "id", "accepted")
-
-
-@query(f"""select run, arg_min(kind, (a, kind)) as kind, arg_max(id, (a, id)) as id, max(a) as seen from jobs group by run having max(a) >= {CLOCK} - {5 * DAY}""")
+    """Reports of a run, an hour counting as a second: ten apart at least, of one session, in sequence, forgotten after 200."""
+    hour, i = F.floor(F.col("a") / HOUR), F.col("id")
+    rows = jobs(spark, d).select("run", "id", hour.alias("at"), (F.col("run") % 3 + (i % 20 == 0).cast("int")).alias("session"), (F.floor(hour / 12) + i % 7).alias("sequence"))
+    return folds.sequence_guard(rows, ["run"], "at", "session", "sequence", ["id"], interval=10, lifetime=200).select("id", "accepted", "refusal")
+
+
+@query(f"""with recursive o as (select run, id, a, kind, id % 2 as instance, row_number() over (partition by run order by a, id) as k from jobs where id % 11 <> 0),
+    f as (select run, k, id, kind, instance, a as since, a as seen from o where k = 1 union all
+      select run, k + 1, case when yes then id2 else id end, case when yes then kind2 else kind end, case when yes then instance2 else instance end, case when gone then a2 else since end, case when yes then a2 else seen end
+      from (select f.*, o.id as id2, o.kind as kind2, o.instance as instance2, o.a as a2, o.a - f.seen > {5 * DAY} as gone, o.a - f.seen > {5 * DAY} or (o.kind = f.kind and o.instance = f.instance) as yes
+            from f join o on o.run = f.run and o.k = f.k + 1)),
+    l as (select run, max(k) as k from f group by run)
+    select run, kind, instance, id % 4 as slot, since, seen from f join l using (run, k) where seen >= {CLOCK} - {5 * DAY}""")
 def sticky_mapping(spark, d):
-    return S.sticky_mapping(jobs(spark, d), "run", "a", ["kind"], ["id"], CLOCK, 5 * DAY)
+    """A runner stays with the machine and instance that it was first seen on, until it is unseen for five days."""
+    i = F.col("id")
+    rows = jobs(spark, d).select("run", "a", "id", F.when(i % 11 != 0, F.col("kind")).alias("kind"), (i % 2).alias("instance"), (i % 4).alias("slot"))
+    return folds.sticky_mapping(rows, "run", "a", ["kind", "instance"], ["slot"], ["id"], clock=CLOCK, lifetime=5 * DAY)
 
 
 @query("select repo, min(created) as created from (select repo, created from runs where run % 2 = 0 union all select repo, created + 7 from runs where run % 2 = 1) group by repo")

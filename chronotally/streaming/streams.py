@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from chronotally.operators.state import STATUS_RANK
+from chronotally.operators import folds
 
 
 def event_stream(spark: SparkSession, path: str, schema: str, per_trigger: int = 100) -> DataFrame:
@@ -44,31 +45,33 @@ def _names(aggs: Sequence[Column]) -> list[str]:
     return [a._jc.toString().rsplit(" AS ", 1)[1].strip("`") for a in aggs]
 
 
-def stream_latest_state(df: DataFrame, keys: Sequence[str], seq: str, status: str, ts: str, lifetime: str) -> DataFrame:
-    """Latest status per key, kept as state until the watermark passes the key's last row by ``lifetime``.
+def stream_latest_state(df: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str], merge: folds.Merge, ts: str, lifetime: str) -> DataFrame:
+    """keys, seq, accepted and the whole record before and after each observation, as ``folds.state_changes`` gives them.
 
-    A micro-batch's rows are folded in order of ``seq``; a row older than the state's is ignored. Emits keys, status, seq."""
+    The record is kept as state until the watermark passes the key's last row by ``lifetime``. Micro-batches count as arrived one
+    after the other, rows of one in order of ``seq``; a record that was updated earlier than the state's never replaces it."""
     types = dict(df.dtypes)
-    out = ", ".join(f"{k} {types[k]}" for k in keys) + f", {status} string, {seq} long"
+    out = ", ".join(f"{k} {types[k]}" for k in keys) + f", {seq} {types[seq]}, accepted boolean, before string, after string"
+    step, names = folds.record_step(merge), [*keys, seq, "accepted", "before", "after"]
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches)).sort_values([seq, status])
-        now, last = state.get if state.exists else (None, -(2**62))
-        for s, x in zip(rows[seq], rows[status], strict=True):
-            if s < last or x not in STATUS_RANK:
-                continue
-            back = now == "in_progress" and x in ("pending", "waiting")
-            if now is None or back or STATUS_RANK[x] >= STATUS_RANK[now]:
-                now = x
-            last = s
-        state.update((now, int(last)))
+        rows = pd.concat(list(batches)).sort_values([seq, "_record"])
+        now = (json.loads(state.get[0]), state.get[0]) if state.exists else None
+        found = []
+        for at, record in zip(rows[seq], rows["_record"], strict=True):
+            now, values = step(now, (record,))
+            found.append([*key, at, *values])
+        state.update((now[1],))
         state.setTimeoutTimestamp(int(rows[ts].max().timestamp() * 1000) + _millis(lifetime))
-        yield pd.DataFrame([[*key, now, last]], columns=[*keys, status, seq])
+        yield pd.DataFrame(found, columns=names)
 
-    return df.withWatermark(ts, "1 hour").groupBy(*keys).applyInPandasWithState(fold, out, f"{status} string, {seq} long", "update", GroupStateTimeout.EventTimeTimeout)
+    rows = df.withColumn("_record", folds.packed(df, columns)).withWatermark(ts, "1 hour").groupBy(*keys)
+    rows = rows.applyInPandasWithState(fold, out, "record string", "append", GroupStateTimeout.EventTimeTimeout)
+    shape = folds.record_type(df, columns)
+    return rows.withColumns({c: F.from_json(c, shape) for c in ("before", "after")})
 
 
 def _millis(text: str) -> int:

@@ -132,11 +132,6 @@ def test_a_queued_job_never_runs(spark):
     assert got == {"jobs/x", "queued/x"}
 
 
-def test_latest_state_lets_a_running_job_wait_again(spark):
-    df = spark.createDataFrame([("a", 1, "queued"), ("a", 2, "in_progress"), ("a", 3, "queued"), ("a", 4, "waiting"), ("b", 1, "completed"), ("b", 2, "pending")], "k string, seq long, status string")
-    assert values(S.latest_state(df, ["k"], "seq", "status"), "k", "status") == [("a", "waiting"), ("b", "completed")]
-
-
 def test_frames_are_fenced_and_conflicts_seen(spark):
     cols = "source string, epoch long, sequence long, snapshot string, part int, parts int, digest string"
     rows = [("s", 1, 1, "old", 0, 1, "a"), ("s", 1, 2, "new", 0, 2, "a"), ("s", 1, 2, "new", 1, 2, "b"), ("s", 1, 3, "part", 0, 2, "a"), ("s", 1, 4, "odd", 0, 1, "a"), ("s", 1, 4, "odd", 0, 1, "b")]

@@ -67,16 +67,6 @@ def test_stream_dedupe_and_windows(spark, tmp_path):
     assert sorted(r["n"] for r in sessions.collect()) == [8, 8]
 
 
-def test_stream_state_equals_the_batch_fold(spark, tmp_path):
-    order = ["queued", "in_progress", "queued", "waiting", "completed", "pending"]
-    rows = [{"k": k, "seq": i, "status": s, "ts": "2024-01-01T00:00:00Z"} for k in (1, 2) for i, s in enumerate(order[: 4 + k])]
-    (tmp_path / "s").mkdir()
-    (tmp_path / "s/1.json").write_text("\n".join(json.dumps(r) for r in rows))
-    df = spark.readStream.schema("k long, seq long, status string, ts timestamp").json(str(tmp_path / "s"))
-    got = drain(spark, streams.stream_latest_state(df, ["k"], "seq", "status", "ts", "30 days"), "folded", "update")
-    assert sorted((r["k"], r["status"]) for r in got.collect()) == [(1, "completed"), (2, "completed")]
-
-
 def test_stream_frames_wait_until_whole(spark, tmp_path):
     rows = [{"source": "s", "snapshot": n, "part": p, "parts": 2, "payload": f"{n}{p}", "ts": "2024-01-01T00:00:00Z"} for n, p in (("a", 0), ("b", 0), ("a", 1))]
     df = events(spark, tmp_path, rows, "source string, snapshot string, part int, parts int, payload string, ts timestamp")
