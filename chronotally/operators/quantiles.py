@@ -7,21 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronotally.operators.prefix import prefix_sums
+
 
 def weighted_quantile(df: DataFrame, keys: Sequence[str], value: str, weight: Column, q: float) -> DataFrame:
     """First value whose running weight reaches max(1, ceil(total * q)). Equal values are added up first, so a hot
-    key shuffles its distinct values only."""
-    sums = df.groupBy(*keys, F.col(value).alias("value")).agg(F.sum(weight).alias("w"))
-    window = Window.partitionBy(*keys)
-    run = sums.withColumns({"run": F.sum("w").over(window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("w").over(window)})
-    return run.where(F.col("run") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(q)))).groupBy(*keys).agg(F.min("value").alias("quantile"))
+    key shuffles its distinct values only; however many these are, they are summed in ranges and never meet in one task."""
+    return weighted_quantiles(df, keys, value, weight, {"quantile": q}).drop("total")
 
 
 def weighted_quantiles(df: DataFrame, keys: Sequence[str], value: str, weight: Column, ranks: dict[str, float]) -> DataFrame:
     """total weight and several of weighted_quantile()'s quantiles by name, from one pass."""
     sums = df.groupBy(*keys, F.col(value).alias("value")).agg(F.sum(weight).alias("w"))
-    window = Window.partitionBy(*keys)
-    run = sums.withColumns({"run": F.sum("w").over(window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("w").over(window)})
+    run = prefix_sums(sums, keys, ["value"], {"run": F.col("w")}).withColumnRenamed("run_total", "total")
     first = lambda q: F.min(F.when(F.col("run") >= F.greatest(F.lit(1), F.ceil(F.col("total") * F.lit(q))), F.col("value")))
     return run.groupBy(*keys).agg(F.max("total").alias("total"), *[first(q).alias(name) for name, q in ranks.items()])
 

@@ -7,16 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def ordered_index(df: DataFrame, bucket: Column, order: Sequence[Column], name: str = "index") -> DataFrame:
-    """Position from 0 in one global order, without a one-task window. ``bucket`` must be a non-decreasing function
-    of the order (a day, for instance): rows are ranked within buckets, and bucket counts give the offsets."""
-    rows = df.withColumn("_b", bucket)
-    counts = rows.groupBy("_b").agg(F.count("*").alias("_c"))
-    # one row per bucket: small enough for one ordered window
-    offsets = counts.select(F.col("_b").alias("_ob"), (F.sum("_c").over(Window.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")).alias("_o"))
-    within = F.row_number().over(Window.partitionBy("_b").orderBy(*order)) - 1
-    return rows.withColumn("_w", within).join(offsets, F.col("_b").eqNullSafe(F.col("_ob"))).withColumn(name, F.col("_o") + F.col("_w")).drop("_b", "_ob", "_o", "_w")
+from chronotally.operators.prefix import ordered_index
 
 
 def consecutive_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -74,6 +65,6 @@ def censored_arrivals(snapshots: DataFrame, at: str, items: str) -> DataFrame:
     """Per item: hi, the snapshot that first held it, and lo, the snapshot before (null for the initial backlog)."""
     first = snapshots.select(F.col(at).alias("hi"), F.explode(items).alias("item")).groupBy("item").agg(F.min("hi").alias("hi"))
     times = snapshots.select(F.col(at).alias("at")).distinct()
-    before = ordered_index(times, F.floor(F.col("at") / 86_400_000_000), [F.col("at")], "k")
+    before = ordered_index(times, [F.col("at")], "k")
     earlier = before.select(F.col("at").alias("lo"), (F.col("k") + 1).alias("k"))
     return first.join(before, first["hi"] == before["at"]).join(earlier, "k", "left").select("item", "lo", "hi")

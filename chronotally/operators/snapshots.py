@@ -68,56 +68,6 @@ def journal_checks(df: DataFrame, keys: Sequence[str], id_: str) -> DataFrame:
     return out.select(*keys, F.explode(found).alias("violation"))
 
 
-def reachable_set(roots: DataFrame, links: DataFrame, node: str, parent: str, child: str) -> DataFrame:
-    """Nodes reachable from the roots over parent -> child links. Each round joins only the new frontier; cycles end
-    because seen nodes are not visited again."""
-    seen = frontier = checkpointed(roots.select(node).distinct())
-    while True:
-        step = frontier.join(links, frontier[node] == links[parent]).select(F.col(child).alias(node)).distinct()
-        frontier = checkpointed(step.join(seen, node, "left_anti"))
-        if frontier.isEmpty():
-            return seen
-        seen = checkpointed(seen.unionByName(frontier))
-
-
-def queue_chain(df: DataFrame, scope: str, id_: str, base: str, head: str, item: str, failed: str) -> DataFrame:
-    """Items ahead of each row, following base -> head inside the scope: chain (items from the front, own last), position,
-    ahead_failed. A node with several builds continues from the smallest id; a cycle ends the chain. Chains may be of any
-    length; each round follows one link of all open rows."""
-    one = df.groupBy(F.col(scope).alias("_s"), F.col(head).alias("_h")).agg(F.min(F.struct(F.col(id_).alias("i"), F.col(base).alias("b"), F.col(item).alias("m"), F.col(failed).alias("f"))).alias("_n"))
-    one = checkpointed(one)
-    rows = df.select(scope, id_, F.array(item).alias("chain"), F.array(id_).alias("_path"), F.col(base).alias("_base"), F.lit(False).alias("ahead_failed"))
-    done, rounds = None, 0
-    while True:
-        joined = rows.join(one, (F.col(scope) == F.col("_s")) & (F.col("_base") == F.col("_h")) & ~F.array_contains("_path", F.col("_n.i")), "left")
-        ended = joined.where("_n is null").select(scope, id_, "chain", "ahead_failed")
-        done = ended if done is None else done.unionByName(ended)
-        rows = checkpointed(joined.where("_n is not null").select(scope, id_, F.concat(F.array("_n.m"), "chain").alias("chain"), F.concat("_path", F.array("_n.i")).alias("_path"), F.col("_n.b").alias("_base"), (F.col("ahead_failed") | F.col("_n.f")).alias("ahead_failed")))
-        if rows.isEmpty():
-            break
-        rounds += 1
-        if rounds % 16 == 0:  # else a long chain's plan holds every round
-            done = checkpointed(done)
-    return done.withColumn("position", F.size("chain"))
-
-
-def ancestor_landings(tested: DataFrame, parents: DataFrame, pushes: DataFrame, scope: str) -> DataFrame:
-    """Earliest push that proves each commit reached the main line: of itself ('push') or of a descendant ('ancestor-bound').
-
-    tested (scope, sha), parents (scope, sha, parent), pushes (scope, sha, pushed_at). The minimum is passed from child to
-    parent until nothing improves, so cycles are harmless."""
-    best = checkpointed(pushes.groupBy(scope, "sha").agg(F.min("pushed_at").alias("at")).withColumn("own", F.col("at")))
-    while True:
-        passed = best.join(parents, [scope, "sha"]).groupBy(scope, F.col("parent").alias("sha")).agg(F.min("at").alias("via"))
-        new = best.join(passed, [scope, "sha"], "full").select(scope, "sha", F.least("at", "via").alias("at"), "own", (F.col("at").isNull() | (F.col("via") < F.col("at"))).alias("better"))
-        new = checkpointed(new)
-        if new.where("better").isEmpty():
-            break
-        best = new.drop("better")
-    out = tested.join(best, [scope, "sha"])
-    return out.select(scope, "sha", F.col("at").alias("landed_at"), F.when(F.col("own") == F.col("at"), "push").otherwise("ancestor-bound").alias("source"))
-
-
 def missing_attempts(df: DataFrame, key: str, attempt: str) -> DataFrame:
     """(key, attempt) that are missing from 1 to the largest attempt."""
     wanted = df.groupBy(key).agg(F.max(attempt).alias("_m")).select(key, F.explode(F.sequence(F.lit(1), F.col("_m"))).alias(attempt))

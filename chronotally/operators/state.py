@@ -73,14 +73,6 @@ def topn_retention(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_r", rank).where(F.col("_r") <= F.coalesce(F.element_at(limit, F.col(by)), F.lit(0))).drop("_r")
 
 
-def budget_eviction(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: str, budget: int) -> DataFrame:
-    """Rows with ``evicted``: the first rows in eviction order go until what is left fits the budget of the key."""
-    window = Window.partitionBy(*keys)
-    run = F.sum(size).over(window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    rows = df.withColumns({"_run": run, "_total": F.sum(size).over(window)})
-    return rows.withColumn("evicted", F.col("_total") - (F.col("_run") - F.col(size)) > budget).drop("_run", "_total")
-
-
 def merge_cursors(a: DataFrame, b: DataFrame, key: str, at: str) -> DataFrame:
     """Union of two watermark tables with the earlier instant per key."""
     return a.select(key, at).unionByName(b.select(key, at)).groupBy(key).agg(F.min(at).alias(at))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronotally.operators import activity as A
+from chronotally.operators import graphs as G
 from chronotally.operators import joins as J
 from chronotally.operators import quantiles as Q
 from chronotally.operators import sequence as S
@@ -41,7 +42,7 @@ def staleness_end(spark, d):
 
 @query(f"""with t as (select tm, tm - lag(tm) over (order by tm) as gap, len(items) as n from snaps) select count(*) as snapshots, count(*) filter (where gap > 1200000000) as gaps, count(*) filter (where n = 1) as single, count(*) filter (where gap is null) as unknown from t""")
 def capture_coverage(spark, d):
-    rows = S.ordered_index(snapshots(spark, d), F.floor(F.col("tm") / DAY), [F.col("tm")], "k")
+    rows = S.ordered_index(snapshots(spark, d), [F.col("tm")], "k")
     rows = rows.join(rows.select((F.col("k") + 1).alias("k"), F.col("tm").alias("before")), "k", "left").withColumn("gap", F.col("tm") - F.col("before"))
     return rows.agg(F.count("*").alias("snapshots"), F.count_if(F.col("gap") > 1_200_000_000).alias("gaps"), F.count_if(F.size("items") == 1).alias("single"), F.count_if(F.col("gap").isNull()).alias("unknown"))
 
@@ -103,7 +104,7 @@ def main_landings(spark, d):
     r = runs(spark, d).select(F.col("repo").alias("scope"), F.col("run").alias("sha"), "created")
     parents = r.where("sha % 3 <> 0").select("scope", "sha", (F.col("sha") - 5).alias("parent"))
     pushes = r.where("sha % 10 = 0").select("scope", "sha", F.col("created").alias("pushed_at"))
-    return N.ancestor_landings(r.select("scope", "sha"), parents, pushes, "scope")
+    return G.ancestor_landings(r.select("scope", "sha"), parents, pushes, "scope")
 
 
 def _post_merge_attribution(rows):
@@ -131,7 +132,7 @@ def post_merge_attribution_all(spark, d):
 def queue_chain(spark, d):
     t = read(spark, d, "conversations").select("conv_id", "turn").distinct()
     rows = t.select(F.col("conv_id").alias("scope"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), (F.col("turn") - 1).alias("base"), F.col("turn").alias("head"), F.col("turn").alias("item"), (F.col("turn") % 5 == 3).alias("failed"))
-    out = N.queue_chain(rows, "scope", "id", "base", "head", "item", "failed")
+    out = G.queue_chain(rows, "scope", "id", "base", "head", "item", "failed")
     return out.withColumn("chain", F.array_join(F.transform("chain", lambda x: x.cast("string")), ","))
 
 
@@ -211,7 +212,7 @@ def journal_checks(spark, d):
 def reachable_set(spark, d):
     r = runs(spark, d).select("run")
     links = r.select(F.col("run").alias("parent"), (F.col("run") * 2).alias("child")).unionByName(r.where("run % 3 = 0").select(F.col("run").alias("parent"), F.expr("run div 3").alias("child")))
-    return N.reachable_set(r.where("run <= 3").select(F.col("run").alias("node")), links, "node", "parent", "child")
+    return G.reachable_set(r.where("run <= 3").select(F.col("run").alias("node")), links, "node", "parent", "child")
 
 
 _STATE = "case when kind = 'purchase' then 'completed' when kind = 'click' then 'in_progress' when kind = 'view' then 'waiting' else 'queued' end"

@@ -62,7 +62,7 @@ def retry_flakiness(spark, d):
       from p where prev = 'success' and conclusion <> 'cancelled' group by 1)
     select *, {_wilson_sql('failed', 'finished')} from c""")
 def green_rebuild_risk(spark, d):
-    rows = S.ordered_index(runs(spark, d), F.floor(F.col("created") / DAY), [F.col("created"), F.col("run")], "ix")
+    rows = S.ordered_index(runs(spark, d), [F.col("created"), F.col("run")], "ix")
     rows = S.consecutive_pairs(rows, ["pr"], ["created", "run"], ["ix", "conclusion"]).where("prev_conclusion = 'success' and conclusion <> 'cancelled'")
     rows = rows.withColumn("moved", C.moved_bucket(F.col("ix") - F.col("prev_ix")))
     return R.failure_rate(rows, ["moved"], F.col("conclusion") == "failure", F.lit(True))
@@ -73,7 +73,7 @@ def green_rebuild_risk(spark, d):
     c as (select case when ix - green <= 10 then '0-10' when ix - green <= 50 then '11-50' when ix - green <= 200 then '51-200' else '>200' end as moved, count(*) filter (where conclusion = 'failure') as failed, count(*) as finished from g where green is not null and conclusion <> 'cancelled' group by 1)
     select *, {_wilson_sql('failed', 'finished')} from c""")
 def queue_staleness_risk(spark, d):
-    rows = S.ordered_index(runs(spark, d), F.floor(F.col("created") / DAY), [F.col("created"), F.col("run")], "ix")
+    rows = S.ordered_index(runs(spark, d), [F.col("created"), F.col("run")], "ix")
     before = Window.partitionBy("repo").orderBy("created", "run").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("green", F.max(F.when(F.col("conclusion") == "success", F.col("ix"))).over(before)).where("green is not null and conclusion <> 'cancelled'")
     return R.failure_rate(rows.withColumn("moved", C.moved_bucket(F.col("ix") - F.col("green"), "0-10")), ["moved"], F.col("conclusion") == "failure", F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronotally.operators import folds
 from chronotally.operators import joins as J
+from chronotally.operators import prefix as P
 from chronotally.operators import state as S
 from chronotally.plans.registry import jobs, query, read, runs, steps
 
@@ -258,11 +259,26 @@ def topn_retention(spark, d):
     return S.topn_retention(jobs(spark, d), ["run", "kind"], [F.col("a").desc(), F.col("id").desc()], {"click": 3, "view": 5}, "kind").select("run", "kind", "id")
 
 
-@query("""with r as (select run, id, kind, cast(round(value * 100) as bigint) as size, a from jobs), c as (select *, sum(size) over (partition by run order by kind, a, id rows unbounded preceding) as c, sum(size) over (partition by run) as t from r)
-    select run, id, t - (c - size) > 300000 as evicted from c""")
+_EVICT = """with r as (select run % 3 as source, id, kind, cast(round(value * 100) as bigint) as size, a, case kind when 'error' then 0 when 'signup' then 1 else 2 end as rank from jobs),
+    c as (select *, sum(case when kind = 'purchase' then 0 else size end) over (partition by source order by rank, a, id rows unbounded preceding) as c, sum(size) over (partition by source) as t from r),
+    e as (select *, kind <> 'purchase' and t - (c - size) > BUDGET as gone from c)"""
+
+
+def _evicted(spark, d, budget):
+    """Details of three sources: errors go first, then signups, then the rest by age; purchases always stay."""
+    rank = F.when(F.col("kind") == "error", 0).when(F.col("kind") == "signup", 1).otherwise(2)
+    rows = jobs(spark, d).select((F.col("run") % 3).alias("source"), "id", "kind", "a", F.round(F.col("value") * 100).cast("long").alias("size"), rank.alias("rank"))
+    return P.budget_eviction(rows, ["source"], ["rank", "a", "id"], "size", budget, fixed=F.col("kind") == "purchase")
+
+
+@query(_EVICT.replace("BUDGET", "30000000") + " select source, id, gone as evicted from e")
 def budget_eviction(spark, d):
-    rows = jobs(spark, d).select("run", "id", "kind", "a", F.round(F.col("value") * 100).cast("long").alias("size"))
-    return S.budget_eviction(rows, ["run"], ["kind", "a", "id"], "size", 300_000).select("run", "id", "evicted")
+    return _evicted(spark, d, 30_000_000).select("source", "id", "evicted")
+
+
+@query(_EVICT.replace("BUDGET", "4000000") + " select source, kind, count(*) filter (where gone) as n_evicted, coalesce(sum(size) filter (where gone), 0)::bigint as size_evicted, count(*) filter (where not gone) as n_kept, not bool_or(gone) as complete from e group by all")
+def eviction_counts(spark, d):
+    return P.evicted_counts(_evicted(spark, d, 4_000_000), ["source"], "kind", "size")
 
 
 @query("""with recursive o as (select run, id, a // 3600000000 as tm, run % 3 + (id % 20 = 0)::int as session, a // 3600000000 // 12 + id % 7 as q, row_number() over (partition by run order by a // 3600000000, id) as k from jobs),

@@ -121,7 +121,7 @@ def replay_percentile(spark, d):
 
 @query("select run, created, row_number() over (order by created, run) - 1 as index from runs")
 def commit_index(spark, d):
-    return S.ordered_index(runs(spark, d).select("run", "created"), F.floor(F.col("created") / DAY), [F.col("created"), F.col("run")])
+    return S.ordered_index(runs(spark, d).select("run", "created"), [F.col("created"), F.col("run")])
 
 
 @query("select run, id, kind, value, lag(kind) over w as prev_kind, lag(value) over w as prev_value from jobs window w as (partition by run order by a, id)")

@@ -26,7 +26,7 @@ def pr_from_subject(spark, d):
 
 @query("select run, (row_number() over (order by created, run) - 1) // 1000 as page, ceil(count(*) over () / 1000.0)::bigint as pages from runs")
 def paged_export(spark, d):
-    rows = S.ordered_index(runs(spark, d), F.floor(F.col("created") / DAY), [F.col("created"), F.col("run")], "ix")
+    rows = S.ordered_index(runs(spark, d), [F.col("created"), F.col("run")], "ix")
     return records.paged(rows, "ix", 1000).select("run", "page", "pages")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronotally.functions import columns as C
 from chronotally.operators import activity as A
+from chronotally.operators import graphs as G
 from chronotally.operators import intervals as I
 from chronotally.operators import joins as J
 from chronotally.operators import metrics as M
@@ -141,14 +142,14 @@ def test_frames_are_fenced_and_conflicts_seen(spark):
 def test_queue_chain_stops_at_a_cycle_and_keeps_scopes_apart(spark):
     rows = [("r", 1, "a", "b", 41, False), ("r", 2, "b", "c", 42, False), ("q", 3, "b", "c", 43, False), ("r", 4, "x", "y", 44, True), ("r", 5, "y", "x", 45, False)]
     df = spark.createDataFrame(rows, "repo string, id long, base string, head string, item long, failed boolean")
-    got = {r["id"]: (r["chain"], r["ahead_failed"]) for r in N.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
+    got = {r["id"]: (r["chain"], r["ahead_failed"]) for r in G.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
     assert got == {1: ([41], False), 2: ([41, 42], False), 3: ([43], False), 4: ([45, 44], False), 5: ([44, 45], True)}
 
 
 def test_queue_chain_of_any_length(spark):
     n = 200
     df = spark.createDataFrame([("r", i, i - 1, i, i, i == 2) for i in range(1, n + 1)], "repo string, id long, base long, head long, item long, failed boolean").coalesce(1)
-    got = {r["id"]: (r["chain"], r["position"], r["ahead_failed"]) for r in N.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
+    got = {r["id"]: (r["chain"], r["position"], r["ahead_failed"]) for r in G.queue_chain(df, "repo", "id", "base", "head", "item", "failed").collect()}
     assert got == {i: (list(range(1, i + 1)), i, i > 2) for i in range(1, n + 1)}
 
 
@@ -156,7 +157,7 @@ def test_landings_pass_through_ancestors_and_cycles(spark):
     tested = spark.createDataFrame([("r", "B"), ("r", "C"), ("q", "B")], "repo string, sha string")
     parents = spark.createDataFrame([("r", "C", "B"), ("r", "B", "C")], "repo string, sha string, parent string")
     pushes = spark.createDataFrame([("r", "C", 75)], "repo string, sha string, pushed_at long")
-    assert values(N.ancestor_landings(tested, parents, pushes, "repo"), "sha", "landed_at", "source") == [("B", 75, "ancestor-bound"), ("C", 75, "push")]
+    assert values(G.ancestor_landings(tested, parents, pushes, "repo"), "sha", "landed_at", "source") == [("B", 75, "ancestor-bound"), ("C", 75, "push")]
 
 
 def test_journal_replay_and_inversions(spark):
