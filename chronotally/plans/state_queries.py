@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronotally.operators import changelog as K
 from chronotally.operators import folds
 from chronotally.operators import joins as J
 from chronotally.operators import prefix as P
@@ -232,26 +233,66 @@ def assemble_frames(spark, d):
     return S.assemble_frames(frames)
 
 
-@query("""select run, pr, 'base' as origin from runs where run % 3 <> 0 union all select run, pr + 1, 'delta' from runs where run % 6 = 0""")
+_PLACE = "case when {0} % 13 = 5 then {0} - 1 else {0} end"
+_FRAMES = f"""i as (select repo as source, run, row_number() over (partition by repo order by created, run) as j from runs),
+    k as (select source, run, j as arrival, case when j % 19 = 7 then j - 1 else j end as j from i),
+    o as (select source, arrival, j, {_PLACE.format("j")} as q, case when j % 10 <> 1 then {_PLACE.format("(j - 1)")} end as base, j % 17 <> 3 as whole from k),
+    f as (select source, arrival, j, whole, q as c, j as cj, q as s, j as sj, 1::bigint as n, 'committed' as status from o where arrival = 1 union all
+      select source, arrival + 1, j2, whole2, case when st = 'committed' then q2 else c end, case when st = 'committed' then j2 else cj end, case when st in ('committed', 'incomplete') then q2 else s end,
+        case when st in ('committed', 'incomplete') then j2 else sj end, n + (st = 'committed')::int, st
+      from (select f.*, o.j as j2, o.q as q2, o.whole as whole2, case when o.j = f.cj then 'repeated' when o.base <> f.c then 'resync' when o.q < f.s then 'superseded' when o.q = f.s and o.j <> f.sj then 'conflict'
+              when o.q <= f.c and o.q // 100 = f.c // 100 then 'committed before' when not o.whole then 'incomplete' else 'committed' end as st
+            from f join o on o.source = f.source and o.arrival = f.arrival + 1))"""
+_VERSIONS = f"""{_FRAMES}, c as (select source, j, n as commit, case when j % 10 = 1 then case when j % 20 = 1 then ['A', 'R'] else ['A'] end else [] end as complete from f where status = 'committed'),
+    x as (select i.source, s.kind as collection, s.module % 50 as id, c.commit, max(case when s.n % 5 <> 0 then s.wait_s end) as data from steps s join i on i.run = s.run join c on c.source = i.source and c.j = i.j group by all),
+    y as (select *, lead(commit) over (partition by source, collection, id order by commit) as after_ from x),
+    v as (select source, collection, id, data, commit as since, least(after_, (select min(commit) from c where c.source = y.source and c.commit > y.commit and list_contains(c.complete, y.collection))) as until from y where data is not null)"""
+
+
+def _frames(spark, d):
+    """Every run as a frame of its repository: mostly deltas on the frame before, every tenth a full one; some are sent again, take
+    another's place, or lack parts, upon which deltas are refused up to the next full frame."""
+    rows = P.prefix_sums(runs(spark, d).select(F.col("repo").alias("source"), "run", "created"), ["source"], ["created", "run"], {"number": F.lit(1).cast("long")})
+    j = F.when(F.col("number") % 19 == 7, F.col("number") - 1).otherwise(F.col("number"))
+    place = lambda j: F.when(j % 13 == 5, j - 1).otherwise(j)
+    base = F.when(j % 10 != 1, place(j - 1))
+    complete = F.when(j % 20 == 1, F.array(F.lit("A"), F.lit("R"))).when(j % 10 == 1, F.array(F.lit("A")))
+    div = lambda c: F.floor(c / 100)
+    frames = rows.select("source", F.col("number").alias("arrival"), div(place(j)).alias("epoch"), (place(j) % 100).alias("sequence"), j.cast("string").alias("snapshot"), div(base).alias("base_epoch"), (base % 100).alias("base_sequence"), (j % 17 != 3).alias("whole"), F.lit("d").alias("digest"), complete.alias("complete"))
+    content = steps(spark, d).join(rows, "run").select("source", F.col("number").cast("string").alias("snapshot"), F.col("kind").alias("collection"), (F.col("module") % 50).alias("id"), F.when(F.col("n") % 5 != 0, F.col("wait_s")).alias("data"))
+    return K.commit_frames(frames, ["arrival"]), content
+
+
+def _versions(spark, d):
+    frames, content = _frames(spark, d)
+    return K.entity_versions(content, frames.where("status = 'committed'"))
+
+
+@query(f"with recursive {_FRAMES} select source, arrival, status, case when status = 'committed' then n end as commit from f")
+def commit_frames(spark, d):
+    return _frames(spark, d)[0].select("source", "arrival", "status", "commit")
+
+
+@query(f"with recursive {_VERSIONS} select * from v")
+def entity_versions(spark, d):
+    return _versions(spark, d)
+
+
+@query(f"with recursive {_VERSIONS} select source, collection, id, data from v where until is null")
 def apply_snapshot(spark, d):
-    r = runs(spark, d).select("run", "pr")
-    changes = r.where("run % 3 = 0").select("run", (F.col("pr") + 1).alias("pr"), F.lit("delta").alias("origin"), (F.col("run") % 6 != 0).alias("gone"))
-    return S.apply_snapshot(r.withColumn("origin", F.lit("base")), changes, ["run"], "gone", full=False)
+    return K.state_at(_versions(spark, d))
 
 
-@query("""with o as (select run, pr, price from runs), n as (select run, case when run % 50 = 0 then pr + 1 else pr end as pr, case when run % 70 = 0 then price + 1 else price end as price from runs where run % 90 <> 0),
-    j as (select o.pr as p1, n.pr as p2 from o full join n on o.run = n.run where o.pr is distinct from n.pr or o.price is distinct from n.price)
-    select distinct pr from (select p1 as pr from j union all select p2 from j) where pr is not null""")
+@query(f"""with recursive {_VERSIONS}, w as (select *, coalesce(lag(until) over e = since and lag(data) over e = data, false) as b, coalesce(lead(since) over e = until and lead(data) over e = data, false) as a from v window e as (partition by source, collection, id order by since)),
+    t as (select source, data % 7 as key, since as commit from w where not b union all select source, data % 7, until from w where not a and until is not null) select distinct source, commit, 'bucket' as kind, key from t""")
 def changed_keys(spark, d):
-    old = runs(spark, d).select("run", "pr", "price")
-    new = old.where("run % 90 <> 0").withColumn("pr", F.when(F.col("run") % 50 == 0, F.col("pr") + 1).otherwise(F.col("pr"))).withColumn("price", F.when(F.col("run") % 70 == 0, F.col("price") + 1).otherwise(F.col("price")))
-    return S.changed_keys(old, new, "run", "pr")
+    return K.touched(_versions(spark, d), F.col("data") % 7, "bucket")
 
 
-@query("select s.run, s.n from steps s join runs r on r.run = s.run and r.attempt = 1 + s.n % 3 where r.conclusion <> 'cancelled'")
+@query("select s.run, s.n, case when r.run is null then 'orphan' when r.attempt <> 1 + s.n % 3 then 'version' end as pruned from steps s left join (select * from runs where conclusion <> 'cancelled') r on r.run = s.run")
 def prune_orphans(spark, d):
     parents = runs(spark, d).where("conclusion <> 'cancelled'").select("run", F.col("attempt").alias("version"))
-    return steps(spark, d).select("run", "n", (1 + F.col("n") % 3).alias("version")).join(parents, ["run", "version"], "left_semi").select("run", "n")
+    return K.prune_orphans(steps(spark, d).select("run", "n", (1 + F.col("n") % 3).alias("version")), parents, ["run"], "version").select("run", "n", "pruned")
 
 
 @query("select run, kind, id from (select *, row_number() over (partition by run, kind order by a desc, id desc) as r from jobs) where r <= case kind when 'click' then 3 when 'view' then 5 else 0 end")
