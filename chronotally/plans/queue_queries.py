@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chronotally.operators import activity as A
 from chronotally.operators import graphs as G
 from chronotally.operators import joins as J
+from chronotally.operators import partials as B
 from chronotally.operators import quantiles as Q
 from chronotally.operators import sequence as S
 from chronotally.operators import snapshots as N
@@ -245,6 +246,48 @@ def oldest_reference(spark, d):
     return live(spark, d).groupBy("pool", "state").agg(A.oldest_reference("id", "created", F.lit(True)).alias("oldest"))
 
 
+def _activity(spark, d):
+    """Every event up to the clock as a job of one of twenty pools."""
+    i, done = F.col("id"), F.col("kind") == "purchase"
+    result = F.get(F.array(*[F.lit(x) for x in ("success", "failure", "timed_out", "cancelled", "skipped", "odd")]), (i % 6).cast("int"))
+    return jobs(spark, d).where(f"a <= {CLOCK}").select(
+        "id", (F.col("run") % 20).alias("pool"), (i % 3 == 0).alias("build"), (~done).alias("active"), (F.col("kind") == "click").alias("running"), F.when(i % 17 != 0, F.col("a")).alias("created"), (F.col("a") + 1_000_000).alias("started"),
+        F.when(done, F.col("a") + i % 7 * 600_000_000).alias("completed"), F.when(done, result).alias("result"), (i % 8).alias("part"),
+    )
+
+
+def _report(parts, clock):
+    out = B.report(parts, clock)
+    windows = F.array_join(F.transform("windows", lambda w: F.concat_ws(",", *[w[c].cast("string") for c in ("finished", *B.RESULTS)])), ";")
+    return out.select("pool", "scope", "running", "waiting", "stale_waiting", "oldest_running", "oldest_waiting", "oldest_unknown", "oldest_stale_waiting", "latest_completion", windows.alias("windows"))
+
+
+def _activity_sql(clock: int) -> str:
+    through, results = clock // 60_000_000 * 60_000_000, ("success", "failure", "cancelled", "skipped", "other")
+    stale = f"coalesce(created // {HOUR} * {HOUR} + {HOUR} <= {clock - DAY}, false)"
+    counts = lambda w: " || ',' || ".join(["count(*) filter (where " + f"inside and completed // 60000000 * 60000000 >= {through - w} and completed // 60000000 * 60000000 < {through}" + (f" and result = '{r}'" if r else "") + ")" for r in (None, *results)])
+    return f"""with j as (select id, run % 20 as pool, id % 3 = 0 as build, kind = 'click' as running, kind not in ('purchase', 'click') as waits, case when id % 17 <> 0 then a end as created, a + 1000000 as started, case when kind = 'purchase' then a + id % 7 * 600000000 end as completed,
+        ['success', 'failure', 'failure', 'cancelled', 'skipped', 'other'][id % 6 + 1] as result from jobs where a <= {CLOCK}),
+    s as (select 'all' as scope, * from j union all select 'builds', * from j where build),
+    k as (select *, waits and row_number() over (partition by pool, scope, waits order by created is not null, created, id) <= 20 as named, {stale} as stale, completed <= {CLOCK} and completed >= {CLOCK // 60_000_000 * 60_000_000 - DAY} as inside from s)
+    select pool, scope, count(*) filter (where running) as running, count(*) filter (where waits and not stale) as waiting, count(*) filter (where waits and stale) as stale_waiting, arg_min(id, (started, created is not null, coalesce(created, 0), id)) filter (where running) as oldest_running,
+        arg_min(id, (created is not null, coalesce(created, 0), id)) filter (where named and not stale) as oldest_waiting, count(*) filter (where named and not stale) = 0 and count(*) filter (where waits and not stale) > 0 as oldest_unknown,
+        arg_min(id, (created is not null, coalesce(created, 0), id)) filter (where named and stale) as oldest_stale_waiting, arg_min(id, (-completed, id)) filter (where completed <= {CLOCK}) as latest_completion,
+        {" || ';' || ".join(f"({counts(w)})" for w in (HOUR, 3 * HOUR, DAY))} as windows from k group by pool, scope"""
+
+
+@query(_activity_sql(CLOCK))
+def activity_report(spark, d):
+    """Both scopes of every pool from one partial each."""
+    return _report(B.partials(_activity(spark, d), [], CLOCK), CLOCK)
+
+
+@query(_activity_sql(CLOCK + 5 * HOUR))
+def activity_merge(spark, d):
+    """Partials of eight partitions, merged and read five hours later: what was live may be stale by then."""
+    return _report(B.merged(B.partials(_activity(spark, d), ["part"], CLOCK)), CLOCK + 5 * HOUR)
+
+
 _STATUSES = ["queued", "in_progress", "pending", "waiting", "requested", "completed", "odd"]
 
 
