@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronotally.functions import columns as C
+from chronotally.operators import gates as G
 from chronotally.operators import joins as J
 from chronotally.operators import quality as V
 from chronotally.operators import sequence as S
@@ -215,9 +216,14 @@ def struct_prune(spark, d):
     return pruned.select("run", F.array_join(F.transform("steps", lambda s: F.concat(s["n"], F.lit(":"), s["wait_s"])), ",").alias("steps"))
 
 
-@query("""select id, sha256('{"a":' || a || ',"id":' || id || ',"kind":"' || kind || '"}') as fingerprint from jobs""")
+@query("""select id, sha256('{"a":' || a || ',"id":' || id || ',"in":[{"k":"' || kind || '","r":' || run || '},null],"kind":"' || kind || '"}') as fingerprint from jobs""")
 def canonical_fingerprint(spark, d):
-    return jobs(spark, d).select("id", F.sha2(F.to_json(F.struct("a", "id", "kind")), 256).alias("fingerprint"))
+    """Documents whose keys come in two orders, at both depths."""
+    text = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    c = {n: F.col(n).cast("string") for n in ("id", "a", "run", "kind")}
+    one = text('{"kind":"', c["kind"], '", "in":[{"r":', c["run"], ',"k":"', c["kind"], '"}, null],"id":', c["id"], ',"a":', c["a"], "}")
+    other = text('{"id":', c["id"], ',"in":[{"k":"', c["kind"], '","r":', c["run"], '},null],"a":', c["a"], ',"kind":"', c["kind"], '"}')
+    return jobs(spark, d).select("id", F.sha2(G.canonical(F.when(F.col("id") % 2 == 0, one).otherwise(other)), 256).alias("fingerprint"))
 
 
 @query("""with h as (select sha256(id || ':' || kind) as h from jobs), s as (select sum(('0x' || substr(h, 1, 15))::bigint) as a, sum(('0x' || substr(h, 16, 15))::bigint) as b, sum(('0x' || substr(h, 31, 15))::bigint) as c, sum(('0x' || substr(h, 46, 15))::bigint) as d, count(*) as n from h)
@@ -256,22 +262,53 @@ def validate_cross_field(spark, d):
     return V.check_rows(steps(spark, d), tests).select("run", "n", "reason")
 
 
-@query("select tm, case when len(items) > 9 then 'items' when items[1] < 0 then 'negative' when len(items) <> len(list_distinct(items)) then 'duplicates' end as reason from snaps")
-def validate_metadata(spark, d):
-    tests = [("items", F.size("items") <= 9), ("negative", F.forall("items", lambda x: x >= 0)), ("duplicates", F.size("items") == F.size(F.array_distinct("items")))]
-    return V.check_rows(snapshots(spark, d), tests).select("tm", "reason")
+_UUID, _HASH = "01234567-89ab-cdef-0123-456789abcdef", "a" * 40
 
 
-@query("select run, case when count(*) > 5 then 'changes' when max(n) >= 7 then 'part' when bool_or(wait_s is null) then 'value' end as reason from steps group by run")
-def validate_frame(spark, d):
-    frames = steps(spark, d).groupBy("run").agg(F.collect_list(F.struct("n", "wait_s")).alias("changes"))
-    tests = [("changes", F.size("changes") <= 5), ("part", ~F.exists("changes", lambda c: c["n"] >= 7)), ("value", F.forall("changes", lambda c: c["wait_s"].isNotNull()))]
-    return V.check_rows(frames, tests).select("run", "reason")
+def _json(*parts):
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-@query("select run, n, case when not (n <= 7) then 'done' when wait_s > 45 then 'wait' when run_s < 2000 then 'work' end as reason from steps")
+@query("""select tm, case when len(items) > 20 then 'range:collection_counts.tasks' when len(list_filter(items, lambda x: x % 37 = 0)) > 0 then 'pattern:active_batch_ids[' || (list_position(items, list_filter(items, lambda x: x % 37 = 0)[1]) - 1) || ']'
+    when tm // 600000000 % 5 = 0 then 'enum:conditions[0].since' when tm // 600000000 % 3 <> 0 and items[1] < 5 then 'range:workers[0].tasks' when tm // 600000000 % 7 = 0 then 'config-revision:' end as reason from snaps""".replace("enum:conditions[0].since", "time:conditions[0].since"))
+def validate_metadata(spark, d):
+    """What closes a snapshot, per snapshot of the queue."""
+    k, n, first = F.floor(F.col("tm") / 600_000_000), F.size("items"), F.col("items")[0]
+    ids = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: F.concat(F.lit('"'), F.when(x % 37 == 0, "x").otherwise(x.cast("string")), F.lit('"'))), ","), F.lit("]"))
+    flags = ",".join(f'"{c}":true' for c in G.COLLECTIONS)
+    counts = ",".join(f'"{c}":0' for c in G.COLLECTIONS if c != "tasks")
+    payload = _json(
+        '{"schema":"q","coverage":"observed","observed_at":"2024-01-01T00:00:00Z","status_observed_at":null,"source_revision":"r","canonical_sha":"' + _HASH + '","truncated":false,"event_history_truncated":false,"claim_history_truncated":false,"scope":{"repositories":["o/a"]},',
+        '"dispatch_config":{"repository":"o/a","revision":"', F.when(k % 7 == 0, "b" * 40).otherwise(_HASH), '","namespace_build_cap":1,"pr_order":["x"],"staging_order":["y","z"]},"service":{"revision":"x","started_at":"","mode":"shadow","controller":"running","publication_enabled":null},"collection_counts":{', counts, ',"tasks":', n * 1000,
+        '},"collection_complete":{' + flags + '},"retained_batch_ids":[],"active_batch_ids":', ids, ',"conditions":[{"kind":"c","since":"', F.when(k % 5 == 0, "soon").otherwise("2024-01-01T00:00:00Z"), '"}],"outbox":null,"settings":{},"claims":[],"workers":[{"id":"worker-1","coverage":"', F.when(k % 3 == 0, "unavailable").otherwise("observed"),
+        '","observed_at":null,"state":"s","started_at":null,"tasks":', first - 5, ',"errors":null}]}',
+    )
+    return G.gated(snapshots(spark, d).select("tm", payload.alias("p")), "p", G.metadata_gate("q", ["o/a"])).select("tm", "reason")
+
+
+@query("""with x as (select run, row_number() over (partition by run order by n, wait_s, kind, module) - 1 as i, case when kind = 'N' and wait_s % 13 = 0 then 'pattern:changes[' || (row_number() over (partition by run order by n, wait_s, kind, module) - 1) || '].value.batch_id'
+      when kind = 'N' and wait_s % 17 = 0 then 'identity:changes[' || (row_number() over (partition by run order by n, wait_s, kind, module) - 1) || ']' end as why from steps)
+    select run, coalesce(case when run % 19 = 0 then 'pattern:snapshot' end, case when count(*) > 6 then 'range:part' end, arg_min(why, i) filter (where why is not null), case when run % 3 = 0 then 'missing:metadata' when run % 3 = 1 then 'part:' end) as reason from x group by run""")
+def validate_frame(spark, d):
+    """A run as a frame, its steps as changes: broken identities, values and parts, and last parts without metadata."""
+    rows = steps(spark, d).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module"))).alias("c"))
+    event = lambda x: _json('{"id":"', F.when(x["wait_s"] % 17 == 0, "0").otherwise(x["n"].cast("string")), '","at":null,"kind":"k","batch_id":"', F.when(x["wait_s"] % 13 == 0, "b").otherwise(x["module"].cast("string")), '"}')
+    change = lambda x: _json('{"collection":"', F.when(x["kind"] == "N", "events").otherwise("tasks"), '","id":"', x["n"], '","value":', F.when(x["kind"] == "N", event(x)).otherwise("null"), "}")
+    part = F.when(F.size("c") > 6, -1).when(F.col("run") % 3 == 0, 2).when(F.col("run") % 3 == 1, 3).otherwise(0)
+    payload = _json('{"schema":"f","snapshot":"', F.when(F.col("run") % 19 == 0, "x").otherwise(_UUID), '","base":null,"source":{"id":"' + _UUID + '","epoch":1,"sequence":1},"parts":3,"part":', part, ',"changes":[', F.array_join(F.transform("c", change), ","), "]}")
+    event_gate = G.Object({"id": G.Text(pattern=G.IDENTITY), "at": G.Stamp(), "kind": G.Text(), "batch_id": G.Text(pattern=G.IDENTITY)})
+    return G.gated(rows.select("run", payload.alias("p")), "p", G.frame_gate("f", G.metadata_gate("q", ["o/a"]), {"events": event_gate})).select("run", "reason")
+
+
+@query("""select id, case when id % 23 = 0 then 'not-json' when id % 19 = 0 then 'unknown:more' when id % 7 = 0 then 'range:sequence' when kind = 'error' then 'enum:phase' when id % 11 = 3 then 'range:failed_modules' when id % 13 = 5 then 'type:cpu_seconds'
+    when id % 17 = 2 then 'pattern:source_revision' when id % 90 > id % 100 then 'task-counter:' end as reason from jobs""")
 def validate_progress(spark, d):
-    return V.check_rows(steps(spark, d), [("done", F.col("n") <= 7), ("wait", F.col("wait_s") <= 45), ("work", F.col("run_s") >= 2000)]).select("run", "n", "reason")
+    i = F.col("id")
+    payload = _json(
+        '{"schema":"p","session":"' + _UUID + '","sequence":', i % 7, ',"observed_at":null,"phase":"', F.when(F.col("kind") == "error", "rest").otherwise("build"), '","completed_modules":', F.col("run"), ',"failed_modules":', F.when(i % 11 == 3, -1).otherwise(0), ',"last_module":null,"last_progress_at":null,"active_compilers":null,"cpu_seconds":',
+        F.when(i % 13 == 5, '"x"').otherwise(F.col("value").cast("string")), ',"source_revision":"', F.when(i % 17 == 2, "abc").otherwise(""), '","completed_tasks":', i % 90, ',"total_tasks":', i % 100, F.when(i % 19 == 0, ',"more":1').otherwise(""), F.when(i % 23 == 0, "").otherwise("}"),
+    )
+    return G.gated(jobs(spark, d).select("id", payload.alias("p")), "p", G.progress_gate("p", "^Lib")).select("id", "reason")
 
 
 @query("with s as (select run % 40 as host, count(*) as n from jobs where run % 40 <> 7 group by 1) select coalesce(host, n_nationkey) as host, case when s.n is null then 'missing' when n_nationkey is null then 'unknown' else 'repeated' end as reason from s full join nation on n_nationkey = host where s.n is null or n_nationkey is null or s.n > 1")
