@@ -172,12 +172,16 @@ class Object(Gate):
         return F.concat(path, F.when(path == "", "").otherwise("."), name)
 
     def _field(self, value: Column, path: Column, name: str, gate: Gate) -> tuple[Column, Column]:
-        inner, at = part(value, name), self._at(path, name)
-        if isinstance(gate, Absent):
-            return F.concat(F.lit("not-enabled:"), at), inner.isNotNull()
-        if isinstance(gate, Maybe):
-            return F.when(inner.isNotNull(), gate.gate.reason(inner, at)), F.lit(True)
-        return F.when(inner.isNull(), F.concat(F.lit("missing:"), at)).otherwise(gate.reason(inner, at)), F.lit(True)
+        def found(inner: Column) -> Column:
+            at = self._at(path, name)
+            if isinstance(gate, Absent):
+                return F.when(inner.isNotNull(), F.concat(F.lit("not-enabled:"), at))
+            if isinstance(gate, Maybe):
+                return F.when(inner.isNotNull(), gate.gate.reason(inner, at))
+            return F.when(inner.isNull(), F.concat(F.lit("missing:"), at)).otherwise(gate.reason(inner, at))
+
+        bound = F.transform(F.array(part(value, name)), found)  # by a lambda, so that the field is taken out once
+        return F.get(bound, F.lit(0)), F.lit(True)
 
 
 def reject_reason(payload: Column, gate: Gate) -> Column:

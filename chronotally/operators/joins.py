@@ -110,3 +110,70 @@ def attach_by(left: DataFrame, right: DataFrame, on: Mapping[str, str], columns:
         match = match & (F.col(name) == F.col(f"_k{i}"))
     out = left.join(side, match, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_new_{c}")).alias(c) if c in columns else F.col(c) for c in left.columns])
+
+
+def containment_join(rows: DataFrame, names: DataFrame, needle: str, name: str, *, gram: int = 6) -> DataFrame:
+    """Pairs of a row and a name that contains the row's ``needle``.
+
+    A needle is looked up by the one of its parts of ``gram`` characters (all of it, if it is shorter) that the fewest names have,
+    among the parts of the names, and then verified: an equi-join, in which common parts of templated names meet nobody. Null
+    needles and names match nothing; an empty needle is in every name. Columns of the two sides must differ in name."""
+    length = F.least(F.length(needle), F.lit(gram))
+    parts = lambda text, size: F.array_distinct(F.when(size == 0, F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size))))
+    wanted = rows.where(F.col(needle).isNotNull()).select(F.col(needle).alias("_needle"), length.alias("_size")).distinct()
+    own = wanted.select("_needle", "_size", F.explode(parts(F.col("_needle"), F.col("_size"))).alias("_part"))
+    sizes = wanted.agg(F.sort_array(F.collect_set("_size"))).first()[0]  # gram + 1 numbers at most
+    named = names.where(F.col(name).isNotNull())
+    grams = [named.where(F.length(name) >= size).select(F.col(name).alias("_name"), F.lit(size).alias("_size"), F.explode(parts(F.col(name), F.lit(size))).alias("_part")) for size in sizes]
+    if not grams:
+        return rows.limit(0).join(named.limit(0), F.lit(True))
+    known = grams[0]
+    for more in grams[1:]:
+        known = known.unionByName(more)
+    known = known.distinct()
+    counts = known.groupBy("_part", "_size").agg(F.count("*").alias("_n"))
+    rarest = own.join(counts, ["_part", "_size"], "left").groupBy("_needle").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_part").alias("p"), F.col("_size").alias("s"))).alias("r"))
+    pairs = rarest.where("r.n > 0").select("_needle", F.col("r.p").alias("_part"), F.col("r.s").alias("_size")).join(known, ["_part", "_size"]).where(F.contains("_name", F.col("_needle"))).select("_needle", "_name").distinct()
+    return rows.join(pairs, F.col(needle) == F.col("_needle")).join(named, F.col("_name") == F.col(name)).drop("_needle", "_name")
+
+
+def attach_jobs(slots: DataFrame, jobs: DataFrame, slot: str, units: Column) -> DataFrame:
+    """slots (with status) and the one job whose name contains the slot: job (its id), job_coverage (its status, or
+    missing-or-ambiguous), status (a success whose job did not succeed is failed-job), job_elapsed_s from the first step's start to
+    the completion if a runner had it, and what that costs at ``units`` a minute.
+
+    jobs: job, name, job_status, job_conclusion, runner_name, completed, steps (array with started), instants in seconds."""
+    pairs = containment_join(slots.select(slot).distinct(), jobs, slot, "name").groupBy(slot)
+    columns = ["job", "job_status", "job_conclusion", "runner_name", "completed", "steps"]
+    one = pairs.agg(F.count("*").alias("_n"), F.min(F.struct(*columns)).alias("_job")).where("_n = 1").select(slot, "_job.*")
+    rows = slots.join(one, slot, "left")
+    began = F.array_min(F.transform("steps", lambda s: s["started"]))
+    timed = F.nullif(F.col("runner_name"), F.lit("")).isNotNull() & began.isNotNull()
+    elapsed = F.when(timed, F.col("completed") - began)
+    found = F.col("job_status").isNotNull()
+    failed = found & (F.col("status") == "success") & ((F.col("job_status") != "completed") | ~F.col("job_conclusion").eqNullSafe(F.lit("success")))
+    return rows.select(
+        *[F.when(failed, "failed-job").otherwise(F.col("status")).alias("status") if c == "status" else F.col(c) for c in slots.columns],
+        "job", F.coalesce("job_status", F.lit("missing-or-ambiguous")).alias("job_coverage"), elapsed.alias("job_elapsed_s"), (elapsed / 60 * units).alias("job_unit_minutes"),
+    )
+
+
+def ready_times(landed: DataFrame, ready: DataFrame, *, item: str, version: str, engine: str, at: str, seen: str, loose: str) -> DataFrame:
+    """landed (a row per landed member: item, version, engine, at) with ``ready``, when the item was first ready.
+
+    First the exact version counts, whenever it was ready; without it, for the engine ``loose`` only, the latest ready time of any version
+    of the item that is not after the landing. ready: item, version, seen; of a version the earliest counts. Equal times are fine;
+    null items and versions match nothing. The second level is a union and one window per item, over landings without an exact
+    version and ready times only, so that it sorts no more than it must."""
+    first = ready.where(F.col(item).isNotNull()).groupBy(item, version).agg(F.min(seen).alias("_seen"))
+    rows = landed.join(first.where(F.col(version).isNotNull()), [item, version], "left")
+    exact = rows.where((F.col("_seen").isNotNull()) | ~F.col(engine).eqNullSafe(F.lit(loose))).withColumnRenamed("_seen", "ready")
+    open_ = rows.where(F.col("_seen").isNull() & (F.col(engine) == loose)).drop("_seen")
+    found = asof_latest(open_, first.select(item, F.col("_seen").alias("_at"), F.col("_seen").alias("ready")), [item], at, "_at", "ready")
+    return exact.unionByName(found.withColumnRenamed("asof_ready", "ready"))
+
+
+def landing_latencies(landed: DataFrame, ready: DataFrame, *, item: str, version: str, engine: str, at: str, seen: str, loose: str) -> DataFrame:
+    """item, engine, at, ready of every item's first landing that has a ready time at or before it (``ready_times``); one per item."""
+    rows = ready_times(landed, ready, item=item, version=version, engine=engine, at=at, seen=seen, loose=loose).where(F.col("ready") <= F.col(at))
+    return rows.groupBy(item).agg(F.min(F.struct(at, engine, "ready")).alias("_r")).select(item, f"_r.{engine}", f"_r.{at}", "_r.ready")

@@ -84,14 +84,30 @@ def experiment_phases(spark, d):
     return out.join(Q.report_quantiles(inside, ["phase"], "value", {"median": 0.5, "p95": 0.95}), "phase")
 
 
-@query("""with l as (select pr, min(created) as landed from runs where conclusion = 'success' group by pr), r as (select pr, created as ready from runs where conclusion <> 'success'),
-    j as (select l.pr, landed, max(ready) as ready from l left join r on r.pr = l.pr and ready <= landed group by 1, 2) select pr, landed, ready, landed - ready as latency from j""")
+_LANDED = """l as (select unnest([pr, pr + 1]) as pr, head % 50 as version, case when run % 2 = 0 then 'queue' else 'bors' end as engine, created as landed from runs where conclusion = 'success'),
+    f as (select pr, head % 50 as version, min(created) as seen from runs where conclusion <> 'success' group by all),
+    j as (select l.*, coalesce(e.seen, case when engine = 'queue' then (select max(f.seen) from f where f.pr = l.pr and f.seen <= l.landed) end) as ready from l left join f e on e.pr = l.pr and e.version = l.version),
+    q as (select *, row_number() over (partition by pr order by landed, engine, ready) as r from j where ready <= landed), p as (select pr, engine, landed, ready from q where r = 1)"""
+
+
+def _latencies(spark, d):
+    """Two members a landing; the queue's members count from the last ready time of any version if theirs was never seen."""
+    r = runs(spark, d).withColumn("version", F.col("head") % 50)
+    landed = r.where("conclusion = 'success'").select(F.explode(F.array("pr", F.col("pr") + 1)).alias("pr"), "version", F.when(F.col("run") % 2 == 0, "queue").otherwise("bors").alias("engine"), F.col("created").alias("landed"))
+    ready = r.where("conclusion <> 'success'").select("pr", "version", F.col("created").alias("seen"))
+    return J.landing_latencies(landed, ready, item="pr", version="version", engine="engine", at="landed", seen="seen", loose="queue")
+
+
+@query(f"with {_LANDED} select * from p")
+def landed_items(spark, d):
+    return _latencies(spark, d).select("pr", "engine", "landed", "ready")
+
+
+@query(f"""with {_LANDED}, m as (select engine, (landed - ready) / 60000000.0::double as minutes from p), o as (select *, row_number() over (partition by engine order by minutes) - 1 as k, count(*) over (partition by engine) as n from m)
+    select engine, any_value(n) as items, max(minutes) filter (where k = least(n - 1, floor(0.5::double * n))) as median, max(minutes) filter (where k = least(n - 1, floor(0.95::double * n))) as p95 from o group by engine""")
 def landing_latency(spark, d):
-    r = runs(spark, d)
-    landed = r.where("conclusion = 'success'").groupBy("pr").agg(F.min("created").alias("landed"))
-    ready = r.where("conclusion <> 'success'").select("pr", F.col("created").alias("t"), F.col("created").alias("ready"))
-    out = J.asof_latest(landed, ready, ["pr"], "landed", "t", "ready").withColumnRenamed("asof_ready", "ready")
-    return out.withColumn("latency", F.col("landed") - F.col("ready"))
+    minutes = _latencies(spark, d).withColumn("minutes", (F.col("landed") - F.col("ready")) / 60_000_000.0)
+    return minutes.groupBy("engine").agg(F.count("*").alias("items")).join(Q.report_quantiles(minutes, ["engine"], "minutes", {"median": 0.5, "p95": 0.95}), "engine")
 
 
 _EDGES = "edges as (select r1.repo as scope, r1.run as sha, r1.run - 5 as parent from runs r1 where r1.run % 3 <> 0)"

@@ -96,9 +96,29 @@ def attempt_window_join(spark, d):
     return left.join(right, "run").where("t >= a and t <= b").select("id", "artifact")
 
 
+@query("""with s as (select run, repo || ':' || (run // 7) as slot, 'success' as status, 1 + run % 3 as units from runs where run % 7 = 0), j as (select run as job, case when run % 11 = 0 then 'bench ' || repo || ':' || (run // 7) || '2 / x' when run % 2 = 0 then 'bench (' || repo || ':' || (run // 7) || ')' else repo || ':' || (run // 7) || ' again' end as name,
+      case when run % 5 = 0 then 'in_progress' else 'completed' end as st, conclusion, case when run % 3 <> 0 then 'm' || run else '' end as runner, created // 1000000 + 600 as completed, created // 1000000 + run % 100 as began from runs where run % 7 in (0, 1)),
+    m as (select slot, count(*) as n, min((job, st, conclusion, runner, completed, began)) as x from s join j on contains(j.name, s.slot) group by slot)
+    select run, slot, case when n = 1 and (x[2] <> 'completed' or x[3] <> 'success') then 'failed-job' else status end as status, case when n = 1 then x[1] end as job, case when n = 1 then x[2] else 'missing-or-ambiguous' end as job_coverage,
+      case when n = 1 and x[4] <> '' then (x[5] - x[6])::double end as job_elapsed_s, case when n = 1 and x[4] <> '' then round((x[5] - x[6]) / 60.0::double * units, 6) end as job_unit_minutes from s left join m using (slot)""")
+def attach_jobs(spark, d):
+    """Slots found in the names of jobs: missing ones, and ones that are part of another slot's name too."""
+    r = runs(spark, d)
+    slot = F.concat("repo", F.lit(":"), F.floor(F.col("run") / 7).cast("string"))
+    name = F.when(F.col("run") % 11 == 0, F.concat(F.lit("bench "), slot, F.lit("2 / x"))).when(F.col("run") % 2 == 0, F.concat(F.lit("bench ("), slot, F.lit(")"))).otherwise(F.concat(slot, F.lit(" again")))
+    second = F.floor(F.col("created") / 1_000_000)
+    named = r.where("run % 7 in (0, 1)").select(
+        F.col("run").alias("job"), name.alias("name"), F.when(F.col("run") % 5 == 0, "in_progress").otherwise("completed").alias("job_status"), F.col("conclusion").alias("job_conclusion"), F.when(F.col("run") % 3 != 0, F.concat(F.lit("m"), F.col("run").cast("string"))).otherwise("").alias("runner_name"),
+        (second + 600).alias("completed"), F.array(F.struct((second + F.col("run") % 100).alias("started")), F.struct((second + 100).alias("started"))).alias("steps"),
+    )
+    slots = r.where("run % 7 = 0").select("run", slot.alias("slot"), F.lit("success").alias("status"), (1 + F.col("run") % 3).alias("units"))
+    out = J.attach_jobs(slots, named, "slot", F.col("units")).drop("units")
+    return out.withColumns({"job_elapsed_s": F.col("job_elapsed_s").cast("double"), "job_unit_minutes": F.round("job_unit_minutes", 6)})
+
+
 @query("""with o as (select run, count(*) as c, min(n) as n, min(run_s) as run_s from steps where kind = 'R' group by run)
     select runs.run, case when c = 1 then o.n end as n, case when c = 1 then o.run_s end as run_s, case when c = 1 then 'matched' else 'missing-or-ambiguous' end as state from runs left join o using (run)""")
-def attach_jobs(spark, d):
+def only_match(spark, d):
     return J.only_match(runs(spark, d).select("run"), steps(spark, d).where("kind = 'R'"), ["run"], ["n", "run_s"])
 
 
