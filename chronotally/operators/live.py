@@ -35,8 +35,8 @@ class Names:
 
 
 def seconds_of(text: Column) -> Column:
-    """Seconds of an instant with an offset; null if it is none."""
-    at = F.try_to_timestamp(text)
+    """Seconds of an instant with an offset; null if it is none, or has none, whatever the session's time zone."""
+    at = F.when(text.rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$"), F.try_to_timestamp(text))
     return F.unix_micros(at) / F.lit(1_000_000.0)
 
 

@@ -177,8 +177,7 @@ def published_coverage(spark, d):
 
 @query("select run, kind as phase, min(a) as started, max(a + run_s * 1000000) as ended, count(*) as steps from steps where conclusion in ('success', 'failure') group by all")
 def phase_boundaries(spark, d):
-    nested = steps(spark, d).groupBy("run").agg(F.collect_list(F.struct(F.col("kind").alias("phase"), "a", (F.col("a") + F.col("run_s") * 1_000_000).alias("e"), "conclusion")).alias("s"))
-    rows = nested.select("run", F.explode("s").alias("s")).select("run", "s.*").where("conclusion in ('success', 'failure')")
+    rows = steps(spark, d).where("conclusion in ('success', 'failure')").select("run", F.col("kind").alias("phase"), "a", (F.col("a") + F.col("run_s") * 1_000_000).alias("e"))
     return rows.groupBy("run", "phase").agg(F.min("a").alias("started"), F.max("e").alias("ended"), F.count("*").alias("steps"))
 
 
@@ -307,7 +306,7 @@ def activity_merge(spark, d):
 _STATUSES = ["queued", "in_progress", "pending", "waiting", "requested", "completed", "odd"]
 
 
-@query(f"""with t as (select run, 1 + id % 2 as attempt, kind <> 'purchase' as active, id % 29 = 0 as estimated, kind = 'click' and id % 13 <> 0 as in_progress, case when id % 17 <> 0 then a end as created, a from jobs where run % 50 <> 0 or kind = 'purchase'),
+@query(f"""with t as (select run, 1 + id % 2 as attempt, kind <> 'purchase' as active, id % 29 = 0 as estimated, kind = 'click' and id % 13 <> 0 as in_progress, case when id % 17 <> 0 then a end as created, a from jobs),
     r as (select run, attempt, {_STATUSES!r}[run % 7 + 1] as status, run % 5 <> 0 as verified, run % 3 as category, min(a) as created, max(a) as touched from t group by all),
     n as (select * from r where status <> 'completed' and attempt = (select max(attempt) from r o where o.run = r.run)),
     c as (select run, attempt, count(*) filter (where active) as active_jobs, count(*) filter (where active and not estimated) as actual, count(*) filter (where active and not estimated and in_progress) as running,
@@ -319,7 +318,7 @@ _STATUSES = ["queued", "in_progress", "pending", "waiting", "requested", "comple
     select category, final as state, count(*) as n, min(created) as oldest, cast(sum(actual) as bigint) as jobs, cast(sum(running) as bigint) as running from x group by all""")
 def workflow_backlog(spark, d):
     """Every run with its newest attempt, whatever its age."""
-    t = jobs(spark, d).where("run % 50 <> 0 or kind = 'purchase'").select(
+    t = jobs(spark, d).select(
         "run", (1 + F.col("id") % 2).alias("attempt"), (F.col("kind") != "purchase").alias("active"), (F.col("id") % 29 == 0).alias("estimated"),
         ((F.col("kind") == "click") & (F.col("id") % 13 != 0)).alias("in_progress"), F.when(F.col("id") % 17 != 0, F.col("a")).alias("created"), "a",
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotally.functions import columns as C
+from chronotally.operators import joins as J
 from chronotally.operators import quantiles as Q
 from chronotally.operators import reports as R
 from chronotally.operators import sequence as S
@@ -74,8 +75,9 @@ def green_rebuild_risk(spark, d):
     select *, {_wilson_sql('failed', 'finished')} from c""")
 def queue_staleness_risk(spark, d):
     rows = S.ordered_index(runs(spark, d), [F.col("created"), F.col("run")], "ix")
-    before = Window.partitionBy("repo").orderBy("created", "run").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("green", F.max(F.when(F.col("conclusion") == "success", F.col("ix"))).over(before)).where("green is not null and conclusion <> 'cancelled'")
+    green = rows.where("conclusion = 'success'").select("repo", F.col("ix").alias("at"), F.col("ix").alias("green"))
+    rows = J.asof_latest(rows, green, ["repo"], "ix", "at", "green", strict=True, slice_=10_000).withColumnRenamed("asof_green", "green")
+    rows = rows.where("green is not null and conclusion <> 'cancelled'")
     return R.failure_rate(rows.withColumn("moved", C.moved_bucket(F.col("ix") - F.col("green"), "0-10")), ["moved"], F.col("conclusion") == "failure", F.lit(True))
 
 
@@ -187,11 +189,7 @@ def coverage_counts(spark, d):
 
 @query("""select kind, size as inner_key, cast(sum(t) as bigint) as total, max(m) as peak from (select run, kind, size, sum(run_s) as t, max(run_s) as m from steps group by all) group by all""")
 def nested_counters(spark, d):
-    per = steps(spark, d).groupBy("run", "kind", "size").agg(F.sum("run_s").alias("t"), F.max("run_s").alias("m"))
-    inner = per.groupBy("run", "kind").agg(F.map_from_entries(F.collect_list(F.struct("size", F.struct("t", "m")))).alias("inner"))
-    nested = inner.groupBy("run").agg(F.map_from_entries(F.collect_list(F.struct("kind", "inner"))).alias("nested"))
-    rows = nested.select(F.explode("nested").alias("kind", "inner")).select("kind", F.explode("inner").alias("inner_key", "v"))
-    return rows.groupBy("kind", "inner_key").agg(F.sum("v.t").alias("total"), F.max("v.m").alias("peak"))
+    return steps(spark, d).groupBy("kind", F.col("size").alias("inner_key")).agg(F.sum("run_s").alias("total"), F.max("run_s").alias("peak"))
 
 
 @query("select count(*) filter (where conclusion = 'success') as complete, count(*) filter (where conclusion = 'success' and pr % 2 = 0) as confirmed, cast(sum(case when conclusion = 'success' then head end) as bigint) as bytes, count(distinct case when conclusion = 'success' then head end) as objects from runs")
@@ -231,10 +229,10 @@ def missing_metadata_counts(spark, d):
     return rows.agg(F.count_if(F.col("_r").isNull()).alias("no_run"), F.count_distinct(F.when(F.col("_r").isNull(), F.col("run"))).alias("runs_unknown"), F.count_if(F.col("run") % 9 == 0).alias("no_engine"))
 
 
-@query(f"select kind, case when b > {CLOCK} then 'running' else 'queued' end as state, count(*) as n from jobs where a <= {CLOCK} and a > {CLOCK} - {DAY} group by all")
+@query(f"select kind, case when b > {CLOCK} then 'running' else 'queued' end as state, count(*) as n from jobs where a <= {CLOCK} group by all")
 def current_counts(spark, d):
     state = F.when(F.col("b") > CLOCK, "running").otherwise("queued")
-    return jobs(spark, d).where(f"a <= {CLOCK} and a > {CLOCK - DAY}").groupBy("kind", state.alias("state")).agg(F.count("*").alias("n"))
+    return jobs(spark, d).where(f"a <= {CLOCK}").groupBy("kind", state.alias("state")).agg(F.count("*").alias("n"))
 
 
 @query("select count(*) as items, bool_and(known) as complete from (select item, bool_and(known) as known from (select pr as item, true as known from runs where conclusion = 'cancelled' union all select s.module as item, r.run is not null from steps s left join runs r on r.run = s.run and r.attempt = 1 + s.n % 3 where s.conclusion = 'cancelled') group by item)")
@@ -338,7 +336,7 @@ def group_status(spark, d):
 
 @query("select repo, count(*) as attempted, count(*) filter (where c > 0) as recorded, count(*) filter (where coalesce(c, 0) = 0) as gaps, cast(sum(coalesce(f, 0)) as bigint) as failures from runs left join (select run, count(*) as c, count(*) filter (where conclusion = 'failure') as f from steps group by run) using (run) group by repo")
 def receipt_summary(spark, d):
-    s = steps(spark, d).groupBy("run").agg(F.collect_list(F.struct("n", "conclusion")).alias("gaps"))
+    s = steps(spark, d).groupBy("run").agg(F.count_if(F.col("conclusion") == "failure").alias("failed"))
     rows = runs(spark, d).join(s, "run", "left")
-    failures = F.coalesce(F.size(F.filter("gaps", lambda g: g["conclusion"] == "failure")), F.lit(0))
-    return rows.groupBy("repo").agg(F.count("*").alias("attempted"), F.count_if(F.col("gaps").isNotNull()).alias("recorded"), F.count_if(F.col("gaps").isNull()).alias("gaps"), F.sum(F.greatest(failures, F.lit(0))).cast("long").alias("failures"))
+    recorded = F.col("failed").isNotNull()
+    return rows.groupBy("repo").agg(F.count("*").alias("attempted"), F.count_if(recorded).alias("recorded"), F.count_if(~recorded).alias("gaps"), F.coalesce(F.sum("failed"), F.lit(0)).alias("failures"))

@@ -93,7 +93,8 @@ def attempt_window_join(spark, d):
     rows = jobs(spark, d)
     left = rows.where("kind = 'click'").select("id", "run", "a", "b")
     right = rows.where("kind = 'view'").select("run", F.col("a").alias("t"), F.col("id").alias("artifact"))
-    return left.join(right, "run").where("t >= a and t <= b").select("id", "artifact")
+    left, right = left.withColumn("b1", F.col("b") + 1), right.withColumn("t1", F.col("t") + 1)  # ends are exclusive
+    return J.interval_overlap_join(left, right, "a", "b1", "t", "t1", HOUR, ["run"]).select("id", "artifact")
 
 
 @query("""with s as (select run, repo || ':' || (run // 7) as slot, 'success' as status, 1 + run % 3 as units from runs where run % 7 = 0), j as (select run as job, case when run % 11 = 0 then 'bench ' || repo || ':' || (run // 7) || '2 / x' when run % 2 = 0 then 'bench (' || repo || ':' || (run // 7) || ')' else repo || ':' || (run // 7) || ' again' end as name,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronotally.functions import columns as C
 from chronotally.operators import gates as G
 from chronotally.operators import joins as J
+from chronotally.operators import live as L
 from chronotally.operators import quality as V
 from chronotally.operators import sequence as S
 from chronotally.plans.registry import jobs, query, read, runs, snapshots, steps
@@ -45,21 +46,41 @@ def history_to_events(spark, d):
     return events.select("run.run", "run.repo", "run.workflow", F.size("jobs").cast("long").alias("jobs"), detail.alias("detail"))
 
 
-@query("""with m as (select list(distinct l_partkey) filter (where l_partkey > 0) as p, l_orderkey as run from lineitem group by l_orderkey)
-    select r.run, coalesce(case when r.head % 3 = 0 then 'done' end, case when conclusion = 'cancelled' then 'queued' else 'completed' end) as status, coalesce(case when r.head % 2 = 0 then created end, created + 60000000) as started, coalesce(len(m.p), 0) as members from runs r left join m using (run)""")
+@query("""with m as (select run, list_distinct(list_filter(list(module), lambda x: x % 3 <> 0)) as p from steps group by run)
+    select r.run::varchar as run, case when r.head % 3 = 0 then 'waiting' when conclusion = 'cancelled' then 'queued' else 'completed' end as status, case when r.head % 2 = 0 then created // 1000000 else created // 1000000 + 60 end::double as started,
+      case when r.head % 5 = 1 then 'bors_staging' when r.head % 5 = 2 then 'bors_unknown' else 'merge_queue' end as trigger, case when r.head % 5 in (1, 2) then r.run end as batch, case when r.head % 7 = 0 then 't' || r.run when r.head % 5 in (1, 2) then sha1(r.run::varchar) end as tested_head, coalesce(len(m.p), 0)::bigint as members
+    from runs r left join m using (run)""")
 def normalize_runs(spark, d):
-    raw = runs(spark, d).join(steps(spark, d).groupBy("run").agg(F.collect_list("module").alias("raw")), "run", "left")
-    status = F.coalesce(F.when(F.col("head") % 3 == 0, "done"), F.when(F.col("conclusion") == "cancelled", "queued").otherwise("completed"))
-    members = F.array_distinct(F.filter("raw", lambda x: x > 0))
-    return raw.select("run", status.alias("status"), F.coalesce(F.when(F.col("head") % 2 == 0, F.col("created")), F.col("created") + 60_000_000).alias("started"), F.coalesce(F.when(members.isNotNull(), F.size(members)), F.lit(0)).cast("long").alias("members"))
+    """Deliveries of staging runs: what was tested comes from the delivery or the title, members are distinct positive numbers."""
+    r = runs(spark, d).join(steps(spark, d).groupBy("run").agg(F.collect_list("module").alias("tested_items")), "run", "left")
+    i, h, text = F.col("run"), F.col("head"), F.lit(None).cast("string")
+    iso, hash_ = (lambda c: F.date_format(F.timestamp_micros(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.sha1(i.cast("string").cast("binary"))
+    title = lambda branch: F.concat(F.lit(f"bors branch={branch} batch="), i.cast("string"), F.lit(" head="), hash_, F.lit(" base="), hash_)
+    members = F.transform("tested_items", lambda m: F.struct(F.when(m % 3 == 0, -m).otherwise(m).cast("string").alias("pr")))
+    raw = r.select(
+        F.lit("r").alias("repo"), i.alias("id"), F.lit(1).alias("run_attempt"), F.lit(L.Names.workflow).alias("path"), F.when(h % 5 < 1, "merge_group").when(h % 5 < 3, "repository_dispatch").otherwise("merge_group").alias("event"), text.alias("trigger"),
+        F.when(h % 3 == 0, "waiting").alias("status"), F.when(F.col("conclusion") != "cancelled", F.col("conclusion")).alias("conclusion"), iso(F.col("created")).alias("created_at"), F.when(h % 2 != 0, iso(F.col("created") + 60_000_000)).alias("run_started_at"), text.alias("updated_at"), text.alias("head_sha"), text.alias("head_branch"),
+        F.when(h % 5 == 1, title("main")).when(h % 5 == 2, title("dev")).alias("display_title"), F.struct(F.when(h % 7 == 0, F.concat(F.lit("t"), i.cast("string"))).alias("head_sha"), F.lit(None).cast("long").alias("batch_id"), members.alias("batch_members")).alias("tested"), F.lit(None).cast("struct<until:double,weight:double>").alias("archive_sampling"),
+    )
+    out = L.normalize_runs(raw)
+    return out.select("run", "status", "started", "trigger", "batch", "tested_head", F.coalesce(F.size("members"), F.lit(0)).cast("long").alias("members")).withColumn("members", F.greatest("members", F.lit(0).cast("long")))
 
 
-@query("""select run, n, regexp_replace('ci / build / job ' || n, '^.* / ', '') as name, wait_s > 5 or kind = 'R' or size = 'O' or run_s > 30000 as assigned, cast(regexp_extract('https://x/runs/' || run || '/jobs/' || (run * 10 + n), '/jobs/([0-9]+)$', 1) as bigint) as job_id from steps""")
+@query("""select run || '-' || n as id, n::varchar as name, wait_s > 25 or kind = 'R' as assigned, (run * 10 + n)::varchar as check_run,
+    case when kind = 'A' then 'github' when run % 4 = 0 then 'north' when run % 4 = 1 then 'south' when run % 4 = 2 and kind = 'R' then 'north' else 'self-hosted' end as kind from steps""")
 def normalize_jobs(spark, d):
-    s = steps(spark, d)
-    url = F.concat(F.lit("https://x/runs/"), "run", F.lit("/jobs/"), F.col("run") * 10 + F.col("n"))
-    evidence = F.exists(F.array(F.col("wait_s") > 5, F.col("kind") == "R", F.col("size") == "O", F.col("run_s") > 30000), lambda x: x)
-    return s.select("run", "n", F.regexp_replace(F.concat(F.lit("ci / build / job "), "n"), "^.* / ", "").alias("name"), evidence.alias("assigned"), F.regexp_extract(url, "/jobs/([0-9]+)$", 1).cast("long").alias("job_id"))
+    """Deliveries of jobs on known and unknown machines, named by a label or only by the runner; two names in one job name none."""
+    s, text, i = steps(spark, d), F.lit(None).cast("string"), F.col("run")
+    labels = F.when(F.col("kind") == "A", F.array(F.lit("ubuntu-24.04"))).when(i % 4 == 0, F.array(F.lit("self-hosted"), F.lit("fleet-0123456789abcdef"))).when(i % 4 == 1, F.array(F.lit("self-hosted"), F.lit("fleet-host-s1"))).when(i % 4 == 3, F.array(F.lit("self-hosted"), F.lit("fleet-host-s1"), F.lit("fleet-0123456789abcdef"))).otherwise(F.array(F.lit("self-hosted")))
+    runner = F.when(F.col("kind") == "R", F.concat(F.lit("fleet-0123456789ab-"), F.substring(F.sha1(i.cast("string").cast("binary")), 1, 16)))
+    runner = F.when((i % 4 == 1) & (F.col("kind") == "R"), "own-1").otherwise(runner)
+    raw = s.select(
+        F.concat_ws("-", "run", "n").alias("id"), i.alias("run_id"), F.lit(1).alias("run_attempt"), F.concat(F.lit("pr-build / "), F.col("n").cast("string")).alias("name"), text.alias("status"), text.alias("conclusion"), F.lit("2024-01-01T00:00:00Z").alias("created_at"), text.alias("started_at"), text.alias("completed_at"), text.alias("runner_kind"),
+        labels.alias("labels"), runner.alias("runner_name"), F.lit(None).cast("long").alias("runner_id"), (F.col("wait_s") > 25).alias("assigned"), F.lit(None).cast("array<struct<name:string,started_at:string,completed_at:string,conclusion:string>>").alias("steps"), text.alias("failure_class"), F.lit(None).cast("array<string>").alias("failure_excerpt"),
+        F.lit(None).cast("double").alias("weight"), F.lit(None).cast("boolean").alias("estimated"), F.concat(F.lit("https://x/check-runs/"), i * 10 + F.col("n")).alias("check_run_url"),
+    )
+    out = L.normalize_jobs(raw, hosts=L.Hosts({"0123456789abcdef": "north"}, {"s1": "south"}))
+    return out.select("id", "name", "assigned", "check_run", "kind")
 
 
 _TITLE = "case when id % 2 = 0 then 'bors branch=main batch=' || id || ' head=' || sha1(id::varchar) || ' base=' || sha1('b' || id) else 'manual ' || id end"
