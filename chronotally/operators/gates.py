@@ -201,7 +201,7 @@ def canonical(payload: Column) -> Column:
     return F.to_json(F.try_parse_json(payload))
 
 
-# the gates
+# the gates; fixed values: the names, bounds and patterns of their fields
 
 # What a report may call its phase, and the collections of a frame.
 PHASES = ("starting", "cache-unpack", "build", "audit-setup", "audit-import", "audit-duplicates", "audit-axioms", "audit-module-system", "lint-env", "lint-style", "declaration-names", "stage-cache", "end", "unknown")
@@ -271,3 +271,31 @@ def frame_gate(schema: str, metadata: Object, records: Mapping[str, Object]) ->
         {"schema": Text(values=[schema]), "snapshot": Text(pattern=UUID), "base": Object(place, nullable=True), "source": Object({"id": Text(pattern=UUID), **place}), "parts": whole(1, 2000), "part": whole(0), "changes": Items(change, most=500), "metadata": Maybe(Gate(nullable=True))},
         cases=[(last, {"metadata": metadata}), (lambda v: ~last(v), {"metadata": Absent()})], rules=[("part", lambda v: number_of(v, "part") < number_of(v, "parts"))],
     )
+
+
+def telemetry_gate() -> Object:
+    """Phases of a run and the class of its failure; other fields are left alone."""
+    phase = Object({"phase": Text(80), "seconds": Number(0, 7 * 86_400, nullable=True)}, open=True)
+    return Object({"phases": Maybe(Items(phase, most=100, nullable=True)), "failure": Maybe(Text(61, pattern="^[a-z][a-z0-9-]{0,60}$", nullable=True))}, open=True)
+
+
+def event_gate(repositories: Sequence[str], past: Sequence[str] = ()) -> Object:
+    """A delivery: its repository is listed, or was once and the delivery is historical; run and jobs have numbers and times; a
+    sampling belongs to historical ones only. Other fields are left alone."""
+    old = lambda v: F.coalesce(part(v, "historical", "boolean"), F.lit(False))
+    run = lambda v: part(v, "run")
+    first = lambda v: F.get(part(v, "jobs", "array<variant>"), F.lit(0))
+    number = lambda *found: F.coalesce(*found)
+    run_id = lambda v: number(text_of(run(v), "id"), text_of(run(v), "run_id"), text_of(v, "run_id"), text_of(first(v), "run_id"))
+    job = Object({"created_at": Stamp(nullable=False)}, open=True, rules=[("job-id", lambda v: F.coalesce(number(text_of(v, "id"), text_of(v, "job_id")).rlike("^[0-9]+$"), F.lit(False)))])
+
+    def sampled(v: Column) -> Column:
+        sampling = part(run(v), "archive_sampling")
+        fine = old(v) & number_of(sampling, "until").isNotNull() & (number_of(sampling, "weight") >= 0)
+        return sampling.isNull() | is_null(sampling) | F.coalesce(fine, F.lit(False))
+
+    named = lambda v: F.coalesce(text_of(v, "repo").isin(*repositories) | (old(v) & text_of(v, "repo").isin(*past) if past else F.lit(False)), F.lit(False))
+    return Object(
+        {"delivery": Text(300), "run": Maybe(Object({"created_at": Stamp(nullable=False)}, open=True, nullable=True)), "jobs": Maybe(Items(job, most=100, nullable=True)), "telemetry": Maybe(Object(telemetry_gate().fields, open=True, nullable=True))},
+        rules=[("repository", named), ("run-id", lambda v: F.coalesce(run_id(v).rlike("^[0-9]+$"), F.lit(True))), ("sampling", sampled)], open=True,
+    )

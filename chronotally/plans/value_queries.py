@@ -344,17 +344,32 @@ def validate_history(spark, d):
     return V.check_rows(w, [("count", F.col("n") >= 40), ("order", (F.col("lo") <= F.col("mid")) & (F.col("mid") <= F.col("hi"))), ("max", F.col("hi") <= 480)]).select("run", "reason")
 
 
-@query("select run, case when count(*) > 6 then 'phases' when bool_or(wait_s > 48) then 'seconds' when bool_or(kind not in ('A', 'N', 'R')) then 'name' end as reason from steps group by run")
+@query("""with x as (select run, row_number() over (partition by run order by n, wait_s, kind, module) - 1 as i, case when module % 29 = 0 then 'length' when wait_s = 50 then 'range' end as why, module from steps),
+    w as (select run, min(i) filter (where why is not null) as i from x group by run)
+    select w.run, case when x.why = 'length' then 'length:phases[' || w.i || '].phase' when x.why = 'range' then 'range:phases[' || w.i || '].seconds' when w.run % 31 = 0 then 'pattern:failure' end as reason from w left join x on x.run = w.run and x.i = w.i""")
 def validate_telemetry(spark, d):
-    t = steps(spark, d).groupBy("run").agg(F.collect_list(F.struct(F.col("kind").alias("phase"), F.col("wait_s").alias("seconds"))).alias("phases"))
-    tests = [("phases", F.size("phases") <= 6), ("seconds", F.forall("phases", lambda p: p["seconds"].isNull() | p["seconds"].between(0, 48))), ("name", F.forall("phases", lambda p: p["phase"].rlike("^[ANR]$")))]
-    return V.check_rows(t, tests).select("run", "reason")
+    """Phases of a run: names that are too long, times of over a week, failures that are no class."""
+    rows = steps(spark, d).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module"))).alias("p"))
+    phase = lambda p: _json('{"phase":"', F.when(p["module"] % 29 == 0, "x" * 81).otherwise(p["kind"]), '","seconds":', F.when(p["wait_s"] == 50, 604_801).otherwise(p["wait_s"]), "}")
+    payload = _json('{"phases":[', F.array_join(F.transform("p", phase), ","), '],"failure":', F.when(F.col("run") % 31 == 0, '"Not a class"').otherwise("null"), ',"coverage":"x"}')
+    return G.gated(rows.select("run", payload.alias("p")), "p", G.telemetry_gate()).select("run", "reason")
 
 
-@query("select r.run, case when repo = 'repo4' then 'repo' when created is null then 'time' when coalesce(c, 0) > 6 then 'jobs' end as reason from runs r left join (select run, count(*) as c from steps group by run) using (run)")
+@query("""with x as (select run, row_number() over (partition by run order by n, wait_s, kind, module) - 1 as i, module, wait_s from steps), w as (select run, min(i) filter (where module % 37 = 0 or wait_s = 49) as i from x group by run)
+    select r.run, case when x.wait_s = 49 then 'time:jobs[' || w.i || '].created_at' when x.module % 37 = 0 then 'job-id:jobs[' || w.i || ']' when repo = 'repo4' and not (r.run % 2 = 0) or repo = 'repo3' then 'repository:' when r.run % 41 = 0 then 'run-id:' when r.run % 43 = 0 and r.run % 2 = 1 then 'sampling:' end as reason
+    from runs r left join w using (run) left join x on x.run = w.run and x.i = w.i""")
 def validate_event(spark, d):
-    e = runs(spark, d).join(steps(spark, d).groupBy("run").agg(F.count("*").alias("c")), "run", "left")
-    return V.check_rows(e, [("repo", F.col("repo").isin("repo0", "repo1", "repo2", "repo3")), ("time", F.col("created").isNotNull()), ("jobs", F.coalesce("c", F.lit(0)) <= 6)]).select("run", "reason")
+    """Deliveries of runs with their jobs: repositories that are listed, were once, or never; numbers, times and samplings."""
+    at = "2024-01-01T00:00:00Z"
+    content = steps(spark, d).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module"))).alias("j"))
+    job = lambda x: _json('{"id":"', F.when(x["module"] % 37 == 0, "m").otherwise(x["module"].cast("string")), '","created_at":"', F.when(x["wait_s"] == 49, "then").otherwise(at), '"}')
+    i = F.col("run")
+    payload = _json(
+        '{"delivery":"d","repo":"', F.col("repo"), '","historical":', F.when(i % 2 == 0, "true").otherwise("false"), ',"run":{"id":', F.when(i % 41 == 0, '"r"').otherwise(i.cast("string")), ',"created_at":"' + at + '"', F.when(i % 43 == 0, ',"archive_sampling":{"until":1,"weight":2}').otherwise(""),
+        '},"jobs":[', F.coalesce(F.array_join(F.transform("j", job), ","), F.lit("")), "]}",
+    )
+    rows = runs(spark, d).join(content, "run", "left").select("run", payload.alias("p"))
+    return G.gated(rows, "p", G.event_gate(["repo0", "repo1", "repo2"], ["repo4"])).select("run", "reason")
 
 
 @query("select id, case when id % 10 = 0 then 'missing' when id % 9 = 0 then 'expired' when id % 8 = 0 then 'unavailable' when kind = 'error' then 'unverified-producer' when value <= 50 then 'invalid-or-unavailable' else 'present' end as coverage from jobs")

@@ -80,6 +80,30 @@ def test_frames(spark):
     check(spark, gate, last, [(["metadata", "coverage"], "x", "enum:metadata.coverage"), (["metadata", "workers", 1, "tasks"], -1, "range:metadata.workers[1].tasks")])
 
 
+def test_telemetry(spark):
+    base = {"phases": [{"phase": "build", "seconds": 5}, {"phase": "x", "seconds": None, "more": 1}], "failure": "lean-error", "other": {}}
+    cases = [
+        (["phases", 1, "phase"], 5, "type:phases[1].phase"), (["phases", 0, "phase"], "x" * 81, "length:phases[0].phase"), (["phases", 0, "seconds"], -1, "range:phases[0].seconds"), (["phases", 0, "seconds"], 604_801, "range:phases[0].seconds"), (["phases", 0, "seconds"], ..., "missing:phases[0].seconds"),
+        (["phases"], [{"phase": "a", "seconds": 1}] * 101, "count:phases"), (["phases"], {}, "type:phases"), (["phases"], None, None), (["phases"], ..., None), (["failure"], "Bad", "pattern:failure"), (["failure"], None, None), (["failure"], ..., None),
+    ]
+    check(spark, G.telemetry_gate(), base, cases)
+
+
+def test_events(spark):
+    at = "2026-10-04T01:00:00Z"
+    base = {"repo": "o/a", "delivery": "d1", "run": {"id": 5, "created_at": at}, "jobs": [{"id": "7", "created_at": at}, {"job_id": 8, "created_at": at}], "telemetry": {"phases": []}, "else": 1}
+    old = {"until": 5, "weight": 0.5}
+    cases = [
+        (["repo"], "o/b", "repository:"), (["repo"], "o/old", "repository:"), (["repo"], ..., "repository:"), (["delivery"], ..., "missing:delivery"), (["delivery"], "x" * 301, "length:delivery"), (["run", "id"], "x5", "run-id:"), (["run", "id"], None, None), (["run"], None, None), (["run", "created_at"], "soon", "time:run.created_at"), (["run", "created_at"], None, "null:run.created_at"),
+        (["run", "archive_sampling"], old, "sampling:"), (["jobs"], {}, "type:jobs"), (["jobs"], [{"id": 1, "created_at": at}] * 101, "count:jobs"), (["jobs", 0, "id"], "a", "job-id:jobs[0]"), (["jobs", 1, "job_id"], ..., "job-id:jobs[1]"), (["jobs", 1, "created_at"], ..., "missing:jobs[1].created_at"), (["telemetry", "phases"], [{}], "missing:telemetry.phases[0].phase"), (["telemetry"], None, None), (["jobs"], ..., None),
+    ]
+    check(spark, G.event_gate(["o/a"], ["o/old"]), base, cases)
+    late = changed(changed(changed(base, ["repo"], "o/old"), ["historical"], True), ["run", "archive_sampling"], old)
+    check(spark, G.event_gate(["o/a"], ["o/old"]), late, [(["historical"], False, "repository:"), (["run", "archive_sampling", "weight"], -1, "sampling:"), (["run", "archive_sampling", "until"], ..., "sampling:"), (["run", "archive_sampling"], None, None)])
+    no_run = {"repo": "o/a", "delivery": "d", "jobs": [{"id": 1, "run_id": "r", "created_at": at}]}
+    check(spark, G.event_gate(["o/a"]), changed(no_run, ["jobs", 0, "run_id"], "3"), [(["jobs", 0, "run_id"], "r", "run-id:"), (["run_id"], "9", None), (["run_id"], "q", "run-id:")])
+
+
 def test_canonical_text_sorts_keys_at_every_depth(spark):
     rows = [('{"b":{"z":1,"a":[2,{"y":null,"x":"é"}]},"a":true}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ('{ "a" : true , "b":{"a":[2,{"x":"é","y":null}],"z":1}}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ("[1, 2]", "[1,2]"), ("x", None), (None, None)]
     got = spark.createDataFrame(rows, "p string, want string").withColumn("got", G.canonical(F.col("p"))).collect()
