@@ -46,8 +46,8 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let the driver collect garbage, upon which Spark removes the files of shuffles and checkpoints that no plan refers to
-    any more. Worth it between two large parts of an operator, of which the second need not find the first one's files."""
+    """Let the driver collect garbage, upon which Spark removes the files of shuffles that no plan refers to any more, and those
+    of checkpoints if the session asks for it (spark.cleaner.referenceTracking.cleanCheckpoints). Worth it between two large parts of an operator, of which the second need not find the first one's files."""
     gc.collect()
     spark._jvm.System.gc()
 
