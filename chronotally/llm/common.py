@@ -101,34 +101,46 @@ def join_few(rows: DataFrame, lookup: DataFrame, key: str, row_id: Column) -> Da
     return rows.withColumn(salt, F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).join(salted, [key, salt], "left").drop(salt)
 
 
-def with_least_neighbour(edges: DataFrame) -> DataFrame:
+def with_least_neighbour(edges: DataFrame, parts: int | None = None) -> DataFrame:
     """Edges (u, v) with m, the least v of their u. Edges of one u are dealt over SALTS parts: least per part, then of the
-    at most SALTS parts of a u, then back to the parts, so that a node with very many edges is not one task's work."""
+    at most SALTS parts of a u, then back to the parts, so that a node with very many edges is not one task's work.
+    ``parts`` bounds the tasks that read each exchange."""
     salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    parts = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
-    least = parts.groupBy("u").agg(F.collect_set("s").alias("all"), F.min("m").alias("m"))  # SALTS entries at most
+    each = in_parts(salted.groupBy("u", "s").agg(F.min("v").alias("m")), parts)
+    least = in_parts(each.groupBy("u").agg(F.collect_set("s").alias("all"), F.min("m").alias("m")), parts)  # SALTS entries at most
     least = least.select("u", F.explode("all").alias("s"), "m")
-    return salted.join(least, ["u", "s"]).select("u", "v", "m")
+    return in_parts(salted.join(least, ["u", "s"]).select("u", "v", "m"), parts)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def in_parts(df: DataFrame, parts: int | None) -> DataFrame:
+    """df in at most so many partitions, without a shuffle."""
+    return df if parts is None else df.coalesce(parts)
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, *, rows_a_part: int | None = None) -> DataFrame:
     """Component of every node of an undirected edge table: (node, component = smallest node reachable).
 
     Alternates the large-star and small-star steps until the edges no longer change; a node with very many
-    edges is dealt over tasks, and every round is checkpointed."""
+    edges is dealt over tasks, and every round is checkpointed. With ``rows_a_part`` a round runs in as many tasks as its
+    counted edges need, eight at least, and not in one per shuffle partition: most rounds are small, and every task
+    leaves files in each of a round's exchanges."""
     stars = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    stars, seen = checkpointed(stars), None
+    stars, seen, parts = checkpointed(stars), None, None
+    n = stars.count() if rows_a_part else 0
     for _ in range(max_rounds):
+        if rows_a_part:
+            parts = max(8, -(-2 * n // rows_a_part))
+            stars = in_parts(stars, parts)
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        small = with_least_neighbour(large.distinct())
+        large = with_least_neighbour(both, parts).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        small = with_least_neighbour(in_parts(large.distinct(), parts), parts)
         pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         stars = small.select(F.explode(pairs).alias("p")).select("p.u", "p.v").where("u <> v").distinct()
-        stars = checkpointed(stars)
+        stars = checkpointed(in_parts(stars, parts))
         now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == seen:
             break
-        seen = now
+        seen, n = now, now[0]
     else:
         raise RuntimeError("connected components did not settle")
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

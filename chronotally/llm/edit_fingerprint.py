@@ -44,6 +44,7 @@ BY_CHANCE = 0.15
 LADDER = np.array([1, *range(2, 32, 2), *range(32, 64 * 32, 16)])  # numbers of sampled steps that bands are drawn for
 BLOCK_ROWS = 2000  # fingerprints of a bucket that are compared with as many in one task
 PAIRS = 8000  # compared at a time
+EDGES_A_TASK = 100_000  # links that a task of the search for components takes
 CROWD = 64  # classes of a bucket beyond which they are compared with the smallest one first
 
 
@@ -348,7 +349,7 @@ def near_duplicates(docs: DataFrame, *, least: float = LIKENESS) -> DataFrame:
     found = spark.read.schema("doc_id long, f binary, node long").parquet(path)
     alike = _alike(found, least)
     release_shuffles(spark)
-    near = connected_components(alike).withColumnRenamed("component", "root")
+    near = connected_components(alike, rows_a_part=EDGES_A_TASK).withColumnRenamed("component", "root")
     rows = join_few(found.select("doc_id", "node"), near, "node", F.col("doc_id")).select("doc_id", F.coalesce("root", "node").alias("root"))
     heads = rows.groupBy("root").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     groups = join_few(rows, checkpointed(heads), "root", F.col("doc_id")).where("group_id is not null")
@@ -389,7 +390,7 @@ def _alike(found: DataFrame, least: float) -> DataFrame:
     heads = prints.join(stars.select(F.col("head").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("head"), F.col("f").alias("g"))
     stars = join_few(stars, heads, "head", F.col("node")).where(_alike_pair("f", "g", F.lit(float(least))))
     links = checkpointed(stars.select(F.col("node").alias("a"), F.col("head").alias("b")))
-    joined = connected_components(links).withColumnRenamed("component", "part")
+    joined = connected_components(links, rows_a_part=EDGES_A_TASK).withColumnRenamed("component", "part")
     rows = rows.join(joined, "node", "left").withColumn("part", F.coalesce("part", "node"))
     open_ = rows.where(F.col("n") > CROWD).groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band", F.lit(True).alias("open"))
     rows = rows.where(F.col("n") <= CROWD).unionByName(join_few(rows.where(F.col("n") > CROWD), open_, "band", F.col("node")).where("open").drop("open"))
