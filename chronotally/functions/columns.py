@@ -195,3 +195,21 @@ def failure_class(conclusion: Column, step: Column, lines: Column) -> Column:
 
 def _any(lines: Column, pattern: str) -> Column:
     return F.coalesce(F.exists(lines, lambda x: x.rlike(pattern)), F.lit(False))
+
+
+def public_text(text: Column, longest: int = 300) -> Column:
+    """Text for a public page: control characters are spaces, and it is cut to a length."""
+    return F.left(F.regexp_replace(text, r"[\x00-\x1f\x7f]", " "), F.lit(longest))
+
+
+def public_steps(steps: Column, most: int = 12) -> Column:
+    """The steps of a job that a public page shows: those that run, then the last ``most`` - 1 of all others, ``most`` in all.
+    A step has name, started, completed and conclusion."""
+    runs = lambda s: s["started"].isNotNull() & s["completed"].isNull()
+    rest = F.filter(steps, lambda s: ~runs(s))
+    size = F.least(F.size(rest), F.lit(most - 1))
+    last = F.slice(rest, F.size(rest) - size + 1, size)
+    shown = F.slice(F.concat(F.filter(steps, runs), last), 1, most)
+    text = lambda s, name, longest: public_text(s[name], longest)
+    ended = lambda s: F.when(s["conclusion"] != "", text(s, "conclusion", 40))
+    return F.transform(shown, lambda s: F.struct(text(s, "name", 300).alias("name"), s["started"].alias("started"), s["completed"].alias("completed"), ended(s).alias("conclusion")))

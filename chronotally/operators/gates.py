@@ -6,6 +6,7 @@ that is no JSON, or has a key twice, is ``not-json``."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -105,6 +106,16 @@ class Stamp(Gate):
         return [("type", ~_of(value, "STRING")), ("length", F.length(text) > 40), ("time", F.try_to_timestamp(text).isNull())]
 
 
+@dataclass(frozen=True)
+class Exactly(Gate):
+    """One of a few JSON values, given as their text without spaces."""
+
+    texts: Sequence[str] = ()
+
+    def tests(self, value, path):
+        return [("enum", ~F.to_json(value).isin(*self.texts))]
+
+
 @dataclass(frozen=True)
 class Either(Gate):
     """The first gate if the value is a flag, else the second."""
@@ -299,3 +310,74 @@ def event_gate(repositories: Sequence[str], past: Sequence[str] = ()) -> Object:
         {"delivery": Text(300), "run": Maybe(Object({"created_at": Stamp(nullable=False)}, open=True, nullable=True)), "jobs": Maybe(Items(job, most=100, nullable=True)), "telemetry": Maybe(Object(telemetry_gate().fields, open=True, nullable=True))},
         rules=[("repository", named), ("run-id", lambda v: F.coalesce(run_id(v).rlike("^[0-9]+$"), F.lit(True))), ("sampling", sampled)], open=True,
     )
+
+
+# The public names of a history window's measures and of its distributions.
+MEASURES = (
+    "landed_heads", "landed_prs", "landed_prs_per_hour", "landed_membership_occurrences", "nonempty_unique_prs_per_hour", "nonempty_unique_prs", "empty_member_occurrences", "already_landed_empty_occurrences", "emptiness_unknown", "baseline_ratio", "ci_attempts", "singleton_runs",
+    "failed_rounds_per_large_landing", "claim_collisions", "claim_expiries", "opt_outs", "anticipated_withdrawals", "needs_rebase", "readmissions", "edit_summaries", "shrink_to_empty", "inference_hold_minutes",
+)
+DISTRIBUTIONS = ("head_dispatch_minutes", "head_seal_minutes", "repair_task_minutes", "approval_to_insertion_minutes", "currently_waiting_age_minutes")
+HEAD_MEASURES = ("size", "ci_rounds", "source_failure_rounds", "first_dispatch_to_landing_minutes", "seal_to_landing_minutes", "ci_observed_minutes", "claimed_task_minutes", "ci_task_overlap_minutes", "other_or_unobserved_minutes")
+BASELINE = ("hours", "landed_prs", "landed_prs_per_hour", "singleton_runs", "failed_rounds_per_large_landing")
+
+
+def registry_of(rows: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """(machine id, alias) of the hosts that may be shown: at most 100, each id and each alias once. Raises otherwise."""
+    if len(rows) > 100:
+        raise ValueError("more than 100 hosts")
+    for n, kind, pattern in ((0, "machine id", "[a-f0-9]{32}"), (1, "alias", "[A-Za-z0-9_.-]{1,60}")):
+        found = [r[n] for r in rows]
+        if bad := [x for x in found if not re.fullmatch(pattern, x)]:
+            raise ValueError(f"no {kind}: {bad[0]}")
+        if len(set(found)) < len(found):
+            raise ValueError(f"repeated {kind}")
+    return list(rows)
+
+
+def hosts_gate(schema: str, registry: Sequence[tuple[str, str]]) -> Object:
+    """A sample of all public hosts, each of them once: resources, slots and workers, with bounded lists and numbers."""
+    some, flag, stamp = Number(0, 1e18, nullable=True), Flag(), Stamp()
+    known = [f"{machine} {alias}" for machine, alias in registry_of(registry)]
+    numbers = lambda *names: {n: some for n in names}
+    slot_compiler = Object({"observed_at": stamp, **numbers("waiting_now", "running_now", "completed", "oldest_wait", "wait_seconds", "run_seconds", "lost")}, nullable=True)
+    slot = Object({
+        "slot": some, "instance_id": Text(pattern="^[a-f0-9]{16}$", nullable=True), "runner_id": Text(pattern=IDENTITY, nullable=True), "runner_name": Text(100), "phase": Text(40), "busy": flag, "started_at": stamp, "vcpus": some, "memory_gib": some, "compiler": Maybe(slot_compiler),
+    })
+    memory = {n: Maybe(some) for n in ("working_set", "charged", "maximum", "high", "swap", "oom_kill", "stall_some", "stall_full")}
+    admission = Object({"state": Text(values=["at_ceiling", "paused", "unknown"]), "reason": Text(values=["at_ceiling", "memory_reserve", "zero_ceiling", "disabled_or_draining", "unknown"])})
+    running = Object({n: Maybe(whole(nullable=True)) for n in ("github", "namespace", "self-hosted")})
+    capacity = Object({"observed_at": stamp, "scope": Text(values=["organization_all_workflow_jobs"]), "coverage": Text(values=["observed", "unavailable"]), "observer_error": flag, "running_jobs": running})
+    host = Object(
+        {
+            "machine_id": Text(), "alias": Text(), "observed_at": stamp, "transport_at": stamp, "source_revision": Text(64, pattern="^$|^[a-f0-9]{40,64}$"), "coverage": Text(values=["observed", "unavailable"]), **{n: flag for n in ("connected", "controller_error", "slots_truncated", "workers_truncated")},
+            **{n: Flag(nullable=True) for n in ("ci_enabled", "workers_enabled", "memory_pressure")}, "worker_memory": Maybe(Object(memory)), "worker_admission": Maybe(admission), "ci_cooldown": Maybe(Object({"until": stamp}, nullable=True)), "capacity_context": Maybe(capacity),
+            "admission": Maybe(Object({"ci_kinds": Exactly(['["pr"]', '["staging"]', '["pr","staging"]'], nullable=True), **numbers("staging_slots", "memory_budget_gib"), "reservation_error": flag})),
+            "activity": Maybe(Object({"observed_at": stamp, "window_hours": Number(24, 24), **numbers("finished_rounds", "failed_rounds", "unknown_rounds")})), **numbers("ci_max_jobs", "worker_limit", "cpu_idle_fraction"), "resources": Object(numbers("cpus", "memory_total", "memory_available")),
+            "compiler": Object({"observed_at": stamp, **numbers("waiting_guests", "guests"), "healthy": flag}), "slots": Items(slot, most=128), "workers": Items(Object({"id": Text(100), "state": Text(40), "alive": flag, "observed_at": stamp}), most=128),
+        },
+        rules=[("not-public", lambda v: F.coalesce(F.concat_ws(" ", text_of(v, "machine_id"), text_of(v, "alias")).isin(*known) if known else F.lit(False), F.lit(False)))],
+    )
+    ids = lambda v: F.transform(part(v, "hosts", "array<variant>"), lambda h: text_of(h, "machine_id"))
+    return Object(
+        {"schema": Text(values=[schema]), "source": Object({"id": Text(pattern=UUID), "epoch": whole(1), "sequence": whole(1)}), "observed_at": stamp, "hosts": Items(host, most=128)},
+        rules=[("repeated-host", lambda v: F.size(F.array_distinct(ids(v))) == F.size(ids(v))), ("registry-coverage", lambda v: F.size(ids(v)) == len(known))],
+    )
+
+
+def history_gate(schema: str, repositories: Sequence[str]) -> Object:
+    """Measures of up to three windows against a baseline, with the heads that landed in each."""
+    some, at, flag = Number(0, nullable=True), Stamp(nullable=False), Flag()
+    batch = Text(pattern=IDENTITY)
+    scenario = Object({"status": Text(values=["timing_met_verification_required", "not_met_in_observed_data", "not_observed"]), "eligible_count": some, "qualifying_count": some, "qualifying_batches": Items(batch, most=100)})
+    week = Object({"status": Text(values=["not_yet_observable", "requires_attribution_and_comment_audit"]), "observed_days": some, "rate_above_baseline": flag})
+    spread = Object({n: Maybe(some) for n in ("count", "min", "median", "p95", "max")})
+    cost = Object({"coverage": Text(values=["recorded_subtotal_only"]), "recorded_usd": some, "recorded_attempts": some, "unknown_attempts": some})
+    window = Object({
+        "key": Text(values=["24h", "7d", "pilot"]), "label": Text(40), "from": at, "until": at, "hours": some, "criteria": Maybe(Object({"scenario": scenario, "week": week})), "summary": Object({**{n: some for n in MEASURES}, **{n: spread for n in DISTRIBUTIONS}, "cost": cost}),
+        "heads": Items(Object({"batch_id": batch, **{n: Maybe(some) for n in HEAD_MEASURES}}), most=500), "heads_truncated": flag,
+    })
+    return Object({
+        "schema": Text(values=[schema]), "coverage": Text(values=["observed"]), "observed_at": at, "scope": Object({"repositories": Items(Text(values=repositories), most=SAFE)}), "windows": Items(window, most=3),
+        "baseline": Object({n: Maybe(some) for n in BASELINE}), "limits": Items(Text(), most=10),
+    })

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronotally.functions.columns import wilson
 from chronotally.operators import quantiles as Q
+from chronotally.operators.gates import part
 
 
 def failure_rate(df: DataFrame, keys: Sequence[str], failed: Column, finished: Column) -> DataFrame:
@@ -93,3 +96,52 @@ def daily_median(df: DataFrame, day: Column, least: int, q: float = 0.5) -> Data
     """Quantile (report rule) of daily counts over days with at least ``least`` rows."""
     days = df.groupBy(day.alias("day")).agg(F.count("*").alias("n")).where(F.col("n") >= least).withColumn("_k", F.lit(1))
     return Q.report_quantile(days, ["_k"], "n", q).drop("_k")
+
+
+def engine_costs(builds: DataFrame, post: DataFrame, jobs: DataFrame, keys: Sequence[str], *, engine: str = "engine", members: str = "members") -> DataFrame:
+    """Cost of what was merged, per engine. ``builds`` are validations (keys, engine, landed, conclusion, and the ids of their members as
+    an array), ``post`` are runs after a merge (keys, engine, null where it is unknown), ``jobs`` have run_s of both.
+
+    An item counts once however many landed builds held it, and only if its build landed. Cost is of all jobs and attempts,
+    failures too. What cannot be attributed has a null engine. Rows meet by engine as partial sums only."""
+    cost = jobs.groupBy(*keys).agg(F.sum("run_s").alias("_s"))
+    none, count = F.lit(0).cast("long"), lambda c: F.when(c, 1).otherwise(0).cast("long")
+    names = ("runs", "items", "validation_s", "post_s", "failed", "cancelled")
+    row = lambda df, **found: df.select(F.col(engine), *[found.get(n, none).alias(n) for n in names])
+    seconds = F.coalesce(F.col("_s"), none)
+    checked = row(builds.join(cost, list(keys), "left"), runs=F.lit(1).cast("long"), validation_s=seconds, failed=count(F.col("conclusion") == "failure"), cancelled=count(F.col("conclusion") == "cancelled"))
+    landed = builds.where("landed").select(engine, F.explode(members).alias("_item")).where("_item is not null").distinct()
+    rows = checked.unionByName(row(landed, items=F.lit(1).cast("long"))).unionByName(row(post.join(cost, list(keys), "left"), post_s=seconds))
+    out = rows.groupBy(engine).agg(*[F.sum(n).alias(n) for n in names]).withColumn("total_s", F.col("validation_s") + F.col("post_s"))
+    return out.withColumn("per_item", F.try_divide("total_s", "items"))
+
+
+def resource_cohorts(attempts: DataFrame, jobs: DataFrame, resources: DataFrame, keys: Sequence[str], by: Sequence[str], *, scope: str = "reaped-descendants") -> DataFrame:
+    """What attempts of a cohort used, by ``by`` and the sizes of their runners.
+
+    ``jobs`` have runner_size and runner_kind, ``resources`` coverage and payload (JSON), at most one row per key. A measure
+    counts if it is a finite number of at least 0; CPU and memory of commands only if all descendants were accounted for
+    (``scope``), CPU only if both parts are there. ``covered`` observations are present, ``partial`` ones of these say that host
+    counters are missing, ``incomplete`` ones have another scope. cpu_s, rss_bytes, busy and sampler_s are null if no attempt has them."""
+    known = lambda name: F.when(F.col(name) != "", F.col(name))
+    sizes = jobs.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(F.coalesce(known("runner_size"), known("runner_kind"), F.lit("unknown")))), ",").alias("sizes"))
+    seen = resources.select(*keys, "coverage", F.try_parse_json("payload").alias("_p"))
+    rows = attempts.select(*keys, *by).join(sizes, list(keys), "left").join(seen, list(keys), "left").withColumn("sizes", F.coalesce("sizes", F.lit("unknown")))
+
+    def number(name: str) -> Column:
+        x = part(F.col("_p"), name)
+        value = F.when(F.schema_of_variant(x).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(x, "$", "double"))
+        return F.when((value >= 0) & (value < float("inf")), value)
+
+    whole, present = F.coalesce(part(F.col("_p"), "command_accounting_scope", "string") == scope, F.lit(False)), F.coalesce(F.col("coverage") == "present", F.lit(False))
+    gap = F.coalesce(~F.to_json(part(F.col("_p"), "missing")).isin("null", "false", "0", "0.0", '""', "[]", "{}"), F.lit(False))
+    rows = rows.select(
+        *by, "sizes", present.alias("_there"), (present & gap).alias("_partial"), (present & ~whole).alias("_incomplete"), F.floor(F.coalesce(number("samples"), F.lit(0.0))).cast("long").alias("_samples"), number("sampler_cpu_s").alias("_sampler"), number("host_cpu_busy_fraction").alias("_busy"),
+        F.when(whole, number("command_cpu_user_s") + number("command_cpu_system_s")).alias("_cpu"), F.when(whole, number("command_max_process_rss_bytes")).alias("_rss"),
+    )
+    group = [*by, "sizes"]
+    out = rows.groupBy(*group).agg(
+        F.count("*").alias("attempts"), F.count_if("_there").alias("covered"), F.count_if("_partial").alias("partial"), F.count_if("_incomplete").alias("incomplete"), F.sum("_samples").alias("samples"), F.sum("_cpu").alias("cpu_s"), F.max("_rss").alias("rss_bytes"), F.sum("_sampler").alias("sampler_s"),
+    )
+    busy = Q.report_quantile(rows, group, "_busy", 0.5).select(*[F.col(g).alias(f"_{g}") for g in group], F.col("quantile").alias("busy"))
+    return out.join(busy, reduce(and_, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]), "left").drop(*[f"_{g}" for g in group])

@@ -62,9 +62,11 @@ def first_last_max(df: DataFrame, keys: Sequence[str], at: str, value: str) -> D
 
 
 def censored_arrivals(snapshots: DataFrame, at: str, items: str) -> DataFrame:
-    """Per item: hi, the snapshot that first held it, and lo, the snapshot before (null for the initial backlog)."""
+    """Per item: hi, the snapshot that first held it, and lo, the snapshot before (null for the initial backlog). An item
+    may be a struct, as (number, version): each version of it then arrives by itself."""
     first = snapshots.select(F.col(at).alias("hi"), F.explode(items).alias("item")).groupBy("item").agg(F.min("hi").alias("hi"))
     times = snapshots.select(F.col(at).alias("at")).distinct()
     before = ordered_index(times, [F.col("at")], "k")
     earlier = before.select(F.col("at").alias("lo"), (F.col("k") + 1).alias("k"))
     return first.join(before, first["hi"] == before["at"]).join(earlier, "k", "left").select("item", "lo", "hi")
+

@@ -85,3 +85,60 @@ def window_reconciliation(rows: DataFrame, reported: DataFrame, keys: Sequence[s
     got = rows.groupBy(*keys).agg(F.count_distinct(id_).alias("ids"), (F.count("*") - F.count_distinct(id_)).alias("duplicates"))
     out = reported.join(got, list(keys), "left").fillna(0, ["ids", "duplicates"])
     return out.withColumn("state", F.when(F.col("total") > cap, "over-cap").when(F.col("ids") < F.col("total"), "short").otherwise("ok"))
+
+
+def journal_changes(journal: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, id, at, item, delta: what each row of a queue's journal (id, at, kind, number, members, withdrawn, against_main) adds (+1) or
+    removes (-1). Approvals add; landings remove their members and what was withdrawn with them; withdrawals, anticipated
+    problems, lost sources and conflicts with the main line remove their item. Other rows change nothing."""
+    gone = F.col("kind").isin("withdrawn", "problem-anticipated", "probe-missing-source") | ((F.col("kind") == "probe-conflict") & F.coalesce("against_main", F.lit(False)))
+    none = F.array().cast("array<long>")
+    many = F.concat(F.coalesce("members", none), F.coalesce("withdrawn", none))
+    items = F.when((F.col("kind") == "approved") | gone, F.array("number")).when(F.col("kind") == "landed", many)
+    rows = journal.select(*keys, "id", "at", F.when(F.col("kind") == "approved", 1).otherwise(-1).alias("delta"), F.explode(F.array_distinct(items)).alias("item"))
+    return rows.where("item is not null")
+
+
+def expected_backlog(inputs: DataFrame, members: DataFrame, batches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, item that a captured state says are waiting: inputs that wait or are reserved, and members that were neither removed nor
+    withdrawn of batches that are open or at the head."""
+    open_ = batches.where(F.col("state").isin("head", "open")).select(*keys, F.col("id").alias("batch_id"))
+    held = members.where("not removed and not withdrawn").join(open_, [*keys, "batch_id"], "left_semi")
+    waiting = inputs.where(F.col("state").isin("waiting", "reserved"))
+    return waiting.select(*keys, F.col("number").alias("item")).unionByName(held.select(*keys, F.col("number").alias("item"))).distinct()
+
+
+def journal_violations(journal: DataFrame, inputs: DataFrame, batches: DataFrame, expected: DataFrame, keys: Sequence[str], *, repository: str, until: int, captured: int) -> DataFrame:
+    """keys, violation, item: why a journal cannot be replayed. It must be whole (``start``, ``hole``, ``duplicate``) and of one
+    ``repository``; every input (id, number, repository) must have its recorded ``approval`` and every approval (input_id, number) its input; production
+    must have been switched on, by the first setting that does so, before ``until``, which must not lie after the capture (``window``); and the items that the replay leaves must be the
+    expected ones (``final-set``). ``item`` names an input or an item, and is null for what concerns the whole journal."""
+    keys, nothing = list(keys), F.lit(None).cast("long")
+    out = journal_checks(journal, keys, "id").withColumn("item", nothing)
+    mixed = inputs.select(*keys, "repository").unionByName(batches.select(*keys, "repository")).where(~F.col("repository").eqNullSafe(F.lit(repository)))
+    out = out.unionByName(mixed.select(*keys).distinct().select(*keys, F.lit("repository").alias("violation"), nothing.alias("item")))
+    approved = journal.where("kind = 'approved'").groupBy(*keys, F.col("input_id").alias("item")).agg(F.max_by("number", "id").alias("_approved"))
+    known = inputs.select(*keys, F.col("id").alias("item"), F.col("number").alias("_known"), F.lit(True).alias("_there"))
+    wrong = approved.withColumn("_seen", F.lit(True)).join(known, [*keys, "item"], "full").where(F.col("_seen").isNull() | F.col("_there").isNull() | ~F.col("_approved").eqNullSafe(F.col("_known")))
+    out = out.unionByName(wrong.select(*keys, F.lit("approval").alias("violation"), "item"))
+    on = (F.col("kind") == "setting") & (F.col("key") == "publication_enabled") & (F.col("value") == "true")
+    start = journal.groupBy(*keys).agg(F.min_by(F.when(on, F.col("at")), F.when(on, F.col("id"))).alias("_start"))
+    late = start.where(F.col("_start").isNull() | (F.col("_start") > until) | F.lit(until > captured))
+    out = out.unionByName(late.select(*keys, F.lit("window").alias("violation"), nothing.alias("item")))
+    left = journal_changes(journal, keys).groupBy(*keys, "item").agg(F.max_by("delta", "id").alias("_d")).where("_d = 1").drop("_d")
+    both = left.withColumn("_left", F.lit(True)).join(expected.select(*keys, "item").distinct().withColumn("_expected", F.lit(True)), [*keys, "item"], "full")
+    return out.unionByName(both.where("_left is null or _expected is null").select(*keys, F.lit("final-set").alias("violation"), "item"))
+
+
+def queue_samples(journal: DataFrame, keys: Sequence[str], lo: int, hi: int, step: int) -> DataFrame:
+    """keys, tick, waiting, complete: items that wait at each whole step. Journal order owns the order of states; a record whose time lags behind
+    an earlier one counts at that one's time, and steps between the two are not ``complete``, as their state depends on the choice."""
+    keys = list(keys)
+    rows = clock_inversions(journal_changes(journal, keys), keys, "id", "at")
+    live = replay_journal(rows, keys, "id", "item", "delta").groupBy(*keys, "id", "monotone").agg(F.min("live").alias("waiting"))  # after the last item of a landing
+    at_time = live.groupBy(*keys, "monotone").agg(F.max_by("waiting", "id").alias("waiting"))
+    samples = minute_samples(at_time, keys, "monotone", "waiting", lo, hi, step).withColumnRenamed("value", "waiting")
+    first, last = F.greatest(F.lit(lo), lo + F.ceil((F.col("at") - lo) / step) * step), F.least(F.lit(hi), lo + F.floor((F.col("monotone") - lo) / step) * step)
+    unsure = rows.where("uncertain").select(*keys, first.cast("long").alias("_f"), last.cast("long").alias("_l")).where("_f <= _l")
+    unsure = unsure.select(*keys, F.explode(F.sequence("_f", "_l", F.lit(step).cast("long"))).alias("tick")).distinct().withColumn("_unsure", F.lit(True))
+    return samples.join(unsure, [*keys, "tick"], "left").select(*keys, "tick", F.coalesce("waiting", F.lit(0)).cast("long").alias("waiting"), F.col("_unsure").isNull().alias("complete"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronotally.operators import activity as A
@@ -224,6 +225,51 @@ def journal_checks(spark, d):
     return N.journal_checks(steps(spark, d), ["run"], "n")
 
 
+UNTIL = 820_000_000_000_000
+_PLACE = ("n", "wait_s", "kind", "module")
+
+
+def _kind():
+    return F.when(F.col("kind") == "N", "approved").when(F.col("kind") == "R", "landed").otherwise("withdrawn")
+
+
+@query(f"""with s as (select *, row_number() over (partition by run order by n, wait_s, kind, module) + 1 as id from steps), j as (select * from s where module % 41 <> 0), ids as (select run, id from j union all select run, 1 from runs where run % 5 <> 0),
+    b as (select run, min(id) as lo, max(id) as hi, count(*) as c from ids group by run), inputs as (select run, id, module % 3 + (wait_s = 50)::int as number, module, wait_s from s where kind = 'N'),
+    changes as (select run, id, kind, unnest(case when kind = 'R' then [module % 3, (module + 1) % 3] else [module % 3] end) as item from j), live as (select run, item from changes group by all having arg_max(kind, id) = 'N'),
+    expected as (select run, number as item from inputs where wait_s < 25 union select run, wait_s % 3 from s where kind = 'A' and run_s % 2 = 1 and run % 2 = 0)
+    select run, 'start' as violation, null::bigint as item from b where lo <> 1 union all select run, 'hole', null from b where hi - lo + 1 <> c union all select distinct run, 'repository', null from inputs where module % 43 = 0
+    union all select coalesce(j.run, i.run), 'approval', coalesce(j.id, i.id) from (select * from j where kind = 'N') j full join inputs i on i.run = j.run and i.id = j.id where j.id is null or i.id is null or j.module % 3 <> i.number
+    union all select b.run, 'window', null from b join runs r on r.run = b.run where r.run % 5 = 0 or r.run % 7 = 0 or r.created > {UNTIL} union all select coalesce(l.run, e.run), 'final-set', coalesce(l.item, e.item) from live l full join expected e on e.run = l.run and e.item = l.item where l.run is null or e.run is null""")
+def journal_violations(spark, d):
+    """A run as a queue, its steps as the journal: approvals, landings and withdrawals, with holes, foreign and differing inputs."""
+    s = steps(spark, d).withColumn("id", F.row_number().over(Window.partitionBy("run").orderBy(*_PLACE)).cast("long") + 1).withColumn("number", (F.col("module") % 3).cast("long"))
+    r = runs(spark, d)
+    journal = s.where("module % 41 <> 0").select("run", "id", F.col("a").alias("at"), _kind().alias("kind"), F.col("id").alias("input_id"), "number", F.array("number", ((F.col("module") + 1) % 3).cast("long")).alias("members"))
+    setting = r.where("run % 5 <> 0").select("run", F.lit(1).cast("long").alias("id"), F.col("created").alias("at"), F.lit("setting").alias("kind"), F.lit("publication_enabled").alias("key"), F.when(F.col("run") % 7 == 0, "false").otherwise("true").alias("value"))
+    journal = journal.unionByName(setting, allowMissingColumns=True).withColumns({"withdrawn": F.lit(None).cast("array<long>"), "against_main": F.lit(None).cast("boolean")})
+    inputs = s.where("kind = 'N'").select("run", "id", F.when(F.col("wait_s") == 50, F.col("number") + 1).otherwise(F.col("number")).alias("number"), F.when(F.col("module") % 43 == 0, "o/b").otherwise("o/a").alias("repository"), F.when(F.col("wait_s") < 25, "waiting").otherwise("landed").alias("state"))
+    batches = r.select("run", F.col("run").alias("id"), F.when(F.col("run") % 2 == 0, "open").otherwise("landed").alias("state"), F.lit("o/a").alias("repository"))
+    members = s.where("kind = 'A'").select("run", F.col("run").alias("batch_id"), (F.col("wait_s") % 3).alias("number"), (F.col("run_s") % 2 == 0).alias("removed"), F.lit(False).alias("withdrawn"))
+    return N.journal_violations(journal, inputs, batches, N.expected_backlog(inputs, members, batches, ["run"]), ["run"], repository="o/a", until=UNTIL, captured=UNTIL)
+
+
+_TICK = 30 * DAY
+
+
+@query(f"""with x as (select run % 1000 as queue, row_number() over (partition by run % 1000 order by a + case when module % 50 = 0 then {40 * DAY} else 0 end, run, n, wait_s, kind, module) as id, a, kind, module from steps), y as (select *, max(a) over (partition by queue order by id rows unbounded preceding) as m from x),
+    c as (select queue, id, m, case when kind = 'N' then 1 else -1 end as delta, unnest(case when kind = 'R' then [module % 7, (module + 1) % 7] else [module % 7] end) as item from y), w as (select *, lag(delta, 1, -1) over (partition by queue, item order by id) as was from c),
+    p as (select queue, id, m, sum(case when delta <> was then delta else 0 end) as moved from w group by all), l as (select queue, id, m, sum(moved) over (partition by queue order by id rows unbounded preceding) as v from p), u as (select queue, m, arg_max(v, id) as v from l group by all),
+    g as (select distinct queue, unnest(range({268 * _TICK}, {340 * _TICK} + 1, {_TICK})) as tick from x)
+    select g.queue, g.tick, cast(coalesce(u.v, 0) as bigint) as waiting, not exists (select 1 from y where y.queue = g.queue and y.a < y.m and y.a <= g.tick and g.tick <= y.m) as complete from g asof left join u on u.queue = g.queue and u.m <= g.tick""")
+def queue_samples(spark, d):
+    """A thousand queues by steps in the order of their journal, in which some lag behind by 40 days."""
+    s = steps(spark, d).withColumn("queue", F.col("run") % 1000)
+    place = F.row_number().over(Window.partitionBy("queue").orderBy(F.col("a") + F.when(F.col("module") % 50 == 0, 40 * DAY).otherwise(0), "run", *_PLACE))
+    journal = s.select("queue", place.cast("long").alias("id"), F.col("a").alias("at"), _kind().alias("kind"), (F.col("module") % 7).cast("long").alias("number"), F.array((F.col("module") % 7).cast("long"), ((F.col("module") + 1) % 7).cast("long")).alias("members"))
+    journal = journal.withColumns({"withdrawn": F.lit(None).cast("array<long>"), "against_main": F.lit(None).cast("boolean")})
+    return N.queue_samples(journal, ["queue"], 268 * _TICK, 340 * _TICK, _TICK)
+
+
 @query("""with recursive l as (select run as parent, run * 2 as child from runs union all select run, run // 3 from runs where run % 3 = 0), n as (select run as node from runs where run <= 3 union select l.child from n join l on l.parent = n.node) select node from n""")
 def reachable_set(spark, d):
     r = runs(spark, d).select("run")

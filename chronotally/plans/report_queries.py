@@ -138,15 +138,18 @@ def saturated_hours(spark, d):
     return rows.groupBy("hour").agg(F.count("*").alias("jobs")).where("jobs >= 10").join(q, "hour").select("hour", "jobs", F.col("quantile").alias("p90"))
 
 
-@query("""with c as (select run, cast(sum(run_s) as bigint) as s, count(*) as k from steps group by run)
-    select workflow as engine, count(*) as runs, count(distinct case when conclusion = 'success' then pr end) as items, cast(sum(s) as bigint) as total_s, count(*) filter (where conclusion = 'failure') as failed, count(*) filter (where conclusion = 'cancelled') as cancelled,
-      round(sum(s)::double / nullif(count(distinct case when conclusion = 'success' then pr end), 0), 6) as per_item from runs left join c using (run) group by 1""")
+@query("""with c as (select run, cast(sum(run_s) as bigint) as s from steps group by run),
+    m as (select r.workflow as engine, count(distinct s.module) as items from runs r join steps s on s.run = r.run where r.attempt <> 3 and r.conclusion = 'success' and s.size = 'O' group by 1),
+    x as (select workflow as engine, 1 as runs, coalesce(s, 0) as v, 0 as p, (conclusion = 'failure')::int as f, (conclusion = 'cancelled')::int as c, 0 as items from runs left join c using (run) where attempt <> 3
+      union all select case when repo <> 'repo4' then workflow end, 0, 0, coalesce(s, 0), 0, 0, 0 from runs left join c using (run) where attempt = 3 union all select engine, 0, 0, 0, 0, 0, items from m)
+    select engine, cast(sum(runs) as bigint) as runs, cast(sum(items) as bigint) as items, cast(sum(v) as bigint) as validation_s, cast(sum(p) as bigint) as post_s, cast(sum(f) as bigint) as failed, cast(sum(c) as bigint) as cancelled, cast(sum(v) + sum(p) as bigint) as total_s, round((sum(v) + sum(p)) / nullif(sum(items), 0), 6) as per_item from x group by 1""")
 def engine_cost(spark, d):
-    cost = steps(spark, d).groupBy("run").agg(F.sum("run_s").alias("s"))
-    landed = F.when(F.col("conclusion") == "success", F.col("pr"))
-    rows = runs(spark, d).join(cost, "run", "left").groupBy(F.col("workflow").alias("engine"))
-    out = rows.agg(F.count("*").alias("runs"), F.count_distinct(landed).alias("items"), F.sum("s").alias("total_s"), F.count_if(F.col("conclusion") == "failure").alias("failed"), F.count_if(F.col("conclusion") == "cancelled").alias("cancelled"))
-    return out.withColumn("per_item", F.round(F.try_divide(F.col("total_s"), F.col("items")), 6))
+    """First and second attempts are validations, the modules of their open steps their members; third ones follow a merge."""
+    members = steps(spark, d).where("size = 'O'").groupBy("run").agg(F.collect_set("module").alias("members"))
+    r = runs(spark, d).withColumn("engine", F.col("workflow"))
+    builds = r.where("attempt <> 3").join(members, "run", "left").select("run", "engine", (F.col("conclusion") == "success").alias("landed"), "conclusion", "members")
+    post = r.where("attempt = 3").select("run", F.when(F.col("repo") != "repo4", F.col("engine")).alias("engine"))
+    return R.engine_costs(builds, post, steps(spark, d).select("run", "run_s"), ["run"]).withColumn("per_item", F.round("per_item", 6))
 
 
 @query("""select cast(sum(case when r.workflow is null then run_s end) as bigint) as unknown_s, cast(sum(case when r.workflow = '5-LOW' then run_s end) as bigint) as ordinary_s,
@@ -170,12 +173,23 @@ def map_counters(spark, d):
     return rows.groupBy("kind", "counter").agg(F.sum("v").alias("total"))
 
 
-@query("""with a as (select run, string_agg(distinct size, ',' order by size) as sizes, max(run_s) as peak, cast(sum(wait_s) as bigint) as cpu, count(*) as samples from steps group by run)
-    select workflow, conclusion, sizes, count(*) as attempts, count(*) filter (where samples < 3) as partial, cast(sum(samples) as bigint) as samples, cast(sum(cpu) as bigint) as cpu, max(peak) as peak, median(cpu) as median_cpu from runs join a using (run) group by all""")
+@query("""with j as (select run, string_agg(distinct case when wait_s % 5 = 0 then kind else size end, ',' order by case when wait_s % 5 = 0 then kind else size end) as sizes, sum(wait_s) as cpu, max(run_s) as rss, count(*) as n from steps group by run),
+    a as (select workflow, conclusion, coalesce(sizes, 'unknown') as sizes, run % 4 <> 0 and attempt <> 2 as there, run % 4 <> 0 and n is not null as seen, run % 6 <> 0 as whole, run, cpu, rss, n from runs left join j using (run)),
+    o as (select workflow, conclusion, sizes, there, there and seen and run % 10 = 0 as partial, there and not (seen and whole) as incomplete, case when seen then n else 0 end as samples, case when seen and whole and run % 9 <> 0 then cpu + 1.5 end as cpu, case when seen and whole then rss end as rss, case when seen then 0.5 end as sampler, case when seen then (run % 100) / 100.0 end as busy from a)
+    select workflow, conclusion, sizes, count(*) as attempts, count(*) filter (where there) as covered, count(*) filter (where partial) as partial, count(*) filter (where incomplete) as incomplete, cast(sum(samples) as bigint) as samples, sum(cpu)::double as cpu_s, max(rss)::double as rss_bytes, sum(sampler)::double as sampler_s,
+      (list_sort(list(busy) filter (where busy is not null))[least(count(busy) - 1, count(busy) // 2) + 1])::double as busy from o group by all""")
 def resource_cohorts(spark, d):
-    a = steps(spark, d).groupBy("run").agg(F.array_join(F.array_sort(F.collect_set("size")), ",").alias("sizes"), F.max("run_s").alias("peak"), F.sum("wait_s").alias("cpu"), F.count("*").alias("samples"))
-    rows = runs(spark, d).join(a, "run").groupBy("workflow", "conclusion", "sizes")
-    return rows.agg(F.count("*").alias("attempts"), F.count_if(F.col("samples") < 3).alias("partial"), F.sum("samples").alias("samples"), F.sum("cpu").alias("cpu"), F.max("peak").alias("peak"), F.median("cpu").alias("median_cpu"))
+    """Runs with what their steps used as the payload of an observation; some are missing, expired, of another scope or negative."""
+    j = steps(spark, d)
+    used = j.groupBy("run").agg(F.sum("wait_s").alias("cpu"), F.max("run_s").alias("rss"), F.count("*").alias("n"))
+    i, text = F.col("run"), lambda c: c.cast("string")
+    payload = F.concat(
+        F.lit('{"command_accounting_scope":"'), F.when(i % 6 == 0, "shell").otherwise("reaped-descendants"), F.lit('","command_cpu_user_s":'), text(F.when(i % 9 == 0, -1).otherwise(F.col("cpu"))), F.lit(',"command_cpu_system_s":1.5,"command_max_process_rss_bytes":'), text(F.col("rss")), F.lit(',"samples":'), text(F.col("n")),
+        F.lit(',"sampler_cpu_s":0.5,"host_cpu_busy_fraction":'), text(i % 100 / 100), F.lit(',"missing":'), F.when(i % 10 == 0, '["load"]').otherwise("[]"), F.lit("}"),
+    )
+    seen = runs(spark, d).where("run % 4 <> 0").join(used, "run", "left").select("run", F.when(F.col("attempt") == 2, "expired").otherwise("present").alias("coverage"), payload.alias("payload"))
+    sizes = j.select("run", F.when(F.col("wait_s") % 5 == 0, "").otherwise(F.col("size")).alias("runner_size"), F.col("kind").alias("runner_kind"))
+    return R.resource_cohorts(runs(spark, d), sizes, seen, ["run"], ["workflow", "conclusion"])
 
 
 @query("""select k.kind, coalesce(case when s.run is null then null when s.wait_s > 40 then 'present' else 'expired' end, 'missing') as coverage, count(*) as attempts from runs r cross join (values ('A'), ('N'), ('R')) k(kind)

@@ -172,6 +172,14 @@ def censored_arrivals(spark, d):
     return S.censored_arrivals(snapshots(spark, d), "tm", "items")
 
 
+@query("""with s as (select a - a % 600000000 as tm, run, kind from jobs), t as (select tm, lag(tm) over (order by tm) as lo from (select distinct tm from s)), f as (select run as item, kind as version, min(tm) as hi from s group by all)
+    select item, version, lo, hi from f join t on t.tm = f.hi""")
+def censored_versions(spark, d):
+    """Arrivals of each version of an item, not of the item alone."""
+    s = jobs(spark, d).groupBy((F.col("a") - F.col("a") % 600_000_000).alias("tm")).agg(F.collect_set(F.struct("run", "kind")).alias("items"))
+    return S.censored_arrivals(s, "tm", "items").select(F.col("item.run").alias("item"), F.col("item.kind").alias("version"), "lo", "hi")
+
+
 @query("select run, wait_s, n from steps where size = 'O' order by wait_s, run, n")
 def ordered_waiting_list(spark, d):
     return steps(spark, d).where("size = 'O'").select("run", "wait_s", "n").orderBy("wait_s", "run", "n")

@@ -131,6 +131,18 @@ def public_projection(spark, d):
     return read(spark, d, "documents").select("doc_id", F.left(F.regexp_replace("text", r"[\x00-\x1f]", " "), F.lit(80)).alias("title"))
 
 
+@query("""with x as (select run, kind || chr(32) || module as name, wait_s > 45 as live, row_number() over (partition by run order by n, wait_s, kind, module) as i, conclusion from steps), r as (select *, row_number() over (partition by run, live order by i) as up, row_number() over (partition by run, live order by i desc) as down from x),
+    shown as (select *, row_number() over (partition by run order by live desc, i) as p from r where live or down <= 2)
+    select run, string_agg(name || case when live then '*' else '' end, ',' order by p) as shown, count(*) as n from shown where p <= 3 group by run""")
+def public_steps(spark, d):
+    """Three steps of a run that a page shows: those that run, then the last two of all others."""
+    one = F.struct(F.concat("kind", F.lit("\t"), F.col("module").cast("string")).alias("name"), F.lit(1).alias("started"), F.when(F.col("wait_s") <= 45, 2).alias("completed"), "conclusion")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module", one.alias("s")))), lambda x: x["s"])
+    rows = steps(spark, d).groupBy("run").agg(C.public_steps(ordered, 3).alias("p"))
+    label = lambda s: F.concat(s["name"], F.when(s["completed"].isNull(), "*").otherwise(""))
+    return rows.select("run", F.array_join(F.transform("p", label), ",").alias("shown"), F.size("p").cast("long").alias("n"))
+
+
 @query("select run, n, case n when 1 then 'setup and checks' when 2 then 'Mathlib cache' when 3 then 'Lake cache' when 4 then 'lint preparation' when 5 then 'build, audits, lints' when 6 then 'reporting' else 'setup and checks' end as phase, case n when 1 then 'build' when 2 then 'audits' when 3 then 'lints' end as telemetry from steps")
 def step_phase(spark, d):
     names = F.create_map(*[F.lit(x) for kv in {1: "Checkout", 2: "Fetch Mathlib", 3: "Restore Lake archive", 4: "Dot-notation lint", 5: "Build exact candidate", 6: "Post cache"}.items() for x in kv])
@@ -332,16 +344,41 @@ def validate_progress(spark, d):
     return G.gated(jobs(spark, d).select("id", payload.alias("p")), "p", G.progress_gate("p", "^Lib")).select("id", "reason")
 
 
-@query("with s as (select run % 40 as host, count(*) as n from jobs where run % 40 <> 7 group by 1) select coalesce(host, n_nationkey) as host, case when s.n is null then 'missing' when n_nationkey is null then 'unknown' else 'repeated' end as reason from s full join nation on n_nationkey = host where s.n is null or n_nationkey is null or s.n > 1")
+_LISTED = "row_number() over (partition by run order by n, wait_s, kind, module) - 1"
+
+
+@query(f"""with x as (select run, n, {_LISTED} as i, case when module % 29 = 0 then 'pattern:hosts[' || ({_LISTED}) || '].source_revision' when wait_s = 50 then 'range:hosts[' || ({_LISTED}) || '].resources.cpus'
+      when module % 31 = 0 then 'pattern:hosts[' || ({_LISTED}) || '].slots[0].runner_id' when n > 4 then 'not-public:hosts[' || ({_LISTED}) || ']' end as why from steps)
+    select run, coalesce(case when run % 37 = 0 then 'time:observed_at' end, arg_min(why, i) filter (where why is not null), case when count(distinct n) < count(*) then 'repeated-host:' when count(*) <> 4 then 'registry-coverage:' end) as reason from x group by run""")
 def validate_hosts(spark, d):
-    rows = jobs(spark, d).select((F.col("run") % 40).alias("host")).where("host <> 7")
-    return V.registry_equality(rows, read(spark, d, "nation").select(F.col("n_nationkey").alias("host")), "host")
+    """A run as a sample of hosts, its steps as hosts, of which four are public."""
+    rows = steps(spark, d).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module"))).alias("h"))
+    slot = lambda x: _json('{"slot":1,"instance_id":null,"runner_id":"', F.when(x["module"] % 31 == 0, "r").otherwise(x["module"].cast("string")), '","runner_name":"r","phase":"p","busy":true,"started_at":null,"vcpus":1,"memory_gib":2}')
+    host = lambda x: _json(
+        '{"machine_id":"', F.lpad(x["n"].cast("string"), 32, "0"), '","alias":"h', x["n"], '","observed_at":null,"transport_at":null,"connected":true,"coverage":"observed","source_revision":"', F.when(x["module"] % 29 == 0, "r").otherwise(""), '","controller_error":false,"ci_enabled":null,"workers_enabled":null,"memory_pressure":null,',
+        '"slots_truncated":false,"workers_truncated":false,"ci_max_jobs":1,"worker_limit":1,"cpu_idle_fraction":0.5,"resources":{"cpus":', F.when(x["wait_s"] == 50, -1).otherwise(x["wait_s"]), ',"memory_total":1,"memory_available":1},"compiler":{"observed_at":null,"waiting_guests":0,"guests":0,"healthy":true},"slots":[', slot(x), '],"workers":[]}',
+    )
+    payload = _json('{"schema":"h","source":{"id":"' + _UUID + '","epoch":1,"sequence":1},"observed_at":"', F.when(F.col("run") % 37 == 0, "soon").otherwise("2024-01-01T00:00:00Z"), '","hosts":[', F.array_join(F.transform("h", host), ","), "]}")
+    return G.gated(rows.select("run", payload.alias("p")), "p", G.hosts_gate("h", [(f"{k:032d}", f"h{k}") for k in range(1, 5)])).select("run", "reason")
 
 
-@query("with w as (select run, min(value) as lo, median(value) as mid, max(value) as hi, count(*) as n from jobs group by run) select run, case when n < 40 then 'count' when not (lo <= mid and mid <= hi) then 'order' when hi > 480 then 'max' end as reason from w")
+@query(f"""with x as (select run, {_LISTED} as i, case when wait_s = 1 then 'range:windows[' || ({_LISTED}) || '].hours' when module % 23 = 0 then 'enum:windows[' || ({_LISTED}) || '].summary.cost.coverage' when wait_s = 50 then 'pattern:windows[' || ({_LISTED}) || '].heads[0].batch_id' end as why from steps),
+    g as (select run, count(*) as n, arg_min(why, i) filter (where why is not null and i < 3) as why from x group by run)
+    select run, case when run % 29 = 0 then 'enum:coverage' when n > 6 then 'count:windows' when why is not null then why when run % 37 = 0 then 'range:baseline.hours' when run % 31 = 0 then 'count:limits' end as reason from g""")
 def validate_history(spark, d):
-    w = jobs(spark, d).groupBy("run").agg(F.min("value").alias("lo"), F.median("value").alias("mid"), F.max("value").alias("hi"), F.count("*").alias("n"))
-    return V.check_rows(w, [("count", F.col("n") >= 40), ("order", (F.col("lo") <= F.col("mid")) & (F.col("mid") <= F.col("hi"))), ("max", F.col("hi") <= 480)]).select("run", "reason")
+    """A run as a history, its first steps as windows; runs of seven steps have too many."""
+    rows = steps(spark, d).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("n", "wait_s", "kind", "module"))).alias("w"))
+    measures = ",".join([f'"{n}":1' for n in G.MEASURES] + [f'"{n}":{{"count":1,"max":2}}' for n in G.DISTRIBUTIONS])
+    window = lambda x: _json(
+        '{"key":"24h","label":"l","from":"2024-01-01T00:00:00Z","until":"2024-01-02T00:00:00Z","hours":', x["wait_s"] - 2, ',"summary":{' + measures + ',"cost":{"coverage":"', F.when(x["module"] % 23 == 0, "all").otherwise("recorded_subtotal_only"), '","recorded_usd":null,"recorded_attempts":1,"unknown_attempts":0}},"heads":[{"batch_id":"',
+        F.when(x["wait_s"] == 50, "b").otherwise(x["n"].cast("string")), '","size":', x["wait_s"], '}],"heads_truncated":false}',
+    )
+    windows = F.when(F.size("w") > 6, F.col("w")).otherwise(F.slice("w", 1, 3))
+    payload = _json(
+        '{"schema":"y","coverage":"', F.when(F.col("run") % 29 == 0, "partial").otherwise("observed"), '","observed_at":"2024-01-01T00:00:00Z","scope":{"repositories":["o/a"]},"windows":[', F.array_join(F.transform(windows, window), ","), '],"baseline":{"hours":', F.when(F.col("run") % 37 == 0, -1).otherwise(1),
+        '},"limits":[', F.when(F.col("run") % 31 == 0, ",".join(['"x"'] * 11)).otherwise('"x"'), "]}",
+    )
+    return G.gated(rows.select("run", payload.alias("p")), "p", G.history_gate("y", ["o/a"])).select("run", "reason")
 
 
 @query("""with x as (select run, row_number() over (partition by run order by n, wait_s, kind, module) - 1 as i, case when module % 29 = 0 then 'length' when wait_s = 50 then 'range' end as why, module from steps),

@@ -3,6 +3,7 @@
 import copy
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from chronotally.operators import gates as G
@@ -104,6 +105,57 @@ def test_events(spark):
     check(spark, G.event_gate(["o/a"]), changed(no_run, ["jobs", 0, "run_id"], "3"), [(["jobs", 0, "run_id"], "r", "run-id:"), (["run_id"], "9", None), (["run_id"], "q", "run-id:")])
 
 
+HOST = {
+    "machine_id": "a" * 32, "alias": "h1", "observed_at": None, "transport_at": "2026-10-04T01:00:00Z", "connected": True, "coverage": "observed", "source_revision": "", "controller_error": False, "ci_enabled": None, "workers_enabled": True, "ci_max_jobs": 4, "worker_limit": None, "resources": {"cpus": 8, "memory_total": 1, "memory_available": None},
+    "cpu_idle_fraction": 0.5, "memory_pressure": False, "compiler": {"observed_at": None, "waiting_guests": 0, "guests": 1, "healthy": True}, "slots_truncated": False, "workers_truncated": False, "workers": [{"id": "w", "state": "idle", "alive": True, "observed_at": None}],
+    "slots": [{"slot": 1, "instance_id": "0" * 16, "runner_id": "12", "runner_name": "r", "phase": "busy", "busy": True, "started_at": None, "vcpus": 4, "memory_gib": 16, "compiler": {"observed_at": None, "waiting_now": 0, "running_now": 1, "completed": 2, "oldest_wait": None, "wait_seconds": 0, "run_seconds": 1, "lost": 0}}],
+    "admission": {"ci_kinds": ["pr", "staging"], "staging_slots": 1, "memory_budget_gib": None, "reservation_error": False}, "activity": {"observed_at": None, "window_hours": 24, "finished_rounds": 1, "failed_rounds": 0, "unknown_rounds": None}, "worker_memory": {"high": 5}, "worker_admission": {"state": "paused", "reason": "unknown"},
+    "ci_cooldown": {"until": None}, "capacity_context": {"observed_at": None, "scope": "organization_all_workflow_jobs", "coverage": "observed", "observer_error": False, "running_jobs": {"github": 3, "self-hosted": None}},
+}
+PLAIN = {k: v for k, v in copy.deepcopy(HOST).items() if k not in ("admission", "activity", "worker_memory", "worker_admission", "ci_cooldown", "capacity_context")} | {"machine_id": "b" * 32, "alias": "h2"}
+HOSTS = {"schema": "h/v1", "source": {"id": U, "epoch": 1, "sequence": 2}, "observed_at": None, "hosts": [HOST, PLAIN]}
+
+
+def test_hosts(spark):
+    of = lambda *path: ["hosts", 0, *path]
+    cases = [
+        (["schema"], "x", "enum:schema"), (["source", "epoch"], 0, "range:source.epoch"), (["observed_at"], "soon", "time:observed_at"), (["hosts"], {}, "type:hosts"), (["hosts"], [HOST], "registry-coverage:"), (["hosts"], [HOST, HOST], "repeated-host:"), (["hosts"], [], "registry-coverage:"), (["hosts"], [HOST] * 129, "count:hosts"),
+        (of("alias"), "h2", "not-public:hosts[0]"), (of("machine_id"), ..., "missing:hosts[0].machine_id"), (of("more"), 1, "unknown:hosts[0].more"), (of("transport_at"), 5, "type:hosts[0].transport_at"), (of("source_revision"), "abc", "pattern:hosts[0].source_revision"), (of("source_revision"), "a" * 64, None), (of("coverage"), "some", "enum:hosts[0].coverage"),
+        (of("connected"), None, "null:hosts[0].connected"), (of("memory_pressure"), None, None), (of("memory_pressure"), 1, "type:hosts[0].memory_pressure"), (of("worker_memory", "swap"), -1, "range:hosts[0].worker_memory.swap"), (of("worker_memory", "x"), 1, "unknown:hosts[0].worker_memory.x"), (of("worker_memory"), None, "null:hosts[0].worker_memory"), (of("worker_memory"), ..., None),
+        (of("worker_admission", "state"), "on", "enum:hosts[0].worker_admission.state"), (of("worker_admission", "reason"), ..., "missing:hosts[0].worker_admission.reason"), (of("ci_cooldown"), None, None), (of("ci_cooldown", "until"), "?", "time:hosts[0].ci_cooldown.until"), (of("capacity_context", "scope"), "x", "enum:hosts[0].capacity_context.scope"),
+        (of("capacity_context", "running_jobs", "github"), 1.5, "type:hosts[0].capacity_context.running_jobs.github"), (of("capacity_context", "observer_error"), None, "null:hosts[0].capacity_context.observer_error"), (of("admission", "ci_kinds"), ["staging", "pr"], "enum:hosts[0].admission.ci_kinds"), (of("admission", "ci_kinds"), None, None),
+        (of("admission", "staging_slots"), -1, "range:hosts[0].admission.staging_slots"), (of("activity", "window_hours"), 12, "range:hosts[0].activity.window_hours"), (of("activity", "failed_rounds"), "1", "type:hosts[0].activity.failed_rounds"), (of("ci_max_jobs"), 2e18, "range:hosts[0].ci_max_jobs"), (of("resources", "cpus"), ..., "missing:hosts[0].resources.cpus"),
+        (of("compiler", "healthy"), None, "null:hosts[0].compiler.healthy"), (of("slots"), None, "null:hosts[0].slots"), (of("slots", 0, "instance_id"), "x", "pattern:hosts[0].slots[0].instance_id"), (of("slots", 0, "runner_id"), 12, "type:hosts[0].slots[0].runner_id"), (of("slots", 0, "runner_id"), None, None), (of("slots", 0, "compiler"), None, None),
+        (of("slots", 0, "compiler", "lost"), ..., "missing:hosts[0].slots[0].compiler.lost"), (of("slots", 0, "runner_name"), "x" * 101, "length:hosts[0].slots[0].runner_name"), (of("workers"), [PLAIN["workers"][0]] * 129, "count:hosts[0].workers"), (of("workers", 0, "alive"), "yes", "type:hosts[0].workers[0].alive"), (["hosts", 1, "slots", 0, "busy"], None, "null:hosts[1].slots[0].busy"),
+    ]
+    check(spark, G.hosts_gate("h/v1", [("a" * 32, "h1"), ("b" * 32, "h2")]), HOSTS, cases)
+
+
+@pytest.mark.parametrize("rows", [[("A" * 32, "h")], [("a" * 32, "h h")], [("a" * 32, "")], [("a" * 32, "h"), ("a" * 32, "i")], [("a" * 32, "h"), ("b" * 32, "h")], [(f"{k:032x}", f"h{k}") for k in range(101)]])
+def test_registry_is_checked(rows):
+    with pytest.raises(ValueError):
+        G.registry_of(rows)
+
+
+def test_history(spark):
+    at = "2026-10-04T01:00:00Z"
+    spread = {"count": 1, "min": None, "p95": 2.5}
+    summary = {n: 1 for n in G.MEASURES} | {n: dict(spread) for n in G.DISTRIBUTIONS} | {"cost": {"coverage": "recorded_subtotal_only", "recorded_usd": 1.5, "recorded_attempts": 2, "unknown_attempts": None}}
+    criteria = {"scenario": {"status": "not_observed", "eligible_count": 0, "qualifying_count": None, "qualifying_batches": ["1"]}, "week": {"status": "not_yet_observable", "observed_days": 2, "rate_above_baseline": False}}
+    window = {"key": "24h", "label": "day", "from": at, "until": at, "hours": 24, "criteria": criteria, "summary": summary, "heads": [{"batch_id": "5", "size": 3, "ci_rounds": None}], "heads_truncated": False}
+    base = {"schema": "y/v1", "coverage": "observed", "observed_at": at, "scope": {"repositories": ["o/a"]}, "windows": [window], "baseline": {"hours": 5, "landed_prs": None}, "limits": ["one"]}
+    of = lambda *path: ["windows", 0, *path]
+    cases = [
+        (["schema"], "x", "enum:schema"), (["coverage"], "partial", "enum:coverage"), (["observed_at"], None, "null:observed_at"), (["scope", "repositories"], ["o/b"], "enum:scope.repositories[0]"), (["scope", "repositories"], None, "null:scope.repositories"), (["windows"], [window] * 4, "count:windows"), (["windows"], [], None), (of("key"), "1h", "enum:windows[0].key"),
+        (of("label"), "x" * 41, "length:windows[0].label"), (of("from"), "then", "time:windows[0].from"), (of("until"), ..., "missing:windows[0].until"), (of("hours"), -1, "range:windows[0].hours"), (of("hours"), None, None), (of("criteria"), ..., None), (of("criteria"), None, "null:windows[0].criteria"), (of("criteria", "scenario", "status"), "met", "enum:windows[0].criteria.scenario.status"),
+        (of("criteria", "scenario", "qualifying_batches"), ["x"], "pattern:windows[0].criteria.scenario.qualifying_batches[0]"), (of("criteria", "scenario", "qualifying_batches"), ["1"] * 101, "count:windows[0].criteria.scenario.qualifying_batches"), (of("criteria", "week", "rate_above_baseline"), None, "null:windows[0].criteria.week.rate_above_baseline"),
+        (of("summary", "opt_outs"), ..., "missing:windows[0].summary.opt_outs"), (of("summary", "opt_outs"), "1", "type:windows[0].summary.opt_outs"), (of("summary", "head_seal_minutes", "max"), -1, "range:windows[0].summary.head_seal_minutes.max"), (of("summary", "head_seal_minutes", "mean"), 1, "unknown:windows[0].summary.head_seal_minutes.mean"),
+        (of("summary", "cost", "coverage"), "all", "enum:windows[0].summary.cost.coverage"), (of("summary", "cost", "recorded_usd"), ..., "missing:windows[0].summary.cost.recorded_usd"), (of("heads"), [{"batch_id": "1"}] * 501, "count:windows[0].heads"), (of("heads", 0, "batch_id"), 5, "type:windows[0].heads[0].batch_id"), (of("heads", 0, "size"), -1, "range:windows[0].heads[0].size"),
+        (of("heads_truncated"), 0, "type:windows[0].heads_truncated"), (["baseline", "hours"], -1, "range:baseline.hours"), (["baseline", "more"], 1, "unknown:baseline.more"), (["limits"], ["x"] * 11, "count:limits"), (["limits"], ["x" * 301], "length:limits[0]"), (["limits"], [1], "type:limits[0]"),
+    ]
+    check(spark, G.history_gate("y/v1", ["o/a"]), base, cases)
+
+
 def test_canonical_text_sorts_keys_at_every_depth(spark):
     rows = [('{"b":{"z":1,"a":[2,{"y":null,"x":"é"}]},"a":true}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ('{ "a" : true , "b":{"a":[2,{"x":"é","y":null}],"z":1}}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ("[1, 2]", "[1,2]"), ("x", None), (None, None)]
     got = spark.createDataFrame(rows, "p string, want string").withColumn("got", G.canonical(F.col("p"))).collect()
