@@ -65,7 +65,7 @@ def scaled(x: np.ndarray) -> np.ndarray:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """node, homes, visits, vector (doubles as bytes) of each valid row."""
+    """node, kind (its label as text), homes, visits, vector (doubles as bytes) of each valid row."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -73,9 +73,10 @@ def _signed(rows: DataFrame) -> DataFrame:
             for d, part in batch.groupby(dims.to_numpy()):
                 x = scaled(np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]]))
                 homes, visits = cells(x / np.linalg.norm(x, axis=1)[:, None], part["label"].to_numpy(np.int64))
-                yield pd.DataFrame({"node": part["node"].to_numpy(), "homes": list(homes), "visits": list(visits), "vector": [v.tobytes() for v in x]})
+                yield pd.DataFrame({"node": part["node"].to_numpy(), "kind": part["kind"].to_numpy(), "homes": list(homes), "visits": list(visits), "vector": [v.tobytes() for v in x]})
 
-    return rows.select("node", F.xxhash64("label").alias("label"), "embedding").mapInPandas(sign, "node string, homes array<long>, visits array<long>, vector binary")
+    kind = F.to_json(F.struct("label")).alias("kind")
+    return rows.select("node", kind, F.xxhash64("label").alias("label"), "embedding").mapInPandas(sign, "node string, kind string, homes array<long>, visits array<long>, vector binary")
 
 
 def _counts_here(cell: np.ndarray, p: np.ndarray, q: np.ndarray, homes: np.ndarray, visits: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -103,11 +104,12 @@ def _compare(unit: pd.DataFrame, least: float) -> pd.DataFrame:
     for k, v in enumerate(unit["vector"]):
         vectors[k, : dims[k]] = np.frombuffer(v)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
+    kinds = pd.factorize(unit["kind"])[0]  # a cell is named by a hash of the label too, which alone proves nothing
     links, root = np.zeros(n, np.int64), np.arange(n)
     found_p, found_q = [], []
     for p, q in buckets.pairs(cell, side, unit["i"].iat[0] != unit["j"].iat[0]):
         cosine = np.einsum("ij,ij->i", vectors[p], vectors[q]) / (norms[p] * norms[q])
-        near = (cosine >= least) & (dims[p] == dims[q])
+        near = (cosine >= least) & (dims[p] == dims[q]) & (kinds[p] == kinds[q])
         p, q = p[near], q[near]
         if len(p):
             keep = _counts_here(cell, p, q, homes, visits, nodes)
@@ -136,9 +138,7 @@ def link(rows: DataFrame, *, least: float = COSINE) -> DataFrame:
     rows = rows.withColumn("node", F.when(valid, F.md5(F.to_json(F.struct("label", "embedding")))))
     classes = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     classes = checkpointed(classes)
-    heads = classes.select(F.col("node").alias("_node"), "rep", "copies")
-    one = rows.where("node is not null").join(heads, (F.col("node") == F.col("_node")) & F.col("vec_id").eqNullSafe(F.col("rep")))
-    signed = _signed(one)
+    signed = _signed(rows.where("node is not null").dropDuplicates(["node"]))  # rows of one node have equal labels and vectors
     at = signed.select("node", F.explode("homes").alias("cell")).withColumn("home", F.lit(1))
     at = at.unionByName(signed.select("node", F.explode("visits").alias("cell")).withColumn("home", F.lit(0)))
     at = checkpointed(at.distinct())

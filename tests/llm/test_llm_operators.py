@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -550,6 +551,22 @@ def test_lattice_recall_at_the_threshold(spark):
     assert sum(got[i] for i, near in want.items() if near) >= 0.9 * sum(want.values())
 
 
+def test_lattice_compares_labels_themselves():
+    """Should two labels share a cell's id, their vectors still do not link."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1, 16)).repeat(4, axis=0)
+    homes, visits = lattice.cells(x / np.linalg.norm(x, axis=1)[:, None], np.zeros(4, np.int64))
+    unit = pd.DataFrame({"cell": homes[:, 0], "node": list("abcd"), "kind": ["x", "y", "x", "y"], "side": 0, "i": 0, "j": 0, "copies": 1, "homes": list(homes), "visits": list(visits), "vector": [v.tobytes() for v in x]})
+    found = lattice._compare(unit, 0.93)
+    assert sorted(zip(found["node"], found["links"], found["root"], strict=True)) == [("a", 1, "a"), ("b", 1, "b"), ("c", 1, "a"), ("d", 1, "b")]
+
+
+def test_lattice_of_many_repeated_rows(spark):
+    rows = [(7, [1.0, 2.0], "l")] * 300 + [(8, [1.0, 2.0], "m")] + [(9, [1.0, 2.001], "l")]
+    got = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in lattice.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {(7, 300, 7, True), (8, 0, 8, True), (9, 300, 7, False)}
+
+
 def test_lattice_of_huge_tiny_and_repeated_vectors(spark):
     base = np.random.default_rng(3).standard_normal(64)
     other = base + 0.01
