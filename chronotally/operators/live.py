@@ -135,7 +135,8 @@ def job_contributions(work: DataFrame, until: float, *, reported: Column | None
 
     work: trigger, workflow, run_status, run_updated, sampling (until, weight; may be null), phases (phase, seconds),
     run_failure, and of the job name, kind, conclusion, created, started, completed, assigned, estimated, weight, failure,
-    steps. ``reported`` tells the runs whose repository has daily measures. Per step of 600 and 7,200 seconds:
+    steps. Where there is a column job_failures (job, failure), the telemetry's class of the job ``id`` stands before that of its run.
+    ``reported`` tells the runs whose repository has daily measures. Per step of 600 and 7,200 seconds:
     running/<series> as the weighted share of the step, queued/<kind> as +weight and -weight at the ends (so that peaks can be
     taken back), wait/<build|other> in the steps that end behind the start, picked. Per day: outcomes, waits, durations,
     pickers, failure classes, phases, minutes.
@@ -147,6 +148,7 @@ def job_contributions(work: DataFrame, until: float, *, reported: Column | None
         "_end": end_, "_from": F.greatest(F.col("created"), F.lit(float(until - KEPT_DAYS * DAY))), "_began": F.when(F.col("assigned") & (F.col("started") > 0), F.col("started")),
         "_is_build": F.col("name").isin(*names.builds), "_cut": F.col("sampling.until"), "_reported": F.coalesce(reported, F.lit(False)) if reported is not None else F.lit(True),
     })
+    by_job = F.get(F.filter("job_failures", lambda f: f["job"] == F.col("id").cast("string")), F.lit(0))["failure"] if "job_failures" in work.columns else F.lit(None).cast("string")
     began, estimated, kind, trigger, created = F.col("_began"), F.coalesce(F.col("estimated"), F.lit(False)), F.col("kind"), F.col("trigger"), F.col("created")
     conclusion, is_build, zero, one = F.col("conclusion"), F.col("_is_build"), F.lit(0.0), F.lit(1.0)
     weight_at = lambda at: F.when(F.col("sampling").isNull(), F.col("weight")).when(at < F.col("_cut"), F.col("sampling.weight")).otherwise(one)
@@ -194,7 +196,7 @@ def job_contributions(work: DataFrame, until: float, *, reported: Column | None
     daily(pr & waited.isNotNull(), text("wait/", kind), waited / 60)
     daily(pr & (failed | success), "pr-total")
     daily(pr, text("picker/", kind))
-    daily(pr & failed, text("failure/", F.when(conclusion == "timed_out", "timeout").otherwise(F.coalesce(_some(F.col("failure")), _some(F.col("run_failure")), F.lit("pending")))))
+    daily(pr & failed, text("failure/", F.when(conclusion == "timed_out", "timeout").otherwise(F.coalesce(_some(F.col("failure")), _some(by_job), _some(F.col("run_failure")), F.lit("pending")))))
     daily(merge & success & seconds.isNotNull(), "duration/merge", seconds / 60)
     daily(merge & waited.isNotNull(), "wait/merge", waited / 60)
     daily(merge & _some(conclusion).isNotNull(), text("merge/", F.when(conclusion.isin("success", "failure", "cancelled"), conclusion).otherwise("other")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronotally.operators import folds
 from chronotally.operators import live as L
+from chronotally.operators import summaries as S
 from chronotally.plans.registry import jobs, query, runs
 
 UNTIL = 1_706_000_000
@@ -25,7 +26,9 @@ def live_work(spark, d):
     return jobs(spark, d).select(
         "id", _PICK(i % 6, TRIGGERS).alias("trigger"), F.when(i % 4 == 0, "other.yml").otherwise(L.Names.workflow).alias("workflow"), F.when(i % 3 == 0, "in_progress").otherwise("completed").alias("run_status"),
         (c + 9000).alias("run_updated"), F.when(i % 5 == 0, F.struct((c + 700).alias("until"), (i % 2 * 3).cast("double").alias("weight"))).alias("sampling"),
-        F.when(i % 7 == 0, F.array(phase("build", 50), phase("audit-axioms", 10))).alias("phases"), F.when(i % 14 == 5, "infra").alias("run_failure"), _PICK(i % 8, NAMES).alias("name"), _PICK(F.col("run") % 4, KINDS).alias("kind"),
+        F.when(i % 7 == 0, F.array(phase("build", 50), phase("audit-axioms", 10))).alias("phases"), F.when(i % 14 == 5, "infra").alias("run_failure"),
+        F.when(i % 7 > 3, F.array(F.struct((i + i % 2).cast("string").alias("job"), F.lit("oom").alias("failure")), F.struct((i + i % 7 - 5).cast("string").alias("job"), F.lit("disk").alias("failure")))).alias("job_failures"),
+        _PICK(i % 8, NAMES).alias("name"), _PICK(F.col("run") % 4, KINDS).alias("kind"),
         _PICK(i % 9, CONCLUSIONS).alias("conclusion"), c.alias("created"), F.when(i % 11 != 0, began).alias("started"), F.when(i % 10 != 0, began + F.floor(F.col("value") * 60)).alias("completed"),
         (i % 13 != 0).alias("assigned"), (i % 17 == 0).alias("estimated"), (1 + i % 2).cast("double").alias("weight"), F.when(i % 2 == 0, "lean-error").alias("failure"),
         F.array(step("Install tools", 1, 31), step("Build exact candidate", 31, 71)).alias("steps"),
@@ -33,32 +36,39 @@ def live_work(spark, d):
 
 
 _WEIGHT = "case when cut is null then weight when {0} < cut then sampled else 1.0::double end"
-_LIVE = f"""w as (select id, {TRIGGERS!r}[id % 6 + 1] as trigger, case when id % 4 = 0 then 'other.yml' else '{L.Names.workflow}' end as workflow, c + 9000 as run_updated, id % 3 <> 0 as over, case when id % 5 = 0 then c + 700 end as cut, (id % 2 * 3)::double as sampled,
-        id % 7 = 0 as timed, case when id % 14 = 5 then 'infra' end as run_failure, {NAMES!r}[id % 8 + 1] as name, {KINDS!r}[run % 4 + 1] as kind, ['success', 'success', 'success', 'success', 'success', 'failure', 'timed_out', 'cancelled', null][id % 9 + 1] as conclusion, c as created,
-        case when id % 11 <> 0 and id % 13 <> 0 then c + id % 900 end as began, case when id % 10 <> 0 then c + id % 900 + floor(value * 60) end as completed, id % 17 = 0 as estimated, (1 + id % 2)::double as weight, case when id % 2 = 0 then 'lean-error' end as failure
-        from (select *, floor(a / 1000000)::double as c from jobs)),
-    x as (select *, least(coalesce(completed, case when over then run_updated end, {UNTIL}), {UNTIL})::double as done, greatest(created, {UNTIL - 30 * 86400})::double as since, name in ('sandboxed-build', 'verify', 'build', 'performance-gate') as is_build, kind <> 'unknown' as listed,
-        case when began is not null then greatest(0, began - created) / 60 end as wait, case when began is not null then greatest(0, completed - began) end as secs from w),
-    y as (select *, case kind when 'github' then case when not is_build then 'gh-other' when trigger in ('pr', 'workflow_dispatch') then 'gh-build-pr' else 'gh-build-other' end when 'self-hosted' then 'self-hosted' else case when trigger in ('merge_queue', 'bors_staging') then 'ns-mq' when trigger = 'pr' then 'ns-pr' else 'ns-other' end end as series,
-        id % 5 <> 1 and workflow <> 'other.yml' and name = 'sandboxed-build' and listed as built from x),
-    iv as (select 'running/' || series as m, greatest(since, began) as a, done as b, cut, sampled, weight from y where listed and began is not null union all select 'queued/' || kind, since, least(coalesce(began, done), done), cut, sampled, weight from y where listed and not estimated),
-    sp as (select m, a, least(b, coalesce(cut, b)) as b, case when cut is null then weight else sampled end as w from iv where cut is null or a < cut union all select m, greatest(a, cut), b, 1 from iv where cut is not null),
-    f as (select step, m, k * step as bucket, greatest(a, k * step)::double as lo, least(b, (k + 1) * step)::double as hi, w from sp, (values (600), (7200)) s(step), unnest(range(floor(a / step)::bigint, ceil(b / step)::bigint)) g(k) where a < b and w <> 0),
-    r as (select bucket::double as at_, bucket, 'fleet/' || step || '/' || m as metric, 0.0::double as value, w * (hi - lo) / step as amount from f where m like 'running/%'
-        union all select bucket, bucket, 'fleet/' || step || '/' || m, lo, w from f where m like 'queued/%' union all select bucket, bucket, 'fleet/' || step || '/' || m, hi, -w from f where m like 'queued/%'
-        union all select (k - 1) * step, (k - 1) * step, 'fleet/' || step || '/wait/' || case when is_build then 'build' else 'other' end, wait, 1 from y, (values (600, 1800), (7200, 7200)) s(step, win), unnest(range(ceil(began / step)::bigint, floor((began + win) / step)::bigint + 1)) g(k)
-            where listed and not estimated and began >= {UNTIL - 30 * 86400} and k * step < began + win and {_WEIGHT.format('greatest(began, k * step - 0.000001::double)')} > 0
-        union all select floor(created / step) * step, (floor(created / step) * step)::bigint, 'fleet/' || step || '/picked', created, 1 from y, (values (600), (7200)) s(step) where kind = 'namespace' and trigger = 'pr' and name = 'sandboxed-build'
-        union all select created, 0, 'wait/other', wait, 1 from y where not estimated and name = 'lint' and kind = 'github' and began is not null and {_WEIGHT.format('began')} > 0
-        union all select created, 0, 'duration/' || case when trigger = 'pr' then kind else 'merge' end, secs / 60, 1 from y where built and trigger in ('pr', 'merge_queue', 'bors_staging') and conclusion = 'success' and secs is not null
-        union all select created, 0, 'wait/' || case when trigger = 'pr' then kind else 'merge' end, wait, 1 from y where built and trigger in ('pr', 'merge_queue', 'bors_staging') and wait is not null
-        union all select created, 0, 'pr-total', 0, 1 from y where built and trigger = 'pr' and conclusion in ('success', 'failure', 'timed_out') union all select created, 0, 'picker/' || kind, 0, 1 from y where built and trigger = 'pr'
-        union all select created, 0, 'failure/' || case when conclusion = 'timed_out' then 'timeout' else coalesce(failure, run_failure, 'pending') end, 0, 1 from y where built and trigger = 'pr' and conclusion in ('failure', 'timed_out')
-        union all select created, 0, 'merge/' || case when conclusion in ('success', 'failure', 'cancelled') then conclusion else 'other' end, 0, 1 from y where built and trigger in ('merge_queue', 'bors_staging') and conclusion is not null
-        union all select created, 0, 'phase-count', 0, 1 from y where built and trigger = 'pr' and conclusion = 'success' union all select created, 0, 'phase-sample-count', 0, 1 from y where built and trigger = 'pr' and conclusion = 'success' and timed
-        union all select created, 0, p || ph, 0, s / 60 from y, (values ('setup and checks', 30.0::double, true), ('setup and checks', 30.0, false), ('build', 50 * least(1, 40 / 60.0::double), true), ('audits', 10 * least(1, 40 / 60.0::double), true), ('build, audits, lints', 40.0, false)) q(ph, s, t), (values ('phase/'), ('sample-phase/')) h(p)
-            where built and trigger = 'pr' and conclusion = 'success' and t = timed and (timed or p = 'phase/')
-        union all select began, 0, 'minutes/' || kind, 0, secs / 60 from y where id % 5 <> 1 and is_build and secs is not null union all select began, 0, 'minutes/cancelled', 0, secs / 60 from y where id % 5 <> 1 and is_build and secs is not null and trigger = 'pr' and conclusion = 'cancelled')"""
+_KIND = f"{KINDS!r}[run % 4 + 1]"
+
+
+def _live(kind: str) -> str:
+    return f"""w as (select id, {TRIGGERS!r}[id % 6 + 1] as trigger, case when id % 4 = 0 then 'other.yml' else '{L.Names.workflow}' end as workflow, c + 9000 as run_updated, id % 3 <> 0 as over, case when id % 5 = 0 then c + 700 end as cut, (id % 2 * 3)::double as sampled,
+            id % 7 = 0 as timed, case when id % 14 = 5 then 'infra' end as run_failure, {NAMES!r}[id % 8 + 1] as name, {kind} as kind, ['success', 'success', 'success', 'success', 'success', 'failure', 'timed_out', 'cancelled', null][id % 9 + 1] as conclusion, c as created,
+            case when id % 11 <> 0 and id % 13 <> 0 then c + id % 900 end as began, case when id % 10 <> 0 then c + id % 900 + floor(value * 60) end as completed, id % 17 = 0 as estimated, (1 + id % 2)::double as weight, case when id % 2 = 0 then 'lean-error' end as failure
+            from (select *, floor(a / 1000000)::double as c from jobs)),
+        x as (select *, least(coalesce(completed, case when over then run_updated end, {UNTIL}), {UNTIL})::double as done, greatest(created, {UNTIL - 30 * 86400})::double as since, name in ('sandboxed-build', 'verify', 'build', 'performance-gate') as is_build, kind <> 'unknown' as listed,
+            case when began is not null then greatest(0, began - created) / 60 end as wait, case when began is not null then greatest(0, completed - began) end as secs from w),
+        y as (select *, case kind when 'github' then case when not is_build then 'gh-other' when trigger in ('pr', 'workflow_dispatch') then 'gh-build-pr' else 'gh-build-other' end when 'self-hosted' then 'self-hosted' when 'north' then 'north' when 'south' then 'south' else case when trigger in ('merge_queue', 'bors_staging') then 'ns-mq' when trigger = 'pr' then 'ns-pr' else 'ns-other' end end as series,
+            id % 5 <> 1 and workflow <> 'other.yml' and name = 'sandboxed-build' and listed as built from x),
+        iv as (select 'running/' || series as m, greatest(since, began) as a, done as b, cut, sampled, weight from y where listed and began is not null union all select 'queued/' || kind, since, least(coalesce(began, done), done), cut, sampled, weight from y where listed and not estimated),
+        sp as (select m, a, least(b, coalesce(cut, b)) as b, case when cut is null then weight else sampled end as w from iv where cut is null or a < cut union all select m, greatest(a, cut), b, 1 from iv where cut is not null),
+        f as (select step, m, k * step as bucket, greatest(a, k * step)::double as lo, least(b, (k + 1) * step)::double as hi, w from sp, (values (600), (7200)) s(step), unnest(range(floor(a / step)::bigint, ceil(b / step)::bigint)) g(k) where a < b and w <> 0),
+        r as (select bucket::double as at_, bucket, 'fleet/' || step || '/' || m as metric, 0.0::double as value, w * (hi - lo) / step as amount from f where m like 'running/%'
+            union all select bucket, bucket, 'fleet/' || step || '/' || m, lo, w from f where m like 'queued/%' union all select bucket, bucket, 'fleet/' || step || '/' || m, hi, -w from f where m like 'queued/%'
+            union all select (k - 1) * step, (k - 1) * step, 'fleet/' || step || '/wait/' || case when is_build then 'build' else 'other' end, wait, 1 from y, (values (600, 1800), (7200, 7200)) s(step, win), unnest(range(ceil(began / step)::bigint, floor((began + win) / step)::bigint + 1)) g(k)
+                where listed and not estimated and began >= {UNTIL - 30 * 86400} and k * step < began + win and {_WEIGHT.format('greatest(began, k * step - 0.000001::double)')} > 0
+            union all select floor(created / step) * step, (floor(created / step) * step)::bigint, 'fleet/' || step || '/picked', created, 1 from y, (values (600), (7200)) s(step) where kind = 'namespace' and trigger = 'pr' and name = 'sandboxed-build'
+            union all select created, 0, 'wait/other', wait, 1 from y where not estimated and name = 'lint' and kind = 'github' and began is not null and {_WEIGHT.format('began')} > 0
+            union all select created, 0, 'duration/' || case when trigger = 'pr' then kind else 'merge' end, secs / 60, 1 from y where built and trigger in ('pr', 'merge_queue', 'bors_staging') and conclusion = 'success' and secs is not null
+            union all select created, 0, 'wait/' || case when trigger = 'pr' then kind else 'merge' end, wait, 1 from y where built and trigger in ('pr', 'merge_queue', 'bors_staging') and wait is not null
+            union all select created, 0, 'pr-total', 0, 1 from y where built and trigger = 'pr' and conclusion in ('success', 'failure', 'timed_out') union all select created, 0, 'picker/' || kind, 0, 1 from y where built and trigger = 'pr'
+            union all select created, 0, 'failure/' || case when conclusion = 'timed_out' then 'timeout' else coalesce(failure, case when id % 7 > 3 and id % 2 = 0 then 'oom' when id % 7 = 5 then 'disk' end, run_failure, 'pending') end, 0, 1 from y where built and trigger = 'pr' and conclusion in ('failure', 'timed_out')
+            union all select created, 0, 'merge/' || case when conclusion in ('success', 'failure', 'cancelled') then conclusion else 'other' end, 0, 1 from y where built and trigger in ('merge_queue', 'bors_staging') and conclusion is not null
+            union all select created, 0, 'phase-count', 0, 1 from y where built and trigger = 'pr' and conclusion = 'success' union all select created, 0, 'phase-sample-count', 0, 1 from y where built and trigger = 'pr' and conclusion = 'success' and timed
+            union all select created, 0, p || ph, 0, s / 60 from y, (values ('setup and checks', 30.0::double, true), ('setup and checks', 30.0, false), ('build', 50 * least(1, 40 / 60.0::double), true), ('audits', 10 * least(1, 40 / 60.0::double), true), ('build, audits, lints', 40.0, false)) q(ph, s, t), (values ('phase/'), ('sample-phase/')) h(p)
+                where built and trigger = 'pr' and conclusion = 'success' and t = timed and (timed or p = 'phase/')
+            union all select began, 0, 'minutes/' || kind, 0, secs / 60 from y where id % 5 <> 1 and is_build and secs is not null union all select began, 0, 'minutes/cancelled', 0, secs / 60 from y where id % 5 <> 1 and is_build and secs is not null and trigger = 'pr' and conclusion = 'cancelled')"""
+
+
+_LIVE = _live(_KIND)
 _SUMMED = "select make_date(1970, 1, 1) + floor(at_ / 86400)::integer as day, bucket::bigint as bucket, metric, round(value, 6) as value, round(sum(amount), 6) as amount from r where amount <> 0 group by 1, 2, 3, 4 having abs(sum(amount)) >= 1e-9"
 
 
@@ -103,6 +113,94 @@ def live_queue_peaks(spark, d):
     return L.queue_peaks(_rows(spark, d))
 
 
+_DAY_ = "make_date(1970, 1, 1) + floor({} / 86400)::integer"
+_MEASURES = f"""{_LIVE}, dr as (select {_DAY_.format('at_')} as day, metric, value, sum(amount) as amount from r where metric not like 'fleet/%' and amount <> 0 group by all),
+    qs as (select *, sum(amount) over (partition by day, metric order by value) as run_, sum(amount) over (partition by day, metric) as total from dr where (metric like 'duration/%' or metric like 'wait/%') and amount > 0),
+    me as (select day, metric, sum(amount) as amount, null::double as median, null::double as p90 from dr where metric not like 'duration/%' and metric not like 'wait/%' group by all having abs(sum(amount)) >= 1e-9
+        union all select day, metric, null, min(value) filter (where run_ >= greatest(1, ceil(total * 0.5))), min(value) filter (where run_ >= greatest(1, ceil(total * 0.9))) from qs group by all)"""
+
+
+def _measures(spark, d):
+    return S.day_measures(_rows(spark, d))
+
+
+def _landings(spark, d):
+    """Users as pull requests that land where their last purchase of a day was."""
+    return jobs(spark, d).where("kind = 'purchase'").select(F.date_add(F.lit("1970-01-01").cast("date"), F.expr("a div 86400000000").cast("int")).alias("day"), F.col("run").alias("pr"))
+
+
+_LANDED = "la as (select make_date(1970, 1, 1) + (a // 86400000000)::integer as day, count(distinct run)::double as n from jobs where kind = 'purchase' group by 1)"
+
+
+@query(f"with {_MEASURES} select day, metric, round(amount, 6) as amount, round(median, 6) as median, round(p90, 6) as p90 from me")
+def live_day_measures(spark, d):
+    return _measures(spark, d).select("day", "metric", *[F.round(c, 6).alias(c) for c in ("amount", "median", "p90")])
+
+
+@query(f"""with {_LIVE}, n as (select str_split(metric, '/')[2]::bigint as step, bucket::bigint as "at", str_split(metric, '/')[3] as type, coalesce(str_split(metric, '/')[4], '') as key, value, sum(amount) as amount from r where metric like 'fleet/%' and amount <> 0 group by all having abs(sum(amount)) >= 1e-9),
+    lv as (select step, "at", type, key, sum(amount) over (partition by step, "at", key order by value) as level from n where type = 'queued')
+    select step, "at", type, key, round(sum(amount), 6) as value from n where type = 'running' group by all union all select step, "at", type, key, round(max(value), 6) from n where type = 'wait' and amount > 0 group by all
+    union all select step, "at", type, key, round(greatest(max(level), 0), 6) from lv group by all union all select step, "at", type, key, value from n where type = 'picked' and amount > 0""")
+def live_fleet_rows(spark, d):
+    return S.fleet_rows(_rows(spark, d)).withColumn("value", F.round("value", 6))
+
+
+@query(f"with {_MEASURES} select day, replace(substr(metric, 9), 'pending', 'unclassified') as cause, round(amount, 6) as builds from me where metric like 'failure/%'")
+def live_failure_causes(spark, d):
+    return S.failure_causes(_measures(spark, d)).withColumn("builds", F.round("builds", 6))
+
+
+@query(f"with {_MEASURES} select day, round(coalesce(sum(amount) filter (where metric like 'failure/%'), 0) / nullif(sum(amount) filter (where metric = 'pr-total'), 0), 9) as rate from me group by day")
+def live_failure_rates(spark, d):
+    return S.failure_rates(_measures(spark, d)).withColumn("rate", F.round("rate", 9))
+
+
+@query(f"with {_MEASURES} select day, round(coalesce(sum(amount) filter (where metric = 'picker/github'), 0) / nullif(sum(amount) filter (where metric in ('picker/github', 'picker/namespace', 'picker/self-hosted')), 0), 9) as share from me group by day")
+def live_picker_shares(spark, d):
+    return S.picker_shares(_measures(spark, d), "github", L.Names.runners).withColumn("share", F.round("share", 9))
+
+
+@query(f"with {_MEASURES}, {_LANDED}, o as (select day, {', '.join(f'sum(amount) filter (where metric = {k!r}) as {k[6:]}' for k in ('merge/success', 'merge/failure', 'merge/cancelled', 'merge/other'))} from me group by day) select coalesce(o.day, la.day) as day, coalesce(success, 0) as success, coalesce(failure, 0) as failure, coalesce(cancelled, 0) as cancelled, coalesce(other, 0) as other, coalesce(n, 0) as landed from o full join la on o.day = la.day")
+def live_merge_outcomes(spark, d):
+    return S.merge_outcomes(_measures(spark, d), _landings(spark, d))
+
+
+@query(f"""with {_MEASURES}, c as (select day, sum(amount) filter (where metric = 'phase-count') as n, coalesce(sum(amount) filter (where metric = 'phase-sample-count'), 0) as k from me group by day),
+    p as (select day, regexp_replace(metric, '^(sample-)?phase/', '') as phase, coalesce(sum(amount) filter (where metric like 'phase/%'), 0) as a, coalesce(sum(amount) filter (where metric like 'sample-phase/%'), 0) as s from me where metric like 'phase/%' or metric like 'sample-phase/%' group by all)
+    select day, phase, round(case when k > 0 then s / k else a / n end, 6) as minutes from p join c using (day)""")
+def live_mean_phases(spark, d):
+    return S.mean_phases(_measures(spark, d)).withColumn("minutes", F.round("minutes", 6))
+
+
+@query(f"with {_MEASURES}, {_LANDED}, o as (select * from me where day < date '2024-01-20'), dd as (select distinct day from (select day from o union all select day from la where day < date '2024-01-20')) select day, metric, round(amount, 6) as amount, round(median, 6) as median, round(p90, 6) as p90 from o union all select day, 'landed-prs', coalesce(n, 0), null, null from dd left join la using (day)")
+def live_compacted(spark, d):
+    rows = S.compacted(_measures(spark, d), _landings(spark, d), F.lit("2024-01-20").cast("date"))
+    return rows.select("day", "metric", *[F.round(c, 6).alias(c) for c in ("amount", "median", "p90")])
+
+
+MACHINES = L.Hosts({"aaaaaaaaaaaa-own-1": "north", "bbbbbbbbbbbb-own-2": "south"}, {"n": "north", "s": "south"})
+WITH_MACHINES = L.Names(runners=("github", "namespace", "self-hosted", "north", "south"))
+
+
+MACHINES = L.Hosts({"aaaaaaaaaaaa-own-1": "north", "bbbbbbbbbbbb-own-2": "south"}, {"n": "north", "s": "south"})
+WITH_MACHINES = L.Names(runners=("github", "namespace", "self-hosted", "north", "south"))
+_MACHINE = f"case when run % 4 <> 2 then {_KIND} when id % 12 = 0 then 'self-hosted' when id % 3 = 0 then 'north' when id % 3 = 1 or id % 2 = 0 then 'south' else 'self-hosted' end"
+
+
+_EACH = "select make_date(1970, 1, 1) + floor(at_ / 86400)::integer as day, bucket::bigint as bucket, metric, round(value, 6) as value, amount from r where amount <> 0"
+
+
+@query(f"""with before as (with {_live(_KIND)} {_EACH}), now as (with {_live(_MACHINE)} {_EACH}) select day, bucket, metric, value, round(sum(amount), 6) as amount
+    from (select day, bucket, metric, value, -amount as amount from before union all select * from now) group by all having abs(sum(amount)) >= 1e-5""")
+def live_recomputed_hosts(spark, d):
+    """What known machines change: told by an identifier, by a name in a label, by the runner's name; two of them tell nothing."""
+    i = F.col("id")
+    labels = F.when(i % 12 == 0, F.array(F.lit("fleet-host-n"), F.lit("fleet-host-s"))).when(i % 3 == 0, F.array(F.lit("x"), F.lit("fleet-aaaaaaaaaaaa-own-1"))).when(i % 3 == 1, F.array(F.lit("fleet-host-s")))
+    work = live_work(spark, d).withColumns({"labels": labels, "runner_name": F.when((i % 3 == 2) & (i % 2 == 0), "fleet-bbbbbbbbbbbb-0123456789abcdef")})
+    rows = S.recompute_hosts(work, MACHINES, UNTIL, reported=i % 5 != 1, names=WITH_MACHINES).groupBy("day", "bucket", "metric", F.round("value", 6).alias("value")).agg(F.sum("amount").alias("amount"))
+    return rows.where(F.abs("amount") >= 1e-5).withColumn("amount", F.round("amount", 6))
+
+
 @query(f"""select run::varchar as run, 1 + run % 3 as attempt, case when run % 10 = 3 then 'manual' when run % 3 = 0 then 'repository_dispatch' when run % 3 = 1 then 'pr' when run % 2 = 0 then 'bors_staging' else 'bors_unknown' end as trigger,
     case when conclusion = 'cancelled' then 'queued' else 'completed' end as status, created / 1000000.0::double as created, case when run % 2 = 0 then created / 1000000 + 60.0::double else created / 1000000.0::double end as started,
     case when run % 6 = 2 then run end as batch, case when run % 4 <> 0 then array_to_string(list_sort(list_filter(list_distinct([pr, pr, run % 5]), lambda n: n > 0)), ',') end as members from runs""")
