@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronotally.operators import folds
+from chronotally.operators.snapshots import checkpointed
 
 ENTITY = ("source", "collection", "id")
 
@@ -54,14 +55,14 @@ def entity_versions(changes: DataFrame, commits: DataFrame) -> DataFrame:
     changes (source, snapshot, collection, id, data; null data deletes), commits (source, snapshot, commit, complete: the
     collections that the frame holds whole, null for a delta). A version ends with the entity's next change, or with a full frame
     that holds its collection whole without it. Of several changes of an entity in a frame the largest data counts."""
-    known = commits.select("source", "snapshot", "commit", "complete")
+    known = checkpointed(commits.select("source", "snapshot", "commit", "complete"))  # three uses of one sequential fold
     rows = changes.join(known.select("source", "snapshot", "commit"), ["source", "snapshot"]).groupBy(*ENTITY, "commit").agg(F.max("data").alias("data"))
-    collections = changes.select("source", "collection").distinct()
+    collections = known.select("source", F.explode("complete").alias("collection")).distinct()  # others are never left out
     places = known.join(collections, "source").withColumn("_full", F.when(F.array_contains("complete", F.col("collection")), F.col("commit")))
-    later = Window.partitionBy("source", "collection").orderBy("commit").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy("source", "collection").orderBy(F.col("commit").desc()).rowsBetween(Window.unboundedPreceding, -1)  # a running minimum
     places = places.select("source", "collection", "commit", F.min("_full").over(later).alias("left_out"))  # a row per commit and collection
     after = F.lead("commit").over(Window.partitionBy(*ENTITY).orderBy("commit"))
-    rows = rows.withColumn("after", after).join(places, ["source", "collection", "commit"])
+    rows = rows.withColumn("after", after).join(places, ["source", "collection", "commit"], "left")
     return rows.where("data is not null").select(*ENTITY, "data", F.col("commit").alias("since"), F.least("after", "left_out").alias("until"))
 
 
