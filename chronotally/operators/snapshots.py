@@ -54,11 +54,18 @@ def clock_inversions(df: DataFrame, keys: Sequence[str], order: str, at: str) ->
 
 def minute_samples(df: DataFrame, keys: Sequence[str], at: str, value: str, lo: int, hi: int, step: int) -> DataFrame:
     """Value as of each whole step in [lo, hi]: the last change at or before it, null before the first."""
-    changes = df.where((F.col(at) <= hi)).select(*keys, F.greatest(F.lit(lo), F.ceil(F.col(at) / step) * step).cast("long").alias("tick"), F.col(at).alias("_at"), F.col(value).alias("_v"))
-    last = changes.groupBy(*keys, "tick").agg(F.max_by("_v", F.struct("_at", "_v")).alias("v"))
-    grid = df.select(*keys).distinct().withColumn("tick", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(step))))
-    filled = F.last("v", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("tick").rowsBetween(Window.unboundedPreceding, 0))
-    return grid.join(last, [*keys, "tick"], "left").withColumn("value", filled).drop("v")
+    # Each change is stretched to the next one behind the shuffle, so that only changes are shuffled and never the grid.
+    end = lo + ((hi - lo) // step + 1) * step
+    tick = F.when((F.col(at) <= hi) & F.col(value).isNotNull(), F.lit(lo) + F.greatest(F.lit(0), F.floor((F.col(at) - lo + (step - 1)) / step)) * step).otherwise(F.lit(end))
+    changes = df.select(*keys, tick.cast("long").alias("tick"), F.col(at).alias("_at"), F.col(value).alias("_v"))
+    last = changes.groupBy(*keys, "tick").agg(F.max_by("_v", F.struct("_at", "_v")).alias("_v"))
+    w = Window.partitionBy(*keys).orderBy("tick")
+    part = lambda a, b, v: F.struct(a.alias("a"), b.alias("b"), v.alias("v"))
+    none = F.lit(None).cast(df.schema[value].dataType)
+    last = last.withColumns({"_first": F.lag("tick").over(w).isNull(), "_next": F.coalesce(F.lead("tick").over(w), F.lit(end))})
+    before, own = F.when(F.col("_first"), part(F.lit(lo).cast("long"), F.col("tick"), none)), part(F.col("tick"), F.col("_next"), F.col("_v"))
+    parts = last.select(*keys, F.explode(F.array(before, own)).alias("_p")).where("_p.a < _p.b")
+    return parts.select(*keys, F.explode(F.sequence("_p.a", F.col("_p.b") - step, F.lit(step).cast("long"))).alias("tick"), F.col("_p.v").alias("value"))
 
 
 def journal_checks(df: DataFrame, keys: Sequence[str], id_: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chronotally.operators import intervals as I
 from chronotally.operators import joins as J
+from chronotally.operators import snapshots as N
 from chronotally.plans import catalog
 from test_queries import rows_of
 
@@ -87,3 +88,12 @@ def test_post_merge_attribution_of_all_runs(spark, tmp_path):
     df.withColumn("o_orderdate", F.to_timestamp(F.lit("2024-01-01"))).write.parquet(f"{tmp_path}/orders.parquet")
     got = catalog.queries()["post_merge_attribution_all"](spark, str(tmp_path)).collect()
     assert sorted((r["head"], r["engine"], r["n"]) for r in got) == [(4, None, 2), (5, "5-LOW", 1), (7, "5-LOW", 1)]
+
+
+def test_minute_samples_shuffle_changes_and_pass_over_unknown_values(spark):
+    """The last known value stands, also of one step; steps are made behind the last shuffle; a key without a value keeps its steps."""
+    rows = spark.createDataFrame([("a", 1, 1.0), ("a", 2, None), ("a", 25, 2.0), ("b", 90, 3.0), ("c", 5, None)], "k string, at long, v double")
+    found = N.minute_samples(rows, ["k"], "at", "v", 0, 40, 10)
+    assert sorted((r["k"], r["tick"], r["value"]) for r in found.collect()) == sorted((k, t, v) for k, vs in {"a": [None, 1.0, 1.0, 2.0, 2.0], "b": [None] * 5, "c": [None] * 5}.items() for t, v in zip(range(0, 50, 10), vs, strict=True))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(sequence") < plan.index("Exchange")
