@@ -236,7 +236,7 @@ def modulo_sample(spark, d):
     return jobs(spark, d).select("id", C.modulo_sample(F.col("id"), 20).alias("kept"), C.modulo_sample(F.col("id"), 4).alias("kept_aux"))
 
 
-@query("select id, case when id % 5 in (0, 1, 2) then null else value end as value from jobs")
+@query("select id, case when isfinite(x) and x >= 0 then x end as value from (select id, case id % 5 when 0 then 'nan'::double when 1 then -value when 2 then 'inf'::double else value end as x from jobs)")
 def finite_counter(spark, d):
     raw = F.when(F.col("id") % 5 == 0, F.lit(float("nan"))).when(F.col("id") % 5 == 1, -F.col("value")).when(F.col("id") % 5 == 2, F.lit(float("inf"))).otherwise(F.col("value"))
     return jobs(spark, d).select("id", C.finite_counter(raw).alias("value"))

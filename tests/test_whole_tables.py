@@ -97,3 +97,25 @@ def test_minute_samples_shuffle_changes_and_pass_over_unknown_values(spark):
     assert sorted((r["k"], r["tick"], r["value"]) for r in found.collect()) == sorted((k, t, v) for k, vs in {"a": [None, 1.0, 1.0, 2.0, 2.0], "b": [None] * 5, "c": [None] * 5}.items() for t, v in zip(range(0, 50, 10), vs, strict=True))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate explode(sequence") < plan.index("Exchange")
+
+
+def test_workflow_backlog_knows_runs_without_jobs(spark, events):
+    """Orders whose jobs are all gone are open workflows too, in states that runs with many jobs never have."""
+    folder, con = events
+    orders = spark.createDataFrame([(i, i % 7, ["F", "O", "P"][i % 3]) for i in range(300)], "o_orderkey long, o_custkey long, o_orderstatus string")
+    orders.withColumns({"o_orderpriority": F.lit("1"), "o_orderdate": F.lit("1995-01-01").cast("timestamp"), "o_totalprice": F.lit(1.0)}).coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    con.execute(f"create view orders as select * from read_parquet('{folder}/orders.parquet/*.parquet')")
+    found = same_as_sql(spark, events, "workflow_backlog")
+    assert {"stuck", "pending", "stale", "unconfirmed"} <= {r["state"] for r in found}
+    assert sum(r["n"] for r in found) > 80 * 6 / 7 + 150
+
+
+def test_finite_counter_keeps_a_negative_zero(spark, tmp_path):
+    """Minus nothing is a number of at least 0."""
+    at = F.lit("2024-01-01").cast("timestamp")
+    rows = spark.range(20).select(F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"), F.lit("view").alias("event_type"), at.alias("ts"), (F.col("id") % 3 / 2).alias("value"), F.lit("{}").alias("props"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    found = same_as_sql(spark, (str(tmp_path), con), "finite_counter")
+    assert {r["id"] for r in found if r["id"] % 5 == 1 and r["value"] is not None} == {6}
