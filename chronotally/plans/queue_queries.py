@@ -353,23 +353,27 @@ _STATUSES = ["queued", "in_progress", "pending", "waiting", "requested", "comple
 
 
 @query(f"""with t as (select run, 1 + id % 2 as attempt, kind <> 'purchase' as active, id % 29 = 0 as estimated, kind = 'click' and id % 13 <> 0 as in_progress, case when id % 17 <> 0 then a end as created, a from jobs),
-    r as (select run, attempt, {_STATUSES!r}[run % 7 + 1] as status, run % 5 <> 0 as verified, run % 3 as category, min(a) as created, max(a) as touched from t group by all),
+    u as (select run, attempt, min(a) as created, max(a) as touched from t group by all union all select run, attempt, created, created from runs where not exists (select 1 from t where t.run = runs.run)),
+    r as (select run, attempt, {_STATUSES!r}[run % 7 + 1] as status, run % 5 <> 0 as verified, run % 3 as category, created, touched from u),
     n as (select * from r where status <> 'completed' and attempt = (select max(attempt) from r o where o.run = r.run)),
     c as (select run, attempt, count(*) filter (where active) as active_jobs, count(*) filter (where active and not estimated) as actual, count(*) filter (where active and not estimated and in_progress) as running,
         count(*) filter (where active and not estimated and not in_progress and created > 0) as dated, max(created) filter (where active and not estimated and not in_progress) as latest from t group by all),
-    s as (select n.*, actual, running, case when status not in ('pending', 'waiting', 'requested') and verified and active_jobs = 0 and {CLOCK} - touched >= 5400000000 then 'stuck' when running > 0 then 'in_progress'
+    m as (select n.*, coalesce(active_jobs, 0) as active_jobs, coalesce(actual, 0) as actual, coalesce(running, 0) as running, coalesce(dated, 0) as dated, latest from n left join c using (run, attempt)),
+    s as (select *, case when status not in ('pending', 'waiting', 'requested') and verified and active_jobs = 0 and {CLOCK} - touched >= 5400000000 then 'stuck' when running > 0 then 'in_progress'
         when status in ('pending', 'waiting', 'requested') or status = 'in_progress' and actual > 0 then 'pending' when status = 'queued' then 'queued' when status = 'in_progress' then 'pending' else 'unconfirmed' end as state,
-        case when status = 'queued' and actual = 0 then n.created when status in ('queued', 'in_progress') and running = 0 and actual > 0 and dated = actual then latest end as since from n join c using (run, attempt)),
+        case when status = 'queued' and actual = 0 then m.created when status in ('queued', 'in_progress') and running = 0 and actual > 0 and dated = actual then latest end as since from m),
     x as (select *, case when coalesce(since // {HOUR} * {HOUR} + {HOUR} <= {CLOCK - DAY}, false) then 'stale' else state end as final from s)
     select category, final as state, count(*) as n, min(created) as oldest, cast(sum(actual) as bigint) as jobs, cast(sum(running) as bigint) as running from x group by all""")
 def workflow_backlog(spark, d):
-    """Every run with its newest attempt, whatever its age."""
+    """Every run with its newest attempt, whatever its age: those of the jobs, and orders as runs that have no jobs (yet, or any more)."""
     t = jobs(spark, d).select(
         "run", (1 + F.col("id") % 2).alias("attempt"), (F.col("kind") != "purchase").alias("active"), (F.col("id") % 29 == 0).alias("estimated"),
         ((F.col("kind") == "click") & (F.col("id") % 13 != 0)).alias("in_progress"), F.when(F.col("id") % 17 != 0, F.col("a")).alias("created"), "a",
     )
     status = F.get(F.array(*[F.lit(x) for x in _STATUSES]), (F.col("run") % 7).cast("int"))
-    r = t.groupBy("run", "attempt").agg(F.min("a").alias("created"), F.max("a").alias("updated")).select("run", "attempt", status.alias("status"), (F.col("run") % 5 != 0).alias("verified"), "created", "updated", F.col("created").alias("started"), (F.col("run") % 3).alias("category"))
+    u = t.groupBy("run", "attempt").agg(F.min("a").alias("created"), F.max("a").alias("updated"))
+    u = u.unionByName(runs(spark, d).join(t.select("run").distinct(), "run", "left_anti").select("run", F.col("attempt").cast("long").alias("attempt"), "created", F.col("created").alias("updated")))
+    r = u.select("run", "attempt", status.alias("status"), (F.col("run") % 5 != 0).alias("verified"), "created", "updated", F.col("created").alias("started"), (F.col("run") % 3).alias("category"))
     out = A.workflow_backlog(r, t, "category", CLOCK)
     return out.groupBy("category", "state").agg(F.count("*").alias("n"), F.min("created").alias("oldest"), F.sum("actual_jobs").alias("jobs"), F.sum("running_jobs").alias("running"))
 
