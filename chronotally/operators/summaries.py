@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from chronotally.operators import live
 from chronotally.operators import quantiles as Q
 from chronotally.operators.prefix import prefix_sums
+from chronotally.operators.snapshots import checkpointed
 
 KEY = ["day", "bucket", "metric", "value"]
 NOTHING = 1e-9
@@ -49,6 +50,7 @@ def fleet_rows(rows: DataFrame) -> DataFrame:
     The queue's level is a prefix sum over the ranges of (step, instant), so that a step with very many waits is several tasks'
     work. Changes of one instant count together: a wait that ends where another begins does not overlap it."""
     fleet = rows.where(F.col("metric").startswith(FLEET)).groupBy(*KEY).agg(F.sum("amount").alias("amount")).where(F.abs("amount") >= NOTHING)
+    fleet = checkpointed(fleet)  # four uses, each of which would make all rows anew
     part = F.split("metric", "/", 4)
     named = fleet.select(part[1].cast("long").alias("step"), F.col("bucket").alias("at"), part[2].alias("type"), F.coalesce(F.get(part, F.lit(3)), F.lit("")).alias("key"), "value", "amount")
     group = ["step", "at", "type", "key"]

@@ -158,3 +158,12 @@ def test_runs_and_jobs_are_normalised(spark):
     assert (a["name"], a["status"], a["kind"], a["assigned"], a["failure"], a["weight"], a["estimated"], a["updated"]) == ("lint", "completed", "github", False, "infra-setup", 1, False, T)
     assert (b["attempt"], b["name"], b["kind"], b["assigned"], b["failure"], b["weight"], b["estimated"], b["created"]) == (2, "", "own", False, "policy", 0, True, 0)
     assert (c["assigned"], c["kind"], c["failure"], c["steps"][0]["started"]) == (True, "unknown", None, T)
+
+
+def test_steps_come_from_plain_explodes_and_measures_make_no_fleet(spark):
+    """Rows of steps are no nested lambdas, which Spark interprets; without the fleet's, all other rows stay as they are."""
+    jobs = table(spark, [job(i, trigger=t, sampling=s, phases=p) for i, (t, s, p) in enumerate([("pr", None, [("build", 50.0)]), ("bors_staging", (T + 100.0, 3.0), None), ("push", None, None)])])
+    both, daily = L.job_contributions(jobs, T + 600), L.job_contributions(jobs, T + 600, with_fleet=False)
+    assert summed(daily.collect()) == {k: v for k, v in summed(both.collect()).items() if not k[0].startswith("fleet/")}
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(" in plan and plan.count("lambda ") <= daily._jdf.queryExecution().optimizedPlan().toString().count("lambda ")
