@@ -20,8 +20,23 @@ IDENTITY = "^[0-9]{1,20}$"
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 
-def part(value: Column, name: str, kind: str = "variant") -> Column:
+#: Where a value stands: names and signs, and the places in arrays.
+Path = tuple["str | Column", ...]
+
+
+@dataclass(frozen=True)
+class Fields:
+    """An object whose fields were taken out of it once: those that its gate knows, and a map of all."""
+
+    known: Mapping[str, Column]
+    all: Column
+
+
+def part(value: Column | Fields, name: str, kind: str = "variant") -> Column:
     """A field of an object; null if it is absent, and a variant's null if it is null there."""
+    if isinstance(value, Fields):
+        found = value.known[name] if name in value.known else F.try_element_at(value.all, F.lit(name))
+        return found if kind == "variant" else as_(found, kind)
     return F.try_variant_get(value, f'$["{name}"]', kind)
 
 
@@ -33,22 +48,47 @@ def is_null(value: Column) -> Column:
     return F.coalesce(F.is_variant_null(value), F.lit(False))
 
 
+def once(value: Column, *steps: Callable[[Column], Column]) -> Column:
+    """The last of the steps, each a function of the one before and the last a text; by lambdas, so that each is worked out once however
+    often it is used. An aggregate takes the text out, as ``get`` would derive the type of all that is inside anew for every row."""
+    found = F.array(value)
+    for step in steps[:-1]:
+        found = F.transform(found, step)
+    return F.aggregate(found, F.lit(None).cast("string"), lambda _, x: steps[-1](x))
+
+
+def _written(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 @dataclass(frozen=True)
 class Gate:
+    """``reads`` is the type by which the tests read a value; those of a plain value may ask for its kind too."""
+
     nullable: bool = field(default=False, kw_only=True)
+    reads, plain = None, False
+
+    def seen(self, value: Column) -> Column:
+        """What the tests need of a value: itself (v), its kind (k) and how it reads (x)."""
+        kind = [F.schema_of_variant(value).alias("k")] if self.plain else []
+        return F.struct(value.alias("v"), *kind, *([] if self.reads is None else [as_(value, self.reads).alias("x")]))
 
-    def tests(self, value: Column, path: Column) -> list[tuple[str | Column, Column]]:
+    def tests(self, seen: Column, path: Path) -> list[tuple[str | Column, Column]]:
         """Reasons and when they hold (or reasons that are null if they do not), for a value that is not null."""
         return []
 
-    def reason(self, value: Column, path: Column) -> Column:
-        say = lambda why: F.concat(F.lit(f"{why}:"), path)
-        found = [F.when(F.coalesce(holds, F.lit(False)), say(why)) if isinstance(why, str) else F.when(holds, why) for why, holds in self.tests(value, path)]
-        return F.when(is_null(value), F.lit(None).cast("string") if self.nullable else say("null")).otherwise(F.coalesce(*found, F.lit(None).cast("string")))
+    def judged(self, seen: Column, path: Path) -> Column:
+        say = lambda why: _written(f"{why}:", *path)
+        found = [F.when(holds, say(why) if isinstance(why, str) else why) for why, holds in self.tests(seen, path)]
+        return F.when(seen["k"] == "VOID" if self.plain else is_null(seen["v"]), F.lit(None).cast("string") if self.nullable else say("null")).otherwise(F.coalesce(*found, F.lit(None).cast("string")))
 
+    def reason(self, value: Column, path: Path = ()) -> Column:
+        """The first reason to reject a variant, or null."""
+        return once(self.seen(value), lambda s: self.judged(s, path))
 
-def _of(value: Column, kinds: str) -> Column:
-    return F.schema_of_variant(value).rlike(f"^({kinds})")
+
+def _of(seen: Column, kind: str) -> Column:
+    return seen["k"] == kind
 
 
 @dataclass(frozen=True)
@@ -56,10 +96,11 @@ class Text(Gate):
     longest: int = 300
     pattern: str | None = None
     values: Sequence[str] | None = None
+    reads, plain = "string", True
 
-    def tests(self, value, path):
-        text = as_(value, "string")
-        out = [("type", ~_of(value, "STRING")), ("length", F.length(text) > self.longest), ("control", text.rlike(CONTROL))]
+    def tests(self, seen, path):
+        text = seen["x"]
+        out = [("type", ~_of(seen, "STRING")), ("length", F.length(text) > self.longest), ("control", text.rlike(CONTROL))]
         if self.pattern is not None:
             out.append(("pattern", ~text.rlike(self.pattern)))
         if self.values is not None:
@@ -72,10 +113,11 @@ class Number(Gate):
     low: float | None = None
     high: float | None = None
     whole: bool = False
+    reads, plain = "double", True
 
-    def tests(self, value, path):
-        x = as_(value, "double")
-        out = [("type", ~_of(value, "BIGINT|DECIMAL|DOUBLE|FLOAT"))]
+    def tests(self, seen, path):
+        x = seen["x"]
+        out = [("type", ~(_of(seen, "BIGINT") | seen["k"].rlike("^(DECIMAL|DOUBLE|FLOAT)")))]
         if self.whole:
             out.append(("type", (x != F.floor(x)) | (F.abs(x) > SAFE)))
         if self.low is not None:
@@ -91,8 +133,10 @@ def whole(low: float = 0, high: float = SAFE, *, nullable: bool = False) -> Numb
 
 @dataclass(frozen=True)
 class Flag(Gate):
-    def tests(self, value, path):
-        return [("type", ~_of(value, "BOOLEAN"))]
+    plain = True
+
+    def tests(self, seen, path):
+        return [("type", ~_of(seen, "BOOLEAN"))]
 
 
 @dataclass(frozen=True)
@@ -100,10 +144,11 @@ class Stamp(Gate):
     """An instant as text; may be null unless said otherwise."""
 
     nullable: bool = field(default=True, kw_only=True)
+    reads, plain = "string", True
 
-    def tests(self, value, path):
-        text = as_(value, "string")
-        return [("type", ~_of(value, "STRING")), ("length", F.length(text) > 40), ("time", F.try_to_timestamp(text).isNull())]
+    def tests(self, seen, path):
+        text = seen["x"]
+        return [("type", ~_of(seen, "STRING")), ("length", F.length(text) > 40), ("time", F.try_to_timestamp(text).isNull())]
 
 
 @dataclass(frozen=True)
@@ -112,8 +157,8 @@ class Exactly(Gate):
 
     texts: Sequence[str] = ()
 
-    def tests(self, value, path):
-        return [("enum", ~F.to_json(value).isin(*self.texts))]
+    def tests(self, seen, path):
+        return [("enum", ~F.to_json(seen["v"]).isin(*self.texts))]
 
 
 @dataclass(frozen=True)
@@ -122,9 +167,10 @@ class Either(Gate):
 
     flag: Gate = field(default_factory=Flag)
     other: Gate = field(default_factory=whole)
+    plain = True
 
-    def tests(self, value, path):
-        return [(F.when(_of(value, "BOOLEAN"), self.flag.reason(value, path)).otherwise(self.other.reason(value, path)), F.lit(True))]
+    def tests(self, seen, path):
+        return [(F.when(_of(seen, "BOOLEAN"), self.flag.reason(seen["v"], path)).otherwise(self.other.reason(seen["v"], path)), F.lit(True))]
 
 
 @dataclass(frozen=True)
@@ -133,11 +179,14 @@ class Items(Gate):
     most: int = 100
     least: int = 0
     unique: bool = False
-
-    def tests(self, value, path):
-        items = as_(value, "array<variant>")
-        found = F.filter(F.transform(items, lambda x, i: self.item.reason(x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))), lambda r: r.isNotNull())
-        out = [("type", items.isNull()), ("count", (F.size(items) > self.most) | (F.size(items) < self.least)), (F.get(found, F.lit(0)), F.lit(True))]
+    reads = "array<variant>"
+
+    def tests(self, seen, path):
+        items = seen["x"]
+        none = F.struct(F.lit(0).alias("i"), F.lit(None).cast("string").alias("r"))
+        at = lambda a: (*path, "[", a["i"].cast("string"), "]")
+        found = F.aggregate(items, none, lambda a, x: F.struct((a["i"] + 1).alias("i"), F.coalesce(a["r"], self.item.reason(x, at(a))).alias("r")), lambda a: a["r"])
+        out = [("type", items.isNull()), ("count", (F.size(items) > self.most) | (F.size(items) < self.least)), (found, F.lit(True))]
         if self.unique:
             texts = F.transform(items, lambda x: F.to_json(x))
             out.append(("repeated", F.size(F.array_distinct(texts)) < F.size(texts)))
@@ -150,6 +199,9 @@ class Maybe(Gate):
 
     gate: Gate = field(default_factory=Gate)
 
+    def seen(self, value):
+        return self.gate.seen(value)
+
 
 @dataclass(frozen=True)
 class Absent(Gate):
@@ -162,49 +214,56 @@ class Object(Gate):
     ``rules`` are conditions that must not be false, by name, over the object."""
 
     fields: Mapping[str, Gate] = field(default_factory=dict)
-    cases: Sequence[tuple[Callable[[Column], Column], Mapping[str, Gate]]] = ()
-    rules: Sequence[tuple[str, Callable[[Column], Column]]] = ()
+    cases: Sequence[tuple[Callable[[Fields], Column], Mapping[str, Gate]]] = ()
+    rules: Sequence[tuple[str, Callable[[Fields], Column]]] = ()
     open: bool = False
+    reads = "map<string,variant>"
 
-    def tests(self, value, path):
-        keys = F.map_keys(as_(value, "map<string,variant>"))
-        more = F.array_sort(F.array_except(keys, F.array(*[F.lit(n) for n in self.fields]).cast("array<string>")))
-        out: list = [("not-an-object", keys.isNull())]
+    def tests(self, seen, path):
+        every = seen["x"]
+        out: list = [("not-an-object", every.isNull())]
         if not self.open:
-            out.append((F.concat(F.lit("unknown:"), self._at(path, F.array_join(more, ","))), F.size(more) > 0))
-        out += [self._field(value, path, n, g) for n, g in self.fields.items()]
-        for holds, fields in self.cases:
-            out += [(reason, F.coalesce(holds(value), F.lit(False)) & when) for reason, when in (self._field(value, path, n, g) for n, g in fields.items())]
-        return out + [(name, ~F.coalesce(rule(value), F.lit(True))) for name, rule in self.rules]
+            more = F.array_sort(F.array_except(F.map_keys(every), F.array(*[F.lit(n) for n in self.fields]).cast("array<string>")))
+            out.append((_written("unknown:", *self._at(path, F.array_join(more, ","))), F.size(more) > 0))
+        gates = [(None, n, g) for n, g in self.fields.items()] + [(holds, n, g) for holds, fields in self.cases for n, g in fields.items()]
+        names = list(dict.fromkeys(n for _, n, _ in gates))
+        taken = F.struct(F.lit(0).alias("_"), *[F.try_element_at(every, F.lit(n)).alias(f"f{k}") for k, n in enumerate(names)])
+        look = lambda t: F.struct(t.alias("t"), *[g.seen(t[f"f{names.index(n)}"]).alias(f"s{k}") for k, (_, n, g) in enumerate(gates)])
+
+        def first(s: Column) -> Column:
+            of = Fields({n: s["t"][f"f{k}"] for k, n in enumerate(names)}, every)
+            found = []
+            for k, (holds, n, g) in enumerate(gates):
+                reason = self._field(s[f"s{k}"], self._at(path, n), g)
+                found.append(reason if holds is None else F.when(holds(of), reason))
+            found += [F.when(~F.coalesce(rule(of), F.lit(True)), _written(f"{name}:", *path)) for name, rule in self.rules]
+            return F.coalesce(*found, F.lit(None).cast("string"))
+
+        return [*out, (once(taken, look, first), F.lit(True))]
 
     @staticmethod
-    def _at(path: Column, name: Column | str) -> Column:
-        name = F.lit(name) if isinstance(name, str) else name
-        return F.concat(path, F.when(path == "", "").otherwise("."), name)
+    def _at(path: Path, name: Column | str) -> Path:
+        return (*path, ".", name) if path else (name,)
 
-    def _field(self, value: Column, path: Column, name: str, gate: Gate) -> tuple[Column, Column]:
-        def found(inner: Column) -> Column:
-            at = self._at(path, name)
-            if isinstance(gate, Absent):
-                return F.when(inner.isNotNull(), F.concat(F.lit("not-enabled:"), at))
-            if isinstance(gate, Maybe):
-                return F.when(inner.isNotNull(), gate.gate.reason(inner, at))
-            return F.when(inner.isNull(), F.concat(F.lit("missing:"), at)).otherwise(gate.reason(inner, at))
-
-        bound = F.transform(F.array(part(value, name)), found)  # by a lambda, so that the field is taken out once
-        return F.get(bound, F.lit(0)), F.lit(True)
+    @staticmethod
+    def _field(seen: Column, at: Path, gate: Gate) -> Column:
+        if isinstance(gate, Absent):
+            return F.when(seen["v"].isNotNull(), _written("not-enabled:", *at))
+        if isinstance(gate, Maybe):
+            return F.when(seen["v"].isNotNull(), gate.gate.judged(seen, at))
+        return F.when(seen["v"].isNull(), _written("missing:", *at)).otherwise(gate.judged(seen, at))
 
 
 def reject_reason(payload: Column, gate: Gate) -> Column:
     """The first reason to reject a JSON text, or null."""
     value = F.try_parse_json(payload)
-    return F.when(value.isNull(), F.lit("not-json")).otherwise(gate.reason(value, F.lit("")))
+    return F.when(value.isNull(), F.lit("not-json")).otherwise(gate.reason(value))
 
 
 def gated(df: DataFrame, payload: str, gate: Gate) -> DataFrame:
     """df with ``reason``; the JSON is parsed once a row."""
     rows = df.withColumn("_value", F.try_parse_json(payload))
-    return rows.withColumn("reason", F.when(F.col("_value").isNull(), F.lit("not-json")).otherwise(gate.reason(F.col("_value"), F.lit("")))).drop("_value")
+    return rows.withColumn("reason", F.when(F.col("_value").isNull(), F.lit("not-json")).otherwise(gate.reason(F.col("_value")))).drop("_value")
 
 
 def canonical(payload: Column) -> Column:
@@ -220,11 +279,11 @@ COLLECTIONS = ("batches", "inputs", "members", "attempts", "tasks", "events")
 COUNT = whole(0, 10_000_000, nullable=True)
 
 
-def number_of(value: Column, name: str) -> Column:
+def number_of(value: Column | Fields, name: str) -> Column:
     return part(value, name, "double")
 
 
-def text_of(value: Column, name: str) -> Column:
+def text_of(value: Column | Fields, name: str) -> Column:
     return part(value, name, "string")
 
 
@@ -251,7 +310,7 @@ def metadata_gate(schema: str, repositories: Sequence[str]) -> Object:
         cases=[(lambda v: text_of(v, "coverage") == "observed", {"state": Text(40), "started_at": Stamp(), "tasks": whole(nullable=True), "errors": whole(nullable=True)})],
     )
     own = lambda v: part(v, "dispatch_config")
-    inside = lambda v: F.array_contains(F.try_variant_get(v, "$.scope.repositories", "array<string>"), text_of(own(v), "repository"))
+    inside = lambda v: F.array_contains(F.try_variant_get(part(v, "scope"), "$.repositories", "array<string>"), text_of(own(v), "repository"))
     return Object(
         {
             "schema": Text(values=[schema]), "coverage": Text(values=["observed", "partial", "unavailable"]), "observed_at": Stamp(), "status_observed_at": Stamp(), "source_revision": Text(40), "canonical_sha": Maybe(Text(pattern=SHA, nullable=True)),
@@ -300,7 +359,7 @@ def event_gate(repositories: Sequence[str], past: Sequence[str] = ()) -> Object:
     run_id = lambda v: number(text_of(run(v), "id"), text_of(run(v), "run_id"), text_of(v, "run_id"), text_of(first(v), "run_id"))
     job = Object({"created_at": Stamp(nullable=False)}, open=True, rules=[("job-id", lambda v: F.coalesce(number(text_of(v, "id"), text_of(v, "job_id")).rlike("^[0-9]+$"), F.lit(False)))])
 
-    def sampled(v: Column) -> Column:
+    def sampled(v: Fields) -> Column:
         sampling = part(run(v), "archive_sampling")
         fine = old(v) & number_of(sampling, "until").isNotNull() & (number_of(sampling, "weight") >= 0)
         return sampling.isNull() | is_null(sampling) | F.coalesce(fine, F.lit(False))
@@ -358,7 +417,7 @@ def hosts_gate(schema: str, registry: Sequence[tuple[str, str]]) -> Object:
         },
         rules=[("not-public", lambda v: F.coalesce(F.concat_ws(" ", text_of(v, "machine_id"), text_of(v, "alias")).isin(*known) if known else F.lit(False), F.lit(False)))],
     )
-    ids = lambda v: F.transform(part(v, "hosts", "array<variant>"), lambda h: text_of(h, "machine_id"))
+    ids = lambda v: part(v, "hosts", "array<struct<machine_id:string>>")["machine_id"]
     return Object(
         {"schema": Text(values=[schema]), "source": Object({"id": Text(pattern=UUID), "epoch": whole(1), "sequence": whole(1)}), "observed_at": stamp, "hosts": Items(host, most=128)},
         rules=[("repeated-host", lambda v: F.size(F.array_distinct(ids(v))) == F.size(ids(v))), ("registry-coverage", lambda v: F.size(ids(v)) == len(known))],

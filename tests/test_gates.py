@@ -160,3 +160,18 @@ def test_canonical_text_sorts_keys_at_every_depth(spark):
     rows = [('{"b":{"z":1,"a":[2,{"y":null,"x":"é"}]},"a":true}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ('{ "a" : true , "b":{"a":[2,{"x":"é","y":null}],"z":1}}', '{"a":true,"b":{"a":[2,{"x":"é","y":null}],"z":1}}'), ("[1, 2]", "[1,2]"), ("x", None), (None, None)]
     got = spark.createDataFrame(rows, "p string, want string").withColumn("got", G.canonical(F.col("p"))).collect()
     assert [r["got"] for r in got] == [w for _, w in rows]
+
+
+def test_an_item_behind_the_first_bad_one_is_not_judged_and_types_are_not_derived_for_every_row(spark):
+    """Paths are constants and counters, so that a reason's expression grows with its gate and not with the powers of its depth."""
+    deep = G.Object({"a": G.Text()})
+    sizes = []
+    for _ in range(5):
+        deep = G.Object({"a": G.Items(deep), "b": G.whole()})
+        df = G.gated(spark.range(1).selectExpr("'{}' as p"), "p", deep)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "filter(" not in text
+        sizes.append(len(text))
+    assert sizes[4] - sizes[3] < 1.5 * (sizes[2] - sizes[1])
+    bad = {"a": [{"a": [{"a": [], "b": "x"}, {"a": [], "b": -1}], "b": 1}], "b": "y"}
+    assert reasons(spark, G.Object({"a": G.Items(G.Object({"a": G.Items(G.Object({"a": G.Items(), "b": G.whole()})), "b": G.whole()})), "b": G.whole()}), [bad]) == ["type:a[0].a[0].b"]
