@@ -35,11 +35,13 @@ def day_measures(rows: DataFrame) -> DataFrame:
     """day, metric, amount, median, p90: a counter has its amount, a distribution (duration/*, wait/*) its quantiles by weight.
 
     Counters that were taken back to nothing stay away, as does a distribution without a positive weight; values of which
-    nothing is left do not count. Rows of the fleet are left out. Quantiles come from sums per distinct value, in ranges."""
-    daily = rows.where(~F.col("metric").startswith(FLEET))
+    nothing is left do not count. Rows of the fleet are left out. Rows are read once, and summed per distinct value; quantiles come from
+    these sums, in ranges."""
+    daily = rows.where(~F.col("metric").startswith(FLEET)).groupBy("day", "metric", "value").agg(F.sum("amount").alias("amount"))
+    daily = checkpointed(daily)  # a row per distinct value; counters, quantiles and their ranges would each make all rows anew
     none = lambda c: F.lit(None).cast("double").alias(c)
     counters = daily.where(~_is_distribution()).groupBy("day", "metric").agg(F.sum("amount").alias("amount")).where(F.abs("amount") >= NOTHING)
-    values = daily.where(_is_distribution()).groupBy("day", "metric", "value").agg(F.sum("amount").alias("amount")).where(F.col("amount") >= NOTHING)
+    values = daily.where(_is_distribution() & (F.col("amount") >= NOTHING))
     spread = Q.weighted_quantiles(values, ["day", "metric"], "value", F.col("amount"), {"median": 0.5, "p90": 0.9})
     return counters.select("day", "metric", "amount", none("median"), none("p90")).unionByName(spread.select("day", "metric", none("amount"), "median", "p90"))
 

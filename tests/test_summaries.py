@@ -135,3 +135,17 @@ def test_known_machines_change_their_jobs_alone(spark):
     assert exact(before.unionByName(delta)) == exact(after)
     assert exact(delta)["picker/north", 0, 0.0] == 2 and not any("github" in k[0] for k in exact(delta))
     assert "labels" not in FIELDS
+
+
+def test_measures_read_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    data = [("2024-01-01", m, float(v), 1.0) for m in ("pr-total", "wait/other", "duration/github") for v in range(40)]
+
+    def noted(row):
+        seen.add(1)
+        return row
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(data, 4).map(noted), "day string, metric string, value double, amount double")
+    got = {r["metric"]: (r["amount"], r["median"], r["p90"]) for r in S.day_measures(rows).collect()}
+    assert got == {"pr-total": (40.0, None, None), "wait/other": (None, 19.0, 35.0), "duration/github": (None, 19.0, 35.0)}
+    assert seen.value == len(data)
