@@ -7,9 +7,12 @@ import tempfile
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronotally.llm import buckets
+
 #: Rows up to which a lookup table is broadcast; larger ones are joined by a salted shuffle.
 BROADCAST_ROWS = 50_000
 SALTS = 32
@@ -117,17 +120,29 @@ def in_parts(df: DataFrame, parts: int | None) -> DataFrame:
     return df if parts is None else df.coalesce(parts)
 
 
+def _components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components of the few edges of one partition."""
+    edges = [batch[["u", "v"]].to_numpy(np.int64) for batch in batches]
+    if edges:
+        nodes, rows = np.unique(np.concatenate(edges), return_inverse=True)
+        rows = rows.reshape(-1, 2)
+        yield pd.DataFrame({"node": nodes, "component": nodes[buckets.forest(len(nodes), rows[:, 0], rows[:, 1])]})
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, *, rows_a_part: int | None = None) -> DataFrame:
     """Component of every node of an undirected edge table: (node, component = smallest node reachable).
 
     Alternates the large-star and small-star steps until the edges no longer change; a node with very many
     edges is dealt over tasks, and every round is checkpointed. With ``rows_a_part`` a round runs in as many tasks as its
     counted edges need, eight at least, and not in one per shuffle partition: most rounds are small, and every task
-    leaves files in each of a round's exchanges."""
+    leaves files in each of a round's exchanges. As soon as no more edges are left than one part takes, a single task finishes, as
+    every further round would add its plans and tasks to what the driver keeps."""
     stars = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     stars, seen, parts = checkpointed(stars), None, None
     n = stars.count() if rows_a_part else 0
     for _ in range(max_rounds):
+        if rows_a_part and n <= rows_a_part:
+            return checkpointed(stars.coalesce(1).mapInPandas(_components, "node long, component long"))
         if rows_a_part:
             parts = max(8, -(-2 * n // rows_a_part))
             stars = in_parts(stars, parts)

@@ -773,3 +773,21 @@ def test_word_hashes_stand_for_words():
         for w, h in zip(words, found, strict=True):
             by_word[w].add(h)
     assert all(len(h) == 1 for h in by_word.values()) and len(set().union(*by_word.values())) == len(by_word) > 500
+
+
+def test_few_edges_are_joined_in_one_task_and_many_in_rounds(spark):
+    from chronotally.llm.common import connected_components
+
+    edges = [(k, k + 1) for k in range(300) if k % 50 != 49] + [(7, 7), (-5, 290)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {k: -5 if k >= 250 else k - k % 50 for k in range(301)} | {-5: -5}
+    want[300] = want[299] if (299, 300) in edges else 300
+    want = {k: c for k, c in want.items() if any(k in e and e[0] != e[1] for e in edges)}
+    context = spark.sparkContext
+    for rows, most_jobs in ((1000, 25), (100, None)):
+        context.setJobGroup(f"components-{rows}", "")
+        got = {r["node"]: r["component"] for r in connected_components(df, rows_a_part=rows).collect()}
+        assert got == want
+        jobs = len(context.statusTracker().getJobIdsForGroup(f"components-{rows}"))
+        assert most_jobs is None or jobs < most_jobs
+    assert connected_components(df.where("a > 1000"), rows_a_part=10).count() == 0
