@@ -126,9 +126,10 @@ def _classes(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
                 signed.append(band_hashes(found, bands, rows) if len(found) else np.zeros(bands, np.int64))
             yield pd.DataFrame({"size": sizes, "bands": signed})
 
-    signed = docs.select("doc_id", F.md5("text").alias("node"), sign("text").alias("s")).where("s.size > 0")
+    signed = docs.select("doc_id", F.md5("text").alias("node"), sign("text").alias("s"))
     least = [F.min(F.col("s.bands")[k]).alias(f"b{k}") for k in range(bands)]  # copies agree: their minimum is the value
     signed = signed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("s.size").alias("size"), *least)
+    signed = signed.where("size > 0")  # not before: a filter on what sign gives goes below the selection, with a second pass of sign for it
     return signed.select("node", F.xxhash64("node").alias("key"), "rep", "copies", "size", F.array(*[f"b{k}" for k in range(bands)]).alias("bands"))
 
 

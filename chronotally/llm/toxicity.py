@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotally.llm.common import as_row, checkpointed, with_columns
+from chronotally.llm.common import as_row, by_length, checkpointed, with_columns
 
 SAMPLE_ROWS = 3000
 #: Hash buckets of features.
@@ -37,6 +37,8 @@ THRESHOLD = 0.5
 #: A model keeps at most so many features: those whose count among the label's rows is over so many standard deviations
 #: from what their count in all rows lets expect, the strongest first.
 FEATURES, DEVIATIONS = 3000, 3.0
+#: Features of texts that are scored at a time, so that a worker's memory does not follow a batch's rows.
+FEATURES_AT_ONCE = 500_000
 #: Partitions of the bounded sample.
 SAMPLE_PARTS = 6
 #: Runs of letters, and runs of what is neither letter, digit nor space.
@@ -88,22 +90,24 @@ def telling(rows: np.ndarray, buckets: np.ndarray, y: np.ndarray) -> np.ndarray:
     if not 0 < rate < 1:
         return np.empty(0, np.int64)
     df = np.bincount(buckets, minlength=WIDTH)
-    hits = np.bincount(buckets, y[rows], WIDTH)
-    z = np.abs(hits - df * rate) / np.sqrt(np.maximum(df, 1) * rate * (1 - rate))
-    z[(df < 2) | (z < DEVIATIONS)] = 0
-    return np.sort(np.argsort(-z, kind="stable")[: min(FEATURES, np.count_nonzero(z))])
+    some = np.flatnonzero(df >= 2)
+    df, hits = df[some], np.bincount(buckets[(y > 0)[rows]], minlength=WIDTH)[some]
+    z = np.abs(hits - df * rate) / np.sqrt(df * rate * (1 - rate))
+    some, z = some[z >= DEVIATIONS], z[z >= DEVIATIONS]
+    return np.sort(some[np.argsort(-z, kind="stable")[:FEATURES]])
 
 
 def fit_linear(x: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Linear:
     """Smallest mean weighted logistic loss plus RIDGE / 2 times the squared weights (not of the intercept), by L-BFGS."""
     n, k = len(y), earlier.shape[1]
-    flat = np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)
-    rows = np.repeat(np.arange(n), [len(b) for b in x])
+    flat = np.concatenate([*x, np.empty(0, np.int32)]).astype(np.int32, copy=False)  # buckets and rows fit 32 bits
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(b) for b in x])
     known = telling(rows, flat, y)
-    place = np.full(WIDTH, -1)
+    place = np.full(WIDTH, -1, np.int32)
     place[known] = np.arange(len(known))
     there = place[flat] >= 0
-    rows, cols = rows[there], place[flat[there]]
+    rows, cols = rows[there].astype(np.int64), place[flat[there]].astype(np.int64)
+    del flat, there, place  # most features are none of the model's: only the others' places stay for its steps
     d, share = len(known), weight / weight.sum()
     ridge = np.r_[np.full(d + k, RIDGE), 0.0]
 
@@ -169,8 +173,10 @@ class Chain:
     def probabilities(self, x: list[np.ndarray]) -> np.ndarray:
         """A row per text and a column per category."""
         out = np.empty((len(x), len(self.names)))
-        for k, model in enumerate(self.models):
-            out[:, k] = model.probability(x, out[:, :k])
+        for some in by_length(np.array([len(b) for b in x], np.int64), FEATURES_AT_ONCE):
+            here = [x[i] for i in some.tolist()]
+            for k, model in enumerate(self.models):
+                out[some, k] = model.probability(here, out[some, :k])
         return out
 
 
