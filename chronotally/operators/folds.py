@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -213,6 +215,121 @@ def signed_records(changes: DataFrame) -> DataFrame:
     return moved.select(*rest, F.explode(both).alias("_s")).select(*rest, "_s.record", "_s.sign").where("record is not null")
 
 
+def agreeing(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether the values of two arrays of one type and length agree, null with null. What cannot be compared (NaN, maps) does not."""
+    kind, (a_null, b_null) = a.type, [x.is_null().to_numpy(zero_copy_only=False) for x in (a, b)]
+    same = a_null == b_null
+    if pa.types.is_struct(kind):
+        for x, y in zip(a.flatten(), b.flatten(), strict=True):
+            same &= agreeing(x, y)
+    elif pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        a_size, b_size = [pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False) for x in (a, b)]
+        same &= a_size == b_size
+        rows = np.flatnonzero(same & (a_size > 0))
+        inner = agreeing(a.take(pa.array(rows)).flatten(), b.take(pa.array(rows)).flatten())
+        same[np.repeat(rows, a_size[rows])[~inner]] = False
+    elif pa.types.is_nested(kind):
+        same &= a_null
+    elif not pa.types.is_null(kind):
+        same &= a_null | pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+    return same
+
+
+class _Blank(int):
+    """The place of a value that is there but says nothing."""
+
+    def __bool__(self) -> bool:
+        return False
+
+
+def _places(values: pa.Array) -> list:
+    """For every value its place, counted from 1, that is true where the value is (as read from JSON); None for null."""
+    kind = values.type
+    if pa.types.is_struct(kind):
+        blank = np.logical_and.reduce([np.ones(len(values), bool), *[x.is_null().to_numpy(zero_copy_only=False) for x in values.flatten()]])
+    else:
+        size = pc.list_value_length if pa.types.is_nested(kind) else pc.binary_length if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_binary(kind) else None
+        number = size(values) if size else values.cast(pa.int8()) if pa.types.is_boolean(kind) else values if pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_decimal(kind) else None
+        blank = pc.fill_null(pc.equal(number, pa.scalar(0, number.type)), False).to_numpy(zero_copy_only=False) if number is not None else np.zeros(len(values), bool)
+    places = np.arange(1, len(values) + 1).astype(object)
+    for i in np.flatnonzero(blank):
+        places[i] = _Blank(i + 1)
+    places[values.is_null().to_numpy(zero_copy_only=False)] = None
+    return places.tolist()
+
+
+def net_records(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], columns: Sequence[str], merge: Merge, along: Sequence[str] = ()) -> DataFrame:
+    """keys, the columns ``along`` of the observation, record and sign: ``signed_records`` of ``state_changes`` without those that cancel.
+
+    What an observation adds, the next one that changes its key's record takes back. Where both have the same values ``along`` (say,
+    of a run), this is one row with both signs, and neither is made; where these values changed, both are. So summed over all rows, anything
+    that is counted by a record and ``along`` is the same, however often a record was replaced in between.
+
+    Values do not pass through Python but those that ``merge`` compares: a record is kept as the places its columns were seen at, and
+    is put together by Arrow when it is given out. Of a key nothing is held but one row."""
+    seen = [*keys, *along, *columns]
+    missing = [c for c in seen if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such columns: {missing}")
+    n_keys, n_along = len(keys), len(along)
+    compared = {merge.status, merge.updated, *(merge.learn[:2] if merge.learn else ()), *(c for c, empty in merge.fill.items() if empty is not None)}
+    placed = {*merge.fill, *(merge.learn[3] if merge.learn else ())} - compared
+    compared, placed = [c for c in columns if c in compared], [c for c in columns if c in placed]
+    rows = df.repartition(*[F.col(f"`{k}`") for k in keys]).sortWithinPartitions(*[F.col(f"`{k}`") for k in keys], *order)
+    rows = rows.select(*[F.col(f"`{c}`").alias(f"_net_{i}") for i, c in enumerate(seen)])
+    at_column = {c: n_keys + n_along + i for i, c in enumerate(columns)}
+    row = ""  # the entry of a record that tells the place of all columns that are not listed by themselves
+
+    def put_together(values: list[pa.Array], states: list[dict]) -> list[pa.Array]:
+        """The columns of records, from the places they name."""
+        where = {c: pa.array([None if s[c] is None else s[c] - 1 for s in states], pa.int64()) for c in (row, *placed)}
+        made = lambda c, v: pa.array([s[c] for s in states], v.type) if c in compared else v.take(where[c if c in placed else row])
+        return [made(c, values[at_column[c]]) for c in columns]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict | None = None
+        carried: list[pa.Array] = []  # the row at place 1: the last key, the record's columns, and the values along of what it was last counted with
+
+        def given(values: list[pa.Array], out: list[tuple[int, dict, int]]) -> pa.RecordBatch:
+            index, states, signs = ([x[i] for x in out] for i in range(3))
+            record = pa.StructArray.from_arrays(put_together(values, states), names=list(columns))
+            return pa.RecordBatch.from_arrays([*[v.take(pa.array(index, pa.int64())) for v in values[: n_keys + n_along]], record, pa.array(signs, pa.int32())], names=[*keys, *along, "record", "sign"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [pa.concat_arrays([old, new]) for old, new in zip(carried, batch.columns, strict=True)] if carried else list(batch.columns)
+            n = len(values[0])
+            same = [np.logical_and.reduce([np.ones(n - 1, bool), *[agreeing(v.slice(0, n - 1), v.slice(1)) for v in part]]) for part in (values[:n_keys], values[n_keys : n_keys + n_along])]
+            same_key, same_along = [[False, *s.tolist()] for s in same]
+            names = [row, *compared, *placed]
+            entries = zip(range(1, n + 1), *[values[at_column[c]].to_pylist() for c in compared], *[_places(values[at_column[c]]) for c in placed], strict=True)
+            out: list[tuple[int, dict, int]] = []
+            last, moved = 0, False  # where the record was last counted, and whether values along have changed since
+            for i, entry in enumerate(entries):
+                if i == 0 and carried:
+                    continue
+                if state is not None and not same_key[i]:
+                    out.append((last, state, 1))
+                    state = None
+                new, _ = merge(state, dict(zip(names, entry, strict=True)))
+                moved = state is not None and (moved or not same_along[i])
+                if new == state:
+                    continue
+                if moved:
+                    out += [(last, state, 1), (i, state, -1)]
+                state, last, moved = new, i, False
+            if out:
+                yield given(values, out)
+            carried = [*[v.take(pa.array([last])) for v in values[: n_keys + n_along]], *put_together(values, [state])]
+            state = {c: v if c in compared or v is None else 1 if v else _Blank(1) for c, v in state.items()}
+        if state is not None:
+            yield given(carried, [(0, state, 1)])
+
+    record = T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
+    return rows.mapInArrow(fold, T.StructType([T.StructField(c, df.schema[c].dataType) for c in (*keys, *along)]).add("record", record).add("sign", "integer"))
+
+
 def latest_state(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], merge: Merge) -> DataFrame:
     """keys, columns and n_accepted after the last observation of each key; columns named in ``order`` end the ordering."""
     rows = state_changes(df, keys, order, columns, merge)

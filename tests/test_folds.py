@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronotally.operators import folds
 from chronotally.operators import live as L
+from chronotally.plans import live_queries
 from chronotally.streaming import streams
 
 RECORD = ["status", "updated", "kind", "runner", "steps", "host"]
@@ -154,6 +155,58 @@ def test_signed_records_leave_the_last_ones(spark):
     assert {k: n for k, n in left.items() if n} == {(k, json.dumps(v, sort_keys=True)): 1 for k, v in folded(rows)[1].items()}
 
 
+def counted(rows):
+    """key, values along and record -> how often it is added less how often it is taken back."""
+    left = collections.Counter()
+    for r in rows:
+        left[r["key"], json.dumps(r["along"]), json.dumps(plain_struct(r["record"]), sort_keys=True)] += r["sign"]
+    return {k: n for k, n in left.items() if n}
+
+
+@pytest.mark.parametrize(("seed", "batch", "moves"), [(6, 10_000, 0), (6, 3, 0), (7, 10_000, 4), (7, 3, 4), (8, 1, 2)])
+def test_net_records_are_the_signed_ones_without_pairs_that_cancel(spark, seed, batch, moves):
+    """Batches that end within a key, and values along that change while records do or do not."""
+    rnd = random.Random(seed)
+    df = spark.createDataFrame([(*r, [(rnd.randrange(moves), rnd.choice(["a", None]) if moves > 2 else "a")] if moves else None) for r in random_records(seed)], f"{SCHEMA}, along array<struct<n:long,t:string>>").repartition(5)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, batch)
+    try:
+        net = folds.net_records(df, ["key"], ["arrival"], RECORD, MERGE, along=["along"])
+        assert net.schema["record"].dataType.simpleString() == folds.record_type(df, RECORD)
+        got = net.collect()
+    finally:
+        spark.conf.set(size, before)
+    signed = folds.signed_records(folds.state_changes(df, ["key"], ["arrival"], RECORD, MERGE)).select("key", "along", "record", "sign").collect()
+    assert counted(got) == counted(signed) and len(got) < len(signed) and any(r["sign"] < 0 for r in signed)
+    if not moves:
+        assert len(got) == len({r["key"] for r in signed}) and {r["sign"] for r in got} == {1}
+    else:
+        assert any(r["sign"] < 0 for r in got)
+
+
+def test_net_records_of_odd_tables(spark):
+    shape, key = "k string, n long, status string, updated double, note string, flag boolean, tags array<string>, at timestamp, size decimal(9,2)", ["status", "updated", "note", "flag", "tags", "at", "size"]
+    rows = [(None, 1, "queued", 1.0, "x", True, ["t"], None, None), (None, 2, "queued", None, "late", None, None, None, None), (None, 3, "completed", 2.0, "", False, [], None, None), ("a", 1, None, float("nan"), None, None, [None], None, None), ("a", 2, "queued", float("nan"), None, None, None, None, None)]
+    merge = folds.Merge(fill={"note": None, "flag": None, "tags": None, "size": None})
+    df = spark.createDataFrame(rows, shape)
+    got = {r["k"]: r["record"] for r in folds.net_records(df, ["k"], ["n"], key, merge).collect()}
+    assert got[None].asDict() == dict(status="completed", updated=2.0, note="x", flag=True, tags=["t"], at=None, size=None)
+    assert got["a"]["status"] == "queued" and got["a"]["tags"] == [None]
+    assert folds.net_records(df.limit(0), ["k"], ["n"], key, merge).count() == 0
+    with pytest.raises(ValueError):
+        folds.net_records(df, ["k"], ["n"], ["nope"], merge)
+
+
+def test_retractions_derive_no_rows_that_cancel(spark):
+    """Of a job that was seen five times one record is left to derive rows from, and records do not pass through JSON."""
+    seen = live_queries.observations(spark, "/root/testdata/sf0.001").where("id < 200")
+    run = [c for c in seen.columns if c not in (*live_queries.JOB, "id", "k", "arrival")]
+    assert seen.count() == 1000 and folds.net_records(seen, ["id"], ["arrival"], live_queries.JOB, L.JOB_MERGE, along=run).count() == 200
+    plan = live_queries.live_retractions(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "to_json" not in plan
+
+
 def test_stream_of_changes_equals_recomputing_from_the_last_records(spark, tmp_path):
     """A shuffled stream in several micro-batches: its signed metric rows add up to the metrics of the last records."""
     base, rnd = 1_760_000_000.0, random.Random(9)
