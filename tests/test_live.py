@@ -167,3 +167,10 @@ def test_steps_come_from_plain_explodes_and_measures_make_no_fleet(spark):
     assert summed(daily.collect()) == {k: v for k, v in summed(both.collect()).items() if not k[0].startswith("fleet/")}
     plan = both._jdf.queryExecution().optimizedPlan().toString()
     assert "explode(sequence(" in plan and plan.count("lambda ") <= daily._jdf.queryExecution().optimizedPlan().toString().count("lambda ")
+
+
+def test_the_array_of_items_is_a_column_before_it_is_exploded(spark):
+    """An explode that makes its array itself is interpreted for every job, as the phases' items have lambdas."""
+    plan = L.job_contributions(table(spark, [job()]), T + 600)._jdf.queryExecution().optimizedPlan().toString()
+    exploded = [line for line in plan.splitlines() if "Generate explode(" in line and "explode(sequence(" not in line]
+    assert len(exploded) == 1 and "explode(_items#" in exploded[0] and "lambda " not in exploded[0]
